@@ -29,5 +29,7 @@ def query(key: str, sql: str | None = None, kind: str = "T"):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables (timestamps compared in UTC)."""
+    from geoframe.session import register
+    register(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -14,6 +14,7 @@ def get_session(master: str | None = None, app: str = "geoframe",
 
     On a cluster call this without ``master`` so the deployment's settings win.
     """
+    os.environ.setdefault("PYTHONPATH", _PACKAGE_ROOT)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -68,16 +69,47 @@ def local_path(uri: str) -> str:
     return uri
 
 
-_REGISTERED: set[int] = set()
+_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``geoframe`` importable in the executors' Python workers: the
+    package is zipped once on the driver and distributed with
+    ``SparkContext.addPyFile`` (Spark's own file distribution)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_geoframe_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.join(_PACKAGE_ROOT, "geoframe")
+    out_dir = tempfile.mkdtemp(prefix="geoframe-pkg-")
+    zpath = os.path.join(out_dir, "geoframe.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, _PACKAGE_ROOT))
+    sc.addPyFile(zpath)
+    sc._geoframe_shipped = True
 
 
 def register(spark: SparkSession) -> None:
-    """Register the ``filegdb`` source and the SQL geometry functions."""
+    """Register the ``filegdb`` source and the SQL geometry functions, and
+    ship the package to the executors."""
     from geoframe.functions.geometry import register_sql_functions
     from geoframe.sources.filegdb import FileGDBDataSource
 
+    ship_package(spark)
+    sc = spark.sparkContext
+    key = id(spark)
+    if key in _REGISTERED:
+        return
     spark.dataSource.register(FileGDBDataSource)
     register_sql_functions(spark)
+    _REGISTERED.add(key)
+
+
+_REGISTERED: set[int] = set()
 
 
 def env_int(name: str, default: int) -> int:
