@@ -20,6 +20,8 @@ Options (case-insensitive):
 ``startRow``        first slot (0-based) and
 ``numRows``         number of slots to read (slots, not live rows)
 ``batchRows``       slots decoded per Arrow batch (default 65536)
+``rawShapes``       ``true``: shape columns come back as the stored blobs
+                    (binary; decode later with ``operators.shapes``)
 ``pushdown``        ``true``: accept OBJECTID comparisons as slot ranges
                     (needs ``spark.sql.python.filterPushdown.enabled``)
 """
@@ -224,6 +226,11 @@ class FileGDBDataSource(DataSource):
                 table = resolve_table(path, name)
             self._header = L.read_table_header(path, table) \
                 if table and L.exists(path, table) else None
+            if self._header and _bool(_opt(self.options, "rawShapes", "false")):
+                for f in self._header.fields:
+                    if f.type_code == L.SHAPE and f.kind != "unsupported":
+                        f.extra["sourceGeometryType"] = f.kind
+                        f.kind = "unsupported"
             self._resolved = True
         return self._header
 

@@ -156,6 +156,11 @@ class FieldDesc:
         if self.type_code == SHAPE:
             md["geometryType"] = self.kind
             md.update(dict(zip(("xmin", "ymin", "xmax", "ymax"), self.extent)))
+            md.update({"xorigin": self.x_orig, "yorigin": self.y_orig, "xyscale": self.xy_scale})
+            if self.has_z:
+                md.update({"zorigin": self.z_orig, "zscale": self.z_scale})
+            if self.has_m:
+                md.update({"morigin": self.m_orig, "mscale": self.m_scale})
         if self.type_code == RASTER:
             md.update({"RasterColumn": self.raster_column or "", "xorigin": self.x_orig,
                        "yorigin": self.y_orig, "xyscale": self.xy_scale})
@@ -163,6 +168,7 @@ class FieldDesc:
                 md.update({"zorigin": self.z_orig, "zscale": self.z_scale})
             if self.has_m:
                 md.update({"morigin": self.m_orig, "mscale": self.m_scale})
+        md.update(self.extra)
         return md
 
     def struct_field(self) -> StructField:
