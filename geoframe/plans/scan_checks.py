@@ -361,7 +361,7 @@ def shape_point_zm(spark, sf_dir):
 def _poly_sql(stride: int, arr: str, parts: str, empty_cond: str = "false") -> str:
     """Expected polys per vertex ordinate, from the quantised coordinates."""
     s = stride
-    q = f"CAST(floor(({arr}[i + 1] - (-10.0)) * {{scale}}) AS BIGINT)"
+    q = "CAST(floor((a[i + 1] - (-10.0)) * {scale}) AS BIGINT)"
     qxy = q.format(scale=1000000.0)
     qm = q.format(scale=100000.0)
     return f"""
