@@ -45,6 +45,7 @@ from geoframe.sources.layout import read_at
 DEFAULT_PARTITIONS = 8
 BYTES_PER_PARTITION = 128 << 20
 BATCH_ROWS = 65536
+BATCH_BYTES = 64 << 20      # bound on row bytes decoded at once
 READ_GAP = 1 << 20          # join row reads whose gap is below this
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
@@ -154,44 +155,71 @@ def _scan(path: str, hdr: L.TableHeader, wanted: list[int], ranges, mode: str,
                 offs = L.read_offsets(xh, idx, slots)
                 live = offs != 0
                 slots, offs = slots[live], offs[live]
-                if len(slots) == 0:
-                    continue
-                buf, real, pos = _read_rows(fh, offs, size)
-                ok = _row_ends_ok(buf, real, pos, offs, size)
-                if not ok.all():
-                    # a row longer than its coalesced piece: fetch those alone
-                    extra = []
-                    for j in np.flatnonzero(~ok):
-                        rl = int.from_bytes(read_at(fh, 4, int(offs[j])), "little",
-                                            signed=True)
-                        extra.append((j, read_at(fh, 4 + max(rl, 0), int(offs[j]))))
-                    data = buf[:real].tobytes()
-                    for j, chunk in extra:
-                        pos[j] = len(data)
-                        data += chunk
-                    real = len(data)
-                    buf = np.frombuffer(data + b"\0" * D.PAD, np.uint8)
-                oids = slots + 1
-                arrays, bad = D.decode_rows(buf, real, pos, oids, hdr.fields, wanted)
-                if bad.any():
-                    if mode == "FAILFAST":
-                        raise MalformedRowError(
-                            f"{hdr.table}: malformed row at OBJECTID {int(oids[bad][0])}")
-                    if mode == "DROPMALFORMED":
-                        keep = pa.array(~bad)
-                        arrays = [a.filter(keep) for a in arrays]
-                    else:
-                        arrays = D.null_rows(arrays, bad)
-                cols = list(arrays)
-                out_names = list(names)
-                if with_oid:
-                    o = pa.array(oids.astype(np.int32))
-                    if mode == "DROPMALFORMED" and bad.any():
-                        o = o.filter(pa.array(~bad))
-                    cols.append(o)
-                    out_names.append("__oid")
-                if cols and len(cols[0]):
-                    yield pa.RecordBatch.from_arrays(cols, names=out_names)
+                for sl, of in _byte_bounded(slots, offs, size):
+                    yield from _decode_chunk(fh, size, sl, of, hdr, wanted, names, mode,
+                                             with_oid)
+
+
+def _byte_bounded(slots, offs, file_size):
+    """Split a slot batch so that no chunk spans more than BATCH_BYTES of
+    row data (row sizes estimated from the gaps between sorted offsets)."""
+    if len(slots) == 0:
+        return
+    order = np.argsort(offs, kind="stable")
+    so = offs[order].astype(np.int64)
+    est = np.empty(len(so), np.int64)
+    est[:-1] = np.diff(so)
+    est[-1] = max(min(file_size - int(so[-1]), BATCH_BYTES), 0)
+    size = np.empty(len(so), np.int64)
+    size[order] = est
+    cum = np.cumsum(size)
+    if cum[-1] <= BATCH_BYTES:
+        yield slots, offs
+        return
+    chunk = cum // BATCH_BYTES
+    cuts = np.flatnonzero(np.diff(chunk)) + 1
+    for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(slots)]])):
+        yield slots[a:b], offs[a:b]
+
+
+def _decode_chunk(fh, size, slots, offs, hdr, wanted, names, mode, with_oid):
+    """Read and decode the rows of one chunk; apply the read mode."""
+    buf, real, pos = _read_rows(fh, offs, size)
+    ok = _row_ends_ok(buf, real, pos, offs, size)
+    if not ok.all():
+        # a row longer than its coalesced piece: fetch those alone
+        extra = []
+        for j in np.flatnonzero(~ok):
+            rl = int.from_bytes(read_at(fh, 4, int(offs[j])), "little",
+                                signed=True)
+            extra.append((j, read_at(fh, 4 + max(rl, 0), int(offs[j]))))
+        data = buf[:real].tobytes()
+        for j, chunk in extra:
+            pos[j] = len(data)
+            data += chunk
+        real = len(data)
+        buf = np.frombuffer(data + b"\0" * D.PAD, np.uint8)
+    oids = slots + 1
+    arrays, bad = D.decode_rows(buf, real, pos, oids, hdr.fields, wanted)
+    if bad.any():
+        if mode == "FAILFAST":
+            raise MalformedRowError(
+                f"{hdr.table}: malformed row at OBJECTID {int(oids[bad][0])}")
+        if mode == "DROPMALFORMED":
+            keep = pa.array(~bad)
+            arrays = [a.filter(keep) for a in arrays]
+        else:
+            arrays = D.null_rows(arrays, bad)
+    cols = list(arrays)
+    out_names = list(names)
+    if with_oid:
+        o = pa.array(oids.astype(np.int32))
+        if mode == "DROPMALFORMED" and bad.any():
+            o = o.filter(pa.array(~bad))
+        cols.append(o)
+        out_names.append("__oid")
+    if cols and len(cols[0]):
+        yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
 
 # ---------------------------------------------------------------- source
