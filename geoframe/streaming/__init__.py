@@ -1 +1,10 @@
-"""streaming"""
+"""Structured Streaming and geoframe.
+
+The file format is read-only and batch-only, and the surveyed library has
+no streaming operators, so nothing streaming-specific is offered here.  All
+column functions (``geoframe.functions``) and the generator-based segment
+explode (``geoframe.operators.segments``) are stateless Catalyst
+expressions, so they apply unchanged to streaming DataFrames; see
+``tests/test_streaming.py``.  The ordered scans of ``operators.ordered``
+checkpoint their input and are batch-only.
+"""
