@@ -1,33 +1,39 @@
 """Ordered scans per group that stay balanced when one group is huge.
 
-``sum(...) OVER (PARTITION BY g ORDER BY o)`` puts a whole group into one
-task.  Here rows are first range-partitioned on ``(g, o)`` (Spark samples the
-composite key, so a group holding a third of all rows is spread over many
-ranges), the range number is pinned with a reliable ``checkpoint()``, and the
-scan is done in two levels:
-
-1. per (range, group) partial sums / last values (map-side combined, tiny);
-2. an exclusive running total of those partials per group, ordered by range
-   (at most one row per range per group);
-3. a window per (range, group) that adds the carried-in total.
-
-No window partition ever exceeds one range, and no group is collected.
+``sum(v) OVER (PARTITION BY g ORDER BY o)`` puts a whole group into one task,
+and a single group may hold a third of all rows.  Here:
+
+1. rows are range-partitioned on ``(g, o)`` and sorted inside each range
+   (Spark samples the composite key, so a hot group spans many ranges); the
+   range number is pinned with a reliable ``checkpoint()`` so every later
+   pass sees the same ranges;
+2. per (range, group) partials are aggregated (map-side combined) and only
+   the first and last group of every range are kept: at most two rows per
+   range, whatever the number of groups;
+3. the carry into each range (the running total of its first group over
+   the earlier ranges, or the previous row for ``lag``) is derived from those
+   edge rows - a table bounded by the number of ranges;
+4. a final pass adds the carry inside each range.  By default it runs over
+   the checkpointed, already sorted ranges (``mapInArrow``: a numpy cumsum
+   per batch, no further shuffle); ``finish="window"`` instead joins the
+   carries and uses a Spark window per (range, group) (one more shuffle).
+
+No task ever sees more than one range and no group is collected.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StructField, StructType)
 
 from geoframe.session import checkpoint_dir
 
 RANGE_COL = "_gf_range"
-# a carry table up to this many rows is broadcast; above it, a shuffle join
-BROADCAST_ROWS = 2_000_000
-
-
-def _by_group(group_cols: list[str]):
-    return Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
@@ -37,95 +43,226 @@ def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
+def _sort_keys(group_cols, order_cols):
+    return [F.col(c).asc_nulls_first() for c in group_cols + order_cols]
+
+
 def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str],
            num_ranges: int | None = None) -> DataFrame:
-    """Range-partition on (group, order), tag each row with its range number
-    and checkpoint, so that every later pass sees the same ranges."""
+    """Range-partition and sort on (group, order), tag each row with its
+    range number, and checkpoint to the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
-    keys = [F.col(c).asc_nulls_first() for c in group_cols + order_cols]
+    keys = _sort_keys(group_cols, order_cols)
     out = (df.repartitionByRange(_num_ranges(df, num_ranges), *keys)
+           .sortWithinPartitions(*keys)
            .withColumn(RANGE_COL, F.spark_partition_id()))
     return out.checkpoint(eager=True)
 
 
-def _join_carry(data: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach per-(range, group) carries; the carry side has at most
-    ranges + groups rows: broadcast it only after checking that bound."""
-    n = carry.count()
-    side = F.broadcast(carry) if n <= BROADCAST_ROWS else carry
-    cond = [data[k].eqNullSafe(side[k]) for k in keys]
-    joined = data.join(side, on=cond, how="left")
-    return joined.select(data["*"], *[side[c] for c in side.columns if c not in keys])
+def _edges(data: DataFrame, group_cols: list[str], order_cols: list[str],
+           tmp: dict[str, str]) -> list:
+    """First and last group of every range with the group's partial sums and
+    last values: at most two rows per range."""
+    order_struct = F.struct(*[F.col(c) for c in order_cols])
+    keys = [RANGE_COL, *group_cols]
+    partial = data.groupBy(*keys).agg(
+        *[F.sum(t).alias(f"s_{t}") for t in tmp.values()],
+        *[F.max_by(F.col(t), order_struct).alias(f"l_{t}") for t in tmp.values()])
+    g_asc = [F.col(c).asc_nulls_first() for c in group_cols] or [F.lit(0)]
+    g_desc = [F.col(c).desc_nulls_last() for c in group_cols] or [F.lit(0)]
+    w_first = Window.partitionBy(RANGE_COL).orderBy(*g_asc)
+    w_last = Window.partitionBy(RANGE_COL).orderBy(*g_desc)
+    edge = partial.select("*", (F.row_number().over(w_first) == 1).alias("is_first"),
+                          (F.row_number().over(w_last) == 1).alias("is_last")) \
+        .filter("is_first OR is_last")
+    # at most two rows per range by construction: bounded by the range count
+    return edge.collect()
 
 
-def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                value_cols: dict[str, Column | str],
-                num_ranges: int | None = None) -> DataFrame:
-    """Add inclusive running sums per group in ``order_cols`` order.
-
-    ``value_cols`` maps output name -> value column.  Equivalent to
-    ``sum(v) OVER (PARTITION BY group ORDER BY order ROWS BETWEEN UNBOUNDED
-    PRECEDING AND CURRENT ROW)``; order keys should be unique within a group
-    for a deterministic result.
-    """
-    vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in value_cols.items()}
-    tmp = {k: f"_gf_v_{i}" for i, k in enumerate(vals)}
-    base = df.select("*", *[v.alias(tmp[k]) for k, v in vals.items()])
-    data = ranged(base, group_cols, order_cols, num_ranges)
-    keys = [RANGE_COL, *group_cols]
+def _carries(edge_rows, group_cols, tmp):
+    """Per range: (carry-in sums, value of the previous row if it belongs to
+    the range's first group)."""
+    by_range: dict[int, dict] = {}
+    for r in edge_rows:
+        d = by_range.setdefault(r[RANGE_COL], {})
+        key = tuple(r[c] for c in group_cols)
+        if r["is_first"]:
+            d["first"] = key
+        if r["is_last"]:
+            d["last"] = key
+            d["sum"] = {k: r[f"s_{t}"] for k, t in tmp.items()}
+            d["lastval"] = {k: r[f"l_{t}"] for k, t in tmp.items()}
+    carry = {}
+    open_key, acc, last = None, None, None
+    for rng in sorted(by_range):
+        d = by_range[rng]
+        cont = open_key is not None and open_key == d["first"]
+        c_sum = {k: (acc[k] or 0) if cont else 0 for k in tmp}
+        c_lag = {k: last[k] if cont else None for k in tmp}
+        carry[rng] = (c_sum, c_lag)
+        if d["last"] == d["first"]:
+            acc = {k: c_sum[k] + (d["sum"][k] or 0) for k in tmp}
+        else:
+            acc = {k: (d["sum"][k] or 0) for k in tmp}
+        last = d["lastval"]
+        open_key = d["last"]
+    return carry
 
-    partial = data.groupBy(*keys).agg(*[F.sum(tmp[k]).alias(f"_gf_p_{tmp[k]}") for k in vals])
-    before = _by_group(group_cols).orderBy(RANGE_COL) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = partial.select(*keys, *[
-        F.coalesce(F.sum(f"_gf_p_{tmp[k]}").over(before), F.lit(0)).alias(f"_gf_c_{tmp[k]}")
-        for k in vals])
-
-    joined = _join_carry(data, carry, keys)
-    within = Window.partitionBy(*keys).orderBy(*order_cols) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.select(
-        *df.columns,
-        *[(F.sum(tmp[k]).over(within) + F.col(f"_gf_c_{tmp[k]}")).alias(k) for k in vals])
-    return out
 
+def _group_starts(batch: pa.RecordBatch, group_cols: list[str]) -> np.ndarray:
+    n = batch.num_rows
+    starts = np.zeros(n, bool)
+    if n:
+        starts[0] = True
+    for c in group_cols:
+        col = batch.column(c)
+        if n < 2:
+            break
+        a, b = col.slice(1), col.slice(0, n - 1)
+        ne = pc.fill_null(pc.not_equal(a, b), False)
+        nulls = pc.xor(pc.is_null(a), pc.is_null(b))
+        starts[1:] |= pc.or_(ne, nulls).to_numpy(zero_copy_only=False)
+    return starts
 
-def lag_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                 value_cols: dict[str, Column | str],
-                 num_ranges: int | None = None) -> DataFrame:
-    """Add the previous row's value per group (``lag(v, 1)``), null for the
-    first row of a group; balanced the same way as :func:`running_sum`."""
+
+def _key_at(batch, group_cols, i):
+    return tuple(batch.column(c)[i].as_py() for c in group_cols)
+
+
+def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, how: str,
+                  out_types: dict[str, object]) -> DataFrame:
+    fields = list(data.schema.fields) + [StructField(k, out_types[k], True) for k in tmp]
+    schema = StructType(fields)
+    names = [f.name for f in fields]
+
+    def run(batches):
+        state = None
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            if state is None:
+                rng = b.column(RANGE_COL)[0].as_py()
+                c_sum, c_lag = carry.get(rng, ({k: 0 for k in tmp}, {k: None for k in tmp}))
+                state = (_key_at(b, group_cols, 0), c_sum, c_lag)
+            open_key, acc, last = state
+            starts = _group_starts(b, group_cols)
+            cont = _key_at(b, group_cols, 0) == open_key
+            seg = np.cumsum(starts) - 1
+            first_seg = seg == 0
+            outs = []
+            new_acc, new_last = {}, {}
+            for k, t in tmp.items():
+                v = b.column(t)
+                if how == "sum":
+                    is_int = pa.types.is_integer(v.type)
+                    vals = pc.fill_null(v, 0).to_numpy(zero_copy_only=False).astype(
+                        np.int64 if is_int else np.float64)
+                    tot = np.cumsum(vals)
+                    sidx = np.flatnonzero(starts)
+                    base = np.where(sidx > 0, tot[np.maximum(sidx - 1, 0)], 0)
+                    cum = tot - base[seg]
+                    if cont:
+                        cum = cum + np.where(first_seg, acc[k] or 0, 0).astype(cum.dtype)
+                    outs.append(pa.array(cum, type=pa.int64() if is_int else pa.float64()))
+                    new_acc[k] = cum[-1].item()
+                else:
+                    prev_idx = np.arange(n) - 1
+                    taken = v.take(pa.array(np.maximum(prev_idx, 0)))
+                    mask = starts.copy()
+                    arr = pc.if_else(pa.array(mask), pa.nulls(n, v.type), taken)
+                    if cont and last[k] is not None:
+                        head = np.zeros(n, bool)
+                        head[0] = True
+                        arr = pc.if_else(pa.array(head), pa.scalar(last[k], v.type), arr)
+                    outs.append(arr.cast(v.type))
+                    new_last[k] = v[n - 1].as_py()
+            state = (_key_at(b, group_cols, n - 1), new_acc if how == "sum" else acc,
+                     new_last if how == "lag" else last)
+            yield pa.RecordBatch.from_arrays(list(b.columns) + outs, names=names)
+
+    return data.mapInArrow(run, schema)
+
+
+def _value_type(df: DataFrame, col: Column, how: str):
+    t = df.select(col.alias("_t")).schema["_t"].dataType
+    if how == "lag":
+        return t
+    return LongType() if isinstance(t, (LongType, IntegerType, ShortType)) else DoubleType() \
+        if isinstance(t, (DoubleType, FloatType)) else DoubleType()
+
+
+def _scan(df, group_cols, order_cols, value_cols, num_ranges, how, finish):
     vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in value_cols.items()}
     tmp = {k: f"_gf_v_{i}" for i, k in enumerate(vals)}
-    base = df.select("*", *[v.alias(tmp[k]) for k, v in vals.items()])
+    out_types = {k: _value_type(df, v, how) for k, v in vals.items()}
+    casts = {k: (v.cast(out_types[k]) if how == "sum" else v) for k, v in vals.items()}
+    base = df.select("*", *[casts[k].alias(tmp[k]) for k in vals])
     data = ranged(base, group_cols, order_cols, num_ranges)
-    keys = [RANGE_COL, *group_cols]
+    edges = _edges(data, group_cols, order_cols, tmp) if finish == "arrow" else None
+    if edges is not None:
+        carry = _carries(edges, group_cols, tmp)
+        out = _finish_arrow(data, group_cols, tmp, carry, how, out_types)
+        return out.select(*df.columns, *vals.keys())
+    return _finish_window(data, df, group_cols, order_cols, tmp, how)
 
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
-    last = data.groupBy(*keys).agg(*[
-        F.max_by(F.col(tmp[k]), order_struct).alias(f"_gf_l_{tmp[k]}") for k in vals])
-    prev = _by_group(group_cols).orderBy(RANGE_COL)
-    carry = last.select(*keys, *[
-        F.lag(f"_gf_l_{tmp[k]}", 1).over(prev).alias(f"_gf_c_{tmp[k]}") for k in vals])
 
-    joined = _join_carry(data, carry, keys)
+def _finish_window(data, df, group_cols, order_cols, tmp, how):
+    """Carry per (range, group) joined in, then a window per (range, group)."""
+    keys = [RANGE_COL, *group_cols]
+    order_struct = F.struct(*[F.col(c) for c in order_cols])
+    by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    if how == "sum":
+        partial = data.groupBy(*keys).agg(*[F.sum(t).alias(f"p_{t}") for t in tmp.values()])
+        before = by_group.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, -1)
+        carry = partial.select(*keys, *[F.coalesce(F.sum(f"p_{t}").over(before), F.lit(0))
+                                        .alias(f"c_{t}") for t in tmp.values()])
+    else:
+        partial = data.groupBy(*keys).agg(*[F.max_by(F.col(t), order_struct).alias(f"p_{t}")
+                                            for t in tmp.values()])
+        carry = partial.select(*keys, *[F.lag(f"p_{t}", 1).over(by_group.orderBy(RANGE_COL))
+                                        .alias(f"c_{t}") for t in tmp.values()])
+    cond = [data[k].eqNullSafe(carry[k]) for k in keys]
+    joined = data.join(carry, on=cond, how="left").select(
+        data["*"], *[carry[f"c_{t}"] for t in tmp.values()])
     within = Window.partitionBy(*keys).orderBy(*order_cols)
-    first = F.row_number().over(within) == 1
-    out = joined.select(
-        *df.columns,
-        *[F.when(first, F.col(f"_gf_c_{tmp[k]}")).otherwise(F.lag(tmp[k], 1).over(within))
-          .alias(k) for k in vals])
-    return out
+    if how == "sum":
+        frame = within.rowsBetween(Window.unboundedPreceding, 0)
+        res = [(F.sum(t).over(frame) + F.col(f"c_{t}")).alias(k) for k, t in tmp.items()]
+    else:
+        first = F.row_number().over(within) == 1
+        res = [F.when(first, F.col(f"c_{t}")).otherwise(F.lag(t, 1).over(within)).alias(k)
+               for k, t in tmp.items()]
+    return joined.select(*df.columns, *res)
+
+
+def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                value_cols: dict[str, Column | str], num_ranges: int | None = None,
+                finish: str = "arrow") -> DataFrame:
+    """Add inclusive running sums per group in ``order_cols`` order:
+    ``sum(v) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED
+    PRECEDING)``.  Integer values are summed exactly (int64); nulls count as
+    0.  Order keys should be unique within a group for a deterministic
+    result."""
+    return _scan(df, group_cols, order_cols, value_cols, num_ranges, "sum", finish)
+
+
+def lag_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                 value_cols: dict[str, Column | str], num_ranges: int | None = None,
+                 finish: str = "arrow") -> DataFrame:
+    """Add the previous row's value per group (``lag(v, 1)``), null for the
+    first row of a group."""
+    return _scan(df, group_cols, order_cols, value_cols, num_ranges, "lag", finish)
 
 
 def assign_object_ids(df: DataFrame, order_cols: list[str], start_id: int = 0,
                       count: int = -1, id_col: str = "OBJECTID",
-                      num_ranges: int | None = None) -> DataFrame:
+                      num_ranges: int | None = None, finish: str = "arrow") -> DataFrame:
     """Running ids ``start_id + 1, + 2, ...`` in ``order_cols`` order over the
     whole table (a global ordered scan, without a single-partition window);
     ``count >= 0`` keeps the first ``count`` ids, as the sequential scan with
     a row budget does."""
-    out = running_sum(df, [], order_cols, {id_col: F.lit(1).cast("long")}, num_ranges)
+    out = running_sum(df, [], order_cols, {id_col: F.lit(1).cast("long")}, num_ranges, finish)
     out = out.withColumn(id_col, F.col(id_col) + F.lit(int(start_id)))
     if count >= 0:
         out = out.filter(F.col(id_col) <= F.lit(int(start_id) + int(count)))
