@@ -33,26 +33,43 @@ def _validity(valid: np.ndarray):
 
 
 def _gather(buf: np.ndarray, pos: np.ndarray, width: int) -> np.ndarray:
-    # positions of rows already known to be bad may point anywhere: clamp
-    # them (their values are masked out later)
+    """``width`` bytes at every position, as an (n, width) array.  Positions
+    of rows already known to be bad may point anywhere: they are clamped
+    (their values are masked out later)."""
     pos = np.clip(pos, 0, len(buf) - width)
-    return buf[pos[:, None] + np.arange(width)]
+    return np.lib.stride_tricks.sliding_window_view(buf, width)[pos]
+
+
+def _varuint_fixed(b: np.ndarray, dtype):
+    cont = (b & 0x80) != 0
+    stop = np.argmin(cont, axis=1)
+    k = np.arange(b.shape[1])
+    keep = k[None, :] <= stop[:, None]
+    shifted = (b & 0x7F).astype(dtype) << (7 * k).astype(dtype)
+    val = np.where(keep, shifted, 0).sum(axis=1, dtype=dtype)
+    return val, (stop + 1).astype(np.int64), cont.all(axis=1)
 
 
 def read_varuint(buf: np.ndarray, pos: np.ndarray, maxlen: int = 10):
-    """LEB128 at each position -> (value uint64, byte count, malformed)."""
+    """LEB128 at each position -> (value uint64, byte count, malformed).
+
+    Most values end within 4 bytes (< 2**28): those are decoded from a
+    4-byte window in 32-bit arithmetic; only the rest read the full width."""
     if len(pos) == 0:
         z = np.zeros(0, np.int64)
         return z.astype(np.uint64), z, np.zeros(0, bool)
-    b = _gather(buf, pos, maxlen).astype(np.uint64)
-    cont = (b & np.uint64(0x80)) != 0
-    bad = cont.all(axis=1)
-    stop = np.argmin(cont, axis=1)
-    k = np.arange(maxlen)
-    keep = k[None, :] <= stop[:, None]
-    shifted = (b & np.uint64(0x7F)) << (np.uint64(7) * k.astype(np.uint64))
-    val = np.where(keep, shifted, np.uint64(0)).sum(axis=1, dtype=np.uint64)
-    return val, (stop + 1).astype(np.int64), bad
+    short = min(4, maxlen)
+    val, nb, long_ = _varuint_fixed(_gather(buf, pos, short), np.uint32)
+    val = val.astype(np.uint64)
+    bad = np.zeros(len(pos), bool)
+    if long_.any():
+        idx = np.flatnonzero(long_)
+        if maxlen > short:
+            v2, n2, b2 = _varuint_fixed(_gather(buf, pos[idx], maxlen), np.uint64)
+            val[idx], nb[idx], bad[idx] = v2, n2, b2
+        else:
+            bad[idx] = True
+    return val, nb, bad
 
 
 def _ragged_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -89,29 +106,34 @@ def binary_array(buf, starts, lengths, valid, string: bool) -> pa.Array:
     return arr
 
 
+# two upper-case hex digits per byte value, as little-endian uint16 pairs
+_HEX2 = np.array([ord("%X" % (i >> 4)) | (ord("%X" % (i & 15)) << 8) for i in range(256)],
+                 np.uint16)
+# output columns of the 32 hex digits inside "{8-4-4-4-12}"
+_GUID_COLS = np.array([c for c in range(1, 37) if c not in (9, 14, 19, 24)])
+
+
 def guid_array(buf, pos, valid) -> pa.Array:
+    n = len(pos)
     b = _gather(buf, pos, 16)[:, _GUID_ORDER]
-    hexed = np.empty((len(pos), 32), np.uint8)
-    hexed[:, 0::2] = _HEX[b >> 4]
-    hexed[:, 1::2] = _HEX[b & 15]
-    out = np.empty((len(pos), 38), np.uint8)
+    hexed = _HEX2[b].view(np.uint8).reshape(n, 32)
+    out = np.empty((n, 38), np.uint8)
     out[:, 0] = ord("{")
     out[:, 37] = ord("}")
     out[:, [9, 14, 19, 24]] = ord("-")
-    out[:, 1:9], out[:, 10:14], out[:, 15:19] = hexed[:, 0:8], hexed[:, 8:12], hexed[:, 12:16]
-    out[:, 20:24], out[:, 25:37] = hexed[:, 16:20], hexed[:, 20:32]
-    offs = (np.arange(len(pos) + 1, dtype=np.int32) * 38)
+    out[:, _GUID_COLS] = hexed
+    offs = np.arange(n + 1, dtype=np.int32) * 38
     # invalid rows keep their (ignored) bytes; validity masks them
-    return pa.Array.from_buffers(pa.string(), len(pos), [_validity(valid), pa.py_buffer(offs),
-                                                         pa.py_buffer(out.tobytes())])
+    return pa.Array.from_buffers(pa.string(), n, [_validity(valid), pa.py_buffer(offs),
+                                                  pa.py_buffer(out.tobytes())])
 
 
 def datetime_millis(days: np.ndarray) -> np.ndarray:
     """``ceil((d - 25569) * 1000 * 60 * 60 * 24)`` in float64, left to right."""
     with np.errstate(invalid="ignore", over="ignore"):
         ms = np.ceil(((((days - 25569.0) * 1000.0) * 60.0) * 60.0) * 24.0)
-        ms = np.where(np.isfinite(ms), ms, 0)
-    return ms.astype(np.int64)
+        ok = np.isfinite(ms) & (np.abs(ms) < 9.2e15)     # also keeps ms * 1000 in int64
+        return np.where(ok, ms, 0).astype(np.int64)
 
 
 # ------------------------------------------------------------- geometries
