@@ -116,7 +116,7 @@ _GUID_COLS = np.array([c for c in range(1, 37) if c not in (9, 14, 19, 24)])
 def guid_array(buf, pos, valid) -> pa.Array:
     n = len(pos)
     b = _gather(buf, pos, 16)[:, _GUID_ORDER]
-    hexed = _HEX2[b].view(np.uint8).reshape(n, 32)
+    hexed = np.ascontiguousarray(_HEX2[b]).view(np.uint8).reshape(n, 32)
     out = np.empty((n, 38), np.uint8)
     out[:, 0] = ord("{")
     out[:, 37] = ord("}")

@@ -77,6 +77,9 @@ def test_guid_vector():
     raw = bytes.fromhex("8DD5A72AF42B434983A8457B70DB1871")
     arr = D.guid_array(_buf(raw), np.array([0]), np.array([True]))
     assert arr.to_pylist() == ["{2AA7D58D-2BF4-4943-83A8-457B70DB1871}"]
+    many = D.guid_array(_buf(raw * 5), np.arange(5) * 16, np.array([True, False] * 2 + [True]))
+    assert many.to_pylist() == ["{2AA7D58D-2BF4-4943-83A8-457B70DB1871}", None] * 2 + \
+        ["{2AA7D58D-2BF4-4943-83A8-457B70DB1871}"]
 
 
 def test_date_vector():
