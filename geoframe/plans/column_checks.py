@@ -17,11 +17,25 @@ from geoframe.plans.registry import query, table
 from geoframe.session import register, shared_path
 
 
+def xym(e="embedding"):
+    """Whole embedding as polylineM ordinates: consecutive values are the
+    x, y of each vertex, m is the vertex number."""
+    e = F.col(e)
+    n = (F.size(e) / 2).cast("int")
+    triples = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array(
+        F.get(e, 2 * i).cast("double"), F.get(e, 2 * i + 1).cast("double"), i.cast("double")))
+    return F.when(n > 0, F.flatten(triples)).otherwise(F.array().cast("array<double>"))
+
+
+# the same in DuckDB
+XYM_SQL = ("flatten([[CAST(embedding[2 * i + 1] AS DOUBLE), CAST(embedding[2 * i + 2] AS DOUBLE), "
+           "CAST(i AS DOUBLE)] FOR i IN range(len(embedding) // 2)])")
+
+
 def _emb_poly_m(spark, sf_dir):
-    """polylineM from the first 63 embedding values (21 x, y, m triples)."""
+    """polylineM from the whole embedding (one vertex per value pair)."""
     emb = table(spark, sf_dir, "embeddings")
-    return emb.select("vec_id", G.poly_from_coords(F.slice("embedding", 1, 63), None, 3)
-                      .alias("Shape"))
+    return emb.select("vec_id", G.poly_from_coords(xym(), None, 3).alias("Shape"))
 
 
 def _flat_poly(g: str):
@@ -34,7 +48,7 @@ def _flat_poly(g: str):
 
 _SEG_SQL = """
 WITH p AS (
-  SELECT vec_id, [CAST(e AS DOUBLE) FOR e IN embedding[1:63]] AS arr, {num} AS num
+  SELECT vec_id, {xym} AS arr, {num} AS num
   FROM embeddings
 ), parts AS (
   SELECT vec_id, arr, i - 1 AS part, num[i] AS n, CAST(coalesce(list_sum(num[1:i-1]), 0) AS BIGINT) AS s
@@ -48,23 +62,26 @@ FROM parts, range(0, n - 1) q(j)
 """
 
 
-@query("segments_m", _SEG_SQL.format(num="[21]"))
+@query("segments_m", _SEG_SQL.format(xym=XYM_SQL, num="[CAST(len(embedding) // 2 AS INTEGER)]"))
 def segments_m(spark, sf_dir):
     return segments(_emb_poly_m(spark, sf_dir), "Shape", keep=["vec_id"], stride=3)
 
 
 def _multi_num():
-    return F.array((F.col("vec_id") % 5 + 1).cast("int"), (F.col("vec_id") % 7).cast("int"),
-                   (F.lit(20) - F.col("vec_id") % 5 - F.col("vec_id") % 7).cast("int"))
+    """Three parts: 1-5 vertices, 0-6 vertices (an empty part), the rest."""
+    a = (F.col("vec_id") % 5 + 1).cast("int")
+    b = (F.col("vec_id") % 7).cast("int")
+    return F.array(a, b, ((F.size("embedding") / 2).cast("int") - a - b).cast("int"))
+
+
 _MULTI_NUM_SQL = ("[CAST(vec_id % 5 + 1 AS INTEGER), CAST(vec_id % 7 AS INTEGER), "
-                  "CAST(20 - vec_id % 5 - vec_id % 7 AS INTEGER)]")
+                  "CAST(len(embedding) // 2 - (vec_id % 5 + 1) - vec_id % 7 AS INTEGER)]")
 
 
-@query("segments_multipart", _SEG_SQL.format(num=_MULTI_NUM_SQL))
+@query("segments_multipart", _SEG_SQL.format(xym=XYM_SQL, num=_MULTI_NUM_SQL))
 def segments_multipart(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
-    poly = emb.select("vec_id", G.poly_from_coords(F.slice("embedding", 1, 63), _multi_num(), 3)
-                      .alias("Shape"))
+    poly = emb.select("vec_id", G.poly_from_coords(xym(), _multi_num(), 3).alias("Shape"))
     return segments(poly, "Shape", keep=["vec_id"], stride=3)
 
 
@@ -115,14 +132,14 @@ def make_point_zm(spark, sf_dir):
 
 # ------------------------------------------------------------ polys E2 / E3
 
-_XS = "[CAST(embedding[2 * i + 1] AS DOUBLE) FOR i IN range(32)]"
-_YS = "[CAST(embedding[2 * i + 2] AS DOUBLE) FOR i IN range(32)]"
+_XS = "[CAST(embedding[2 * i + 1] AS DOUBLE) FOR i IN range(len(embedding) // 2)]"
+_YS = "[CAST(embedding[2 * i + 2] AS DOUBLE) FOR i IN range(len(embedding) // 2)]"
 
 
 @query("make_polyline", f"""
 SELECT vec_id, list_min({_XS}) AS xmin, list_min({_YS}) AS ymin,
        list_max({_XS}) AS xmax, list_max({_YS}) AS ymax,
-       1 AS n_parts, 32 AS n_vertices
+       1 AS n_parts, CAST(len(embedding) // 2 AS INTEGER) AS n_vertices
 FROM embeddings
 """)
 def make_polyline(spark, sf_dir):
@@ -132,20 +149,17 @@ def make_polyline(spark, sf_dir):
                     G.num_vertices("Shape", 2).alias("n_vertices"))
 
 
-@query("make_polyline_m", """
-SELECT vec_id,
-       list_min([CAST(embedding[3 * i + 1] AS DOUBLE) FOR i IN range(21)]) AS xmin,
-       list_min([CAST(embedding[3 * i + 2] AS DOUBLE) FOR i IN range(21)]) AS ymin,
-       list_max([CAST(embedding[3 * i + 1] AS DOUBLE) FOR i IN range(21)]) AS xmax,
-       list_max([CAST(embedding[3 * i + 2] AS DOUBLE) FOR i IN range(21)]) AS ymax,
-       list_min([CAST(embedding[3 * i + 3] AS DOUBLE) FOR i IN range(21)]) AS mmin,
-       1 AS n_parts, 21 AS n_vertices
+@query("make_polyline_m", f"""
+SELECT vec_id, list_min({_XS}) AS xmin, list_min({_YS}) AS ymin,
+       list_max({_XS}) AS xmax, list_max({_YS}) AS ymax,
+       CAST(len(embedding) // 2 - 1 AS DOUBLE) AS mmax,
+       1 AS n_parts, CAST(len(embedding) // 2 AS INTEGER) AS n_vertices
 FROM embeddings
 """)
 def make_polyline_m(spark, sf_dir):
     p = _emb_poly_m(spark, sf_dir)
     return p.select("vec_id", *_flat_poly("Shape"),
-                    F.array_min(G.ordinates(F.col("Shape.xyArr"), 3, 2)).alias("mmin"),
+                    F.array_max(G.ordinates(F.col("Shape.xyArr"), 3, 2)).alias("mmax"),
                     G.num_parts("Shape").alias("n_parts"),
                     G.num_vertices("Shape", 3).alias("n_vertices"))
 
@@ -153,7 +167,7 @@ def make_polyline_m(spark, sf_dir):
 @query("make_polygon", f"""
 SELECT vec_id, list_min({_XS}) AS xmin, list_min({_YS}) AS ymin,
        list_max({_XS}) AS xmax, list_max({_YS}) AS ymax,
-       33 AS n_vertices, true AS closed
+       CAST(len(embedding) // 2 + 1 AS INTEGER) AS n_vertices, true AS closed
 FROM embeddings
 """)
 def make_polygon(spark, sf_dir):
@@ -179,11 +193,11 @@ def point_fields(spark, sf_dir):
     return p.select("l_orderkey", "l_linenumber", "S.x", "S.y", "S.z", "S.m")
 
 
-@query("poly_fields", """
-SELECT vec_id, CAST(21 AS INTEGER) AS num0, 63 AS n_ords,
+@query("poly_fields", f"""
+SELECT vec_id, CAST(len(embedding) // 2 AS INTEGER) AS num0,
+       CAST(len(embedding) // 2 * 3 AS INTEGER) AS n_ords,
        CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS y0,
-       CAST(embedding[3] AS DOUBLE) AS m0,
-       list_min([CAST(embedding[3 * i + 1] AS DOUBLE) FOR i IN range(21)]) AS xmin
+       0.0::DOUBLE AS m0, list_min({_XS}) AS xmin
 FROM embeddings
 """)
 def poly_fields(spark, sf_dir):
@@ -419,13 +433,13 @@ def delta_decode_array(spark, sf_dir):
 @query("part_counts", """
 SELECT vec_id, CAST(i - 1 AS INTEGER) AS part,
        ([CAST(vec_id % 5 + 1 AS INTEGER), CAST(vec_id % 7 AS INTEGER),
-         CAST(21 - (vec_id % 5 + 1) - vec_id % 7 AS INTEGER)])[i] AS n
+         CAST(len(embedding) // 2 - (vec_id % 5 + 1) - vec_id % 7 AS INTEGER)])[i] AS n
 FROM embeddings, range(1, 4) r(i)
 """)
 def part_counts(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
     lead = F.array((F.col("vec_id") % 5 + 1).cast("int"), (F.col("vec_id") % 7).cast("int"))
-    full = C.complete_part_counts(F.lit(21), lead)
+    full = C.complete_part_counts((F.size("embedding") / 2).cast("int"), lead)
     return emb.select("vec_id", F.posexplode(full).alias("part", "n"))
 
 

@@ -100,9 +100,11 @@ def _emb_lines(spark, sf):
         .otherwise(F.col("embedding").cast("array<double>"))
     k = (vid % 5 + 1).cast("int")
     parts = F.when(vid % 50 == 7, F.array().cast("array<int>")) \
-        .otherwise(F.array(k, F.lit(32) - k))
-    m_xy = F.slice(F.col("embedding"), 1, 63).cast("array<double>")
-    m_parts = F.array((vid % 4 + 2).cast("int"), (F.lit(19) - vid % 4).cast("int"))
+        .otherwise(F.array(k, (F.size("embedding") / 2).cast("int") - k))
+    from geoframe.plans.column_checks import xym
+    m_xy = xym()
+    m_parts = F.array((vid % 4 + 2).cast("int"),
+                      ((F.size("embedding") / 2).cast("int") - vid % 4 - 2).cast("int"))
     ring = F.concat(F.col("embedding"), F.slice("embedding", 1, 2)).cast("array<double>")
     return e.select("vec_id", xy.alias("xy"), parts.alias("parts"), m_xy.alias("xym"),
                     m_parts.alias("m_parts"), ring.alias("ring"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from geoframe.operators.shapes import decode_shapes, shape_params
 from geoframe.operators.tables import tolerance_check
 from geoframe.plans import fixtures as FX
+from geoframe.plans.column_checks import XYM_SQL
 from geoframe.plans.registry import query
 from geoframe.sources.catalog import find_table, list_tables, user_tables
 from geoframe.sources.filegdb import read_table
@@ -395,7 +396,7 @@ def _poly_rows(df):
 
 
 _EMB2 = "CAST(embedding AS DOUBLE[])"
-_EMB3 = "CAST(embedding[1:63] AS DOUBLE[])"
+_EMB3 = XYM_SQL
 _RING = "CAST(embedding || embedding[1:2] AS DOUBLE[])"
 
 
@@ -418,7 +419,8 @@ def shape_polygon(spark, sf_dir):
 
 @query("shape_parts", """
 SELECT CAST(vec_id AS INTEGER) AS vec_id, CAST(i AS INTEGER) AS part,
-       CAST(CASE WHEN i = 0 THEN vec_id % 5 + 1 ELSE 32 - (vec_id % 5 + 1) END AS INTEGER) AS n
+       CAST(CASE WHEN i = 0 THEN vec_id % 5 + 1
+                 ELSE len(embedding) // 2 - (vec_id % 5 + 1) END AS INTEGER) AS n
 FROM embeddings, range(0, 2) r(i) WHERE vec_id % 50 <> 7
 """, kind="R")
 def shape_parts(spark, sf_dir):
