@@ -85,6 +85,14 @@ def scan_user_schema(spark, sf_dir):
         .option("path", path).option("name", FX.catalog_name("customer")).load()
 
 
+@query("scan_columns_option", f"SELECT c_name, {_RN_C} AS OBJECTID, {_X} AS x FROM customer",
+       kind="R")
+def scan_columns_option(spark, sf_dir):
+    """Explicit column pruning: only the listed fields are decoded."""
+    df = FX.read(spark, sf_dir, "customer", columns="c_name, OBJECTID, Shape")
+    return df.select("c_name", "OBJECTID", F.col("Shape.x").alias("x"))
+
+
 @query("project_columns", f"""
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, {_X} AS x, {_Y} AS y FROM customer
 """, kind="R")

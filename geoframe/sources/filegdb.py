@@ -20,6 +20,8 @@ Options (case-insensitive):
 ``startRow``        first slot (0-based) and
 ``numRows``         number of slots to read (slots, not live rows)
 ``batchRows``       slots decoded per Arrow batch (default 65536)
+``columns``         comma-separated fields to decode (explicit column pruning;
+                    Spark does not prune columns of Python sources)
 ``rawShapes``       ``true``: shape columns come back as the stored blobs
                     (binary; decode later with ``operators.shapes``)
 ``pushdown``        ``true``: accept OBJECTID comparisons as slot ranges
@@ -28,6 +30,7 @@ Options (case-insensitive):
 
 from __future__ import annotations
 
+import bisect
 import math
 from dataclasses import dataclass
 
@@ -67,6 +70,17 @@ def _opt(options, key, default=None):
     return default
 
 
+def _merge(intervals):
+    """Sorted, merged half-open intervals."""
+    out = []
+    for s, e in sorted(intervals):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
 def _bool(v) -> bool:
     return str(v).strip().lower() in ("1", "true", "yes", "on")
 
@@ -264,7 +278,20 @@ class FileGDBDataSource(DataSource):
 
     def schema(self):
         hdr = self.header()
-        return hdr.schema() if hdr else StructType([])
+        if not hdr:
+            return StructType([])
+        full = hdr.schema()
+        cols = _opt(self.options, "columns")
+        if not cols:
+            return full
+        # explicit column pruning: only these fields are decoded
+        by_name = {f.name.lower(): f for f in full.fields}
+        out = []
+        for c in (x.strip() for x in cols.split(",")):
+            if c.lower() not in by_name:
+                raise ValueError(f"filegdb: column {c} is not in table {hdr.table}")
+            out.append(by_name[c.lower()])
+        return StructType(out)
 
     def reader(self, schema):
         hdr = self.header()
@@ -319,15 +346,22 @@ class FileGDBReader(DataSourceReader):
         else:
             nparts = max(DEFAULT_PARTITIONS, math.ceil(self.hdr.file_size / BYTES_PER_PARTITION))
         per = math.ceil((hi - lo) / nparts)
+        ivs = _merge(self.oid_intervals) if self.oid_intervals is not None else None
+        starts = [s for s, _ in ivs] if ivs else []
         parts = []
         for i in range(nparts):
             a, b = lo + i * per, min(lo + (i + 1) * per, hi)
             if a >= b:
                 continue
             ranges = [(a, b)]
-            if self.oid_intervals is not None:
-                ranges = [(max(a, s), min(b, e)) for s, e in self.oid_intervals
-                          if max(a, s) < min(b, e)]
+            if ivs is not None:
+                j = max(bisect.bisect_right(starts, a) - 1, 0)
+                ranges = []
+                while j < len(ivs) and ivs[j][0] < b:
+                    s, e = ivs[j]
+                    if max(a, s) < min(b, e):
+                        ranges.append((max(a, s), min(b, e)))
+                    j += 1
             if ranges:
                 parts.append(SlotRange(self.hdr.table, ranges))
         return parts

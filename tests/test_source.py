@@ -163,3 +163,17 @@ def test_polyline_z_and_unknown_type_rejected(spark, tmp_gdb):
     _patch(tmp_gdb, "a00000003", 40 + 14 + 1 + 10 + 1, 42)   # type code of field 1
     with pytest.raises(Exception, match="type code 42"):
         r.load()
+
+
+def test_in_pushdown_and_columns_option(spark, tmp_gdb):
+    _catalog(spark, tmp_gdb, [f"t{i}" for i in range(8)] + ["Customers"])
+    _customers(spark, tmp_gdb)
+    ids = [3, 4, 5, 77, 140]
+    df = read_table(spark, tmp_gdb, "Customers", num_partitions=10) \
+        .filter(F.col("OBJECTID").isin(ids))
+    assert sorted(r.OBJECTID for r in df.collect()) == ids
+    assert df.rdd.getNumPartitions() <= 3
+    cols = read_table(spark, tmp_gdb, "Customers", columns="c_name, OBJECTID")
+    assert cols.columns == ["c_name", "OBJECTID"] and cols.count() == 150
+    with pytest.raises(Exception, match="not in table"):
+        read_table(spark, tmp_gdb, "Customers", columns="nope")
