@@ -256,7 +256,10 @@ def _num(arr: pa.Array, dtype) -> np.ndarray:
 def _point_blobs(sp: ShapeSpec, batch: pa.RecordBatch, valid: np.ndarray):
     def q(colname, orig, scale):
         x = _num(batch.column(colname), "f")
-        return (np.floor((x - orig) * scale) + 1).astype(np.int64)
+        v = (np.floor((x - orig) * scale) + 1).astype(np.int64)
+        if (v[valid] < 1).any():
+            raise ValueError(f"{sp.name}: {colname} below the layer origin {orig}")
+        return v
 
     rows = np.flatnonzero(valid)
     vals = [np.full(len(valid), SHAPE_CODE[sp.kind], np.int64)]
@@ -317,6 +320,8 @@ def _poly_blobs(sp: ShapeSpec, batch: pa.RecordBatch, valid: np.ndarray):
     xs, ys = vals[0::stride], vals[1::stride]
     qx = np.floor((xs - sp.x_orig) * sp.xy_scale).astype(np.int64)
     qy = np.floor((ys - sp.y_orig) * sp.xy_scale).astype(np.int64)
+    if (qx < 0).any() or (qy < 0).any():
+        raise ValueError(f"{sp.name}: vertices below the layer origin")
     owner = np.repeat(np.arange(n), npts)
     has = npts > 0
     big = np.iinfo(np.int64).max
