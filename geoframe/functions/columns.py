@@ -110,6 +110,16 @@ def _list_prefix_sum(arr: pa.Array) -> pa.Array:
                                          mask=pa.array(mask)).cast(pa.list_(pa.int64()))
 
 
+def delta_encode_array(values) -> Column:
+    """Integer array -> deltas (first value kept): ``v[i] - v[i-1]``, linear
+    (``zip_with`` against the array shifted by one)."""
+    v = col_of(values).cast("array<bigint>")
+    n = F.size(v)
+    prev = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(v, 1, F.greatest(n - 1, F.lit(0))))
+    return F.when(n > 0, F.zip_with(v, prev, lambda a, b: a - b)) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
 def delta_decode_array(deltas, scale=1.0, origin=0.0) -> Column:
     """Delta-coded integer array -> ordinates: running sum (exact, int64),
     then one division: ``cumsum(d)[i] / scale + origin``."""

@@ -1,26 +1,39 @@
 """Polyline -> segment rows (one row per pair of consecutive vertices).
 
 Per part of *n* vertices there are *n - 1* segments; segments never cross
-parts; parts with fewer than two vertices yield none.  Pure generator
-expressions (``posexplode`` + ``explode(sequence)``): each input row expands
-in place inside its task, no shuffle, no Python.
+parts; parts with fewer than two vertices yield none.
+
+Pure Catalyst expressions, linear in the number of vertices: a per-vertex
+(part, index-in-part) array is built once, the segments of a geometry are
+built as one array of small structs (consecutive vertices of the same part),
+and ``inline`` turns them into rows.  The coordinate array itself is never
+repeated per output row, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoframe.functions.geometry import col_of
 
 
-def part_starts(xy_num) -> "F.Column":
+def part_starts(xy_num) -> Column:
     """First vertex index of every part (exclusive prefix sum of xyNum)."""
     num = col_of(xy_num)
     return F.transform(num, lambda n, i: F.aggregate(F.slice(num, 1, i), F.lit(0),
                                                      lambda a, b: a + b))
 
 
+def vertex_parts(xy_num) -> Column:
+    """Per vertex: struct(p = part number, k = index inside the part)."""
+    num = col_of(xy_num)
+    empty = F.array().cast("array<int>")
+    return F.flatten(F.transform(num, lambda n, p: F.transform(
+        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(empty),
+        lambda k: F.struct(p.alias("p"), k.alias("k")))))
+
+
 def segments(df: DataFrame, geom: str, keep: list[str] | None = None,
              stride: int = 3) -> DataFrame:
     """Explode the poly column ``geom`` into segments.
@@ -31,19 +44,25 @@ def segments(df: DataFrame, geom: str, keep: list[str] | None = None,
     """
     keep = list(keep or [])
     g = F.col(geom)
-    parts = df.select(
-        *keep,
-        g.getField("xyArr").alias("_arr"),
-        F.posexplode(F.arrays_zip(g.getField("xyNum").alias("n"),
-                                  part_starts(g.getField("xyNum")).alias("s")))
-        .alias("part", "_p"))
-    segs = parts.select(
-        *keep, "_arr", "part", F.col("_p.s").alias("_s"),
-        F.explode(F.when(F.col("_p.n") >= 2, F.sequence(F.lit(0), F.col("_p.n") - 2))
-                  .otherwise(F.array().cast("array<int>"))).alias("seg"))
-    a = (F.col("_s") + F.col("seg")) * F.lit(stride)
-    b = a + F.lit(stride)
+    base = df.select(*keep, g.getField("xyArr").alias("_arr"),
+                     vertex_parts(g.getField("xyNum")).alias("_v"))
+    v, arr = F.col("_v"), F.col("_arr")
     names = ["x", "y", "m"][:stride]
-    cols = [F.get(F.col("_arr"), a + k).alias("a" + nm) for k, nm in enumerate(names)]
-    cols += [F.get(F.col("_arr"), b + k).alias("b" + nm) for k, nm in enumerate(names)]
-    return segs.select(*keep, "part", "seg", *cols)
+
+    def seg(j):
+        a = j * stride
+        b = a + stride
+        fields = [F.get(v, j).getField("p").alias("part"),
+                  F.get(v, j).getField("k").alias("seg"),
+                  F.get(v, j + 1).getField("p").alias("_pb")]
+        fields += [F.get(arr, a + k).alias("a" + nm) for k, nm in enumerate(names)]
+        fields += [F.get(arr, b + k).alias("b" + nm) for k, nm in enumerate(names)]
+        return F.struct(*fields)
+
+    nv = F.size(v)
+    all_pairs = F.transform(F.sequence(F.lit(0), F.greatest(nv - 2, F.lit(0))), seg)
+    same_part = F.filter(all_pairs, lambda s: s.getField("part") == s.getField("_pb"))
+    segs = F.when(nv >= 2, same_part)
+    out = base.select(*keep, F.inline(segs))
+    cols = ["part", "seg"] + ["a" + nm for nm in names] + ["b" + nm for nm in names]
+    return out.select(*keep, *cols)

@@ -424,9 +424,10 @@ FROM embeddings, range(0, len(embedding)) r(i)
 """)
 def delta_decode_array(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
-    q = F.transform("embedding", lambda e: F.floor(e.cast("double") * 1000.0))
-    deltas = F.transform(q, lambda v, i: v - F.coalesce(F.get(q, i - 1), F.lit(0)))
-    dec = emb.select("vec_id", C.delta_decode_array(deltas, F.lit(1000.0), F.lit(0.0)).alias("d"))
+    q = emb.select("vec_id", F.transform("embedding", lambda e: F.floor(e.cast("double") * 1000.0))
+                   .alias("q"))
+    deltas = C.delta_encode_array("q")
+    dec = q.select("vec_id", C.delta_decode_array(deltas, F.lit(1000.0), F.lit(0.0)).alias("d"))
     return dec.select("vec_id", F.posexplode("d").alias("pos", "value"))
 
 

@@ -56,3 +56,17 @@ def test_no_python_in_plan(spark):
     plan = segments(g, "G")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     assert F is not None
+
+
+def test_long_polyline_is_linear(spark):
+    """400k vertices in one geometry: the coordinate array is not copied per
+    output row, so this stays a few seconds."""
+    import time
+    n = 400_000
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(3 * n - 1)),
+                                           lambda i: i.cast("double")).alias("a"))
+    from geoframe.functions.geometry import poly_from_coords
+    g = df.select(poly_from_coords("a", None, 3).alias("G"))
+    t0 = time.time()
+    assert segments(g, "G").count() == n - 1
+    assert time.time() - t0 < 60
