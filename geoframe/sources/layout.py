@@ -314,17 +314,20 @@ class IndexHeader:
     width: int
     n_blocks: int
     block_map: np.ndarray | None    # bool per logical 1024-slot block, or None
+    _before: np.ndarray | None = None
 
     def physical_slots(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(stored?, physical position) of logical slots."""
         if self.block_map is None:
             return np.ones(len(slots), bool), slots
+        if self._before is None:
+            # stored blocks before each logical block, computed once per reader
+            self._before = np.concatenate([[0], np.cumsum(self.block_map, dtype=np.int64)])
         blk = slots // 1024
         inside = blk < len(self.block_map)
         present = np.zeros(len(slots), bool)
         present[inside] = self.block_map[blk[inside]]
-        before = np.concatenate([[0], np.cumsum(self.block_map, dtype=np.int64)])
-        phys = before[np.minimum(blk, len(self.block_map))] * 1024 + slots % 1024
+        phys = self._before[np.minimum(blk, len(self.block_map))] * 1024 + slots % 1024
         return present, phys
 
 
