@@ -1,4 +1,4 @@
-"""Segment explode: the literal vectors of the reference's segment suite
+"""Segment explode: the literal vectors of the surveyed library's segment suite
 (xyArr stride 3: 10,20,30 / 20,30,40 / ...)."""
 
 import pytest

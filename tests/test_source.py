@@ -1,5 +1,5 @@
 """End-to-end behaviour of the filegdb source on fixtures written by the
-distributed test encoder (the reference suite's Types / Points checks, plus
+distributed test encoder (the surveyed suite's Types / Points checks, plus
 errors, metadata, pushdown, layouts)."""
 
 import datetime as dt
