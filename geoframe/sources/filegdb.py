@@ -427,4 +427,10 @@ def read_table(spark, path: str, name: str, num_partitions: int | None = None,
     return r.load()
 
 
-__all__ = ["FileGDBDataSource", "read_table", "resolve_table", "catalog_rows"]
+def read_rdd(spark, path: str, name: str, num_partitions: int | None = None):
+    """``RDD[Row]`` of one table (rows addressable by field name); the
+    DataFrame reader underneath does the work."""
+    return read_table(spark, path, name, num_partitions=num_partitions, pushdown=False).rdd
+
+
+__all__ = ["FileGDBDataSource", "read_table", "read_rdd", "resolve_table", "catalog_rows"]

@@ -177,3 +177,21 @@ def test_in_pushdown_and_columns_option(spark, tmp_gdb):
     assert cols.columns == ["c_name", "OBJECTID"] and cols.count() == 150
     with pytest.raises(Exception, match="not in table"):
         read_table(spark, tmp_gdb, "Customers", columns="nope")
+
+
+def test_raster_column_and_rdd_reader(spark, tmp_gdb):
+    from geoframe.sources.filegdb import read_rdd
+    _catalog(spark, tmp_gdb, [f"t{i}" for i in range(8)] + ["Rasters"])
+    df = spark.range(5).select(F.col("id").cast("int").alias("k"))
+    spec = TableSpec([FieldSpec("k", "int32"), FieldSpec("Img", "raster", source="IMG_COL",
+                                                         alias="Image"),
+                      FieldSpec("after", "int32", source="k")])
+    write_table(spark, tmp_gdb, "a00000009", df, spec, ["k"], num_partitions=1)
+    r = read_table(spark, tmp_gdb, "Rasters", pushdown=False)
+    md = r.schema["Img"].metadata
+    assert md["RasterColumn"] == "IMG_COL" and md["alias"] == "Image"
+    assert r.schema["Img"].dataType.simpleString() == "binary"
+    rows = sorted(r.collect(), key=lambda x: x.k)
+    assert [x.Img for x in rows] == [None] * 5 and [x.after for x in rows] == list(range(5))
+    rdd = read_rdd(spark, tmp_gdb, "Rasters", num_partitions=2)
+    assert sorted(row["k"] for row in rdd.collect()) == list(range(5))
