@@ -36,11 +36,23 @@ from geoframe.session import checkpoint_dir
 RANGE_COL = "_gf_range"
 
 
+TARGET_RANGE_BYTES = 128 << 20
+MAX_RANGES = 100_000
+
+
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
+    """Explicit count, else enough ranges for ~128 MiB each by the
+    optimizer's size estimate, never fewer than the shuffle partitions."""
     if num_ranges:
         return int(num_ranges)
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:       # no estimate (e.g. Spark Connect): keep the default
+        return base
+    if size <= 0 or size >= 1 << 62:    # unknown size
+        return base
+    return max(base, min(-(-size // TARGET_RANGE_BYTES), MAX_RANGES))
 
 
 def _sort_keys(group_cols, order_cols):
