@@ -270,8 +270,8 @@ def decode_polys(buf, bstart, blen, valid, f: FieldDesc):
     nparts = np.where(bad, 0, nparts)
     npts = np.where(bad, 0, npts)
     d_start = pc_start + np.maximum(nparts - 1, 0)
-    need = d_start + npts * (stride if stride == 3 else 2) - first
-    need = np.where(npts > 0, need, np.where(body, pc_start + 4 - first - 4, 0))
+    # varints this blob must hold: header, bbox, part sizes, x/y (and m) deltas
+    need = d_start + npts * stride - first
     bad |= body & (need > count)
     npts = np.where(bad, 0, npts)
     nparts = np.where(bad, 0, nparts)
