@@ -195,3 +195,18 @@ def test_raster_column_and_rdd_reader(spark, tmp_gdb):
     assert [x.Img for x in rows] == [None] * 5 and [x.after for x in rows] == list(range(5))
     rdd = read_rdd(spark, tmp_gdb, "Rasters", num_partitions=2)
     assert sorted(row["k"] for row in rdd.collect()) == list(range(5))
+
+
+def test_unsupported_geometry_kind_gives_raw_blob(spark, tmp_gdb):
+    """A geometry kind without a decoder (here: the layer type patched to
+    multipoint) comes back as the stored blob; other columns stay intact."""
+    df = spark.createDataFrame([(1, 5.0, 6.0), (2, 7.0, 8.0)], "k int, x double, y double")
+    spec = TableSpec([FieldSpec("k", "int32"), ShapeSpec("Shape", "point", x="x", y="y")])
+    write_table(spark, tmp_gdb, "a00000005", df, spec, ["k"], num_partitions=1)
+    _patch(tmp_gdb, "a00000005", 40 + 8, 2)     # geometry type byte: multipoint
+    r = spark.read.format("filegdb").option("path", tmp_gdb).option("table", "a00000005").load()
+    assert r.schema["Shape"].dataType.simpleString() == "binary"
+    assert r.schema["Shape"].metadata["geometryType"] == "unsupported"
+    rows = sorted(r.collect(), key=lambda x: x.k)
+    assert [x.k for x in rows] == [1, 2]
+    assert all(isinstance(x.Shape, (bytes, bytearray)) and len(x.Shape) > 0 for x in rows)
