@@ -83,7 +83,7 @@ class ShapeSpec:
     xy_tol: float = 0.001
     z_tol: float = 0.001
     m_tol: float = 0.001
-    extent: tuple = (0.0, 0.0, 1.0, 1.0)
+    extent: tuple | None = None    # None: computed from the data (one aggregate)
     crs: str = 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]'
     nullable: bool = True
     extra_grid_doubles: int = 1
@@ -139,7 +139,7 @@ def _spatial(sp: ShapeSpec, extent: bool) -> bytes:
     if has_z:
         out += struct.pack("<d", sp.z_tol)
     if extent:
-        out += struct.pack("<dddd", *sp.extent)
+        out += struct.pack("<dddd", *(sp.extent or (0.0, 0.0, 0.0, 0.0)))
     return out
 
 
@@ -518,10 +518,36 @@ def _physical(spec: TableSpec, slots: np.ndarray) -> np.ndarray:
     return slots
 
 
+def _with_extent(df: DataFrame, spec: TableSpec) -> TableSpec:
+    """Fill in a missing layer extent with the data's extent (a single
+    partial aggregate over the shape's ordinate columns)."""
+    import dataclasses
+    fields = []
+    for f in spec.fields:
+        if isinstance(f, ShapeSpec) and f.extent is None:
+            if f.kind.startswith("point"):
+                xs, ys = F.col(f.x).cast("double"), F.col(f.y).cast("double")
+            else:
+                stride = 3 if f.kind == "polylineM" else 2
+                arr = F.col(f.coords).cast("array<double>")
+                xs = F.array_min(F.filter(arr, lambda v, i: i % stride == 0))
+                ys = F.array_min(F.filter(arr, lambda v, i: i % stride == 1))
+                xs_hi = F.array_max(F.filter(arr, lambda v, i: i % stride == 0))
+                ys_hi = F.array_max(F.filter(arr, lambda v, i: i % stride == 1))
+            row = df.agg(F.min(xs), F.min(ys),
+                         F.max(xs if f.kind.startswith("point") else xs_hi),
+                         F.max(ys if f.kind.startswith("point") else ys_hi)).head()
+            ext = tuple(float(v) if v is not None else 0.0 for v in row)
+            f = dataclasses.replace(f, extent=ext)
+        fields.append(f)
+    return dataclasses.replace(spec, fields=fields)
+
+
 def write_table(spark: SparkSession, gdb_path: str, table: str, df: DataFrame,
                 spec: TableSpec, order_by: list[str], num_partitions: int | None = None) -> dict:
     """Encode ``df`` as table ``table`` (hex name) under ``gdb_path``."""
     checkpoint_dir(spark)
+    spec = _with_extent(df, spec)
     path = local_path(gdb_path)
     os.makedirs(path, exist_ok=True)
     nparts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

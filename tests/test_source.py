@@ -210,3 +210,12 @@ def test_unsupported_geometry_kind_gives_raw_blob(spark, tmp_gdb):
     rows = sorted(r.collect(), key=lambda x: x.k)
     assert [x.k for x in rows] == [1, 2]
     assert all(isinstance(x.Shape, (bytes, bytearray)) and len(x.Shape) > 0 for x in rows)
+
+
+def test_layer_extent_metadata_matches_data(spark, tmp_gdb):
+    c = _customers(spark, tmp_gdb)
+    r = spark.read.format("filegdb").option("path", tmp_gdb).option("table", "a00000009").load()
+    md = r.schema["Shape"].metadata
+    want = c.agg(F.min("c_acctbal"), F.min("c_nationkey"), F.max("c_acctbal"),
+                 F.max("c_nationkey")).head()
+    assert (md["xmin"], md["ymin"], md["xmax"], md["ymax"]) == tuple(float(v) for v in want)
