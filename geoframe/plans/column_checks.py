@@ -226,6 +226,38 @@ def trajectory_extent(spark, sf_dir):
         F.count(F.lit(1)).alias("n_vertices"))
 
 
+@query("trajectory_polylines", """
+WITH r AS (
+  SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS rk,
+         CAST(event_id AS DOUBLE) AS x, value AS y
+  FROM events
+), p AS (
+  SELECT user_id, rk // 15 AS piece, rk, x, y FROM r
+  UNION ALL
+  SELECT user_id, rk // 15 - 1 AS piece, rk, x, y FROM r WHERE rk % 15 = 0 AND rk > 0
+), g AS (
+  SELECT user_id, piece, count(*) AS n, min(x) AS xmin, min(y) AS ymin, max(x) AS xmax,
+         max(y) AS ymax, arg_min(x, rk) AS x_first, arg_max(x, rk) AS x_last,
+         min(rk) AS first_rank
+  FROM p GROUP BY user_id, piece
+)
+SELECT user_id, CAST(piece AS BIGINT) AS piece, CAST(n AS INTEGER) AS n_vertices,
+       xmin, ymin, xmax, ymax, x_first, x_last, CAST(first_rank AS BIGINT) AS first_rank
+FROM g WHERE n > 1 OR piece = 0
+""")
+def trajectory_polylines(spark, sf_dir):
+    """Each user's track (x = event_id, y = value, in time order) as
+    polylines of at most 16 vertices sharing their boundary vertices."""
+    from geoframe.operators.trajectories import polylines_from_rows
+    ev = table(spark, sf_dir, "events")
+    pl = polylines_from_rows(ev, ["user_id"], ["ts", "event_id"], "event_id", "value",
+                             max_vertices=16)
+    arr = F.col("Shape.xyArr")
+    return pl.select("user_id", "piece", "n_vertices", *_flat_poly("Shape"),
+                     F.get(arr, 0).alias("x_first"), F.get(arr, F.size(arr) - 2).alias("x_last"),
+                     "first_rank")
+
+
 # ------------------------------------------------------ equality / grouping
 
 @query("point_equality_group", """

@@ -51,3 +51,21 @@ def test_assign_object_ids(spark, finish):
     want = li.select("*", (F.row_number().over(w) + 100).alias("OBJECTID")) \
         .filter("OBJECTID <= 5100")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_track_pieces_keep_every_segment(spark):
+    """Pieces of at most 8 vertices: their segments are exactly the track's
+    consecutive vertex pairs, also for the hot user."""
+    from geoframe.operators.segments import segments
+    from geoframe.operators.trajectories import polylines_from_rows
+    ev = _skewed_events(spark).withColumn("x", F.col("event_id").cast("double")) \
+        .withColumn("y", F.col("v").cast("double"))
+    pl = polylines_from_rows(ev, ["user_id"], ["ts", "event_id"], "x", "y", max_vertices=8,
+                             num_ranges=16)
+    assert pl.agg(F.max("n_vertices")).head()[0] <= 8
+    got = segments(pl, "Shape", keep=["user_id"], stride=2) \
+        .select("user_id", "ax", "ay", "bx", "by")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = ev.select("user_id", F.lag("x").over(w).alias("ax"), F.lag("y").over(w).alias("ay"),
+                     F.col("x").alias("bx"), F.col("y").alias("by")).filter("ax IS NOT NULL")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
