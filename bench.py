@@ -24,7 +24,8 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 HEADLINE = [
     # column functions / operators on the driver's tables
     "segments_m", "segments_multipart", "delta_decode_rows", "delta_decode_array",
-    "assign_object_ids", "trajectory_extent", "geometry_text", "guid_text",
+    "assign_object_ids", "trajectory_extent", "trajectory_polylines", "geometry_text",
+    "guid_text",
     "ole_date_to_timestamp", "point_equality_group", "rows_as_map",
     # round trips through the filegdb source
     "scan_table", "scan_nulls", "shape_point_zm", "shape_polyline_m", "shape_polygon",
