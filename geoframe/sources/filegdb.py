@@ -81,6 +81,33 @@ def _merge(intervals):
     return out
 
 
+def _slot_ranges(idx: L.IndexHeader, lo: int, hi: int, nparts: int):
+    """Contiguous slot ranges covering [lo, hi).  Without a block map: equal
+    slot counts, ``ceil(slots / nparts)`` each.  With one: equal numbers of
+    *stored* 1024-slot blocks, so absent blocks do not unbalance the tasks."""
+    if idx.block_map is None or not idx.block_map.any():
+        per = math.ceil((hi - lo) / nparts)
+        for i in range(nparts):
+            a, b = lo + i * per, min(lo + (i + 1) * per, hi)
+            if a < b:
+                yield a, b
+        return
+    first_blk, last_blk = lo // 1024, (hi - 1) // 1024
+    stored = np.flatnonzero(idx.block_map[first_blk:last_blk + 1]) + first_blk
+    if len(stored) == 0:
+        return
+    per = math.ceil(len(stored) / nparts)
+    prev_end = lo
+    for i in range(0, len(stored), per):
+        grp = stored[i:i + per]
+        a = prev_end
+        b = hi if i + per >= len(stored) else int(grp[-1] + 1) * 1024
+        b = min(b, hi)
+        if a < b:
+            yield a, b
+        prev_end = b
+
+
 def _bool(v) -> bool:
     return str(v).strip().lower() in ("1", "true", "yes", "on")
 
@@ -345,14 +372,10 @@ class FileGDBReader(DataSourceReader):
             nparts = max(int(self.num_partitions), 1)
         else:
             nparts = max(DEFAULT_PARTITIONS, math.ceil(self.hdr.file_size / BYTES_PER_PARTITION))
-        per = math.ceil((hi - lo) / nparts)
         ivs = _merge(self.oid_intervals) if self.oid_intervals is not None else None
         starts = [s for s, _ in ivs] if ivs else []
         parts = []
-        for i in range(nparts):
-            a, b = lo + i * per, min(lo + (i + 1) * per, hi)
-            if a >= b:
-                continue
+        for a, b in _slot_ranges(idx, lo, hi, nparts):
             ranges = [(a, b)]
             if ivs is not None:
                 j = max(bisect.bisect_right(starts, a) - 1, 0)
