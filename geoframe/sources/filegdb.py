@@ -14,7 +14,8 @@ Options (case-insensitive):
 ``name``            table name as listed in the catalog (case-sensitive), or
 ``table``           the table's file name, e.g. ``a00000009`` (skips the lookup)
 ``numPartitions``   number of slot ranges; default: 8, raised so no range
-                    covers more than ``bytesPerPartition`` (128 MiB) of rows
+                    covers more than ``bytesPerPartition`` (default 128 MiB)
+                    of the table file
 ``mode``            PERMISSIVE (malformed rows -> all nulls), DROPMALFORMED,
                     FAILFAST
 ``startRow``        first slot (0-based) and
@@ -336,6 +337,7 @@ class FileGDBReader(DataSourceReader):
             raise ValueError(f"filegdb: mode must be one of {MODES}")
         self.batch_rows = int(_opt(options, "batchRows", BATCH_ROWS))
         self.num_partitions = _opt(options, "numPartitions")
+        self.bytes_per_part = max(int(_opt(options, "bytesPerPartition", BYTES_PER_PARTITION)), 1)
         self.start_row = int(_opt(options, "startRow", 0))
         n = int(_opt(options, "numRows", -1))
         self.num_rows = None if n < 0 else n
@@ -371,7 +373,7 @@ class FileGDBReader(DataSourceReader):
         if self.num_partitions is not None:
             nparts = max(int(self.num_partitions), 1)
         else:
-            nparts = max(DEFAULT_PARTITIONS, math.ceil(self.hdr.file_size / BYTES_PER_PARTITION))
+            nparts = max(DEFAULT_PARTITIONS, math.ceil(self.hdr.file_size / self.bytes_per_part))
         ivs = _merge(self.oid_intervals) if self.oid_intervals is not None else None
         starts = [s for s, _ in ivs] if ivs else []
         parts = []
