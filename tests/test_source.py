@@ -219,3 +219,12 @@ def test_layer_extent_metadata_matches_data(spark, tmp_gdb):
     want = c.agg(F.min("c_acctbal"), F.min("c_nationkey"), F.max("c_acctbal"),
                  F.max("c_nationkey")).head()
     assert (md["xmin"], md["ymin"], md["xmax"], md["ymax"]) == tuple(float(v) for v in want)
+
+
+def test_partitions_sized_by_file_bytes(spark, tmp_gdb):
+    _customers(spark, tmp_gdb)
+    r = spark.read.format("filegdb").option("path", tmp_gdb).option("table", "a00000009")
+    assert r.load().rdd.getNumPartitions() == 8           # small file: the default 8
+    size = os.path.getsize(os.path.join(local_path(tmp_gdb), "a00000009.gdbtable"))
+    many = r.option("bytesPerPartition", str(size // 20)).load()
+    assert many.rdd.getNumPartitions() >= 20 and many.count() == 150
