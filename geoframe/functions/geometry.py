@@ -7,6 +7,10 @@ built-in expressions: no Python runs per row.
 
 Point kinds:  point ``<x,y>``, pointM ``<x,y,m>``, pointZ ``<x,y,z>``,
               pointZM ``<x,y,z,m>``.
+Equality and grouping are Spark's struct semantics: ordinate-wise, NaN
+equals NaN and 0.0 equals -0.0; a polyline equals a polygon with the same
+content (same struct layout).
+
 Poly kinds:   polyline / polylineM / polygon share one layout
               ``<xmin,ymin,xmax,ymax,xyNum:array<int>,xyArr:array<double>>``;
               ``xyNum[i]`` is the vertex count of part *i* and ``xyArr`` the
