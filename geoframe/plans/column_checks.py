@@ -352,6 +352,22 @@ def translate_point(spark, sf_dir):
                      F.col("T.x").alias("x_shift"), F.col("T.y").alias("y_shift"))
 
 
+@query("translate_polyline", f"""
+SELECT vec_id, list_min({_XS}) + 1.5 AS xmin, list_min({_YS}) + -2.0 AS ymin,
+       list_max({_XS}) + 1.5 AS xmax, list_max({_YS}) + -2.0 AS ymax,
+       CAST(embedding[1] AS DOUBLE) + 1.5 AS x0, CAST(embedding[2] AS DOUBLE) + -2.0 AS y0,
+       CAST(embedding[len(embedding)] AS DOUBLE) + -2.0 AS y_last
+FROM embeddings
+""")
+def translate_polyline(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    p = emb.select("vec_id", G.poly_from_coords("embedding", None, 2).alias("P"))
+    t = p.select("vec_id", G.translate("P", 1.5, -2.0, "polyline").alias("T"))
+    arr = F.col("T.xyArr")
+    return t.select("vec_id", *_flat_poly("T"), F.get(arr, 0).alias("x0"),
+                    F.get(arr, 1).alias("y0"), F.get(arr, F.size(arr) - 1).alias("y_last"))
+
+
 @query("nested_point_udf", f"""
 SELECT c_custkey, {_NULL_SHAPE.format(v='c_acctbal + 2.0')} AS x2
 FROM customer
