@@ -300,16 +300,29 @@ SELECT c_custkey,
   'PolylineType(' || CAST(CAST(c_nationkey - 2 AS DOUBLE) AS VARCHAR) || ','
     || CAST(CAST(c_custkey % 10 - 2 AS DOUBLE) AS VARCHAR) || ','
     || CAST(CAST(c_nationkey + 2 AS DOUBLE) AS VARCHAR) || ','
-    || CAST(CAST(c_custkey % 10 + 2 AS DOUBLE) AS VARCHAR) || ')' AS poly_text
+    || CAST(CAST(c_custkey % 10 + 2 AS DOUBLE) AS VARCHAR) || ')' AS poly_text,
+  'PointZMType(' || CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) || ','
+    || CAST(CAST(c_custkey % 10 AS DOUBLE) AS VARCHAR) || ','
+    || CAST(CAST(c_custkey % 7 AS DOUBLE) AS VARCHAR) || ','
+    || CAST(CAST(c_custkey % 3 AS DOUBLE) AS VARCHAR) || ')' AS point_zm_text,
+  'PolygonType(' || CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) || ','
+    || CAST(CAST(c_custkey % 10 AS DOUBLE) AS VARCHAR) || ','
+    || CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) || ','
+    || CAST(CAST(c_custkey % 10 AS DOUBLE) AS VARCHAR) || ')' AS polygon_text
 FROM customer
 """)
 def geometry_text(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     p = c.select("c_custkey", G.point("c_nationkey", F.col("c_custkey") % 10).alias("P"),
                  G.point_m("c_nationkey", F.col("c_custkey") % 10, "c_custkey").alias("PM"))
+    zm = G.point_zm("c_nationkey", F.col("c_custkey") % 10, F.col("c_custkey") % 7,
+                    F.col("c_custkey") % 3)
+    ring = G.poly_from_coords(F.array(F.col("P.x"), F.col("P.y"), F.col("P.x"), F.col("P.y")))
     return p.select("c_custkey", G.geometry_text("P", "point").alias("point_text"),
                     G.geometry_text("PM", "pointM").alias("point_m_text"),
-                    G.geometry_text(G.point_to_line("P"), "polyline").alias("poly_text"))
+                    G.geometry_text(G.point_to_line("P"), "polyline").alias("poly_text"),
+                    G.geometry_text(zm, "pointZM").alias("point_zm_text"),
+                    G.geometry_text(ring, "polygon").alias("polygon_text"))
 
 
 # ------------------------------------------------------- SQL functions F*
