@@ -315,8 +315,7 @@ def geometry_text(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     p = c.select("c_custkey", G.point("c_nationkey", F.col("c_custkey") % 10).alias("P"),
                  G.point_m("c_nationkey", F.col("c_custkey") % 10, "c_custkey").alias("PM"))
-    zm = G.point_zm("c_nationkey", F.col("c_custkey") % 10, F.col("c_custkey") % 7,
-                    F.col("c_custkey") % 3)
+    zm = G.point_zm(F.col("P.x"), F.col("P.y"), F.col("c_custkey") % 7, F.col("c_custkey") % 3)
     ring = G.poly_from_coords(F.array(F.col("P.x"), F.col("P.y"), F.col("P.x"), F.col("P.y")))
     return p.select("c_custkey", G.geometry_text("P", "point").alias("point_text"),
                     G.geometry_text("PM", "pointM").alias("point_m_text"),
