@@ -303,6 +303,7 @@ def read(spark: SparkSession, sf_dir: str, key: str, **opts) -> DataFrame:
     from geoframe.session import register
     path = ensure(spark, sf_dir, key)
     register(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")   # checks compare UTC values
     r = spark.read.format("filegdb").option("path", path).option("name", _specs()[key][1])
     for k, v in opts.items():
         r = r.option(k, str(v))
