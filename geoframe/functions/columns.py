@@ -123,5 +123,11 @@ def delta_encode_array(values) -> Column:
 def delta_decode_array(deltas, scale=1.0, origin=0.0) -> Column:
     """Delta-coded integer array -> ordinates: running sum (exact, int64),
     then one division: ``cumsum(d)[i] / scale + origin``."""
+    from pyspark.sql import SparkSession
+
+    from geoframe.session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)          # the Arrow UDF lives in this package
     cum = _list_prefix_sum(col_of(deltas).cast("array<bigint>"))
     return F.transform(cum, lambda v: v.cast("double") / col_of(scale) + col_of(origin))

@@ -63,6 +63,8 @@ def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str],
            num_ranges: int | None = None) -> DataFrame:
     """Range-partition and sort on (group, order), tag each row with its
     range number, and checkpoint to the shared checkpoint folder."""
+    from geoframe.session import ship_package
+    ship_package(df.sparkSession)      # the final pass runs geoframe code in workers
     checkpoint_dir(df.sparkSession)
     keys = _sort_keys(group_cols, order_cols)
     out = (df.repartitionByRange(_num_ranges(df, num_ranges), *keys)

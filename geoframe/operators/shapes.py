@@ -34,9 +34,10 @@ def decode_shapes(df: DataFrame, col: str, params: FieldDesc, out_col: str | Non
                   mode: str = "PERMISSIVE") -> DataFrame:
     """Replace (or add as ``out_col``) the blob column ``col`` by decoded
     geometry structs; malformed blobs give null (or fail with FAILFAST)."""
+    from geoframe.session import ship_package
+    ship_package(df.sparkSession)
     out_col = out_col or col
     geom_type = params.spark_type()
-    fields = [f for f in df.schema.fields if f.name != out_col or out_col == col]
     out_fields = []
     for f in df.schema.fields:
         if f.name == col and out_col == col:
@@ -46,7 +47,6 @@ def decode_shapes(df: DataFrame, col: str, params: FieldDesc, out_col: str | Non
     if out_col != col:
         out_fields.append(StructField(out_col, geom_type, True))
     schema = StructType(out_fields)
-    del fields
 
     def run(batches):
         for b in batches:

@@ -238,6 +238,8 @@ def _write_items(spark, path):
 
 def ensure(spark: SparkSession, sf_dir: str, key: str) -> str:
     """Path of the v10 fixture geodatabase with table ``key`` written."""
+    from geoframe.session import register
+    register(spark)
     path = gdb_path(spark, sf_dir)
     with _LOCK:
         os.makedirs(local_path(path), exist_ok=True)
@@ -252,6 +254,8 @@ def ensure(spark: SparkSession, sf_dir: str, key: str) -> str:
 def ensure_v9(spark: SparkSession, sf_dir: str) -> str:
     """A 9.x-style geodatabase: catalog + GDB_ObjectClasses +
     GDB_FeatureClasses (no GDB_Items), describing the v10 fixture tables."""
+    from geoframe.session import register
+    register(spark)
     path = gdb_path(spark, sf_dir, "v9")
     specs = _specs()
     with _LOCK:

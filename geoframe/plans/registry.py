@@ -19,7 +19,14 @@ def query(key: str, sql: str | None = None, kind: str = "T"):
     def wrap(fn: Builder) -> Builder:
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from geoframe.session import register
+            register(spark)       # source, SQL functions, package on the executors
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = key
+        run.__doc__ = fn.__doc__
+        QUERIES[key] = run
         KIND[key] = kind
         if sql is not None:
             ORACLE_SQL[key] = sql.strip()

@@ -546,6 +546,8 @@ def _with_extent(df: DataFrame, spec: TableSpec) -> TableSpec:
 def write_table(spark: SparkSession, gdb_path: str, table: str, df: DataFrame,
                 spec: TableSpec, order_by: list[str], num_partitions: int | None = None) -> dict:
     """Encode ``df`` as table ``table`` (hex name) under ``gdb_path``."""
+    from geoframe.session import ship_package
+    ship_package(spark)
     checkpoint_dir(spark)
     spec = _with_extent(df, spec)
     path = local_path(gdb_path)
