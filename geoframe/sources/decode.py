@@ -50,24 +50,43 @@ def _varuint_fixed(b: np.ndarray, dtype):
     return val, (stop + 1).astype(np.int64), cont.all(axis=1)
 
 
+def fixed_at(buf: np.ndarray, pos: np.ndarray, dtype: str) -> np.ndarray:
+    """Little-endian values of ``dtype`` starting at arbitrary byte positions:
+    one gather through an unaligned strided view of the buffer."""
+    width = np.dtype(dtype).itemsize
+    view = np.ndarray((len(buf) - width + 1,), dtype=dtype, buffer=buf, strides=(1,))
+    return view[np.clip(pos, 0, len(buf) - width)]
+
+
+_LEN_MASK = np.array([0, 0x7F, 0x3FFF, 0x1FFFFF, 0xFFFFFFF], np.uint32)
+
+
 def read_varuint(buf: np.ndarray, pos: np.ndarray, maxlen: int = 10):
     """LEB128 at each position -> (value uint64, byte count, malformed).
 
-    Most values end within 4 bytes (< 2**28): those are decoded from a
-    4-byte window in 32-bit arithmetic; only the rest read the full width."""
+    Values that end within 4 bytes (< 2**28, nearly all) are decoded from
+    one 32-bit word per row with shifts and masks; only the rest read the
+    full width."""
     if len(pos) == 0:
         z = np.zeros(0, np.int64)
         return z.astype(np.uint64), z, np.zeros(0, bool)
-    short = min(4, maxlen)
-    val, nb, long_ = _varuint_fixed(_gather(buf, pos, short), np.uint32)
-    val = val.astype(np.uint64)
+    w = fixed_at(buf, pos, "<u4")
+    nb = np.where((w & 0x80) == 0, 1,
+                  np.where((w & 0x8000) == 0, 2,
+                           np.where((w & 0x800000) == 0, 3,
+                                    np.where((w & 0x80000000) == 0, 4, 0))))
+    val = (w & 0x7F) | ((w >> 1) & 0x3F80) | ((w >> 2) & 0x1FC000) | ((w >> 3) & 0xFE00000)
+    val = (val & _LEN_MASK[nb]).astype(np.uint64)
+    nb = nb.astype(np.int64)
     bad = np.zeros(len(pos), bool)
+    long_ = nb == 0
     if long_.any():
         idx = np.flatnonzero(long_)
-        if maxlen > short:
+        if maxlen > 4:
             v2, n2, b2 = _varuint_fixed(_gather(buf, pos[idx], maxlen), np.uint64)
             val[idx], nb[idx], bad[idx] = v2, n2, b2
         else:
+            nb[idx] = 1
             bad[idx] = True
     return val, nb, bad
 
@@ -198,34 +217,54 @@ def decode_points(buf, bstart, blen, valid, f: FieldDesc):
 
 def _varint_stream(buf, bstart, blen):
     """All varints of the given blobs: (unsigned values, signed values,
-    blob index of each varint, first varint index per blob, count per blob)."""
-    idx = _ragged_index(bstart, blen)
-    b = buf[idx].astype(np.uint64)
+    first varint index per blob, count per blob).
+
+    A varint ends at a byte without the continuation bit or at the end of
+    its blob.  Boundaries come from one pass over the blob bytes; each varint
+    is then decoded from one unaligned 64-bit word (7-bit groups shifted into
+    place, masked to its length), so the arithmetic runs per varint, not per
+    byte.  Varints longer than 8 bytes (values >= 2**56) take a slow path."""
     nblob = len(bstart)
+    idx = _ragged_index(bstart, blen)
+    b = buf[idx]
     offs = _offsets(blen)
-    last = np.zeros(len(b), bool)
     nonempty = blen > 0
-    last[(offs[1:] - 1)[nonempty]] = True
-    term = ((b & np.uint64(0x80)) == 0) | last
+    term = b < 0x80
+    term[(offs[1:] - 1)[nonempty]] = True
     ends = np.flatnonzero(term)
-    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64) if len(ends) else ends
-    lens = ends - starts + 1
-    k = (np.arange(len(b)) - np.repeat(starts, lens)).astype(np.uint64)
-    k = np.minimum(k, np.uint64(9))
-    low7 = b & np.uint64(0x7F)
-    pu = low7 << (np.uint64(7) * k)
-    ps = np.where(k == 0, b & np.uint64(0x3F), low7 << (np.uint64(7) * k - np.uint64(1)))
-    if len(ends):
-        uval = np.add.reduceat(pu, starts)
-        mag = np.add.reduceat(ps, starts).astype(np.int64)
-        neg = (b[starts] & np.uint64(0x40)) != 0
-        sval = np.where(neg, -mag, mag)
-        blob_of = np.repeat(np.arange(nblob), blen)[starts]
-    else:
-        uval, sval, blob_of = (np.zeros(0, np.uint64), np.zeros(0, np.int64),
-                               np.zeros(0, np.int64))
-    count = np.bincount(blob_of, minlength=nblob).astype(np.int64)
+    count = np.zeros(nblob, np.int64)
+    if len(ends) == 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), count, count
+    count[nonempty] = np.add.reduceat(term.astype(np.int64), offs[:-1][nonempty])
     first = _offsets(count)[:-1]
+    starts = np.empty_like(ends)
+    starts[0] = 0
+    starts[1:] = ends[:-1] + 1
+    length = ends - starts + 1
+    longest = int(length.max())
+    # 32-bit words suffice while every varint has at most 4 bytes (< 2**28)
+    ut = np.uint32 if longest <= 4 else np.uint64
+    w = fixed_at(buf, idx[starts], "<u4" if longest <= 4 else "<u8")
+    uval = w & ut(0x7F)
+    smag = w & ut(0x3F)
+    for j in range(1, min(longest, 8)):
+        g = (w >> ut(8 * j)) & ut(0x7F)
+        uval |= g << ut(7 * j)
+        smag |= g << ut(7 * j - 1)
+    lc = np.minimum(length, 8).astype(ut)
+    one = ut(1)
+    uval = (uval & ((one << (ut(7) * lc)) - one)).astype(np.uint64)
+    smag = smag & ((one << (ut(7) * lc - one)) - one)
+    sval = smag.astype(np.int64)
+    sval = np.where((w & ut(0x40)) != 0, -sval, sval)
+    for i in np.flatnonzero(length > 8):      # rare: values of 57+ bits
+        raw = [int(x) for x in b[starts[i]:ends[i] + 1]]
+        u = sum((x & 0x7F) << (7 * k) for k, x in enumerate(raw[:10]))
+        m = (raw[0] & 0x3F) | sum((x & 0x7F) << (7 * k - 1) for k, x in enumerate(raw[:10])
+                                  if k > 0)
+        uval[i] = np.uint64(u & 0xFFFFFFFFFFFFFFFF)
+        m &= 0x7FFFFFFFFFFFFFFF
+        sval[i] = -m if raw[0] & 0x40 else m
     return uval, sval, first, count
 
 
@@ -377,7 +416,7 @@ def decode_rows(buf: np.ndarray, buf_len: int, row_pos: np.ndarray, oids: np.nda
     every column null; the caller applies the read mode.
     """
     n = len(row_pos)
-    rl = _gather(buf, row_pos, 4).copy().view("<i4").reshape(n).astype(np.int64) if n else \
+    rl = fixed_at(buf, row_pos, "<i4").astype(np.int64) if n else \
         np.zeros(0, np.int64)
     p0 = row_pos + 4
     bad = (rl <= 0) | (p0 + rl > buf_len)
@@ -441,13 +480,12 @@ def decode_rows(buf: np.ndarray, buf_len: int, row_pos: np.ndarray, oids: np.nda
         if kind == "fixed":
             _, pos, present, w = spec
             v = present & ~bad & ~poisoned_before(i, fields, poisoned)
-            raw = _gather(buf, pos, w)
             t = f.type_code
             if t in (UUID, GUID):
                 out.append(guid_array(buf, pos, v))
                 continue
             dt = {INT16: "<i2", INT32: "<i4", FLOAT32: "<f4", FLOAT64: "<f8", DATETIME: "<f8"}[t]
-            vals = raw.copy().view(dt).reshape(n)
+            vals = fixed_at(buf, pos, dt)
             if t == DATETIME:
                 us = np.where(v, datetime_millis(vals), 0) * 1000
                 arr = pa.Array.from_buffers(pa.timestamp("us", tz="UTC"), n,

@@ -176,7 +176,7 @@ def _read_rows(fh, offsets: np.ndarray, file_size: int):
 
 
 def _row_ends_ok(buf, real_len, pos, offsets, file_size):
-    rl = D._gather(buf, pos, 4).copy().view("<i4").reshape(-1).astype(np.int64)
+    rl = D.fixed_at(buf, pos, "<i4").astype(np.int64)
     return (pos + 4 + np.maximum(rl, 0) <= real_len) | (rl <= 0) | \
         (offsets.astype(np.int64) + 4 + rl > file_size)
 

@@ -87,3 +87,18 @@ def test_date_vector():
     days = np.array([42370.30870370370])
     ms = D.datetime_millis(days)[0]
     assert abs(ms - 1451633072000) <= 1
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(min_value=-(2**62), max_value=2**62), min_size=1, max_size=20),
+       st.lists(st.integers(min_value=0, max_value=2**62), min_size=1, max_size=20))
+def test_varint_stream_wide_values(signed_vals, unsigned_vals):
+    """Long varints (9 bytes) take the slow path inside the stream decoder."""
+    sn, sflat = E.varint(np.array(signed_vals))
+    uvals = np.array(unsigned_vals, dtype=np.uint64)
+    un, uflat = E.varuint(uvals)
+    blob = bytes(sflat) + bytes(uflat)
+    uval, sval, first, count = D._varint_stream(_buf(blob), np.array([0]), np.array([len(blob)]))
+    assert count[0] == len(signed_vals) + len(unsigned_vals)
+    assert list(sval[:len(signed_vals)]) == signed_vals
+    assert [int(v) for v in uval[len(signed_vals):]] == unsigned_vals
