@@ -19,10 +19,11 @@ from geoframe.sources.layout import (BINARY, DATETIME, FLOAT32, FLOAT64, GUID, I
 
 PAD = 64   # zero bytes appended to every buffer so fixed-size gathers stay in bounds
 _HEX = np.frombuffer(b"0123456789ABCDEF", np.uint8)
-# Fixed value: GUID text byte order (see functions.columns.GUID_GROUPS)
+# Fixed values of the format: GUID text byte order (see
+# functions.columns.GUID_GROUPS), the curve flag of a poly shape type, and
+# the point subtypes inside a Z+M point layer (plain, with Z, with M).
 _GUID_ORDER = np.array([3, 2, 1, 0, 5, 4, 7, 6, 8, 9, 10, 11, 12, 13, 14, 15])
 _CURVE_FLAG = 0x20000000
-# Point subtypes inside a Z+M point layer
 _PT_PLAIN, _PT_Z, _PT_M = 1, 9, 21
 
 

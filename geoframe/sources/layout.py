@@ -19,18 +19,30 @@ from pyspark.sql.types import (BinaryType, DataType, DoubleType, FloatType, Inte
 
 from geoframe.functions.geometry import KIND_TYPES
 
-# Field type codes of the format.
-INT16, INT32, FLOAT32, FLOAT64, STRING, DATETIME, OID, SHAPE, BINARY, RASTER, UUID, GUID, XML = \
-    range(13)
+# Fixed values of the format: field type codes, the catalog table's file
+# name, geometryProp bits (M, Z) and the zAndM descriptor byte (7 = Z and M
+# parameters present, 5 = Z only).
+INT16 = 0
+INT32 = 1
+FLOAT32 = 2
+FLOAT64 = 3
+STRING = 4
+DATETIME = 5
+OID = 6
+SHAPE = 7
+BINARY = 8
+RASTER = 9
+UUID = 10
+GUID = 11
+XML = 12
+CATALOG_TABLE = "a00000001"
+PROP_M, PROP_Z = 0x40, 0x80
+ZM_BOTH, ZM_Z = 7, 5
+
 TYPE_NAMES = {INT16: "int16", INT32: "int32", FLOAT32: "float32", FLOAT64: "float64",
               STRING: "string", DATETIME: "datetime", OID: "objectid", SHAPE: "shape",
               BINARY: "binary", RASTER: "raster", UUID: "uuid", GUID: "guid", XML: "xml"}
 FIXED_WIDTH = {INT16: 2, INT32: 4, FLOAT32: 4, FLOAT64: 8, DATETIME: 8, UUID: 16, GUID: 16}
-CATALOG_TABLE = "a00000001"
-# geometryProp bits
-PROP_M, PROP_Z = 0x40, 0x80
-# zAndM descriptor byte: 7 = Z and M parameters present, 5 = Z only
-ZM_BOTH, ZM_Z = 7, 5
 
 
 class GDBFormatError(ValueError):
