@@ -350,9 +350,9 @@ def get_x_y(spark, sf_dir):
 
 @query("translate_point", f"""
 SELECT c_custkey, {_NULL_SHAPE.format(v='c_acctbal + 2.0')} AS x,
-       {_NULL_SHAPE.format(v='c_nationkey + 2.0')} AS y,
+       {_NULL_SHAPE.format(v='CAST(c_nationkey AS DOUBLE) + 2.0')} AS y,
        {_NULL_SHAPE.format(v='c_acctbal - 1.5')} AS x_shift,
-       {_NULL_SHAPE.format(v='c_nationkey + 0.25')} AS y_shift
+       {_NULL_SHAPE.format(v='CAST(c_nationkey AS DOUBLE) + 0.25')} AS y_shift
 FROM customer
 """)
 def translate_point(spark, sf_dir):
@@ -400,9 +400,9 @@ def ordinate_arithmetic(spark, sf_dir):
 
 @query("point_to_line", f"""
 SELECT c_custkey, {_NULL_SHAPE.format(v='c_acctbal - 2.0')} AS xmin,
-       {_NULL_SHAPE.format(v='c_nationkey - 2.0')} AS ymin,
+       {_NULL_SHAPE.format(v='CAST(c_nationkey AS DOUBLE) - 2.0')} AS ymin,
        {_NULL_SHAPE.format(v='c_acctbal + 2.0')} AS xmax,
-       {_NULL_SHAPE.format(v='c_nationkey + 2.0')} AS ymax,
+       {_NULL_SHAPE.format(v='CAST(c_nationkey AS DOUBLE) + 2.0')} AS ymax,
        {_NULL_SHAPE.format(v='2')} AS n_vertices,
        {_NULL_SHAPE.format(v='c_acctbal + 2.0')} AS x_last
 FROM customer

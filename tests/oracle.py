@@ -65,6 +65,23 @@ def compare_frames(spark_pdf: pd.DataFrame, oracle_pdf: pd.DataFrame,
     return True, f"{len(a)} rows"
 
 
+_SPARK_TO_DUCK = {"smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT",
+                  "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                  "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                  "binary": "BLOB", "date": "DATE"}
+
+
+def type_mismatches(schema, rel) -> list:
+    """Columns whose Spark type differs from the DuckDB result type."""
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in schema.fields:
+        want = _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck_types.get(f.name) != want:
+            out.append((f.name, f.dataType.simpleString(), duck_types.get(f.name)))
+    return out
+
+
 def run(spark, key: str, sf_dir: str, con=None) -> tuple[bool, str, float]:
     import geoframe.plans  # noqa: F401
     from geoframe.plans.registry import ORACLE_SQL, QUERIES
@@ -76,8 +93,12 @@ def run(spark, key: str, sf_dir: str, con=None) -> tuple[bool, str, float]:
     dt = time.time() - t0
     if key not in ORACLE_SQL:
         return True, f"{len(spdf)} rows (no oracle)", dt
-    odf = con.execute(ORACLE_SQL[key]).df()
+    rel = con.sql(ORACLE_SQL[key])
+    bad_types = type_mismatches(sdf.schema, rel)
+    odf = rel.df()
     ok, msg = compare_frames(spdf, odf)
+    if ok and bad_types:
+        return False, f"types differ: {bad_types}", dt
     return ok, msg, dt
 
 

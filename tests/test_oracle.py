@@ -3,7 +3,7 @@ driver runs the same comparison at sf0.01), plus the entry contract."""
 
 import pytest
 
-from tests.oracle import compare_frames, duck
+from tests.oracle import compare_frames, duck, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,10 +22,12 @@ def con():
 @pytest.mark.parametrize("key", _keys())
 def test_query_matches_oracle(spark, con, key):
     from geoframe.plans.registry import ORACLE_SQL, QUERIES
-    got = QUERIES[key](spark, SF).toPandas()
+    sdf = QUERIES[key](spark, SF)
+    got = sdf.toPandas()
     assert key in ORACLE_SQL, f"{key} has no oracle SQL"
-    want = con.execute(ORACLE_SQL[key]).df()
-    ok, msg = compare_frames(got, want)
+    rel = con.sql(ORACLE_SQL[key])
+    assert not type_mismatches(sdf.schema, rel)
+    ok, msg = compare_frames(got, rel.df())
     assert ok, msg
 
 
