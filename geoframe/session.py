@@ -80,9 +80,17 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_geoframe_shipped", False):
         return
+    import uuid
     import zipfile
     pkg = os.path.join(_PACKAGE_ROOT, "geoframe")
-    out_dir = tempfile.mkdtemp(prefix="geoframe-pkg-")
+    shared = checkpoint_dir(spark)
+    if shared.startswith("file:") or "://" not in shared:
+        # the shared folder is a POSIX path: keep the archive there
+        out_dir = os.path.join(local_path(shared), "geoframe-pkg", uuid.uuid4().hex)
+        os.makedirs(out_dir, exist_ok=True)
+    else:
+        # remote shared storage: Spark ships the driver's file itself
+        out_dir = tempfile.mkdtemp(prefix="geoframe-pkg-")
     zpath = os.path.join(out_dir, "geoframe.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _, files in os.walk(pkg):
