@@ -367,6 +367,21 @@ def shape_point_zm(spark, sf_dir):
     return _li(spark, sf_dir, "points_zm", ["x", "y", "z", "m"])
 
 
+@query("decode_points_raw", f"""
+SELECT {_LI_KEYS}, {_LI_X} AS x, {_LI_Y} AS y,
+       CASE WHEN l_linenumber % 4 IN (1, 3) THEN {_LI_Z} ELSE 0.0 END AS z,
+       CASE WHEN l_linenumber % 4 IN (2, 3) THEN {_LI_M} ELSE 0.0 END AS m
+FROM lineitem
+""", kind="R")
+def decode_points_raw(spark, sf_dir):
+    """Z+M point blobs read raw, decoded by the user-level job."""
+    raw = FX.read(spark, sf_dir, "points_zm", rawShapes="true")
+    dec = decode_shapes(raw.select("l_orderkey", "l_linenumber", "Shape"), "Shape",
+                        shape_params(raw, "Shape"))
+    return dec.select("l_orderkey", "l_linenumber",
+                      *[F.col("Shape." + n).alias(n) for n in ("x", "y", "z", "m")])
+
+
 def _poly_sql(stride: int, arr: str, parts: str, empty_cond: str = "false") -> str:
     """Expected polys per vertex ordinate, from the quantised coordinates."""
     s = stride
