@@ -162,17 +162,20 @@ def _read_rows(fh, offsets: np.ndarray, file_size: int):
         if len(chunk) >= last - lo + 4:
             tail = max(int.from_bytes(chunk[last - lo:last - lo + 4], "little", signed=True), 0)
             tail = min(tail, max(file_size - (last + 4), 0))
-        if tail:
-            chunk += read_at(fh, tail, last + 4)
         pieces.append(chunk)
+        if tail:
+            pieces.append(read_at(fh, tail, last + 4))
         pos_sorted[a:b] = base + (so[a:b] - lo)
-        base += len(chunk)
-    data = b"".join(pieces)
-    buf = np.frombuffer(data + b"\0" * D.PAD, np.uint8)
+        base += len(chunk) + tail
+    # one copy of the pieces into a zero-padded buffer
+    buf = np.zeros(base + D.PAD, np.uint8)
+    at = 0
+    for piece in pieces:
+        buf[at:at + len(piece)] = np.frombuffer(piece, np.uint8)
+        at += len(piece)
     pos = np.empty(n, np.int64)
     pos[order] = pos_sorted
-    # rows whose declared length runs past their piece: re-read them alone
-    return buf, len(data), pos
+    return buf, at, pos
 
 
 def _row_ends_ok(buf, real_len, pos, offsets, file_size):
