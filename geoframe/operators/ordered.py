@@ -7,9 +7,9 @@ and a single group may hold a third of all rows.  Here:
    (Spark samples the composite key, so a hot group spans many ranges); the
    range number is pinned with a reliable ``checkpoint()`` so every later
    pass sees the same ranges;
-2. per (range, group) partials are aggregated (map-side combined) and only
-   the first and last group of every range are kept: at most two rows per
-   range, whatever the number of groups;
+2. one narrow pass over each sorted range (no shuffle) yields a single edge
+   row: its first and last group key, the last group's partial sum and the
+   range's last value - one row per range, whatever the number of groups;
 3. the carry into each range (the running total of its first group over
    the earlier ranges, or the previous row for ``lag``) is derived from those
    edge rows - a table bounded by the number of ranges;
@@ -73,53 +73,70 @@ def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str],
     return out.checkpoint(eager=True)
 
 
-def _edges(data: DataFrame, group_cols: list[str], order_cols: list[str],
-           tmp: dict[str, str]) -> list:
-    """First and last group of every range with the group's partial sums and
-    last values: at most two rows per range."""
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
-    keys = [RANGE_COL, *group_cols]
-    partial = data.groupBy(*keys).agg(
-        *[F.sum(t).alias(f"s_{t}") for t in tmp.values()],
-        *[F.max_by(F.col(t), order_struct).alias(f"l_{t}") for t in tmp.values()])
-    g_asc = [F.col(c).asc_nulls_first() for c in group_cols] or [F.lit(0)]
-    g_desc = [F.col(c).desc_nulls_last() for c in group_cols] or [F.lit(0)]
-    w_first = Window.partitionBy(RANGE_COL).orderBy(*g_asc)
-    w_last = Window.partitionBy(RANGE_COL).orderBy(*g_desc)
-    edge = partial.select("*", (F.row_number().over(w_first) == 1).alias("is_first"),
-                          (F.row_number().over(w_last) == 1).alias("is_last")) \
-        .filter("is_first OR is_last")
-    # at most two rows per range by construction: bounded by the range count
-    return edge.collect()
+def _edges(data: DataFrame, group_cols: list[str], tmp: dict[str, str],
+           sum_types: dict[str, object], with_sums: bool = True) -> list:
+    """One row per range, from one narrow pass over the sorted ranges (no
+    shuffle): the range's first and last group key, the sum of the last
+    group's values inside the range, and the range's last value.  The result
+    is bounded by the number of ranges."""
+    by_name = {f.name: f for f in data.schema.fields}
+    fields = [StructField(RANGE_COL, IntegerType(), True)]
+    fields += [StructField("f_" + g, by_name[g].dataType, True) for g in group_cols]
+    fields += [StructField("l_" + g, by_name[g].dataType, True) for g in group_cols]
+    fields += [StructField("s_" + t, sum_types[k], True) for k, t in tmp.items()]
+    fields += [StructField("v_" + t, by_name[t].dataType, True) for t in tmp.values()]
+    schema = StructType(fields)
+    sum_arrow = {k: pa.int64() if isinstance(sum_types[k], LongType) else pa.float64()
+                 for k in tmp}
+
+    def run(batches):
+        rng, head, tail, open_key = None, None, None, None
+        acc = {k: 0 for k in tmp}
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            if rng is None:
+                rng = b.column(RANGE_COL)[0].as_py()
+                head = b.slice(0, 1)
+            starts = _group_starts(b, group_cols)
+            cont = open_key is not None and _key_at(b, group_cols, 0) == open_key
+            last_start = int(np.flatnonzero(starts)[-1])
+            for k, t in tmp.items():
+                if not with_sums:
+                    continue
+                col = pc.fill_null(b.column(t).slice(last_start), 0)
+                seg = pc.sum(col.cast(sum_arrow[k])).as_py() or 0
+                acc[k] = acc[k] + seg if (last_start == 0 and cont) else seg
+            open_key = _key_at(b, group_cols, n - 1)
+            tail = b.slice(n - 1, 1)
+        if rng is None:
+            return
+        cols = [pa.array([rng], pa.int32())]
+        cols += [head.column(g) for g in group_cols] + [tail.column(g) for g in group_cols]
+        cols += [pa.array([acc[k]], sum_arrow[k]) for k in tmp]
+        cols += [tail.column(t) for t in tmp.values()]
+        yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+
+    return data.mapInArrow(run, schema).collect()
 
 
 def _carries(edge_rows, group_cols, tmp):
     """Per range: (carry-in sums, value of the previous row if it belongs to
-    the range's first group)."""
-    by_range: dict[int, dict] = {}
-    for r in edge_rows:
-        d = by_range.setdefault(r[RANGE_COL], {})
-        key = tuple(r[c] for c in group_cols)
-        if r["is_first"]:
-            d["first"] = key
-        if r["is_last"]:
-            d["last"] = key
-            d["sum"] = {k: r[f"s_{t}"] for k, t in tmp.items()}
-            d["lastval"] = {k: r[f"l_{t}"] for k, t in tmp.items()}
+    the range's first group) - a sequential pass over one row per range."""
     carry = {}
     open_key, acc, last = None, None, None
-    for rng in sorted(by_range):
-        d = by_range[rng]
-        cont = open_key is not None and open_key == d["first"]
+    for r in sorted(edge_rows, key=lambda r: r[RANGE_COL]):
+        first = tuple(r["f_" + g] for g in group_cols)
+        final = tuple(r["l_" + g] for g in group_cols)
+        cont = open_key is not None and open_key == first
         c_sum = {k: (acc[k] or 0) if cont else 0 for k in tmp}
         c_lag = {k: last[k] if cont else None for k in tmp}
-        carry[rng] = (c_sum, c_lag)
-        if d["last"] == d["first"]:
-            acc = {k: c_sum[k] + (d["sum"][k] or 0) for k in tmp}
-        else:
-            acc = {k: (d["sum"][k] or 0) for k in tmp}
-        last = d["lastval"]
-        open_key = d["last"]
+        carry[r[RANGE_COL]] = (c_sum, c_lag)
+        part = {k: r["s_" + t] or 0 for k, t in tmp.items()}
+        acc = {k: c_sum[k] + part[k] for k in tmp} if final == first else part
+        last = {k: r["v_" + t] for k, t in tmp.items()}
+        open_key = final
     return carry
 
 
@@ -213,8 +230,10 @@ def _scan(df, group_cols, order_cols, value_cols, num_ranges, how, finish):
     casts = {k: (v.cast(out_types[k]) if how == "sum" else v) for k, v in vals.items()}
     base = df.select("*", *[casts[k].alias(tmp[k]) for k in vals])
     data = ranged(base, group_cols, order_cols, num_ranges)
-    edges = _edges(data, group_cols, order_cols, tmp) if finish == "arrow" else None
-    if edges is not None:
+    if finish == "arrow":
+        # lag needs no sums: the carried value is the previous range's last row
+        sum_types = {k: (out_types[k] if how == "sum" else LongType()) for k in tmp}
+        edges = _edges(data, group_cols, tmp, sum_types, with_sums=how == "sum")
         carry = _carries(edges, group_cols, tmp)
         out = _finish_arrow(data, group_cols, tmp, carry, how, out_types)
         return out.select(*df.columns, *vals.keys())
