@@ -251,6 +251,22 @@ def ensure(spark: SparkSession, sf_dir: str, key: str) -> str:
     return path
 
 
+# source table of every fixture table (the oracle SQL counts these)
+SOURCE_TABLE = {"customer": "customer", "orders_types": "orders", "customer_deleted": "customer",
+                "orders_sparse": "orders", "nation_w5": "nation", "nation_w6": "nation",
+                "customer_malformed": "customer", "points_m": "lineitem",
+                "points_z": "lineitem", "points_zm": "lineitem", "lines": "embeddings",
+                "lines_m": "embeddings", "polygons": "embeddings"}
+
+
+def ensure_all(spark: SparkSession, sf_dir: str) -> str:
+    """The v10 fixture geodatabase with every table written."""
+    path = gdb_path(spark, sf_dir)
+    for key in _specs():
+        path = ensure(spark, sf_dir, key)
+    return path
+
+
 def ensure_v9(spark: SparkSession, sf_dir: str) -> str:
     """A 9.x-style geodatabase: catalog + GDB_ObjectClasses +
     GDB_FeatureClasses (no GDB_Items), describing the v10 fixture tables."""

@@ -13,7 +13,7 @@ from geoframe.operators.tables import tolerance_check
 from geoframe.plans import fixtures as FX
 from geoframe.plans.column_checks import XYM_SQL
 from geoframe.plans.registry import query
-from geoframe.sources.catalog import find_table, list_tables, user_tables
+from geoframe.sources.catalog import find_table, list_tables, table_row_counts, user_tables
 from geoframe.sources.filegdb import read_table
 
 
@@ -483,26 +483,53 @@ def _values(rows) -> str:
 _CAT = FX.catalog_entries()
 
 
-@query("list_tables", "SELECT CAST(ID AS INTEGER) AS ID, Name, printf('a%08x', ID) AS hex_name "
-       f"FROM (VALUES {_values(_CAT)}) t(ID, Name)", kind="R")
+def _counts_sql() -> str:
+    """Live rows per catalog name: the source table's count for fixture
+    tables, the number of entries for the two system tables written."""
+    rows = []
+    for key, (h, name, *_r) in FX._specs().items():
+        rows.append(f"SELECT '{name}' AS Name, count(*) AS live_rows FROM {FX.SOURCE_TABLE[key]}")
+    rows.append(f"SELECT 'GDB_SystemCatalog', CAST({len(_CAT)} AS BIGINT)")
+    rows.append(f"SELECT 'GDB_Items', CAST({len(FX.item_rows())} AS BIGINT)")
+    return " UNION ALL ".join(rows)
+
+
+@query("list_tables", f"""
+WITH cat(ID, Name) AS (VALUES {_values(_CAT)}), counts AS ({_counts_sql()})
+SELECT CAST(ID AS INTEGER) AS ID, Name, printf('a%08x', ID) AS hex_name, live_rows
+FROM cat LEFT JOIN counts USING (Name)
+""", kind="R")
 def list_tables_q(spark, sf_dir):
-    return list_tables(spark, FX.ensure(spark, sf_dir, "customer"))
+    """The catalog with the live row count of every table it holds."""
+    return list_tables(spark, FX.ensure_all(spark, sf_dir), with_counts=True)
 
 
-@query("find_table", "SELECT 9 AS ID, 'Customers' AS Name, 'a00000009' AS hex_name", kind="R")
+@query("find_table", f"""
+SELECT 9 AS ID, 'Customers' AS Name, 'a00000009' AS hex_name, count(*) AS live_rows
+FROM customer
+""", kind="R")
 def find_table_q(spark, sf_dir):
-    df = find_table(spark, FX.ensure(spark, sf_dir, "customer"), "Customers")
-    return df.select(F.col("ID").cast("int").alias("ID"), "Name", "hex_name")
+    path = FX.ensure(spark, sf_dir, "customer")
+    df = find_table(spark, path, "Customers")
+    counts = table_row_counts(spark, path, ["a00000009"])
+    return df.join(counts, "hex_name").select(F.col("ID").cast("int").alias("ID"), "Name",
+                                              "hex_name", "live_rows")
 
 
 _V10 = [(i, n) for i, n, d in FX.item_rows()
         if d and ("DEFeatureClassInfo" in d or "DETableInfo" in d) and n != "ND_50_DirtyAreas"]
 
 
-@query("user_tables_v10", f"SELECT CAST(id AS INTEGER) AS OBJECTID, Name "
-       f"FROM (VALUES {_values(_V10)}) t(id, Name)", kind="R")
+@query("user_tables_v10", f"""
+WITH u(id, Name) AS (VALUES {_values(_V10)}), counts AS ({_counts_sql()})
+SELECT CAST(id AS INTEGER) AS OBJECTID, Name, live_rows FROM u LEFT JOIN counts USING (Name)
+""", kind="R")
 def user_tables_v10(spark, sf_dir):
-    return user_tables(spark, FX.ensure(spark, sf_dir, "customer"))
+    """User tables of a 10.x geodatabase, with their live row counts."""
+    path = FX.ensure_all(spark, sf_dir)
+    counts = list_tables(spark, path, with_counts=True).select("Name", "live_rows")
+    return user_tables(spark, path).join(counts, "Name", "left") \
+        .select("OBJECTID", "Name", "live_rows")
 
 
 def _v9_expected():

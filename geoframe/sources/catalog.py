@@ -29,11 +29,42 @@ def _read(spark: SparkSession, path: str, **opts) -> DataFrame:
     return r.load()
 
 
-def list_tables(spark: SparkSession, path: str) -> DataFrame:
-    """Every catalog entry (system tables included): ID, Name, hex_name."""
+def list_tables(spark: SparkSession, path: str, with_counts: bool = False) -> DataFrame:
+    """Every catalog entry (system tables included): ID, Name, hex_name;
+    ``with_counts`` adds ``live_rows`` of every table whose files exist."""
     cat = _read(spark, path, table=L.CATALOG_TABLE)
-    return cat.select(F.col("ID").alias("ID"), F.col("Name").alias("Name"),
-                      F.format_string("a%08x", F.col("ID")).alias("hex_name"))
+    out = cat.select(F.col("ID").alias("ID"), F.col("Name").alias("Name"),
+                     F.format_string("a%08x", F.col("ID")).alias("hex_name"))
+    if not with_counts:
+        return out
+    return out.join(table_row_counts(spark, path), "hex_name", "left") \
+        .select("ID", "Name", "hex_name", "live_rows")
+
+
+def table_row_counts(spark: SparkSession, path: str,
+                     tables: list[str] | None = None) -> DataFrame:
+    """``(hex_name, live_rows)`` for the given table files (default: every
+    catalog entry whose files exist), all counted in one Spark job; only the
+    object-id column is decoded."""
+    from geoframe.sources.filegdb import catalog_rows
+    if tables is None:
+        tables = [L.hex_name(i) for i, _ in catalog_rows(path) if i is not None]
+    frames = []
+    for t in tables:                    # bounded by the number of tables
+        if not L.exists(path, t):
+            continue
+        hdr = FileGDBDataSource({"path": path, "table": t}).header()
+        first = hdr.object_id_name if any(f.name == hdr.object_id_name for f in hdr.fields) \
+            else hdr.fields[0].name
+        df = _read(spark, path, table=t, columns=first)
+        frames.append(df.groupBy().agg(F.count(F.lit(1)).alias("live_rows"))
+                      .select(F.lit(t).alias("hex_name"), "live_rows"))
+    if not frames:
+        return spark.createDataFrame([], "hex_name string, live_rows bigint")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def find_table(spark: SparkSession, path: str, name: str) -> DataFrame:
