@@ -316,6 +316,13 @@ def ensure_v9(spark: SparkSession, sf_dir: str) -> str:
         _write_once(spark, path, "catalog", catalog)
         _write_once(spark, path, "objclasses", object_classes)
         _write_once(spark, path, "featclasses", feature_classes)
+    # the same user tables as the 10.x fixture: hard links to its files
+    v10 = local_path(ensure_all(spark, sf_dir))
+    for h, *_r in specs.values():
+        for ext in (".gdbtable", ".gdbtablx"):
+            src, dst = os.path.join(v10, h + ext), os.path.join(local_path(path), h + ext)
+            if not os.path.exists(dst):
+                os.link(src, dst)
     return path
 
 

@@ -543,8 +543,14 @@ def _v9_expected():
     return out
 
 
-@query("user_tables_v9", f"SELECT CAST(id AS INTEGER) AS OBJECTID, Name "
-       f"FROM (VALUES {_values(_v9_expected())}) t(id, Name)", kind="R")
+@query("user_tables_v9", f"""
+WITH u(id, Name) AS (VALUES {_values(_v9_expected())}), counts AS ({_counts_sql()})
+SELECT CAST(id AS INTEGER) AS OBJECTID, Name, live_rows FROM u LEFT JOIN counts USING (Name)
+""", kind="R")
 def user_tables_v9(spark, sf_dir):
-    FX.ensure(spark, sf_dir, "customer")
-    return user_tables(spark, FX.ensure_v9(spark, sf_dir))
+    """Feature classes of a 9.x geodatabase (class tables joined), with the
+    live row counts of those tables."""
+    path = FX.ensure_v9(spark, sf_dir)
+    counts = list_tables(spark, path, with_counts=True).select("Name", "live_rows")
+    return user_tables(spark, path).join(counts, "Name", "left") \
+        .select("OBJECTID", "Name", "live_rows")
