@@ -1,6 +1,6 @@
 """Operators for training-data pipelines, and the queries that apply them."""
 
-from geoframe.llm import bpe, chat, packing, quality  # noqa: F401
+from geoframe.llm import bpe, chat, packing, quality, vectors  # noqa: F401
 from geoframe.llm.common import REGISTRY, SQL
 
 
