@@ -1,6 +1,7 @@
 """Operators for training-data pipelines, and the queries that apply them."""
 
-from geoframe.llm import bpe, chat, packing, quality, toxicity, vectors  # noqa: F401
+from geoframe.llm import (bpe, chat, packing, quality, token_files, toxicity,  # noqa: F401
+                          vectors)
 from geoframe.llm.common import REGISTRY, SQL
 
 
