@@ -1,6 +1,7 @@
 """Operators for training-data pipelines, and the queries that apply them."""
 
-from geoframe.llm import (bpe, chat, ngram_join, packing, quality, token_files, toxicity,  # noqa: F401
+from geoframe.llm import (bpe, chat, line_dedup, ngram_join, packing, quality,  # noqa: F401
+                          token_files, toxicity,
                           vectors)
 from geoframe.llm.common import REGISTRY, SQL
 
