@@ -60,26 +60,32 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _multiple(batches):
-    """Rows sorted by (key, rid): those of buckets with two rids or more, once."""
-    key = rid = None
+def multiple(batches):
+    """mapInArrow over rows (key, rid, ...) sorted by these two: the first row of
+    each rid, of the keys that have two rids or more."""
+    carried = None                                 # one row: not known yet, or its key went on
     alone = True                                   # the carried row has not come out
     for batch in batches:
-        keys, rids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        if not len(keys):
+        if not batch.num_rows:
             continue
-        if key is not None:
-            keys, rids = np.concatenate([[key], keys]), np.concatenate([[rid], rids])
-        first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (rids[1:] != rids[:-1])])
-        where = np.nonzero(first)[0]
-        keys, rids = keys[where], rids[where]
+        if carried is not None:
+            table = pa.Table.from_batches([carried, batch]).combine_chunks()
+            batch = table.to_batches()[0]
+        keys, rids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        where = np.nonzero(np.concatenate(
+            [[True], (keys[1:] != keys[:-1]) | (rids[1:] != rids[:-1])]))[0]
+        keys = keys[where]
         same = keys[1:] == keys[:-1]
         out = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        if key is not None and not alone:
+        if len(out) > 1:
+            came = bool(out[-1])
+        else:
+            came = not alone
+        if carried is not None and not alone:
             out[0] = False
-        came = out[-1] if len(out) > 1 else (not alone if key is not None else False)
-        key, rid, alone = keys[-1], rids[-1], not came
-        yield pa.RecordBatch.from_arrays([pa.array(keys[out]), pa.array(rids[out])], names=["key", "rid"])
+        alone = not came
+        carried = batch.slice(int(where[-1]), 1)
+        yield batch.take(pa.array(where[out]))
 
 
 def _compare(similar: Callable):
@@ -129,7 +135,7 @@ def similar_components(buckets: DataFrame, items: DataFrame, similar: Callable,
     two arrays with the places of the pairs that link (first below second).
     Result: (node, component) for every linked rid."""
     rows = materialise(buckets.select("key", "rid").repartition("key").sortWithinPartitions("key", "rid")
-                       .mapInArrow(_multiple, "key long, rid long"), f"{name}-buckets")
+                       .mapInArrow(multiple, "key long, rid long"), f"{name}-buckets")
     kinds = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rid")).alias("x"),
         F.min("rid").alias("lo"), F.max("rid").alias("hi"))

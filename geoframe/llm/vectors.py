@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import components, materialise, query, table
+from geoframe.llm.linking import forest
 
 THRESHOLD = 0.95
 TABLES = 24
@@ -115,20 +116,6 @@ def _buckets(threshold: float, tables: int, k: int):
     return run
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest row of each row's component, from pairs of rows."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _compare(threshold: float):
     """mapInArrow over rows sorted by (t, bucket, dim, i, j): links of each
     bucket (or pair of blocks) as sums and spanning edges."""
@@ -157,7 +144,7 @@ def _compare(threshold: float):
             np.add.at(adds, b, count[a])
             edges_a.append(a)
             edges_b.append(b)
-        label = _forest(len(rows), np.concatenate(edges_a), np.concatenate(edges_b))
+        label = forest(len(rows), np.concatenate(edges_a), np.concatenate(edges_b))
         got = np.nonzero(adds)[0]
         return rep[got], adds[got], rep[label[got]]
 
