@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import query, table
-from geoframe.llm.tokens import ChunkCache, load
+from geoframe.llm.tokens import ChunkCache, byte_level, load, word_and_tail
 
 LONG_WORD = 100
 OUT_IDS = 500_000       # ids in an output batch
@@ -101,7 +101,9 @@ class RankArrayBPE:
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of what lies between two blanks."""
-        if chunk.isascii() and chunk.isprintable() and "'" not in chunk:
+        if plain := word_and_tail(chunk):
+            words = [byte_level(plain[0].lower()), plain[1]]
+        elif chunk.isascii() and chunk.isprintable() and "'" not in chunk:
             words = self.plain.findall(chunk.lower())
         else:
             words = [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))]

@@ -36,60 +36,56 @@ from geoframe.sources.layout import filesystem
 
 MAGIC = b"RPTK"
 SHARD_IDS = 3_000_000
-ROUNDS = 6
+ROUNDS = 5
 RULES_PER_ROUND = 2_048
 MIN_COUNT = 8             # a pair that is met less often is not worth a rule
 
 
 def repair(ids: np.ndarray, doc_ends: np.ndarray, n_terminals: int, rounds: int = ROUNDS):
     """``(rules, symbols, doc_ends in symbols)`` for uint32 ids."""
-    seq = ids.astype("uint64")
-    last = np.zeros(len(seq), bool)
+    seq, last = ids, np.zeros(len(ids), bool)
     last[doc_ends - 1] = True
     rules: list[np.ndarray] = []
     top = n_terminals
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        left, right = seq[:-1], seq[1:]
-        open_ = ~last[:-1]
-        keys = (left << np.uint64(32)) | right
-        if top <= 1 << 16:                       # sorted faster in 32 bits
-            narrow = ((left << np.uint64(16)) | right).astype("uint32")[open_]
-            narrow.sort()
-            starts = np.nonzero(np.concatenate([[True], narrow[1:] != narrow[:-1]]))[0] if len(narrow) \
-                else np.zeros(0, "int64")
-            found = narrow[starts].astype("uint64")
-            found = ((found >> np.uint64(16)) << np.uint64(32)) | (found & np.uint64(0xFFFF))
-            counts = np.diff(np.concatenate([starts, [len(narrow)]]))
-        else:
-            found, counts = np.unique(keys[open_], return_counts=True)
+        # a pair as one number; 32 bits where symbols take 16
+        shift, kind = (16, "uint32") if top <= 1 << 16 else (32, "uint64")
+        low = (1 << shift) - 1
+        keys = (seq[:-1].astype(kind) << np.array(shift, kind)) | seq[1:].astype(kind)
+        counted = keys[~last[:-1]]
+        counted.sort()
+        starts = np.nonzero(np.concatenate([[True], counted[1:] != counted[:-1]]))[0][:len(counted)]
+        counts = np.diff(np.concatenate([starts, [len(counted)]]))
         often = np.nonzero(counts >= MIN_COUNT)[0]
         if not len(often):
             break
+        found, counts = counted[starts[often]], counts[often]
         # the most frequent; ties by the pair itself
-        best = often[np.lexsort((found[often], -counts[often]))[:RULES_PER_ROUND]]
-        chosen = np.sort(found[best])
+        chosen = np.sort(found[np.lexsort((found, -counts))[:RULES_PER_ROUND]])
+        left, right = (chosen >> np.array(shift, kind)).astype("int64"), (chosen & np.array(low, kind)).astype("int64")
         is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[(chosen >> np.uint64(32)).astype("int64")] = True
-        is_right[(chosen & np.uint64(0xFFFFFFFF)).astype("int64")] = True
-        at = np.nonzero(open_ & is_left[left] & is_right[right])[0]
-        which = np.searchsorted(chosen, keys[at])
-        hit = chosen[np.minimum(which, len(chosen) - 1)] == keys[at]
+        is_left[left], is_right[right] = True, True
+        at = np.nonzero(is_left[seq[:-1]] & is_right[seq[1:]] & ~last[:-1])[0]
+        own = keys[at]
+        which = np.searchsorted(chosen, own)
+        hit = chosen[np.minimum(which, len(chosen) - 1)] == own
         at, which = at[hit], which[hit]
         # matches that overlap: in every run of neighbours each second one stays
         run_start = np.concatenate([[True], np.diff(at) != 1])
         first = np.maximum.accumulate(np.where(run_start, np.arange(len(at)), 0))
         keep = (np.arange(len(at)) - first) % 2 == 0
         at, which = at[keep], which[keep]
-        seq[at] = which.astype("uint64") + np.uint64(top)
+        seq = seq.copy()
+        seq[at] = (which + top).astype("uint32")
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, last = seq[stay], last[stay]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1))
+        rules.append(np.stack([left, right], axis=1))
         top += len(chosen)
-    table_ = np.concatenate(rules) if rules else np.zeros((0, 2), "uint64")
+    table_ = np.concatenate(rules) if rules else np.zeros((0, 2), "int64")
     return table_.astype("<u4"), seq, np.nonzero(last)[0] + 1
 
 

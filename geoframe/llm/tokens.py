@@ -33,6 +33,27 @@ def ids_to_bytes(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+TAIL = ".,;:!?"
+#: The byte-level form of a byte: itself if printable, else a letter from 256 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_HIDDEN = [b for b in range(256) if b not in set(_SHOWN)]
+BYTE_LEVEL = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
+
+def byte_level(text: str) -> str:
+    """The text's bytes as the byte-level pre-tokenizer shows them."""
+    return text.encode("utf-8").decode("latin-1").translate(BYTE_LEVEL)
+
+
+def word_and_tail(chunk: str) -> tuple[str, str] | None:
+    """A chunk that is one word of plain letters and the punctuation after it:
+    by either vocabulary's pattern these are two pieces.  Else None."""
+    word = chunk.rstrip(TAIL)
+    if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+        return word, chunk[len(word):]
+    return None
+
+
 class ChunkCache(dict):
     """chunk -> what ``make(chunk)`` gives, made when first asked for."""
 
@@ -59,14 +80,22 @@ class ByteLevelEncoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.chunks = ChunkCache(self._chunk)
+        self.chunks, self.pieces = ChunkCache(self._chunk), ChunkCache(self._piece)
 
     def _whole(self, text: str) -> bytes:
         return ids_to_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what the pre-tokenizer leaves in one piece."""
+        return ids_to_bytes([t.id for t in self.tokenizer.model.tokenize(byte_level(piece))])
+
     def _chunk(self, chunk: str):
         # None (the join then fails): no cut before this one, see CUT
-        return self._whole(" " + chunk) if chunk and not chunk[0].isspace() else None
+        if not chunk or chunk[0].isspace():
+            return None
+        if plain := word_and_tail(chunk):
+            return self.pieces[" " + plain[0]] + (self.pieces[plain[1]] if plain[1] else b"")
+        return self._whole(" " + chunk)
 
     def __call__(self, text: str) -> bytes:
         """The ids of a whole text as bytes."""
@@ -85,14 +114,23 @@ class WordEncoder:
     """``word_bpe``: white space is dropped, so chunks are what lies between
     blanks and line ends."""
 
-    def __init__(self, path: str, make=None):
+    def __init__(self, path: str):
         self.tokenizer = load(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.chunks = ChunkCache(make or self._whole)
+        self.chunks, self.pieces = ChunkCache(self._chunk), ChunkCache(self._piece)
 
     def _whole(self, text: str) -> bytes:
         return ids_to_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what the pre-tokenizer leaves in one piece."""
+        return ids_to_bytes([t.id for t in self.tokenizer.model.tokenize(byte_level(piece))])
+
+    def _chunk(self, chunk: str) -> bytes:
+        if plain := word_and_tail(chunk):
+            return self.pieces[plain[0].lower()] + (self.pieces[plain[1]] if plain[1] else b"")
+        return self._whole(chunk)
+
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._whole(text)
