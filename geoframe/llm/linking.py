@@ -3,7 +3,7 @@
 Input: rows (key, rid) - items that may be similar share a key - and for every
 rid its item.  Every pair inside a bucket is checked exactly, but no pair ever
 leaves its task: a bucket hands out a spanning forest of its links.  Buckets of
-one item go at once, of buckets with the same members one stays, and a bucket
+one item go at once, those with the same smallest member are joined, and what is
 above ``BLOCK`` items is dealt into blocks whose pairs are units of work of
 their own, so a hot key is spread over tasks.
 """
@@ -136,12 +136,13 @@ def similar_components(buckets: DataFrame, items: DataFrame, similar: Callable,
     Result: (node, component) for every linked rid."""
     rows = materialise(buckets.select("key", "rid").repartition("key").sortWithinPartitions("key", "rid")
                        .mapInArrow(multiple, "key long, rid long"), f"{name}-buckets")
-    kinds = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rid")).alias("x"),
-        F.min("rid").alias("lo"), F.max("rid").alias("hi"))
-    kept = (kinds.groupBy("size", "x", "lo", "hi").agg(F.min("key").alias("key"))
-            .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = materialise(rows.join(kept, "key"), f"{name}-members")
+    # buckets with the same smallest member become one: items that share one
+    # bucket share many, and go through only once
+    pivots = rows.groupBy("key").agg(F.min("rid").alias("pivot"))
+    rows = materialise(rows.join(pivots, "key").select(F.col("pivot").alias("key"), "rid").distinct(),
+                       f"{name}-members")
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(sizes, "key")
     needed = rows.select("rid").distinct()
     held = materialise(items.join(needed, "rid", "left_semi").groupBy("rid").agg(F.first("item").alias("item")),
                        f"{name}-items")

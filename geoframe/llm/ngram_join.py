@@ -6,9 +6,13 @@ order, share a token.  Candidates share such a prefix token under a first order
 (found by a join on tokens) and also under a second one (checked on the spot);
 what passes both filters is verified on whole sets.
 
-Both orders put tokens of often-used cells of a fixed-size sketch of document
-frequencies last; within a class they order by two different hashes.  Any fixed
-order gives the same links, so the sketch only saves work.
+The first order is rare-first: tokens whose hash lies in the lowest ``UNIVERSE``
+of all hashes, by the number of sets that hold them, then all others by hash.  A
+prefix takes a tenth or so of a set, so a fifth of the tokens is nearly always
+enough to choose it from, and only that fifth is counted and shuffled; a set
+whose fifth is too small sends the tokens that follow as well.  A prefix token
+that one set alone holds can meet nobody, which leaves most sets without any
+candidate.  The second order is that of another hash.
 
 Equal sets are one item, whatever the number of documents.  Cases: null text is
 empty; a text without words has no shingles and links with nothing; one with
@@ -21,18 +25,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import materialise, query, table
 from geoframe.llm.hashing import batches_of, mix, word_hashes
 from geoframe.llm.linking import intersections, similar_components
 
-CELL_BITS = 20
+UNIVERSE = 0.2            # share of all token hashes that is counted
+BIG = 100_000             # tokens held by more sets count as held by so many
 BATCH_BYTES = 4 << 20
 SEEN = 1_000_000          # sets that a task remembers, not to send them twice
 TOKEN_BYTES = 5           # of a token's hash in an item; see ``pack``
-_SALTS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
+_LIMIT = np.uint64(int(UNIVERSE * (1 << 64)))
+_SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shingle_sets(texts: list[bytes], n: int):
@@ -70,10 +76,8 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def order(s: np.ndarray, classes: np.ndarray, which: int) -> np.ndarray:
-    """The set in one of the global orders."""
-    by = mix(s ^ _SALTS[which])
-    return s[np.lexsort((s, by, classes[(s >> np.uint64(64 - CELL_BITS)).astype("int64")]))]
+def second_order(s: np.ndarray) -> np.ndarray:
+    return s[np.argsort(mix(s ^ _SALT), kind="stable")]
 
 
 def pack(s: np.ndarray) -> bytes:
@@ -91,32 +95,42 @@ def unpack(item: bytes) -> np.ndarray:
             | np.frombuffer(item, "u1", n, 4 * n))
 
 
-def frequency_classes(docs: DataFrame, text: str, n: int) -> np.ndarray:
-    """uint8 per cell of the sketch: 0 for cells of usual use, else how many
-    times the mean it is used (log 2).  Counts cover all documents; what is
-    gathered is bounded by the number of cells."""
-    cells = 1 << CELL_BITS
-
-    def run(batches):
-        counts = np.zeros(cells, dtype="int64")
-        for batch in batches:
-            for _, s in _sets(batch.column(0), n):
-                np.add.at(counts, (s >> np.uint64(64 - CELL_BITS)).astype("int64"), 1)
-        # cells below a task's own mean cannot stand out by what it adds
-        used = np.nonzero(counts > counts.mean())[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([used, [cells]]).astype("int32")),
-             pa.array(np.concatenate([counts[used], [counts.sum()]]))], names=["cell", "n"])
-
-    sums = materialise(docs.select(text).mapInArrow(run, "cell int, n long").groupBy("cell")
-                       .agg(F.sum("n").alias("n")), "ngram-cells")
-    total = sums.where(F.col("cell") == cells).agg(F.sum("n")).first()[0] or 0
-    mean = max(1.0, total / cells)
-    often = sums.where((F.col("cell") < cells) & (F.col("n") > 4 * mean + 16)).toArrow()
-    classes = np.zeros(cells, dtype="u1")
-    classes[often.column("cell").to_numpy()] = np.minimum(
-        255, 1 + np.log2(often.column("n").to_numpy() / mean)).astype("u1")
-    return classes
+def _held_by(batches):
+    """Rows (key, rid) sorted: those of keys with two rids or more, once, with
+    the number of rids.  Rows of one key are kept until it ends, or is BIG."""
+    keys = rids = np.zeros(0, "int64")
+    big = None                                     # the key that has gone out as BIG
+
+    def batch_of(keys, rids, counts):
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(rids), pa.array(counts.astype("int64"))],
+                                          names=["key", "rid", "held"])
+
+    def done(keys, rids):
+        count = np.unique(keys, return_inverse=True, return_counts=True)
+        held = count[2][count[1]] if len(keys) else keys
+        some = held > 1
+        return batch_of(keys[some], rids[some], np.minimum(held[some], BIG))
+
+    for batch in batches:
+        keys = np.concatenate([keys, np.asarray(batch.column(0))])
+        rids = np.concatenate([rids, np.asarray(batch.column(1))])
+        if big is not None:
+            n = int(np.searchsorted(keys, big, side="right"))
+            if n:
+                yield batch_of(keys[:n], rids[:n], np.full(n, BIG))
+            keys, rids = keys[n:], rids[n:]
+        if not len(keys):
+            continue
+        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (rids[1:] != rids[:-1])])
+        keys, rids = keys[new], rids[new]
+        last = int(np.searchsorted(keys, keys[-1], side="left"))
+        yield done(keys[:last], rids[:last])
+        keys, rids = keys[last:], rids[last:]
+        if len(keys) > BIG:
+            big = keys[0]
+            yield batch_of(keys, rids, np.full(len(keys), BIG))
+            keys = rids = np.zeros(0, "int64")
+    yield done(keys, rids)
 
 
 def similar_sets(percent: int):
@@ -143,14 +157,13 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                      text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``
     (smallest id reachable by links of at least ``percent`` / 100)."""
-    classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(docs, text, n))
-
     def sizes(batches):
         for batch in batches:
-            found = [(len(s), set_id(s) if len(s) else None) for _, s in _sets(batch.column(1), n)]
+            found = [(len(s), set_id(s) if len(s) else None, int(np.searchsorted(s, _LIMIT)))
+                     for _, s in _sets(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.int64()),
-                 pa.array([f[1] for f in found], pa.int64())], names=["id", "n_shingles", "rid"])
+                [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3))],
+                names=["id", "n_shingles", "rid", "counted"])
 
     def prefixes(batches):
         seen: set[int] = set()
@@ -162,7 +175,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(rid)
-                head = order(s, classes.value, 0)[:prefix_length(len(s), percent)]
+                head = s[:max(int(np.searchsorted(s, _LIMIT)), prefix_length(len(s), percent))]
                 keys.append(head.view("int64"))
                 rids.append(np.full(len(head), rid, dtype="int64"))
             if keys:
@@ -180,14 +193,28 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     seen.clear()
                 seen.add(rid)
                 rids.append(rid)
-                packed.append(pack(order(s, classes.value, 1)))
+                packed.append(pack(second_order(s)))
             yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(packed, pa.binary())],
                                              names=["rid", "item"])
 
     base = docs.select(F.col(id_col).cast("long").alias("id"), text)
-    docs_sets = materialise(base.mapInArrow(sizes, "id long, n_shingles long, rid long"), "ngram-sets")
-    linked = similar_components(docs.select(text).mapInArrow(prefixes, "key long, rid long"),
-                                docs.select(text).mapInArrow(items, "rid long, item binary"),
+    docs_sets = materialise(base.mapInArrow(sizes, "id long, n_shingles long, rid long, counted long"),
+                            "ngram-sets")
+    # tokens that two sets or more hold; of the counted ones a set needs those
+    # by which its prefix is longer than its tokens that nobody else holds
+    shared = (docs.select(text).mapInArrow(prefixes, "key long, rid long")
+              .repartition("key").sortWithinPartitions("key", "rid")
+              .mapInArrow(_held_by, "key long, rid long, held long"))
+    is_counted = F.shiftrightunsigned("key", 1) < F.lit(int(_LIMIT) >> 1)
+    per_set = (docs_sets.where("rid IS NOT NULL").groupBy("rid")
+               .agg(F.first("n_shingles").alias("size"), F.first("counted").alias("counted")))
+    by_set = Window.partitionBy("rid")
+    ranked = (shared.withColumn("of", is_counted)
+              .withColumn("rank", F.row_number().over(by_set.orderBy(F.desc("of"), "held", "key")))
+              .withColumn("known", F.sum(F.col("of").cast("int")).over(by_set)).join(per_set, "rid"))
+    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    buckets = ranked.where(~F.col("of") | (F.col("rank") <= prefix - (F.col("counted") - F.col("known"))))
+    linked = similar_components(buckets, docs.select(text).mapInArrow(items, "rid long, item binary"),
                                 similar_sets(percent), "ngram")
     low = docs_sets.where("rid IS NOT NULL").groupBy("rid").agg(F.min("id").alias("low"))
     of = low.join(linked.withColumnRenamed("node", "rid"), "rid", "left") \
