@@ -5,8 +5,9 @@ returns is written as Parquet and read again as the next one's ``docs``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geoframe.llm import quality
+from geoframe.llm import line_dedup, ngram_join, packing, quality, suffix_dedup
 from geoframe.llm.common import materialise, table
 
 
@@ -15,7 +16,43 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_stage)]
+def _with_text(docs: DataFrame, given: DataFrame) -> DataFrame:
+    """The given columns, ``n_chars`` (if there) as the text now has it."""
+    if "n_chars" in docs.columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast(given.schema["n_chars"].dataType))
+    return docs.select(*given.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, and documents of which nothing else is left."""
+    done = line_dedup.dedup_lines(docs)
+    empty = F.col("_l_places").isNotNull() & ~F.col("text").rlike(r"\S")
+    return _with_text(done.where(~empty), docs)
+
+
+def join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near copies (five-word shingles, similarity 0.8) the first stays."""
+    return ngram_join.keep_one(docs, n=5, percent=80)
+
+
+def stretch_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated stretches go, and documents of which nothing else is left.
+    Half a character at the end of a cut goes with it."""
+    done = suffix_dedup.dedup_stretches(docs)
+    kept = F.replace(F.make_valid_utf8(F.col("_s_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
+    done = done.withColumn("text", F.when(F.col("_s_spans") > 0, kept).otherwise(F.col("text")))
+    empty = (F.col("_s_spans") > 0) & ~F.col("text").rlike(r"\S")
+    return _with_text(done.where(~empty), docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality rules", quality_stage), ("line dedup", line_stage), ("n-gram Jaccard join", join_stage),
+          ("suffix-array dedup", stretch_stage), ("packing", packing_stage)]
 
 #: Stages that work on bytes, tokens and near copies cannot be put into SQL.
 ORACLE_SQL = None

@@ -185,7 +185,11 @@ MEASURES = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_re
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass, with their own columns only."""
-    return measure(docs, None, text, lang).where("q_kept").select(*docs.columns)
+    measured = measure(docs, None, text, lang)
+    # a filter would be pushed below the measuring steps, and every column in it
+    # replaced by its expression; a generator of one row or none is not
+    one = F.explode(F.when(F.col("q_kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return measured.select(*docs.columns, one.alias("_q_one")).select(*docs.columns)
 
 
 @query("op10_quality_divergence")
