@@ -45,7 +45,8 @@ def front_decode(coded: Iterable[tuple[int, bytes]]) -> Iterator[tuple[int, byte
     """``(length known to agree with the one before, string)``."""
     before = b""
     for n, rest in coded:
-        before = before[:n] + rest
+        if rest or n < len(before):            # else the same object again
+            before = before[:n] + rest
         yield n, before
 
 

@@ -40,7 +40,7 @@ from geoframe.llm.merge_sort import front_code, front_decode, merge
 LENGTH = 400
 WINDOW = 128
 GRAM = 16
-SEGMENT = 2 << 20         # bytes of a text, or of several, hashed in one go
+SEGMENT = 1 << 20         # bytes of a text, or of several, hashed in one go
 CELL_BITS = 22            # of the filter of keys that is sent to all tasks
 RUN = 50_000              # suffixes in a sorted run
 HEAD = 16                 # bytes by which runs are exchanged
@@ -272,8 +272,13 @@ def repeated_spans(docs: DataFrame, row: str, text: str, length: int = LENGTH) -
                         .mapInArrow(multiple, "key long, rid long, off int, part boolean"), "suffix-windows")
     ends = again.where("part").groupBy("rid").agg(F.min(F.struct("off", "key")).alias("a"),
                                                   F.max(F.struct("off", "key")).alias("b"))
-    ends = ends.select(F.explode(F.array("a.key", "b.key")).alias("key")).distinct()
-    offs = again.join(ends, "key", "left_semi").groupBy("rid").agg(F.sort_array(F.collect_set("off")).alias("offs"))
+    ends = ends.select("rid", F.explode(F.array("a", "b")).alias("e")).select("rid", "e.off", "e.key")
+    # one other holder of each proves it, whatever their number
+    other = again.join(ends.select("key").distinct(), "key", "left_semi").groupBy("key").agg(
+        F.min(F.struct("rid", "off")).alias("a"), F.max(F.struct("rid", "off")).alias("b"))
+    other = other.select(F.explode(F.array("a", "b")).alias("h")).select("h.rid", "h.off")
+    offs = ends.select("rid", "off").unionAll(other).groupBy("rid").agg(
+        F.sort_array(F.collect_set("off")).alias("offs"))
     runs = (held.join(offs.withColumnRenamed("rid", "context"), "context").select("context", "ctx", "offs")
             .mapInArrow(_runs(length), "head binary, run long, seq long, lcp int, rest binary, context long, off int"))
     same = materialise(runs.repartitionByRange("head").sortWithinPartitions("run", "seq")
