@@ -34,7 +34,7 @@ from geoframe.llm.linking import intersections, similar_components
 
 SHINGLE = 8
 MIN_CHARS = 20
-PASSES, BINS = 4, 12
+PASSES, BINS = 3, 16
 BANDS, ROWS = 12, 4
 PERCENT = 80
 BATCH_CHARS = 1 << 20
@@ -85,11 +85,10 @@ def signatures(lines: list[str]) -> np.ndarray:
             take = empty & (near != _MARK)
             part[take] = mix(near[take] + np.uint64(step))
             empty &= ~take
-    # a band takes its rows from as many passes
-    rows = bins.reshape(len(lines), PASSES, BINS)
+    rows = bins.reshape(len(lines), BANDS, ROWS)
     out = np.zeros((len(lines), BANDS), dtype="uint64")
     for r in range(ROWS):
-        out = mix(out * np.uint64(5) + rows[:, r % PASSES, (np.arange(BANDS) + r) % BINS])
+        out = mix(out * np.uint64(5) + rows[:, :, r])
     return (out + np.arange(BANDS, dtype="uint64") * np.uint64(0x632BE59BD9B4E019)).view("int64")
 
 
