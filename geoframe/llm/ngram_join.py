@@ -34,7 +34,7 @@ from geoframe.llm.linking import intersections, similar_components
 
 UNIVERSE = 0.2            # share of all token hashes that is counted
 BIG = 100_000             # tokens held by more sets count as held by so many
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 SEEN = 1_000_000          # sets that a task remembers, not to send them twice
 TOKEN_BYTES = 5           # of a token's hash in an item; see ``pack``
 _LIMIT = np.uint64(int(UNIVERSE * (1 << 64)))
