@@ -40,7 +40,7 @@ from geoframe.llm.merge_sort import front_code, front_decode, merge
 LENGTH = 400
 WINDOW = 128
 GRAM = 16
-SEGMENT = 1 << 20         # bytes of a text, or of several, hashed in one go
+SEGMENT = 1 << 19         # bytes of a text, or of several, hashed in one go
 CELL_BITS = 22            # of the filter of keys that is sent to all tasks
 RUN = 50_000              # suffixes in a sorted run
 HEAD = 16                 # bytes by which runs are exchanged
