@@ -136,13 +136,13 @@ def poly_from_coords(xy_arr, xy_num=None, stride: int = 2) -> Column:
     xs, ys = ordinates(arr, stride, 0), ordinates(arr, stride, 1)
     empty = F.size(arr) == 0
     zero = F.lit(0.0)
-    return poly(
+    return F.when(arr.isNotNull(), poly(
         F.when(empty, zero).otherwise(F.array_min(xs)),
         F.when(empty, zero).otherwise(F.array_min(ys)),
         F.when(empty, zero).otherwise(F.array_max(xs)),
         F.when(empty, zero).otherwise(F.array_max(ys)),
         num, arr,
-    )
+    ))
 
 
 # ----------------------------------------------------------------- accessors
@@ -214,7 +214,7 @@ def point_to_line(g, d=2.0) -> Column:
 
 
 def _num_text(v: Column) -> Column:
-    return v.cast("string")
+    return F.coalesce(v.cast("string"), F.lit("null"))
 
 
 def geometry_text(g, kind: str) -> Column:

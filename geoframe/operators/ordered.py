@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType, ShortType,
+from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
                                StructField, StructType)
 
 from geoframe.session import checkpoint_dir
@@ -37,22 +37,19 @@ RANGE_COL = "_gf_range"
 
 
 TARGET_RANGE_BYTES = 128 << 20
-MAX_RANGES = 100_000
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
     """Explicit count, else enough ranges for ~128 MiB each by the
-    optimizer's size estimate, never fewer than the shuffle partitions."""
+    optimizer's size estimate, never fewer than the shuffle partitions (which
+    are all there is to go by when the size is unknown)."""
     if num_ranges:
         return int(num_ranges)
     base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:       # no estimate (e.g. Spark Connect): keep the default
-        return base
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size <= 0 or size >= 1 << 62:    # unknown size
         return base
-    return max(base, min(-(-size // TARGET_RANGE_BYTES), MAX_RANGES))
+    return max(base, -(-size // TARGET_RANGE_BYTES))
 
 
 def _sort_keys(group_cols, order_cols):
@@ -67,6 +64,10 @@ def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str],
     ship_package(df.sparkSession)      # the final pass runs geoframe code in workers
     checkpoint_dir(df.sparkSession)
     keys = _sort_keys(group_cols, order_cols)
+    # rows that tie on group and order are told apart by their other values, so
+    # that many of them (equal timestamps, say) can still span ranges
+    rest = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    keys.append(F.xxhash64(*rest))
     out = (df.repartitionByRange(_num_ranges(df, num_ranges), *keys)
            .sortWithinPartitions(*keys)
            .withColumn(RANGE_COL, F.spark_partition_id()))
@@ -91,7 +92,7 @@ def _edges(data: DataFrame, group_cols: list[str], tmp: dict[str, str],
 
     def run(batches):
         rng, head, tail, open_key = None, None, None, None
-        acc = {k: 0 for k in tmp}
+        acc = {k: None for k in tmp}
         for b in batches:
             n = b.num_rows
             if n == 0:
@@ -100,14 +101,13 @@ def _edges(data: DataFrame, group_cols: list[str], tmp: dict[str, str],
                 rng = b.column(RANGE_COL)[0].as_py()
                 head = b.slice(0, 1)
             starts = _group_starts(b, group_cols)
-            cont = open_key is not None and _key_at(b, group_cols, 0) == open_key
+            cont = _same_key(open_key, _key_at(b, group_cols, 0))
             last_start = int(np.flatnonzero(starts)[-1])
             for k, t in tmp.items():
                 if not with_sums:
                     continue
-                col = pc.fill_null(b.column(t).slice(last_start), 0)
-                seg = pc.sum(col.cast(sum_arrow[k])).as_py() or 0
-                acc[k] = acc[k] + seg if (last_start == 0 and cont) else seg
+                seg = pc.sum(b.column(t).slice(last_start).cast(sum_arrow[k])).as_py()
+                acc[k] = _add(acc[k], seg) if (last_start == 0 and cont) else seg
             open_key = _key_at(b, group_cols, n - 1)
             tail = b.slice(n - 1, 1)
         if rng is None:
@@ -129,17 +129,73 @@ def _carries(edge_rows, group_cols, tmp):
     for r in sorted(edge_rows, key=lambda r: r[RANGE_COL]):
         first = tuple(r["f_" + g] for g in group_cols)
         final = tuple(r["l_" + g] for g in group_cols)
-        cont = open_key is not None and open_key == first
-        c_sum = {k: (acc[k] or 0) if cont else 0 for k in tmp}
+        cont = _same_key(open_key, first)
+        c_sum = {k: acc[k] if cont else None for k in tmp}
         c_lag = {k: last[k] if cont else None for k in tmp}
         carry[r[RANGE_COL]] = (c_sum, c_lag)
-        part = {k: r["s_" + t] or 0 for k, t in tmp.items()}
-        acc = {k: c_sum[k] + part[k] for k in tmp} if final == first else part
+        part = {k: r["s_" + t] for k, t in tmp.items()}
+        acc = {k: _add(c_sum[k], part[k]) for k in tmp} if _same_key(final, first) else part
         last = {k: r["v_" + t] for k, t in tmp.items()}
         open_key = final
     return carry
 
 
+def _add(a, b):
+    """Sum of two partial sums; null where there was no value yet."""
+    if a is None or b is None:
+        return b if a is None else a
+    return _checked(a + b) if isinstance(a, int) else a + b
+
+
+def _checked(total: int) -> int:
+    if not -(1 << 63) <= total < 1 << 63:
+        raise OverflowError("running sum beyond 64 bits")
+    return total
+
+
+def _running(vals: np.ndarray, valid: np.ndarray, starts: np.ndarray, carry):
+    """Running sums that start anew at every group; ``carry`` goes into the
+    first one.  Returns the sums and where there is a value yet.  Integers are
+    summed at once and rebased (exact); floats group by group, since a NaN or a
+    large value of one group must not touch the next."""
+    n = len(vals)
+    sidx = np.flatnonzero(starts)
+    seg = np.cumsum(starts) - 1
+    count = np.cumsum(valid)
+    seen = count - (count[sidx] - valid[sidx])[seg] > 0
+    if vals.dtype.kind == "i":
+        total = np.cumsum(vals)
+        near = np.cumsum(np.abs(vals.astype(np.float64)))
+        if n and (near[-1] + abs(carry or 0)) > 9.2e18:
+            _exact(vals, sidx, carry)
+        out = total - (total[sidx] - vals[sidx])[seg]
+        if carry is not None:
+            out[seg == 0] += carry
+    else:
+        out = np.empty(n, np.float64)
+        for a, b in zip(sidx, [*sidx[1:], n]):
+            first = carry if a == 0 and carry is not None else 0.0
+            out[a:b] = np.cumsum(np.concatenate([[first], vals[a:b]]))[1:]
+    if carry is not None:
+        seen = seen | (seg == 0)
+    return out, seen
+
+
+def _exact(vals: np.ndarray, sidx: np.ndarray, carry) -> None:
+    """Raises where a running sum leaves 64 bits (values are that large)."""
+    for a, b in zip(sidx, [*sidx[1:], len(vals)]):
+        total = (carry or 0) if a == 0 else 0
+        for v in vals[a:b].tolist():
+            total = _checked(total + v)
+
+
+def _same_key(a, b) -> bool:
+    """Equal keys as Spark groups them: null = null, NaN = NaN."""
+    return a is not None and b is not None and all(
+        x == y or (isinstance(x, float) and isinstance(y, float) and x != x and y != y)
+        for x, y in zip(a, b))
+
+
 def _group_starts(batch: pa.RecordBatch, group_cols: list[str]) -> np.ndarray:
     n = batch.num_rows
     starts = np.zeros(n, bool)
@@ -151,6 +207,9 @@ def _group_starts(batch: pa.RecordBatch, group_cols: list[str]) -> np.ndarray:
             break
         a, b = col.slice(1), col.slice(0, n - 1)
         ne = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(col.type):
+            ne = pc.and_not(ne, pc.and_(pc.fill_null(pc.is_nan(a), False),
+                                        pc.fill_null(pc.is_nan(b), False)))
         nulls = pc.xor(pc.is_null(a), pc.is_null(b))
         starts[1:] |= pc.or_(ne, nulls).to_numpy(zero_copy_only=False)
     return starts
@@ -174,13 +233,11 @@ def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, how:
                 continue
             if state is None:
                 rng = b.column(RANGE_COL)[0].as_py()
-                c_sum, c_lag = carry.get(rng, ({k: 0 for k in tmp}, {k: None for k in tmp}))
+                c_sum, c_lag = carry.get(rng, ({k: None for k in tmp}, {k: None for k in tmp}))
                 state = (_key_at(b, group_cols, 0), c_sum, c_lag)
             open_key, acc, last = state
             starts = _group_starts(b, group_cols)
-            cont = _key_at(b, group_cols, 0) == open_key
-            seg = np.cumsum(starts) - 1
-            first_seg = seg == 0
+            cont = _same_key(_key_at(b, group_cols, 0), open_key)
             outs = []
             new_acc, new_last = {}, {}
             for k, t in tmp.items():
@@ -189,14 +246,10 @@ def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, how:
                     is_int = pa.types.is_integer(v.type)
                     vals = pc.fill_null(v, 0).to_numpy(zero_copy_only=False).astype(
                         np.int64 if is_int else np.float64)
-                    tot = np.cumsum(vals)
-                    sidx = np.flatnonzero(starts)
-                    base = np.where(sidx > 0, tot[np.maximum(sidx - 1, 0)], 0)
-                    cum = tot - base[seg]
-                    if cont:
-                        cum = cum + np.where(first_seg, acc[k] or 0, 0).astype(cum.dtype)
-                    outs.append(pa.array(cum, type=pa.int64() if is_int else pa.float64()))
-                    new_acc[k] = cum[-1].item()
+                    valid = pc.is_valid(v).to_numpy(zero_copy_only=False)
+                    cum, seen = _running(vals, valid, starts, acc[k] if cont else None)
+                    outs.append(pa.array(cum, type=pa.int64() if is_int else pa.float64(), mask=~seen))
+                    new_acc[k] = cum[-1].item() if seen[-1] else None
                 else:
                     prev_idx = np.arange(n) - 1
                     taken = v.take(pa.array(np.maximum(prev_idx, 0)))
@@ -219,8 +272,11 @@ def _value_type(df: DataFrame, col: Column, how: str):
     t = df.select(col.alias("_t")).schema["_t"].dataType
     if how == "lag":
         return t
-    return LongType() if isinstance(t, (LongType, IntegerType, ShortType)) else DoubleType() \
-        if isinstance(t, (DoubleType, FloatType)) else DoubleType()
+    if isinstance(t, (LongType, IntegerType, ShortType, ByteType)):
+        return LongType()
+    if isinstance(t, (DoubleType, FloatType)):
+        return DoubleType()
+    raise TypeError(f"running sums take integers or floating-point numbers, not {t.simpleString()}")
 
 
 def _scan(df, group_cols, order_cols, value_cols, num_ranges, how, finish):
@@ -248,8 +304,8 @@ def _finish_window(data, df, group_cols, order_cols, tmp, how):
     if how == "sum":
         partial = data.groupBy(*keys).agg(*[F.sum(t).alias(f"p_{t}") for t in tmp.values()])
         before = by_group.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, -1)
-        carry = partial.select(*keys, *[F.coalesce(F.sum(f"p_{t}").over(before), F.lit(0))
-                                        .alias(f"c_{t}") for t in tmp.values()])
+        carry = partial.select(*keys, *[F.sum(f"p_{t}").over(before).alias(f"c_{t}")
+                                        for t in tmp.values()])
     else:
         partial = data.groupBy(*keys).agg(*[F.max_by(F.col(t), order_struct).alias(f"p_{t}")
                                             for t in tmp.values()])
@@ -261,7 +317,8 @@ def _finish_window(data, df, group_cols, order_cols, tmp, how):
     within = Window.partitionBy(*keys).orderBy(*order_cols)
     if how == "sum":
         frame = within.rowsBetween(Window.unboundedPreceding, 0)
-        res = [(F.sum(t).over(frame) + F.col(f"c_{t}")).alias(k) for k, t in tmp.items()]
+        res = [F.coalesce(F.sum(t).over(frame) + F.col(f"c_{t}"), F.sum(t).over(frame), F.col(f"c_{t}"))
+               .alias(k) for k, t in tmp.items()]
     else:
         first = F.row_number().over(within) == 1
         res = [F.when(first, F.col(f"c_{t}")).otherwise(F.lag(t, 1).over(within)).alias(k)
@@ -274,9 +331,10 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
                 finish: str = "arrow") -> DataFrame:
     """Add inclusive running sums per group in ``order_cols`` order:
     ``sum(v) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED
-    PRECEDING)``.  Integer values are summed exactly (int64); nulls count as
-    0.  Order keys should be unique within a group for a deterministic
-    result."""
+    PRECEDING)``, with SQL's nulls: null until the group's first value.
+    Integers are summed exactly in 64 bits (``OverflowError`` beyond), floats
+    as doubles; other types are refused.  Rows that tie on the order keys are
+    taken in the order of a hash of their values."""
     return _scan(df, group_cols, order_cols, value_cols, num_ranges, "sum", finish)
 
 

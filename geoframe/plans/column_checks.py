@@ -357,9 +357,8 @@ FROM customer
 """)
 def translate_point(spark, sf_dir):
     pts = _customer_points(spark, sf_dir)
-    spark_side = spark.sql("SELECT c_custkey, plus2(Shape) AS P2 FROM gf_customer_points")
-    df = spark_side.join(pts, "c_custkey").select(
-        "c_custkey", "P2", G.translate("Shape", -1.5, 0.25).alias("T"))
+    df = pts.select("c_custkey", F.expr("plus2(Shape)").alias("P2"),
+                    G.translate("Shape", -1.5, 0.25).alias("T"))
     return df.select("c_custkey", F.col("P2.x").alias("x"), F.col("P2.y").alias("y"),
                      F.col("T.x").alias("x_shift"), F.col("T.y").alias("y_shift"))
 

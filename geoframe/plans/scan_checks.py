@@ -54,7 +54,8 @@ def scan_table(spark, sf_dir):
        kind="R")
 def read_helper(spark, sf_dir):
     path = FX.ensure(spark, sf_dir, "customer")
-    df = read_table(spark, path, FX.catalog_name("customer"), num_partitions=3)
+    df = read_table(spark, path, FX.catalog_name("customer"), num_partitions=3,
+                    columns="c_custkey,c_name")
     return df.select("c_custkey", "c_name")
 
 
@@ -63,7 +64,7 @@ def ddl_source(spark, sf_dir):
     path = FX.ensure(spark, sf_dir, "customer")
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW gf_ddl_customers USING filegdb "
               f"OPTIONS (path '{path}', name '{FX.catalog_name('customer')}', "
-              f"numPartitions '2')")
+              f"numPartitions '2', columns 'OBJECTID,c_name')")
     return spark.sql("SELECT OBJECTID, c_name FROM gf_ddl_customers")
 
 
@@ -73,7 +74,8 @@ SELECT c_mktsegment, count(*) AS n, max(c_acctbal) AS max_bal,
 FROM customer GROUP BY c_mktsegment
 """, kind="R")
 def sql_over_view(spark, sf_dir):
-    FX.read(spark, sf_dir, "customer").createOrReplaceTempView("gf_customers")
+    FX.read(spark, sf_dir, "customer", columns="c_mktsegment,c_acctbal,c_nationkey") \
+        .createOrReplaceTempView("gf_customers")
     return spark.sql("SELECT c_mktsegment, count(*) AS n, max(c_acctbal) AS max_bal, "
                      "min(c_nationkey) AS min_nation FROM gf_customers GROUP BY c_mktsegment")
 
@@ -97,14 +99,14 @@ def scan_columns_option(spark, sf_dir):
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, {_X} AS x, {_Y} AS y FROM customer
 """, kind="R")
 def project_columns(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer")
+    df = FX.read(spark, sf_dir, "customer", columns="c_custkey,Shape")
     return df.select("c_custkey", F.col("shape.x").alias("x"), F.col("SHAPE.y").alias("y"))
 
 
 @query("shape_point", f"SELECT {_RN_C} AS OBJECTID, {_X} AS x, {_Y} AS y FROM customer",
        kind="R")
 def shape_point(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer")
+    df = FX.read(spark, sf_dir, "customer", columns="OBJECTID,Shape")
     return df.select("OBJECTID", "Shape.x", "Shape.y")
 
 
@@ -138,14 +140,14 @@ SELECT CAST(max(rn) AS INTEGER) AS max_oid, CAST(min(rn) AS INTEGER) AS min_oid,
 FROM (SELECT row_number() OVER (ORDER BY c_custkey) AS rn FROM customer)
 """, kind="R")
 def oid_min_max(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer")
+    df = FX.read(spark, sf_dir, "customer", columns="OBJECTID")
     return df.agg(F.max("OBJECTID").alias("max_oid"), F.min("OBJECTID").alias("min_oid"),
                   F.count(F.lit(1)).alias("n"))
 
 
 @query("count_rows", "SELECT count(*) AS n FROM customer", kind="R")
 def count_rows(spark, sf_dir):
-    return FX.read(spark, sf_dir, "customer").groupBy().agg(F.count(F.lit(1)).alias("n"))
+    return FX.read(spark, sf_dir, "customer", columns="OBJECTID").groupBy().agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("first_rows", f"""
@@ -160,7 +162,7 @@ def first_rows(spark, sf_dir):
 @query("oid_synthesis", f"SELECT {_RN_C} AS OBJECTID, CAST(c_custkey AS INTEGER) AS c_custkey "
        "FROM customer", kind="R")
 def oid_synthesis(spark, sf_dir):
-    return FX.read(spark, sf_dir, "customer").select("OBJECTID", "c_custkey")
+    return FX.read(spark, sf_dir, "customer", columns="OBJECTID,c_custkey").select("OBJECTID", "c_custkey")
 
 
 @query("scan_partitions", f"""
@@ -170,7 +172,7 @@ FROM (SELECT {_RN_C} AS OBJECTID, count(*) OVER () AS n FROM customer)
 def scan_partitions(spark, sf_dir):
     """Slot ranges: partition i holds slots [i*per, (i+1)*per), per =
     ceil(slots / numPartitions)."""
-    df = FX.read(spark, sf_dir, "customer", numPartitions=7)
+    df = FX.read(spark, sf_dir, "customer", numPartitions=7, columns="OBJECTID")
     return df.select("OBJECTID", F.spark_partition_id().alias("part"))
 
 
@@ -191,7 +193,7 @@ UNION ALL
 SELECT id, 'y', y, ay FROM c WHERE abs(y - ay) > 0.0005
 """, kind="R")
 def tolerance_check_q(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer")
+    df = FX.read(spark, sf_dir, "customer", columns="OBJECTID,RID,X,Y,Shape")
     return tolerance_check(df, "Shape", "point", {"x": "X", "y": "Y"}, 0.0005)
 
 
@@ -206,7 +208,8 @@ SELECT CAST({_RN0_C} + {_RN0_C} // 6 + 1 AS INTEGER) AS OBJECTID,
 FROM customer
 """, kind="R")
 def scan_deleted_rows(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer_deleted", numPartitions=5)
+    df = FX.read(spark, sf_dir, "customer_deleted", numPartitions=5,
+                 columns="OBJECTID,c_custkey,c_name,c_acctbal,Shape")
     return df.select("OBJECTID", "c_custkey", "c_name", "c_acctbal", F.col("Shape.x").alias("x"))
 
 
@@ -218,7 +221,7 @@ SELECT CAST(2048 * (r0 // 1024) + r0 % 1024 + 1 AS INTEGER) AS OBJECTID,
 FROM r
 """, kind="R")
 def scan_sparse_blocks(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "orders_sparse", numPartitions=4)
+    df = FX.read(spark, sf_dir, "orders_sparse", numPartitions=4, columns="OBJECTID,o_orderkey,o_totalprice")
     return df.select("OBJECTID", "o_orderkey", "o_totalprice")
 
 
@@ -246,7 +249,7 @@ SELECT CASE WHEN {_BAD} THEN NULL ELSE {_RN_C} END AS OBJECTID,
 FROM customer
 """, kind="R")
 def scan_malformed(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer_malformed")
+    df = FX.read(spark, sf_dir, "customer_malformed", columns="OBJECTID,c_custkey,c_name,Shape")
     return df.select("OBJECTID", "c_custkey", "c_name", F.col("Shape.x").alias("x"))
 
 
@@ -254,7 +257,7 @@ def scan_malformed(spark, sf_dir):
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name FROM customer WHERE NOT ({_BAD})
 """, kind="R")
 def scan_malformed_drop(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer_malformed", mode="DROPMALFORMED")
+    df = FX.read(spark, sf_dir, "customer_malformed", mode="DROPMALFORMED", columns="c_custkey,c_name")
     return df.select("c_custkey", "c_name")
 
 
@@ -277,17 +280,19 @@ SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey,
 FROM {_ORD}
 """, kind="R")
 def scan_nulls(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "orders_types")
+    df = FX.read(spark, sf_dir, "orders_types",
+                 columns="o_orderkey,o_custkey,o_orderstatus,o_totalprice,prio_xml,cust16,RasterCol")
     return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "prio_xml",
                      "cust16", F.col("RasterCol").isNull().alias("raster_null"))
 
 
-def _type_query(key, spark_cols, sql_cols):
+def _type_query(key, spark_cols, sql_cols, read=None):
     sql = f"SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, {sql_cols} FROM {_ORD}"
 
     @query(key, sql, kind="R")
     def fn(spark, sf_dir):
-        df = FX.read(spark, sf_dir, "orders_types")
+        df = FX.read(spark, sf_dir, "orders_types",
+                     columns="o_orderkey," + (read or ",".join(spark_cols())))
         return df.select("o_orderkey", *spark_cols())
     fn.__name__ = key
     return fn
@@ -307,14 +312,14 @@ _type_query("type_string", lambda: ["o_orderstatus", "o_orderpriority"],
 _type_query("type_xml", lambda: ["prio_xml"],
             _nul("'<p>' || o_orderpriority || '</p>'", 0) + " AS prio_xml")
 _type_query("type_binary", lambda: [F.hex("raw").alias("raw_hex")],
-            _nul("hex(encode(o_orderpriority))", 1) + " AS raw_hex")
+            _nul("hex(encode(o_orderpriority))", 1) + " AS raw_hex", read="raw")
 _type_query("type_datetime",
             lambda: [F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
                      F.unix_millis("o_orderdate").alias("ms")],
             _nul("epoch_ms(CAST(ceil((((epoch_us(o_orderdate) / 86400000000.0 + 25569.0) "
                  "- 25569) * 1000 * 60 * 60 * 24)) AS BIGINT))", 1) + " AS o_orderdate, "
             + _nul("CAST(ceil((((epoch_us(o_orderdate) / 86400000000.0 + 25569.0) - 25569) "
-                   "* 1000 * 60 * 60 * 24)) AS BIGINT)", 1) + " AS ms")
+                   "* 1000 * 60 * 60 * 24)) AS BIGINT)", 1) + " AS ms", read="o_orderdate")
 
 
 def _guid_sql(hexexpr: str) -> str:

@@ -40,8 +40,8 @@ def get_session(master: str | None = None, app: str = "geoframe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (a
-    local test session) a private folder is created and installed.
+    The cluster's setting always wins.  Only in a local session where nothing
+    is configured a private folder is created; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="geoframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -113,16 +115,11 @@ def register(spark: SparkSession) -> None:
     key = id(spark)
     if key in _REGISTERED:
         return
+    # once for the session: readers with ``pushdown`` need it, others ignore it
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FileGDBDataSource)
     register_sql_functions(spark)
     _REGISTERED.add(key)
 
 
 _REGISTERED: set[int] = set()
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -443,6 +443,7 @@ def decode_rows(buf: np.ndarray, buf_len: int, row_pos: np.ndarray, oids: np.nda
             continue
         if t == RASTER:
             poisoned |= present
+            bad |= present      # its length is not known: neither are the later fields
             if want:
                 values[i] = ("null",)
             continue

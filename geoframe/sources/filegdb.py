@@ -32,6 +32,7 @@ Options (case-insensitive):
 from __future__ import annotations
 
 import bisect
+import logging
 import math
 from dataclasses import dataclass
 
@@ -127,7 +128,7 @@ def catalog_rows(path: str) -> list[tuple[int, str]]:
     if id_idx is not None:
         want.append(id_idx)
     out = []
-    for batch in _scan(path, hdr, want, [(0, None)], "PERMISSIVE", BATCH_ROWS, with_oid=True):
+    for batch in _scan(path, hdr, want, [(0, None)], "FAILFAST", BATCH_ROWS, with_oid=True):
         name_col = batch.column(0).to_pylist()
         ids = batch.column(1).to_pylist() if id_idx is not None else batch.column(-1).to_pylist()
         out += [(i, n) for i, n in zip(ids, name_col)]
@@ -185,12 +186,12 @@ def _row_ends_ok(buf, real_len, pos, offsets, file_size):
 
 
 def _scan(path: str, hdr: L.TableHeader, wanted: list[int], ranges, mode: str,
-          batch_rows: int, with_oid: bool = False):
+          batch_rows: int, with_oid: bool = False, names: list[str] | None = None):
     """Yield Arrow record batches of the wanted fields for the slot ranges."""
     fs, p = L.filesystem(path)
     tpath, xpath = L.table_paths(p, hdr.table)
     idx = L.read_index_header(path, hdr.table)
-    names = [hdr.fields[i].name for i in wanted]
+    names = names or [hdr.fields[i].name for i in wanted]
     with fs.open_input_file(tpath) as fh, fs.open_input_file(xpath) as xh:
         size = fh.size()
         for start, stop in ranges:
@@ -297,8 +298,11 @@ class FileGDBDataSource(DataSource):
             path, name, table = self._options()
             if not table:
                 table = resolve_table(path, name)
-            self._header = L.read_table_header(path, table) \
-                if table and L.exists(path, table) else None
+            if table and not L.exists(path, table):
+                raise FileNotFoundError(f"filegdb: the file of table {name or table} is missing in {path}")
+            if not table:
+                logging.getLogger(__name__).warning("filegdb: no table %s in %s: empty result", name, path)
+            self._header = L.read_table_header(path, table) if table else None
             if self._header and _bool(_opt(self.options, "rawShapes", "false")):
                 for f in self._header.fields:
                     if f.type_code == L.SHAPE and f.kind != "unsupported":
@@ -345,6 +349,7 @@ class FileGDBReader(DataSourceReader):
         n = int(_opt(options, "numRows", -1))
         self.num_rows = None if n < 0 else n
         self.wanted = self._columns(schema)
+        self.names = [f.name for f in schema.fields]     # as the caller spells them
         self.oid_intervals = None     # set by pushFilters
 
     def _columns(self, schema: StructType) -> list[int]:
@@ -398,7 +403,7 @@ class FileGDBReader(DataSourceReader):
         if partition is None or self.hdr is None:
             return
         yield from _scan(self.path, self.hdr, self.wanted, partition.ranges, self.mode,
-                         self.batch_rows)
+                         self.batch_rows, names=self.names)
 
 
 class FileGDBPushdownReader(FileGDBReader):
@@ -414,6 +419,8 @@ class FileGDBPushdownReader(FileGDBReader):
                 attr = getattr(f, "attribute", None)
                 if not attr or len(attr) != 1 or attr[0].lower() != oid:
                     continue
+                if getattr(f, "value", 0) is None:      # "= null" keeps no row: Spark's to say
+                    continue
                 if isinstance(f, EqualTo):
                     points = {int(f.value)} if points is None else points & {int(f.value)}
                 elif isinstance(f, In):
@@ -448,7 +455,6 @@ def read_table(spark, path: str, name: str, num_partitions: int | None = None,
     if num_partitions is not None:
         r = r.option("numPartitions", str(num_partitions))
     if pushdown:
-        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
         r = r.option("pushdown", "true")
     for k, v in options.items():
         r = r.option(k, str(v))

@@ -356,7 +356,9 @@ def read_index_header(path: str, table: str) -> IndexHeader:
         block_map = None
         if n_blocks != 0:
             tail = read_at(fh, 16, 16 + width * 1024 * n_blocks)
-            if len(tail) == 16:
+            if len(tail) < 16:
+                raise GDBFormatError(f"{table}: index trailer truncated")
+            else:
                 magic, nbits, n_blocks2, _ = struct.unpack("<iiii", tail)
                 if magic != 0:
                     if n_blocks2 != n_blocks or num_slots > nbits * 1024:
@@ -385,6 +387,8 @@ def read_offsets(fh, header: IndexHeader, slots: np.ndarray) -> np.ndarray:
     have = len(arr) // w
     rel = p - lo
     ok = rel < have
+    if not ok.all():
+        raise GDBFormatError("index truncated: fewer entries than slots")
     idx = rel[ok][:, None] * w + np.arange(w)
     b = arr[idx].astype(np.uint64)
     shifts = (np.arange(w, dtype=np.uint64) * np.uint64(8))

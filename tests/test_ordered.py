@@ -69,3 +69,54 @@ def test_track_pieces_keep_every_segment(spark):
     want = ev.select("user_id", F.lag("x").over(w).alias("ax"), F.lag("y").over(w).alias("ay"),
                      F.col("x").alias("bx"), F.col("y").alias("by")).filter("ax IS NOT NULL")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.mark.parametrize("values", [
+    [("a", 1.0), ("a", NAN), ("b", 1.0), ("b", 2.0)], [("a", 1e17), ("b", 0.1), ("b", 0.2)],
+    [("a", INF), ("a", 1.0), ("b", None), ("b", 5.0), ("c", None)], [(None, 1.0), (None, 2.0), ("x", -INF)]])
+def test_running_sum_of_floats_is_a_window(spark, values):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(g, i, v) for i, (g, v) in enumerate(values)], "g string, o int, v double")
+    frame = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r["o"]: str(r["s"]) for r in df.withColumn("s", F.sum("v").over(frame)).collect()}
+    for ranges in (1, 3):
+        got = {r["o"]: str(r["s"]) for r in running_sum(df, ["g"], ["o"], {"s": "v"}, num_ranges=ranges).collect()}
+        assert got == want
+
+
+def test_nan_keys_are_one_group(spark):
+    df = spark.createDataFrame([(NAN, i) for i in range(3)], "g double, o int").selectExpr("*", "1L AS one")
+    for ranges in (1, 3):
+        got = sorted(r["n"] for r in running_sum(df, ["g"], ["o"], {"n": "one"}, num_ranges=ranges).collect())
+        assert got == [1, 2, 3]
+
+
+def test_types_and_overflow(spark):
+    from pyspark.sql import functions as F
+    small = spark.createDataFrame([(1, 100), (2, 100)], "o int, v int").withColumn("v", F.col("v").cast("tinyint"))
+    out = running_sum(small, [], ["o"], {"s": "v"})
+    assert out.schema["s"].dataType.simpleString() == "bigint" and out.agg(F.max("s")).first()[0] == 200
+    with pytest.raises(TypeError):
+        running_sum(small.withColumn("v", F.col("v").cast("decimal(20,2)")), [], ["o"], {"s": "v"})
+    big = spark.createDataFrame([(1, 1 << 62), (2, 1 << 62)], "o int, v long")
+    with pytest.raises(Exception, match="64 bits"):
+        running_sum(big, [], ["o"], {"s": "v"}, num_ranges=1).collect()
+
+
+def test_ranges_follow_the_size(spark):
+    from geoframe.operators.ordered import TARGET_RANGE_BYTES, _num_ranges
+    df = spark.range(100_000_000_000)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert size > 1000 * TARGET_RANGE_BYTES and _num_ranges(df, None) == -(-size // TARGET_RANGE_BYTES)
+
+
+def test_ties_span_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from geoframe.operators.ordered import RANGE_COL, ranged
+    df = spark.range(20_000).select(F.lit("g").alias("g"), F.lit(1).alias("o"), "id")
+    assert ranged(df, ["g"], ["o"], 8).select(RANGE_COL).distinct().count() == 8
