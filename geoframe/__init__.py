@@ -6,7 +6,7 @@ geometries as ordinary Spark columns.
 * ``geoframe.operators``  DataFrame-level operators (segments, ordered scans,
                           table helpers, shape decoding)
 * ``geoframe.plans``      the registered check queries and their SQL oracles
-* ``geoframe.streaming``  notes on use with Structured Streaming
+* ``geoframe.llm``        operators for training-data pipelines (optional)
 * ``geoframe.testing``    a distributed geodatabase fixture writer (tests only)
 """
 

@@ -75,7 +75,7 @@ def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
 
 def _edges(data: DataFrame, group_cols: list[str], tmp: dict[str, str],
-           sum_types: dict[str, object], with_sums: bool = True) -> list:
+           sum_types: dict[str, object], summed: set[str]) -> list:
     """One row per range, from one narrow pass over the sorted ranges (no
     shuffle): the range's first and last group key, the sum of the last
     group's values inside the range, and the range's last value.  The result
@@ -104,7 +104,7 @@ def _edges(data: DataFrame, group_cols: list[str], tmp: dict[str, str],
             cont = _same_key(open_key, _key_at(b, group_cols, 0))
             last_start = int(np.flatnonzero(starts)[-1])
             for k, t in tmp.items():
-                if not with_sums:
+                if k not in summed:
                     continue
                 seg = pc.sum(b.column(t).slice(last_start).cast(sum_arrow[k])).as_py()
                 acc[k] = _add(acc[k], seg) if (last_start == 0 and cont) else seg
@@ -219,7 +219,7 @@ def _key_at(batch, group_cols, i):
     return tuple(batch.column(c)[i].as_py() for c in group_cols)
 
 
-def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, how: str,
+def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, summed: set[str],
                   out_types: dict[str, object]) -> DataFrame:
     fields = list(data.schema.fields) + [StructField(k, out_types[k], True) for k in tmp]
     schema = StructType(fields)
@@ -242,7 +242,7 @@ def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, how:
             new_acc, new_last = {}, {}
             for k, t in tmp.items():
                 v = b.column(t)
-                if how == "sum":
+                if k in summed:
                     is_int = pa.types.is_integer(v.type)
                     vals = pc.fill_null(v, 0).to_numpy(zero_copy_only=False).astype(
                         np.int64 if is_int else np.float64)
@@ -261,8 +261,7 @@ def _finish_arrow(data: DataFrame, group_cols, tmp: dict[str, str], carry, how:
                         arr = pc.if_else(pa.array(head), pa.scalar(last[k], v.type), arr)
                     outs.append(arr.cast(v.type))
                     new_last[k] = v[n - 1].as_py()
-            state = (_key_at(b, group_cols, n - 1), new_acc if how == "sum" else acc,
-                     new_last if how == "lag" else last)
+            state = (_key_at(b, group_cols, n - 1), new_acc, new_last)
             yield pa.RecordBatch.from_arrays(list(b.columns) + outs, names=names)
 
     return data.mapInArrow(run, schema)
@@ -279,21 +278,29 @@ def _value_type(df: DataFrame, col: Column, how: str):
     raise TypeError(f"running sums take integers or floating-point numbers, not {t.simpleString()}")
 
 
-def _scan(df, group_cols, order_cols, value_cols, num_ranges, how, finish):
-    vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in value_cols.items()}
+def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                 sums: dict[str, Column | str] | None = None,
+                 lags: dict[str, Column | str] | None = None, num_ranges: int | None = None,
+                 finish: str = "arrow") -> DataFrame:
+    """Running sums and previous values from one sorted pass; see
+    :func:`running_sum` and :func:`lag_in_group`."""
+    vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in {**(sums or {}), **(lags or {})}.items()}
+    summed = set(sums or {})
     tmp = {k: f"_gf_v_{i}" for i, k in enumerate(vals)}
-    out_types = {k: _value_type(df, v, how) for k, v in vals.items()}
-    casts = {k: (v.cast(out_types[k]) if how == "sum" else v) for k, v in vals.items()}
+    out_types = {k: _value_type(df, v, "sum" if k in summed else "lag") for k, v in vals.items()}
+    casts = {k: (v.cast(out_types[k]) if k in summed else v) for k, v in vals.items()}
     base = df.select("*", *[casts[k].alias(tmp[k]) for k in vals])
     data = ranged(base, group_cols, order_cols, num_ranges)
     if finish == "arrow":
         # lag needs no sums: the carried value is the previous range's last row
-        sum_types = {k: (out_types[k] if how == "sum" else LongType()) for k in tmp}
-        edges = _edges(data, group_cols, tmp, sum_types, with_sums=how == "sum")
+        sum_types = {k: (out_types[k] if k in summed else LongType()) for k in tmp}
+        edges = _edges(data, group_cols, tmp, sum_types, summed)
         carry = _carries(edges, group_cols, tmp)
-        out = _finish_arrow(data, group_cols, tmp, carry, how, out_types)
+        out = _finish_arrow(data, group_cols, tmp, carry, summed, out_types)
         return out.select(*df.columns, *vals.keys())
-    return _finish_window(data, df, group_cols, order_cols, tmp, how)
+    if sums and lags:
+        raise ValueError("finish='window' takes sums or lags, not both")
+    return _finish_window(data, df, group_cols, order_cols, tmp, "sum" if sums else "lag")
 
 
 def _finish_window(data, df, group_cols, order_cols, tmp, how):
@@ -335,7 +342,7 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
     Integers are summed exactly in 64 bits (``OverflowError`` beyond), floats
     as doubles; other types are refused.  Rows that tie on the order keys are
     taken in the order of a hash of their values."""
-    return _scan(df, group_cols, order_cols, value_cols, num_ranges, "sum", finish)
+    return ordered_scan(df, group_cols, order_cols, value_cols, None, num_ranges, finish)
 
 
 def lag_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -343,7 +350,7 @@ def lag_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  finish: str = "arrow") -> DataFrame:
     """Add the previous row's value per group (``lag(v, 1)``), null for the
     first row of a group."""
-    return _scan(df, group_cols, order_cols, value_cols, num_ranges, "lag", finish)
+    return ordered_scan(df, group_cols, order_cols, None, value_cols, num_ranges, finish)
 
 
 def assign_object_ids(df: DataFrame, order_cols: list[str], start_id: int = 0,

@@ -18,13 +18,6 @@ from pyspark.sql import functions as F
 from geoframe.functions.geometry import col_of
 
 
-def part_starts(xy_num) -> Column:
-    """First vertex index of every part (exclusive prefix sum of xyNum)."""
-    num = col_of(xy_num)
-    return F.transform(num, lambda n, i: F.aggregate(F.slice(num, 1, i), F.lit(0),
-                                                     lambda a, b: a + b))
-
-
 def vertex_parts(xy_num) -> Column:
     """Per vertex: struct(p = part number, k = index inside the part)."""
     num = col_of(xy_num)

@@ -69,7 +69,7 @@ def describe_fields(spark: SparkSession, schema: StructType | DataFrame) -> Data
 
 
 def tolerance_check(df: DataFrame, geom: str, kind: str, expected: dict[str, str],
-                    tolerance: float | dict[str, float], id_col: str = "OBJECTID",
+                    tolerance: float | dict[str, float] | None = None, id_col: str = "OBJECTID",
                     rid_col: str | None = "RID") -> DataFrame:
     """Violations of "shape agrees with its attribute columns".
 
@@ -77,11 +77,27 @@ def tolerance_check(df: DataFrame, geom: str, kind: str, expected: dict[str, str
     ``"x"``/``"y"``/``"z"``/``"m"`` for points, ``"xmin"`` etc. for boxes,
     ``"v0.x"`` / ``"v2.m"`` for the ordinate of vertex *i* of a poly.  A row
     is reported when any ``abs(shape - attribute) > tolerance`` (or either is
-    null), or ``rid_col`` differs from ``id_col``.  Output: id, check name,
+    null), or ``rid_col`` differs from ``id_col``.  ``tolerance`` is one number
+    for all, or one per ordinate (``"xy"`` stands for x and y); without it the
+    geometry column's own ``xyTolerance`` / ``zTolerance`` / ``mTolerance`` are
+    taken.  An ordinate without a tolerance is an error.  Output: id, check name,
     shape value, attribute value.  An empty result means the layer passes.
     """
     g = F.col(geom)
-    tol = tolerance if isinstance(tolerance, dict) else {}
+    if tolerance is None:
+        md = df.schema[geom].metadata or {}
+        tolerance = {k: md[k + "Tolerance"] for k in ("xy", "z", "m") if md.get(k + "Tolerance") is not None}
+
+    def within(ordinate: str) -> float:
+        if not isinstance(tolerance, dict):
+            return float(tolerance)
+        # boxes: xmin, ymax ... follow their axis
+        axis = ordinate[0]
+        for key in (ordinate, axis, "xy" if axis in "xy" else None):
+            if key in tolerance:
+                return float(tolerance[key])
+        raise ValueError(f"tolerance_check: no tolerance for ordinate {ordinate}")
+
     checks = []
     for ref, attr in expected.items():
         if ref.startswith("v") and "." in ref:
@@ -89,10 +105,10 @@ def tolerance_check(df: DataFrame, geom: str, kind: str, expected: dict[str, str
             stride = KIND_STRIDE[kind]
             off = {"x": 0, "y": 1, "m": 2}[ordn]
             shape_v = F.get(g.getField("xyArr"), int(idx) * stride + off)
-            t = tol.get(ordn, tol.get("xy", tolerance if not tol else 0.0))
+            t = within(ordn)
         else:
             shape_v = g.getField(ref)
-            t = tol.get(ref, tol.get("xy", tolerance if not tol else 0.0))
+            t = within(ref)
         attr_v = F.col(attr).cast("double")
         bad = (F.abs(shape_v - attr_v) > F.lit(float(t))) | shape_v.isNull() | attr_v.isNull()
         checks.append(F.when(bad, F.struct(F.lit(ref).alias("check"),
@@ -106,8 +122,3 @@ def tolerance_check(df: DataFrame, geom: str, kind: str, expected: dict[str, str
     found = df.select(F.col(id_col).alias("id"),
                       F.explode(F.filter(F.array(*checks), lambda s: s.isNotNull())).alias("v"))
     return found.select("id", "v.check", "v.shape_value", "v.attribute_value")
-
-
-def vertex_ordinates(g: Column, kind: str, which: str) -> Column:
-    """All x (or y, or m) ordinates of a poly value as an array."""
-    return ordinates(g.getField("xyArr"), KIND_STRIDE[kind], {"x": 0, "y": 1, "m": 2}[which])

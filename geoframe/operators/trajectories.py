@@ -21,13 +21,17 @@ from geoframe.operators.ordered import running_sum
 
 def polylines_from_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
                         x: str, y: str, m: str | None = None,
-                        max_vertices: int = 1000, num_ranges: int | None = None) -> DataFrame:
+                        max_vertices: int | None = None, num_ranges: int | None = None) -> DataFrame:
     """One polyline (or polylineM when ``m`` is given) per group piece.
 
     Output: ``group_cols``, ``piece`` (0-based), ``Shape`` (poly struct, one
-    part, bbox from its vertices), ``n_vertices``, ``first_rank``.  Piece *p*
+    part, bbox from its vertices), ``n_vertices``, ``first_rank``.  Without
+    ``max_vertices`` a group is one polyline, however long (its vertices then
+    meet in one row); with it, tracks are cut and piece *p*
     holds ranks ``p*(K-1) .. (p+1)*(K-1)`` with ``K = max_vertices``.
     """
+    if max_vertices is None:
+        return _whole(df, group_cols, order_cols, x, y, m)
     if max_vertices < 2:
         raise ValueError("max_vertices must be at least 2")
     step = max_vertices - 1
@@ -54,3 +58,14 @@ def polylines_from_rows(df: DataFrame, group_cols: list[str], order_cols: list[s
                           poly_from_coords(coords, None, 3 if m else 2).alias("Shape"),
                           n.alias("n_vertices"),
                           F.get(F.col("_verts"), 0).getField("rk").alias("first_rank"))
+
+
+def _whole(df, group_cols, order_cols, x, y, m) -> DataFrame:
+    """One polyline per group."""
+    ordinates = [F.col(c).cast("double") for c in (x, y, *([m] if m else []))]
+    vert = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                    F.array(*ordinates).alias("_xy"))
+    grouped = df.groupBy(*group_cols).agg(F.sort_array(F.collect_list(vert)).alias("_verts"))
+    return grouped.select(*group_cols, F.lit(0).cast("long").alias("piece"),
+                          poly_from_coords(F.flatten("_verts._xy"), None, 3 if m else 2).alias("Shape"),
+                          F.size("_verts").alias("n_vertices"), F.lit(0).cast("long").alias("first_rank"))
