@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MAX_CHUNKS = 1_000_000         # chunks that a worker keeps
+MAX_CHUNKS = 600_000         # chunks that a worker keeps
 MAX_CHUNK_CHARS = 64          # longer ones are encoded every time
 
 
