@@ -6,11 +6,11 @@ order, share a token.  Candidates share such a prefix token under a first order
 (found by a join on tokens) and also under a second one (checked on the spot);
 what passes both filters is verified on whole sets.
 
-The first order is rare-first: tokens whose hash lies in the lowest ``UNIVERSE``
-of all hashes, by the number of sets that hold them, then all others by hash.  A
-prefix takes a tenth or so of a set, so a fifth of the tokens is nearly always
-enough to choose it from, and only that fifth is counted and shuffled; a set
-whose fifth is too small sends the tokens that follow as well.  A prefix token
+The first order is rare-first: tokens whose hash lies in the lowest part of all
+hashes (the ``universe``), by the number of sets that hold them, then all others by
+hash.  A prefix takes ``1 - t`` of a set, so twice that share of the tokens is
+enough to choose it from, and only these are counted and shuffled; a set that has
+too few of them sends the tokens that follow as well.  A prefix token
 that one set alone holds can meet nobody, which leaves most sets without any
 candidate.  The second order is that of another hash.
 
@@ -32,12 +32,10 @@ from geoframe.llm.common import materialise, query, table
 from geoframe.llm.hashing import batches_of, mix, word_hashes
 from geoframe.llm.linking import intersections, similar_components
 
-UNIVERSE = 0.2            # share of all token hashes that is counted
 BIG = 100_000             # tokens held by more sets count as held by so many
 BATCH_BYTES = 1 << 19
 SEEN = 1_000_000          # sets that a task remembers, not to send them twice
 TOKEN_BYTES = 5           # of a token's hash in an item; see ``pack``
-_LIMIT = np.uint64(int(UNIVERSE * (1 << 64)))
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -72,6 +70,12 @@ def set_id(s: np.ndarray) -> int:
         return int(mix(np.array([parts + np.uint64(len(s))]))[0].astype("int64"))
 
 
+def universe_limit(percent: int, universe: float | None = None) -> int:
+    """Tokens below this are counted: by default twice a prefix's share."""
+    share = 2 * (100 - percent) / 100 if universe is None else universe
+    return min(int(share * (1 << 64)), (1 << 64) - 1)
+
+
 def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
@@ -154,12 +158,15 @@ def similar_sets(percent: int):
 
 
 def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-                     text: str = "text") -> DataFrame:
+                     text: str = "text", universe: float | None = None) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``
     (smallest id reachable by links of at least ``percent`` / 100)."""
+    bound = universe_limit(percent, universe)
+    limit = np.uint64(bound)
+
     def sizes(batches):
         for batch in batches:
-            found = [(len(s), set_id(s) if len(s) else None, int(np.searchsorted(s, _LIMIT)))
+            found = [(len(s), set_id(s) if len(s) else None, int(np.searchsorted(s, limit)))
                      for _, s in _sets(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3))],
@@ -175,7 +182,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(rid)
-                head = s[:max(int(np.searchsorted(s, _LIMIT)), prefix_length(len(s), percent))]
+                head = s[:max(int(np.searchsorted(s, limit)), prefix_length(len(s), percent))]
                 keys.append(head.view("int64"))
                 rids.append(np.full(len(head), rid, dtype="int64"))
             if keys:
@@ -205,7 +212,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     shared = (docs.select(text).mapInArrow(prefixes, "key long, rid long")
               .repartition("key").sortWithinPartitions("key", "rid")
               .mapInArrow(_held_by, "key long, rid long, held long"))
-    is_counted = F.shiftrightunsigned("key", 1) < F.lit(int(_LIMIT) >> 1)
+    is_counted = F.shiftrightunsigned("key", 1) < F.lit(bound >> 1).cast("long")
     per_set = (docs_sets.where("rid IS NOT NULL").groupBy("rid")
                .agg(F.first("n_shingles").alias("size"), F.first("counted").alias("counted")))
     by_set = Window.partitionBy("rid")

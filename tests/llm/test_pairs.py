@@ -179,10 +179,8 @@ def word_sets(texts, n):
     return out
 
 
-@pytest.mark.parametrize("universe", [0.2, 0.0001, 0.9])
-def test_ngrams(frame, documents, monkeypatch, universe):
-    monkeypatch.setattr(ngram_join, "UNIVERSE", universe)
-    monkeypatch.setattr(ngram_join, "_LIMIT", np.uint64(int(universe * (1 << 64))))
+@pytest.mark.parametrize("universe", [None, 0.0001, 1.0])
+def test_ngrams(frame, documents, universe):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(300)]
     base = [rng.choice(words) for _ in range(80)]
@@ -199,7 +197,7 @@ def test_ngrams(frame, documents, monkeypatch, universe):
     comp = groups(pairs, range(len(texts)))
     df = frame(texts).withColumn("key", F.lit(0)).withColumn("rid", F.lit(0))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
-           for r in ngram_join.ngram_components(df, 3, 90).collect()}
+           for r in ngram_join.ngram_components(df, 3, 90, universe=universe).collect()}
     assert got == {i: (len(s), comp[i]) for i, s in enumerate(sets)}
 
 
