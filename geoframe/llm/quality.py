@@ -176,7 +176,12 @@ def measure(docs: DataFrame, refs: DataFrame | None = None, text: str = "text",
           .withColumn("q_kept", ~F.col("q_base_failed")
                       & (F.coalesce("q_class_divergence", F.lit(0.0)) <= MAX_CLASS_DIVERGENCE)
                       & (F.coalesce("q_word_divergence", F.lit(0.0)) <= MAX_WORD_DIVERGENCE)))
-    return df.select(*[c for c in own if c not in MEASURES], *MEASURES)
+    # the measures come out of a generator of one row: a filter on them would
+    # otherwise be pushed below every step above, and each column replaced by
+    # its expression over and over
+    own = [c for c in own if c not in MEASURES]
+    one = F.explode(F.array(F.struct(*MEASURES))).alias("_q_one")
+    return df.select(*own, one).select(*own, *[F.col(f"_q_one.{c}") for c in MEASURES])
 
 
 MEASURES = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words",
@@ -185,11 +190,7 @@ MEASURES = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_re
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass, with their own columns only."""
-    measured = measure(docs, None, text, lang)
-    # a filter would be pushed below the measuring steps, and every column in it
-    # replaced by its expression; a generator of one row or none is not
-    one = F.explode(F.when(F.col("q_kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    return measured.select(*docs.columns, one.alias("_q_one")).select(*docs.columns)
+    return measure(docs, None, text, lang).where("q_kept").select(*docs.columns)
 
 
 @query("op10_quality_divergence")
