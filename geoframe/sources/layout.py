@@ -56,7 +56,11 @@ def hex_name(table_id: int) -> str:
 # ------------------------------------------------------------------ files
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """Filesystem + path for a local path or any URI pyarrow understands."""
+    """Filesystem + path for a local path or any URI pyarrow understands, and
+    for the Hadoop spellings of S3."""
+    scheme, mark, rest = path.partition("://")
+    if mark and scheme in ("s3a", "s3n"):
+        path = "s3://" + rest
     if "://" in path and not path.startswith("file://"):
         return pafs.FileSystem.from_uri(path)
     if path.startswith("file:"):
