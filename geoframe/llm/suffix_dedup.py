@@ -47,7 +47,7 @@ HEAD = 16                 # bytes by which runs are exchanged
 
 
 def _chunks(rows: list, length: int):
-    """``rows``: (row, offset, bytes) segments.  Per chunk: index into rows,
+    """``rows``: (row, offset, bytes, ...) segments.  Per chunk: index into rows,
     first start, last start, anchor (all within the text), key, context."""
     parts = [r[2] for r in rows]
     data = np.frombuffer(b"".join(parts), dtype="u1")
@@ -82,8 +82,9 @@ def _chunks(rows: list, length: int):
 
 
 def _segments(batches, length: int):
-    """Lists of (row, offset, bytes); long texts are cut with an overlap that
-    leaves every start to one segment."""
+    """Lists of (row, offset, bytes, begin, stop); long texts are cut so that a
+    segment sees every chunk whose first start lies in [begin, stop) whole, and
+    of a chunk that begins earlier some start before ``begin``."""
     step, overlap = SEGMENT, length + WINDOW + GRAM
 
     def cut():
@@ -91,10 +92,11 @@ def _segments(batches, length: int):
             for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 if len(data) <= step + overlap:
-                    yield row, 0, data, len(data)
+                    yield row, 0, data, 0, len(data)
                 else:
                     for s in range(0, len(data), step):
-                        yield row, s, data[s:s + step + overlap], s + step
+                        seen = max(0, s - WINDOW)
+                        yield row, seen, data[seen:s + step + overlap], s, s + step
     held, size = [], 0
     for item in cut():
         if len(item[2]) < length:
@@ -109,12 +111,13 @@ def _segments(batches, length: int):
 
 
 def _found(batches, length: int):
-    """Per batch of segments: rows and chunks; a start that two segments of a
-    text see is left to the first."""
+    """Per batch of segments: rows and chunks; a chunk that two segments of a
+    text see belongs, with all its starts, to the one in which it begins."""
     for held in _segments(batches, length):
         of, lo, hi, a, key, context = _chunks(held, length)
-        stop = np.array([h[3] for h in held], dtype="int64")
-        own = lo < stop[of] if len(of) else np.zeros(0, bool)
+        begin = np.array([h[3] for h in held], dtype="int64")
+        stop = np.array([h[4] for h in held], dtype="int64")
+        own = (lo >= begin[of]) & (lo < stop[of]) if len(of) else np.zeros(0, bool)
         rows = np.array([h[0] for h in held], dtype="int64")
         yield (rows[of[own]], lo[own], hi[own], a[own], key[own].view("int64"), context[own].view("int64"))
 

@@ -288,6 +288,42 @@ def test_long_text_in_segments(frame, monkeypatch):
     assert starts >= set(range(len(text) - 400 + 1)) and max(starts) == len(text) - 400
 
 
+def value_batch(texts):
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())],
+                                      names=["row", "text"])
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_segments_give_the_chunks_of_the_whole(monkeypatch, repeats):
+    """Every chunk comes out once, whatever the segments."""
+    rng = random.Random(21)
+    texts = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (20_000, 7_531, 1_545, 1_544, 900, 3_000)]
+    if repeats:
+        texts += [texts[0][1_900:3_100] + texts[1], "ab" * 2_500]
+
+    def chunks():
+        return sorted(x for found in suffix_dedup._found([value_batch(texts)], 400)
+                      for x in zip(*(c.tolist() for c in found)))
+    whole = chunks()
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 1000)
+    assert chunks() == whole
+
+
+def test_texts_of_several_segments(frame):
+    """At the ends of segments only what is repeated goes."""
+    rng, at = random.Random(22), suffix_dedup.SEGMENT
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage, clean = text(700), text(2 * at + 5_000)
+    a, b, c, d = text(at - 350), text(at + 9_000), text(2 * at - 20), text(3_000)
+    texts = [clean, a + "1" + passage + "2" + b, c + "3" + passage + "4" + d]
+    want = [(0, clean), (1, a + "12" + b), (1, c + "34" + d)]
+    rows = suffix_dedup.dedup_stretches(frame(texts)).collect()
+    assert sorted(r["doc_id"] for r in rows) == [0, 1, 2]
+    for r in rows:
+        assert (r["_s_spans"], bytes(r["_s_kept"]) == want[r["doc_id"]][1].encode()) == (want[r["doc_id"]][0], True)
+
+
 def test_repeated_rows_are_occurrences(frame):
     text = "".join(random.Random(1).choice("abcdef ") for _ in range(900))
     rows = suffix_dedup.dedup_stretches(frame([(4, text), (4, text)])).collect()
