@@ -5,7 +5,7 @@ else, in the same text or another.  Sorting every suffix would move every text
 many times over, so only suffixes that matter are exchanged:
 
 * Each start p is served by the smallest 16-byte hash among the next ``WINDOW``
-  places, its anchor, which depends on the stretch at p alone.  Starts with the
+  places (half the stretch if that is less), its anchor, which depends on the stretch at p alone.  Starts with the
   same anchor form a chunk; all their stretches share the anchor's core.
 * Cores that are met once (a count by 64-bit fingerprint) hold no repeat.  Of
   the others, chunks whose whole context is met again (core and context: 128
@@ -19,7 +19,7 @@ many times over, so only suffixes that matter are exchanged:
 A hot passage is one row per task and core after partial aggregation, and
 copies of a context are one item.
 
-Cases: null text is empty; texts shorter than ``LENGTH`` lose nothing; rows with
+Cases: a ``length`` below ``SHORTEST`` raises; null text is empty; texts shorter than ``LENGTH`` lose nothing; rows with
 equal id and text are occurrences of their own and come out each; an empty table
 gives an empty result; other columns are kept.
 """
@@ -40,32 +40,42 @@ from geoframe.llm.merge_sort import front_code, front_decode, merge
 LENGTH = 400
 WINDOW = 128
 GRAM = 16
+SHORTEST = 2 * GRAM       # stretch that holds a window and the gram at its end
 SEGMENT = 1 << 19         # bytes of a text, or of several, hashed in one go
 CELL_BITS = 22            # of the filter of keys that is sent to all tasks
 RUN = 50_000              # suffixes in a sorted run
 HEAD = 16                 # bytes by which runs are exchanged
 
 
+def _window(length: int) -> int:
+    """Places among which a start has its anchor; the anchor's gram and core lie
+    within the stretch."""
+    if length < SHORTEST:
+        raise ValueError(f"stretches have {SHORTEST} bytes at least, not {length}")
+    return min(WINDOW, length // 2)
+
+
 def _chunks(rows: list, length: int):
     """``rows``: (row, offset, bytes, ...) segments.  Per chunk: index into rows,
     first start, last start, anchor (all within the text), key, context."""
+    window = _window(length)
     parts = [r[2] for r in rows]
     data = np.frombuffer(b"".join(parts), dtype="u1")
     sizes = np.array([len(p) for p in parts], dtype="int64")
     ends = np.cumsum(sizes)
     base = ends - sizes
     empty = np.zeros(0, "int64")
-    if len(data) < WINDOW + GRAM:
+    if len(data) < window + GRAM:
         return empty, empty, empty, empty, empty.view("uint64"), empty.view("uint64")
     roll = Rolling(BYTE[data])
     at = np.arange(len(data) - GRAM + 1)
     low = (roll(at, at + GRAM) & np.uint64(0xFFFFFFFF00000000)) | at.astype("uint64")
     span = 1
-    while span * 2 <= WINDOW:
+    while span * 2 <= window:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
-    if span < WINDOW:
-        low = np.minimum(low[:len(low) - (WINDOW - span)], low[WINDOW - span:])
+    if span < window:
+        low = np.minimum(low[:len(low) - (window - span)], low[window - span:])
     anchor = (low & np.uint64(0xFFFFFFFF)).astype("int64")
     of = np.repeat(np.arange(len(parts)), sizes)[:len(anchor)]
     start = np.nonzero(np.arange(len(anchor)) + length <= ends[of])[0]
@@ -75,7 +85,7 @@ def _chunks(rows: list, length: int):
     first = np.nonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])]))[0]
     last = np.concatenate([first[1:], [len(start)]]) - 1
     a, lo, hi, of = anchor[first], start[first], start[last], of[first]
-    key = roll(a, a + length + 1 - WINDOW)
+    key = roll(a, a + length + 1 - window)
     context = mix(roll(lo, hi + length) * np.uint64(3) + ((a - lo) * 4096 + (hi - lo)).astype("uint64"))
     shift = np.array([r[1] for r in rows], dtype="int64")[of] - base[of]
     return of, lo + shift, hi + shift, a + shift, key, context
@@ -243,6 +253,7 @@ def _merged(length: int):
 def repeated_spans(docs: DataFrame, row: str, text: str, length: int = LENGTH) -> DataFrame:
     """(row, spans array<struct<start, stop>>) of the bytes to remove; ``row`` is
     a long column that names a row (equal for equal rows)."""
+    _window(length)                        # raises here, not in a task
     spark = docs.sparkSession
     base = docs.select(F.col(row).alias("row"), F.col(text).alias("text"))
     keys = base.mapInArrow(_keys(length), "key long, context long")
@@ -313,7 +324,8 @@ def cut(data: bytes, spans) -> tuple[bytes, int]:
 def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     length: int = LENGTH) -> DataFrame:
     """``docs`` with all columns and ``_s_bytes`` (of the text), ``_s_spans``
-    (maximal runs that went) and ``_s_kept`` (binary)."""
+    (maximal runs that went) and ``_s_kept`` (binary).  ``length``: bytes of a
+    stretch, ``SHORTEST`` at least."""
     named = docs.withColumn("_s_row", F.xxhash64(F.col(id_col), F.col(text)))
     spans = repeated_spans(named, "_s_row", text, length).withColumnRenamed("row", "_s_row") \
         .withColumnRenamed("spans", "_s_found")

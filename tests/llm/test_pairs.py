@@ -266,6 +266,25 @@ def test_stretches(frame):
     assert suffix_dedup.dedup_stretches(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("length", [32, 33, 100, 143])
+def test_short_stretches(frame, length):
+    rng = random.Random(length)
+    text = lambda n: "".join(rng.choices("abcdefgh é", k=n))
+    passage, tail = text(length + 20), text(length)
+    texts = [None, "x" * (length - 1), "y" * length, "z" * (length + 1), "ab" * length]
+    texts += [text(80) + passage[:n] + text(40) for n in range(length - 2, length + 21) for _ in (0, 1)]
+    texts += [text(60) + tail, tail + text(60), tail, passage, text(25) + passage + passage]
+    want = brute_cut(texts, length)
+    for r in suffix_dedup.dedup_stretches(frame(texts), length=length).collect():
+        assert (r["_s_bytes"], r["_s_spans"], bytes(r["_s_kept"])) == want[r["doc_id"]], r["doc_id"]
+
+
+@pytest.mark.parametrize("length", [-1, 0, 31])
+def test_stretches_too_short(frame, length):
+    with pytest.raises(ValueError, match="32 bytes"):
+        suffix_dedup.dedup_stretches(frame(["text"]), length=length)
+
+
 def test_long_text_in_segments(frame, monkeypatch):
     """Cut into segments with an overlap, chunks of a text are those of the whole."""
     rng = random.Random(2)
