@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from geoframe.llm import line_dedup, ngram_join, packing, quality, suffix_dedup
 from geoframe.llm.common import materialise, table
 
+PASSAGE = 51              # words of a repeated passage that goes
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -36,9 +38,9 @@ def join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def stretch_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated stretches go, and documents of which nothing else is left.
-    Half a character at the end of a cut goes with it."""
-    done = suffix_dedup.dedup_stretches(docs)
+    """Repeated passages of over 50 words (or 400 bytes) go, and documents of which
+    nothing else is left.  Half a character at the end of a cut goes with it."""
+    done = suffix_dedup.dedup_stretches(docs, length=2 * PASSAGE - 1, words=PASSAGE)
     kept = F.replace(F.make_valid_utf8(F.col("_s_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
     done = done.withColumn("text", F.when(F.col("_s_spans") > 0, kept).otherwise(F.col("text")))
     empty = (F.col("_s_spans") > 0) & ~F.col("text").rlike(r"\S")

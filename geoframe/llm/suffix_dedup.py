@@ -38,6 +38,7 @@ from geoframe.llm.linking import multiple
 from geoframe.llm.merge_sort import front_code, front_decode, merge
 
 LENGTH = 400
+SPACE = b" \t\n\r\x0b\x0c"
 WINDOW = 128
 GRAM = 16
 SHORTEST = 2 * GRAM       # stretch that holds a window and the gram at its end
@@ -308,24 +309,42 @@ def repeated_spans(docs: DataFrame, row: str, text: str, length: int = LENGTH) -
     return found.groupBy("row").agg(F.collect_set(span).alias("spans"))
 
 
-def cut(data: bytes, spans) -> tuple[bytes, int]:
-    """What stays, and the number of maximal runs that went."""
-    kept, at, n, stop = [], 0, 0, -1
+def whole_words(data: bytes, start: int, stop: int) -> int:
+    """Words (what lies between ASCII white space) with both ends in
+    ``data[start:stop]``."""
+    n = len(data[start:stop].split())
+    for at in (start, stop):
+        if 0 < at < len(data) and not any(c in SPACE for c in data[at - 1:at + 1]):
+            n -= 1
+    return n
+
+
+def cut(data: bytes, spans, words: int = 0) -> tuple[bytes, int]:
+    """What stays, and the number of maximal runs that went.  Runs of fewer whole
+    words than ``words`` stay if they are below ``LENGTH`` bytes."""
+    runs: list[list[int]] = []
     for s, e in sorted(spans):
-        if s > stop:
-            n += 1
-            kept.append(data[at:s])
-        stop = max(stop, e)
-        at = stop
+        if runs and s <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], e)
+        else:
+            runs.append([s, e])
+    if words:
+        runs = [(s, e) for s, e in runs if e - s >= LENGTH or whole_words(data, s, e) >= words]
+    kept, at = [], 0
+    for s, e in runs:
+        kept.append(data[at:s])
+        at = e
     kept.append(data[at:])
-    return b"".join(kept), n
+    return b"".join(kept), len(runs)
 
 
 def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                    length: int = LENGTH) -> DataFrame:
+                    length: int = LENGTH, words: int = 0) -> DataFrame:
     """``docs`` with all columns and ``_s_bytes`` (of the text), ``_s_spans``
     (maximal runs that went) and ``_s_kept`` (binary).  ``length``: bytes of a
-    stretch, ``SHORTEST`` at least."""
+    stretch, ``SHORTEST`` at least.  ``words``: runs of fewer whole words stay if
+    they are below ``LENGTH`` bytes; with a ``length`` of ``2 * words - 1``, the
+    least that so many words take, no passage of ``words`` words is missed."""
     named = docs.withColumn("_s_row", F.xxhash64(F.col(id_col), F.col(text)))
     spans = repeated_spans(named, "_s_row", text, length).withColumnRenamed("row", "_s_row") \
         .withColumnRenamed("spans", "_s_found")
@@ -340,7 +359,7 @@ def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             kept, n, sizes = [], [], []
             for value, spans in zip(batch.column(at), found):
                 data = (value.as_py() or "").encode("utf-8", "surrogatepass")
-                stays, k = cut(data, [(s["start"], s["stop"]) for s in spans]) if spans else (data, 0)
+                stays, k = cut(data, [(s["start"], s["stop"]) for s in spans], words) if spans else (data, 0)
                 kept.append(stays)
                 n.append(k)
                 sizes.append(len(data))

@@ -349,6 +349,14 @@ def test_repeated_rows_are_occurrences(frame):
     assert [(r["_s_spans"], bytes(r["_s_kept"])) for r in rows] == [(1, b"")] * 2
 
 
+def test_whole_words():
+    data = b"one two  three\nfour"
+    assert [suffix_dedup.whole_words(data, a, b) for a, b in
+            ((0, 19), (0, 3), (0, 2), (1, 7), (3, 9), (4, 11), (5, 6), (8, 9), (15, 19))] == [4, 1, 0, 1, 1, 1, -1, 0, 1]
+    assert suffix_dedup.cut(data, [(0, 3), (3, 5), (8, 19)], 2) == (b"one two ", 1)
+    assert suffix_dedup.cut(b"x" * 500, [(0, 300), (200, 400)], 2) == (b"x" * 100, 1)
+
+
 # ---------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
@@ -386,3 +394,40 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in pieces.select("doc_id").collect()} == set(cut)
     assert hashlib.sha256(repr(sorted(cut)).encode()).hexdigest()
     assert C.ORACLE_SQL is None
+
+
+def test_pipeline_cuts_passages_of_over_50_words(spark, frame):
+    import corpus_pipeline as C
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = {n: text(n) for n in range(45, 63)}
+    passages[1] = "x" * 405
+    passages[51, "least"] = " ".join(rng.choices("abcdefgh", k=51))
+    passages[50, "letters"] = " ".join(rng.choices("abcdefgh", k=50))
+    assert sum(len(p) < 400 for n, p in passages.items() if n != 1) == len(passages) - 1
+    gone = {n for n in passages if n == 1 or (n if isinstance(n, int) else n[0]) > 50}
+    texts, want = [], []
+    for n, p in passages.items():
+        # the blanks around a passage differ, so that it is the whole repeat
+        for a, b in (("\n", "\t"), ("\t", "\n")):
+            x, y = text(40) + a, b + text(30)
+            texts.append(x + p + y)
+            want.append(x + y if n in gone else texts[-1])
+    found = {r["doc_id"]: r["text"] for r in C.stretch_stage(spark, frame(texts), "").collect()}
+    assert found == dict(enumerate(want))
+
+
+def test_stretch_stage_against_brute_force(spark, frame, documents):
+    import corpus_pipeline as C
+    texts = [t for _, t in documents]
+    data = [(t or "").encode() for t in texts]
+    seen = collections.Counter(d[i:i + 101] for d in data for i in range(len(d) - 100))
+    want = {}
+    for k, d in enumerate(data):
+        spans = [(i, i + 101) for i in range(len(d) - 100) if seen[d[i:i + 101]] > 1]
+        kept, n = suffix_dedup.cut(d, spans, 51)
+        text = kept.decode("utf-8", "ignore") if n else texts[k]
+        if not n or text.strip():
+            want[k] = text
+    assert {r["doc_id"]: r["text"] for r in C.stretch_stage(spark, frame(texts), "").collect()} == want
