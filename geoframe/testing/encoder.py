@@ -104,7 +104,7 @@ class TableSpec:
     oid_name: str | None = "OBJECTID"   # None: no object-id field
     oid_position: int = 0
     version: int = 4
-    offset_width: int = 4
+    offset_width: int = 4          # bytes of a row offset at least (wider if the file needs it)
     deleted_every: int = 0         # every k-th slot left empty (offset 0)
     sparse_blocks: bool = False    # only even 1024-slot blocks stored (block map)
     no_block_count: bool = False   # index header without block count / trailer
@@ -543,6 +543,15 @@ def _with_extent(df: DataFrame, spec: TableSpec) -> TableSpec:
     return dataclasses.replace(spec, fields=fields)
 
 
+def _offset_width(spec: TableSpec, size: int) -> int:
+    """Bytes of a row offset (4, 5 or 6) that reach every row of a file of
+    ``size`` bytes, the spec's at least."""
+    w = max(spec.offset_width, (max(size - 1, 0).bit_length() + 7) // 8)
+    if w > 6:
+        raise ValueError(f"offsets of a file of {size} bytes do not fit 6 bytes")
+    return w
+
+
 def write_table(spark: SparkSession, gdb_path: str, table: str, df: DataFrame,
                 spec: TableSpec, order_by: list[str], num_partitions: int | None = None) -> dict:
     """Encode ``df`` as table ``table`` (hex name) under ``gdb_path``."""
@@ -601,7 +610,7 @@ def write_table(spark: SparkSession, gdb_path: str, table: str, df: DataFrame,
     else:
         n_slots = int(_slots(spec, np.array([live - 1]))[0]) + 1 if live else 0
     n_phys = int(_physical(spec, np.array([n_slots - 1]))[0]) + 1 if n_slots else 0
-    w = spec.offset_width
+    w = _offset_width(spec, acc_bytes)
     n_blocks = 0 if spec.no_block_count else math.ceil(n_phys / 1024)
     index_entries = n_blocks * 1024 if n_blocks else n_phys
 
@@ -656,6 +665,8 @@ def write_table(spark: SparkSession, gdb_path: str, table: str, df: DataFrame,
                     slots = _slots(spec, rb + seq)
                 phys = _physical(spec, slots)
                 lo, hi = int(phys.min()), int(phys.max())
+                if int(row_off.max()) >> (8 * w):
+                    raise RuntimeError(f"row offset {int(row_off.max())} does not fit {w} bytes")
                 block = np.zeros((hi - lo + 1, 8), np.uint8)
                 block[phys - lo] = row_off.astype("<u8").view(np.uint8).reshape(-1, 8)
                 os.pwrite(xfd, block[:, :w].tobytes(), 16 + lo * w)

@@ -144,6 +144,27 @@ def test_wide_offsets_beyond_4gb(spark, tmp_gdb):
     assert os.path.getsize(os.path.join(local_path(tmp_gdb), "a00000002.gdbtable")) > 1 << 32
 
 
+@pytest.mark.parametrize("gap", [(1 << 32) + 12345, (1 << 32) - 400])
+def test_offsets_past_4gib_by_default(spark, tmp_gdb, gap):
+    """The default width grows with the file, also where only some rows need it."""
+    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    spec = TableSpec([FieldSpec("n_nationkey", "int32"), FieldSpec("n_name", "string")], row_gap=gap)
+    write_table(spark, tmp_gdb, "a00000002", nation, spec, ["n_nationkey"], num_partitions=2)
+    df = spark.read.format("filegdb").option("path", tmp_gdb).option("table", "a00000002").load()
+    got = sorted((r.n_nationkey, r.n_name) for r in df.collect())
+    assert got == sorted((r.n_nationkey, r.n_name) for r in nation.collect())
+    assert os.path.getsize(os.path.join(local_path(tmp_gdb), "a00000002.gdbtable")) > 1 << 32
+
+
+def test_offset_width_of_a_size():
+    from geoframe.testing.encoder import _offset_width
+    sizes = (0, 41, 1 << 32, (1 << 32) + 1, 1 << 40, (1 << 40) + 1, 1 << 48)
+    assert [_offset_width(TableSpec([]), n) for n in sizes] == [4, 4, 4, 5, 5, 6, 6]
+    assert _offset_width(TableSpec([], offset_width=6), 41) == 6
+    with pytest.raises(ValueError, match="6 bytes"):
+        _offset_width(TableSpec([]), (1 << 48) + 1)
+
+
 def _patch(path, table, offset, value):
     with open(os.path.join(local_path(path), table + ".gdbtable"), "r+b") as fh:
         fh.seek(offset)
