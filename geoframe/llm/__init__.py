@@ -1,6 +1,6 @@
 """Operators for training-data pipelines, and the queries that apply them."""
 
-from geoframe.llm import (bpe, chat, line_dedup, ngram_join, packing, quality,  # noqa: F401
+from geoframe.llm import (bpe, chat, line_dedup, ngram_join, packing, phrases, quality,  # noqa: F401
                           suffix_dedup, token_files, toxicity,
                           vectors)
 from geoframe.llm.common import REGISTRY, SQL
