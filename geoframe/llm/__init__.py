@@ -1,7 +1,7 @@
 """Operators for training-data pipelines, and the queries that apply them."""
 
-from geoframe.llm import (bpe, chat, line_dedup, ngram_join, packing, phrases, quality,  # noqa: F401
-                          suffix_dedup, token_files, toxicity,
+from geoframe.llm import (bpe, chat, hard_negatives, line_dedup, ngram_join, packing,  # noqa: F401
+                          phrases, quality, suffix_dedup, token_files, topk_search, toxicity,
                           vectors)
 from geoframe.llm.common import REGISTRY, SQL
 
