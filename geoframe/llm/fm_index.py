@@ -2,9 +2,9 @@
 
 Rows are the places of a sequence, sorted by the ``depth`` words that follow
 (which fixes the interval of every pattern of up to ``depth`` words); ``bwt`` is
-the word before each row's place.  ``lf`` joins the cumulative counts of words
-and the ranks inside ``bwt`` (C and Occ): ``lf[i]`` is the row of the place before
-row i's.  A second index of the reversed sequence extends patterns to the right;
+the word before each row's place.  ``starts`` are the cumulative counts of words
+(C) and ``order`` the rows by the word before them, so that ranks inside ``bwt``
+(Occ) are places in it and row ``order[j]`` steps back to row j.  A second index of the reversed sequence extends patterns to the right;
 an interval of both is kept in step as patterns grow.  Word 0 ends a piece; it
 is in no pattern.
 """
@@ -25,16 +25,17 @@ class FMIndex:
             for _ in range(depth):
                 key = key * size + after
                 after = np.roll(after, -1)
-            rows = np.argsort(key, kind="stable")
+            rows = np.argsort(key, kind="stable").astype("int32" if n < 1 << 31 else "int64")
+            del key, after
         else:
             rows = np.lexsort([np.roll(words, -k) for k in reversed(range(depth))])
         self.first = words[rows]                       # first word of each row
         self.bwt = words[rows - 1]
-        self.order = np.argsort(self.bwt, kind="stable")
-        self.lf = np.empty(n, "int64")
-        self.lf[self.order] = np.arange(n)
+        del rows
+        self.order = np.argsort(self.bwt, kind="stable").astype("int32" if n < 1 << 31 else "int64")
         self.starts = np.searchsorted(self.first, np.arange(size + 1))     # C
-        self.inner = np.concatenate([[0], np.cumsum(self.bwt != 0)])
+        self.inner = np.zeros(n + 1, "int64")
+        np.cumsum(self.bwt != 0, out=self.inner[1:])
 
     def occ(self, word: int, row: int) -> int:
         """How often ``word`` is in ``bwt[:row]``."""
@@ -82,14 +83,15 @@ class Bidirectional:
 
     def _grow(self, index: FMIndex, low, high):
         """All extensions of disjoint intervals by the word before: parent, word,
-        first row and end of each, ordered by word, then parent's rows.  Rows of
-        an extension follow each other under ``lf`` since rows keep their order."""
+        first row and end of each, ordered by word, then parent's rows.  Rows with
+        a word before them keep their order when they step back, so those of an
+        extension follow each other."""
         n = len(index.bwt)
-        parent = np.full(n, -1, "int64")
+        parent = np.full(n, -1, "int32")
         size = high - low
         rows = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
         parent[rows] = np.repeat(np.arange(len(low)), size)
-        came = parent[index.order]                      # parent of the row that lf leads here
+        came = parent[index.order]                      # parent of the row that steps back here
         edge = np.nonzero(np.concatenate([[True], (came[1:] != came[:-1])
                                           | (index.first[1:] != index.first[:-1])]))[0] if n else np.zeros(0, "int64")
         ends = np.concatenate([edge[1:], [n]])[:len(edge)]

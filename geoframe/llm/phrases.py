@@ -40,7 +40,7 @@ from geoframe.llm.fm_index import Bidirectional
 from geoframe.llm.hashing import mix
 from geoframe.llm.joins import spread_join
 
-SHARD = 12 << 20          # bytes of text in an index
+SHARD = 6 << 20           # bytes of text in an index
 LEAST = 10                # occurrences of a phrase
 WORDS = 3                 # of the longest phrase
 ROWS = 50_000             # in a batch that leaves a task
@@ -54,12 +54,12 @@ TABLE = bytes.maketrans(bytes(range(0x41, 0x5B)) + b"\t" + b".,;:!?\n\x0b\x0c\r"
 def words_of(texts: list[str]) -> list[bytes]:
     """The words of some texts with END after each piece and text."""
     data = b"\n".join([t.encode("utf-8", "surrogatepass") for t in texts] + [b""])
-    return data.translate(TABLE).replace(END, b" . ").split(b" ")
+    return data.translate(TABLE).replace(END, b" . ").split()
 
 
 def numbered(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     """The distinct words in byte order (END first) and the sequence of numbers."""
-    held = [w for w in words_of(texts) if w]
+    held = words_of(texts)
     found = dict.fromkeys(held)
     found.pop(END, None)
     names = [END, *sorted(found)]
