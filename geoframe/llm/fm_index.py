@@ -68,7 +68,8 @@ class Patterns:
 
 
 class Bidirectional:
-    """The index of a sequence and, unless ``one_way``, of its reverse."""
+    """The index of a sequence and, unless ``one_way``, of its reverse; without it
+    patterns grow to the left, and their places in the reverse are not kept."""
 
     def __init__(self, words: np.ndarray, depth: int, one_way: bool = False):
         self.forward = FMIndex(words, depth)
@@ -102,6 +103,8 @@ class Bidirectional:
         """Extensions, and their first rows in the other index: those of a parent
         lie there in the order of the added word, ends first."""
         parent, word, lo, hi = self._grow(index, low, high)
+        if self.reverse is None:
+            return parent, word, lo, hi, lo
         ends = (high - low) - index.extended(low, high)
         order = np.lexsort([word, parent])
         n = (hi - lo)[order]

@@ -27,17 +27,16 @@ their names, are not looked at.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoframe.llm.bit_filter import BitFilter, bit_filter
 from geoframe.llm.common import materialise, query, table
 from geoframe.llm.fm_index import Bidirectional
-from geoframe.llm.hashing import mix
+from geoframe.llm.hashing import BYTE, Rolling, mix
 from geoframe.llm.joins import spread_join
 
 SHARD = 6 << 20           # bytes of text in an index
@@ -86,9 +85,11 @@ def _shards(batches):
 
 
 def word_hashes(lang: str, names: list[bytes]) -> np.ndarray:
-    seed = hashlib.blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-    data = b"".join(hashlib.blake2b(w, digest_size=8, key=seed).digest() for w in names)
-    return np.frombuffer(data, "<u8")
+    """64-bit hashes of the words of a language."""
+    data = b"".join([lang.encode("utf-8", "surrogatepass"), *names])
+    ends = np.cumsum([len(data) - sum(map(len, names)), *map(len, names)])
+    found = Rolling(BYTE[np.frombuffer(data, "u1")])(np.concatenate([[0], ends[:-1]]), ends)
+    return mix(found[1:] + found[0])
 
 
 def pattern_hashes(words: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -117,13 +118,9 @@ def _hashed(batches):
                 p = index.left(p)
 
 
-def _pairs_pass(p, pair_ok, first: bool) -> np.ndarray:
-    """Whether the outermost pair of a pattern is one that passed."""
-    pair = p.words[:, :2] if first else p.words[:, -2:]
-    key = pair[:, 0].astype("int64") << 32 | pair[:, 1]
-    at = np.searchsorted(pair_ok, key)
-    return (at < len(pair_ok)) & (pair_ok[np.minimum(at, len(pair_ok) - 1)] == key) if len(pair_ok) \
-        else np.zeros(len(key), bool)
+def _pair_keys(words: np.ndarray) -> np.ndarray:
+    """The first two words of each pattern as one number."""
+    return words[:, 0].astype("int64") << 32 | words[:, 1]
 
 
 def _counted(longest: int, shared):
@@ -135,9 +132,10 @@ def _counted(longest: int, shared):
         k = p.words.shape[1]
         for at in range(0, len(p.words), ROWS):
             part = slice(at, at + ROWS)
-            phrases = [b" ".join([names[w] for w in row]) for row in p.words[part].tolist()]
+            columns = [names.take(pa.array(p.words[part, i])) for i in range(k)]
+            phrases = pc.binary_join_element_wise(*columns, b" ") if k > 1 else columns[0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+                [pa.array([lang] * len(phrases), pa.string()), phrases.cast(pa.string()),
                  pa.array(np.full(len(phrases), k, "int32")), pa.array(p.counts[part]),
                  pa.array(before[part]), pa.array(after[part])],
                 names=["lang", "phrase", "words", "n", "before", "after"])
@@ -153,6 +151,7 @@ def _counted(longest: int, shared):
                  *[pa.array([int((seq != 0).sum())], pa.int64())] * 3],
                 names=["lang", "phrase", "words", "n", "before", "after"])
             of = word_hashes(lang, names)
+            names = pa.array(names, pa.binary())
             index = Bidirectional(seq, longest)
             p = index.single()
             p = p.kept(may(pattern_hashes(p.words, of)))
@@ -160,12 +159,11 @@ def _counted(longest: int, shared):
             # pairs grow to the right of their first word, longer ones to the left
             p = index.right(p)
             p = p.kept(may(pattern_hashes(p.words, of)))
-            pair_ok = np.sort(p.words[:, 0].astype("int64") << 32 | p.words[:, 1])
+            passed = _pair_keys(p.words)
             yield from out(lang, names, p, index)
             for _ in range(longest - 2):
-                # _grow wants the intervals in any order but disjoint, as they are
                 p = index.left(p)
-                p = p.kept(_pairs_pass(p, pair_ok, True))
+                p = p.kept(np.isin(_pair_keys(p.words), passed))
                 yield from out(lang, names, p, index)
     return run
 

@@ -5,9 +5,9 @@ is a row's partial score for a query, and a row's score the sum over the lists.
 Lists are written once, spread over tasks, and never move; queries go to the tasks
 in blocks of bounded size, whatever their number.  For each block:
 
-1. Every task gives the best ``k`` partial scores of its part of a list; the best of
-   each list are scored exactly.  The k-th score found, t, is a safe cutoff: the
-   answer holds nothing below it.
+1. Every task gives the best ``GATHER * k`` partial scores of its part of a list; the
+   best of each list are scored exactly.  The k-th score found, t, is a safe cutoff:
+   the answer holds nothing below it.
 2. The cutoffs go to all tasks.  A row with a score of t has a partial score of
    t / slices in some list (of negative numbers, too), so every task gives all
    entries from there on.  An entry that cannot reach t even if the rest of both
@@ -15,8 +15,8 @@ in blocks of bounded size, whatever their number.  For each block:
 3. Entries of a row are summed, rows whose missing lists (below t / slices) cannot
    lift them to t go, and what remains is scored exactly.
 
-Two lists are the default, for random vectors of 64 components send 2 % of the rows
-in phase 2 where four send 20 % and eight nearly all.
+Two lists are the default: random vectors of 64 components send 2 % of the rows in
+phase 2 where four send 20 % and eight nearly all.
 
 Equal vectors are one row of a list, and equal queries one query, see
 ``int_vectors.py``.
@@ -42,6 +42,7 @@ from geoframe.llm.int_vectors import Factor, best_members, folded, integer_rows,
 from geoframe.llm.joins import spread_join
 
 SLICES = 2
+GATHER = 8                # times k: entries of a list that phase 1 scores
 CELLS = 4_000_000         # scores that a task holds at a time
 LOWEST = -(1 << 62)       # cutoff of a query with fewer than k candidates
 
@@ -210,8 +211,9 @@ def _block(queries: pa.Table, lists: DataFrame, classes: DataFrame, k: int, slic
     held = Queries(queries, slices)
     shared = spark.sparkContext.broadcast(held)
     best = Window.partitionBy("q", "s").orderBy(F.desc("partial"), "cls")
-    pairs = (lists.mapInArrow(_local_best(shared, k), "q long, cls long, partial long, s int")
-             .withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k).select("q", "cls").distinct())
+    pairs = (lists.mapInArrow(_local_best(shared, GATHER * k), "q long, cls long, partial long, s int")
+             .withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= GATHER * k)
+             .select("q", "cls").distinct())
     vectors = classes.select("cls", "dim", "vec")
 
     def scored(pairs: DataFrame, name: str) -> DataFrame:
