@@ -14,7 +14,8 @@ import re
 
 import numpy as np
 
-MAX_CHUNKS = 600_000         # chunks that a worker keeps
+MAX_BYTES = 32 << 20          # of chunks (or pieces) and their ids that a worker keeps
+ENTRY_BYTES = 200             # that an entry takes besides
 MAX_CHUNK_CHARS = 64          # longer ones are encoded every time
 
 
@@ -59,13 +60,15 @@ class ChunkCache(dict):
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.size = make, 0
 
     def __missing__(self, chunk):
         value = self.make(chunk)
         if len(chunk) <= MAX_CHUNK_CHARS:
-            if len(self) >= MAX_CHUNKS:
+            if self.size >= MAX_BYTES:
                 self.clear()
+                self.size = 0
+            self.size += ENTRY_BYTES + len(chunk) + len(value or b"")
             self[chunk] = value
         return value
 

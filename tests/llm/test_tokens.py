@@ -50,9 +50,9 @@ def test_long_word_by_heap_equals_scan(word_path):
 
 
 def test_chunk_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_CHUNKS", 3)
-    cache = tokens.ChunkCache(len)
-    assert [cache[str(i) * 2] for i in range(10)] == [2] * 10 and len(cache) <= 3
+    monkeypatch.setattr(tokens, "MAX_BYTES", 700)
+    cache = tokens.ChunkCache(str.encode)
+    assert [cache[str(i) * 2] for i in range(10)] == [b"%d%d" % (i, i) for i in range(10)] and len(cache) <= 4
     cache["x" * 1000]
     assert "x" * 1000 not in cache
 
