@@ -319,29 +319,40 @@ def whole_words(data: bytes, start: int, stop: int) -> int:
     return n
 
 
-def cut(data: bytes, spans, words: int = 0) -> tuple[bytes, int]:
-    """What stays, and the number of maximal runs that went.  Runs of fewer whole
-    words than ``words`` stay if they are below ``LENGTH`` bytes."""
+def stays(data: bytes, spans, words: int = 0, length: int = LENGTH) -> tuple[list[bytes], int]:
+    """The pieces that stay, and the number of maximal runs that went.  ``spans``
+    are stretches of ``length`` bytes and more.  With ``words``, stretches that
+    start at consecutive bytes are one repeat, and a repeat of fewer whole words
+    stays if it is below ``LENGTH`` bytes; short repeats that only touch or overlap
+    are judged one by one."""
+    spans = sorted(spans)
+    if words:
+        repeats: list[list[int]] = []
+        for s, e in spans:
+            if repeats and s <= repeats[-1][1] - length + 1:
+                repeats[-1][1] = max(repeats[-1][1], e)
+            else:
+                repeats.append([s, e])
+        spans = [(s, e) for s, e in repeats if e - s >= LENGTH or whole_words(data, s, e) >= words]
     runs: list[list[int]] = []
-    for s, e in sorted(spans):
+    for s, e in spans:
         if runs and s <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], e)
         else:
             runs.append([s, e])
-    if words:
-        runs = [(s, e) for s, e in runs if e - s >= LENGTH or whole_words(data, s, e) >= words]
     kept, at = [], 0
     for s, e in runs:
         kept.append(data[at:s])
         at = e
     kept.append(data[at:])
-    return b"".join(kept), len(runs)
+    return kept, len(runs)
 
 
 def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     length: int = LENGTH, words: int = 0) -> DataFrame:
     """``docs`` with all columns and ``_s_bytes`` (of the text), ``_s_spans``
-    (maximal runs that went) and ``_s_kept`` (binary).  ``length``: bytes of a
+    (maximal runs that went), ``_s_kept`` (binary) and ``_s_text`` (what stays, without
+    the half characters at the ends of a cut; null text stays null).  ``length``: bytes of a
     stretch, ``SHORTEST`` at least.  ``words``: runs of fewer whole words stay if
     they are below ``LENGTH`` bytes; with a ``length`` of ``2 * words - 1``, the
     least that so many words take, no passage of ``words`` words is missed."""
@@ -356,19 +367,20 @@ def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     def run(batches):
         for batch in batches:
             found = batch.column(batch.num_columns - 1).to_pylist()
-            kept, n, sizes = [], [], []
+            kept, n, sizes, texts = [], [], [], []
             for value, spans in zip(batch.column(at), found):
                 data = (value.as_py() or "").encode("utf-8", "surrogatepass")
-                stays, k = cut(data, [(s["start"], s["stop"]) for s in spans], words) if spans else (data, 0)
-                kept.append(stays)
+                pieces, k = stays(data, [(s["start"], s["stop"]) for s in spans or ()], words, length)
+                kept.append(b"".join(pieces))
                 n.append(k)
                 sizes.append(len(data))
+                texts.append("".join([x.decode("utf-8", "ignore") for x in pieces]) if k else value.as_py())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(kept, pa.binary())],
-                names=[*batch.schema.names[:-1], "_s_bytes", "_s_spans", "_s_kept"])
+                 pa.array(kept, pa.binary()), pa.array(texts, pa.string())],
+                names=[*batch.schema.names[:-1], "_s_bytes", "_s_spans", "_s_kept", "_s_text"])
 
-    return joined.mapInArrow(run, schema + ", _s_bytes long, _s_spans long, _s_kept binary")
+    return joined.mapInArrow(run, schema + ", _s_bytes long, _s_spans long, _s_kept binary, _s_text string")
 
 
 @query("op2_suffix_merge")
