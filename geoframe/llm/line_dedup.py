@@ -113,11 +113,10 @@ def _lines(texts):
 
 def _occurrences(batches):
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        found = [(ids[i], k, line_id(x)) for i, k, x in _lines(batch.column(1))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()),
-             pa.array([f[2] for f in found], pa.int64())], names=["id", "place", "rid"])
+        ids, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        found = [(ids[i], of[i], k, line_id(x)) for i, k, x in _lines(batch.column(2))]
+        kinds = zip(("id", "of", "place", "rid"), (pa.int64(), pa.int64(), pa.int32(), pa.int64()))
+        yield pa.RecordBatch.from_pydict({n: pa.array([f[c] for f in found], t) for c, (n, t) in enumerate(kinds)})
 
 
 def _new_lines(batches):
@@ -155,29 +154,31 @@ def _items(batches):
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The lines to remove: (id, places array<int>), one row per document."""
+    """The lines to remove: (id, of, places array<int>), one row per document; ``of`` is
+    a hash of the text, which tells rows with equal ids apart."""
     base = docs.where(F.col(id_col).isNotNull() & F.col(text).isNotNull()) \
-        .select(F.col(id_col).cast("long").alias("id"), text)
-    seen = materialise(base.mapInArrow(_occurrences, "id long, place int, rid long"), "line-places")
+        .select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("of"), text)
+    seen = materialise(base.mapInArrow(_occurrences, "id long, of long, place int, rid long"), "line-places")
     linked = similar_components(base.select(text).mapInArrow(_bands, "key long, rid long"),
                                 base.select(text).mapInArrow(_items, "rid long, item binary"),
                                 similar_lines, "line")
-    first = seen.groupBy("rid").agg(F.min(F.struct("id", "place")).alias("lo"),
-                                    F.max(F.struct("id", "place")).alias("hi"))
+    first = seen.groupBy("rid").agg(F.min(F.struct("id", "of", "place")).alias("lo"),
+                                    F.max(F.struct("id", "of", "place")).alias("hi"))
     first = (first.join(linked.withColumnRenamed("node", "rid"), "rid", "left")
              .where("component IS NOT NULL OR lo < hi").withColumn("component", F.coalesce("component", "rid")))
     keeper = first.groupBy("component").agg(F.min("lo").alias("keeper"))
     of = materialise(first.join(keeper, "component").select("rid", "keeper"), "line-keepers")
-    gone = seen.join(of, "rid").where(F.struct("id", "place") != F.col("keeper"))
-    return gone.groupBy("id").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    gone = seen.join(of, "rid").where(F.struct("id", "of", "place") != F.col("keeper"))
+    return gone.groupBy("id", "of").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated lines cut out of ``text``; all columns are kept
     and ``_l_places`` (array<int>, null if nothing went) is added."""
-    gone = repeated_lines(docs, id_col, text).withColumnRenamed("id", "_l_id") \
-        .withColumnRenamed("places", "_l_places")
-    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("_l_id"), "left").drop("_l_id")
+    gone = repeated_lines(docs, id_col, text).select(F.col("id").alias("_l_id"), F.col("of").alias("_l_of"),
+                                                     F.col("places").alias("_l_places"))
+    joined = docs.join(gone, (F.col(id_col).cast("long") == F.col("_l_id")) & (F.xxhash64(text) == F.col("_l_of")),
+                       "left").drop("_l_id", "_l_of")
     lines = F.filter(F.split(text, "\\n"), lambda x, i: ~F.array_contains("_l_places", i))
     return joined.withColumn(text, F.when(F.col("_l_places").isNull(), F.col(text))
                              .otherwise(F.array_join(lines, "\n")))

@@ -157,10 +157,11 @@ def similar_sets(percent: int):
     return run
 
 
-def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-                     text: str = "text", universe: float | None = None) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``
-    (smallest id reachable by links of at least ``percent`` / 100)."""
+def _components(docs: DataFrame, n: int, percent: int, id_col: str, text: str,
+                universe: float | None) -> DataFrame:
+    """One row per row of ``docs``: id, ``of`` (a hash of the text, which tells rows
+    with equal ids apart), ``n_shingles`` and ``first``, the smallest (id, of) reachable
+    (null for rows without shingles)."""
     bound = universe_limit(percent, universe)
     limit = np.uint64(bound)
 
@@ -169,8 +170,8 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             found = [(len(s), set_id(s) if len(s) else None, int(np.searchsorted(s, limit)))
                      for _, s in _sets(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3))],
-                names=["id", "n_shingles", "rid", "counted"])
+                [batch.column(0), batch.column(2), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3))],
+                names=["id", "of", "n_shingles", "rid", "counted"])
 
     def prefixes(batches):
         seen: set[int] = set()
@@ -204,8 +205,8 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(packed, pa.binary())],
                                              names=["rid", "item"])
 
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text)
-    docs_sets = materialise(base.mapInArrow(sizes, "id long, n_shingles long, rid long, counted long"),
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text, F.xxhash64(text).alias("of"))
+    docs_sets = materialise(base.mapInArrow(sizes, "id long, of long, n_shingles long, rid long, counted long"),
                             "ngram-sets")
     # tokens that two sets or more hold; of the counted ones a set needs those
     # by which its prefix is longer than its tokens that nobody else holds
@@ -223,23 +224,33 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     buckets = ranked.where(~F.col("of") | (F.col("rank") <= prefix - (F.col("counted") - F.col("known"))))
     linked = similar_components(buckets, docs.select(text).mapInArrow(items, "rid long, item binary"),
                                 similar_sets(percent), "ngram")
-    low = docs_sets.where("rid IS NOT NULL").groupBy("rid").agg(F.min("id").alias("low"))
-    of = low.join(linked.withColumnRenamed("node", "rid"), "rid", "left") \
+    low = docs_sets.where("rid IS NOT NULL").groupBy("rid").agg(
+        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "of"))).alias("low"))
+    found = low.join(linked.withColumnRenamed("node", "rid"), "rid", "left") \
         .withColumn("component", F.coalesce("component", "rid"))
-    best = of.groupBy("component").agg(F.min("low").alias("component_id"))
-    of = of.join(best, "component").select("rid", "component_id")
-    return (docs_sets.join(of, "rid", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.coalesce("component_id", "id").alias("component_id")))
+    best = found.groupBy("component").agg(F.min("low").alias("first"))
+    found = found.join(best, "component").select("rid", "first")
+    return docs_sets.join(found, "rid", "left").select("id", "of", "n_shingles", "first")
+
+
+def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
+                     text: str = "text", universe: float | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``
+    (smallest id reachable by links of at least ``percent`` / 100)."""
+    return _components(docs, n, percent, id_col, text, universe).select(
+        F.col("id").alias(id_col), "n_shingles", F.coalesce("first.id", "id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
              text: str = "text") -> DataFrame:
     """The document with the smallest id of each component, all columns; rows
-    without an id stay."""
-    found = ngram_components(docs, n, percent, id_col, text)
-    gone = (found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_n_id")).distinct())
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_n_id"), "left_anti")
+    without an id stay, and of rows with equal ids each is judged by its own text
+    (equal rows stay together)."""
+    found = _components(docs, n, percent, id_col, text, None)
+    gone = found.where(F.col("first").isNotNull() & (F.struct("id", "of") != F.col("first"))) \
+        .select(F.col("id").alias("_n_id"), F.col("of").alias("_n_of")).distinct()
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col("_n_id")) & (F.xxhash64(text) == F.col("_n_of")),
+                     "left_anti")
 
 
 @query("op8_ngram_multi_order")

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -241,6 +242,40 @@ def brute_cut(texts, length):
     return out
 
 
+def whole(data, a, b):
+    """Words of data[a:b] that lie in it whole."""
+    found = re.finditer(rb"[^ \t\n\r\x0b\x0c]+", data)
+    return sum(a <= m.start() and m.end() <= b for m in found)
+
+
+def brute_passages(texts, words=51, most=400):
+    """Per text, whether something goes and what stays of it: runs of bytes at which
+    a stretch of 2 * words - 1 bytes starts that is there again go with these
+    stretches, if they hold so many words, or ``most`` bytes."""
+    data = [(t or "").encode() for t in texts]
+    n = 2 * words - 1
+    seen = collections.Counter(d[i:i + n] for d in data for i in range(len(d) - n + 1))
+    out = []
+    for d in data:
+        gone, i = set(), 0
+        while i < len(d) - n + 1:
+            a = i
+            while i < len(d) - n + 1 and seen[d[i:i + n]] > 1:
+                i += 1
+            end = i - 1 + n
+            if i > a and (end - a >= most or whole(d, a, end) >= words):
+                gone.update(range(a, end))
+            i += 1
+        pieces = [[]]
+        for k, c in enumerate(d):
+            if k in gone:
+                pieces.append([])
+            else:
+                pieces[-1].append(c)
+        out.append((bool(gone), "".join(bytes(p).decode("utf-8", "ignore") for p in pieces)))
+    return out
+
+
 def stretch_texts():
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("abcdefghij é") for _ in range(rng.randint(1, 9)))
@@ -353,8 +388,9 @@ def test_whole_words():
     data = b"one two  three\nfour"
     assert [suffix_dedup.whole_words(data, a, b) for a, b in
             ((0, 19), (0, 3), (0, 2), (1, 7), (3, 9), (4, 11), (5, 6), (8, 9), (15, 19))] == [4, 1, 0, 1, 1, 1, -1, 0, 1]
-    assert suffix_dedup.cut(data, [(0, 3), (3, 5), (8, 19)], 2) == (b"one two ", 1)
-    assert suffix_dedup.cut(b"x" * 500, [(0, 300), (200, 400)], 2) == (b"x" * 100, 1)
+    assert suffix_dedup.stays(data, [(0, 3), (3, 5), (8, 19)], 2, 2) == ([b"one two ", b""], 1)
+    assert suffix_dedup.stays(b"x" * 500, [(0, 300), (200, 400)], 2, 100) == ([b"", b"x" * 100], 1)
+    assert suffix_dedup.stays(b"x" * 500, [(0, 300), (202, 402)], 2, 100) == ([b"x" * 500], 0)
 
 
 # ---------------------------------------------------------- pipeline
@@ -386,9 +422,8 @@ def test_pipeline_stages(spark):
     assert joined == {i: lines[i] for i in ids if comp[i] == i}
 
     ids = sorted(joined)
-    found = dict(zip(ids, brute_cut([joined[i] for i in ids], 400)))
-    texts = {i: f[2].decode("utf-8", "ignore") for i, f in found.items()}
-    assert cut == {i: t for i, t in texts.items() if not found[i][1] or t.strip()}
+    found = dict(zip(ids, brute_passages([joined[i] for i in ids])))
+    assert cut == {i: t for i, (gone, t) in found.items() if not gone or t.strip()}
 
     pieces = C.STAGES[-1][1](spark, docs, d)
     assert {r["doc_id"] for r in pieces.select("doc_id").collect()} == set(cut)
@@ -421,13 +456,36 @@ def test_pipeline_cuts_passages_of_over_50_words(spark, frame):
 def test_stretch_stage_against_brute_force(spark, frame, documents):
     import corpus_pipeline as C
     texts = [t for _, t in documents]
-    data = [(t or "").encode() for t in texts]
-    seen = collections.Counter(d[i:i + 101] for d in data for i in range(len(d) - 100))
-    want = {}
-    for k, d in enumerate(data):
-        spans = [(i, i + 101) for i in range(len(d) - 100) if seen[d[i:i + 101]] > 1]
-        kept, n = suffix_dedup.cut(d, spans, 51)
-        text = kept.decode("utf-8", "ignore") if n else texts[k]
-        if not n or text.strip():
-            want[k] = text
+    want = {k: t if gone else texts[k] for k, (gone, t) in enumerate(brute_passages(texts)) if not gone or t.strip()}
     assert {r["doc_id"]: r["text"] for r in C.stretch_stage(spark, frame(texts), "").collect()} == want
+
+
+def test_short_repeats_that_touch_stay(spark, frame):
+    import corpus_pipeline as C
+    rng = random.Random(41)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghijklm", k=5)) for _ in range(n))
+    a, b, c = text(38), text(30), text(27)
+    texts = [text(12) + " " + a + " " + b + " " + c + " " + text(13), text(20) + " " + a + "\n" + text(9),
+             text(20) + "\n" + b + "\t" + text(9), text(20) + "\t" + c + "\n" + text(9)]
+    found = {r["doc_id"]: r["text"] for r in C.stretch_stage(spark, frame(texts), "").collect()}
+    assert found == dict(enumerate(texts))
+
+
+def test_replacement_characters_stay(spark, frame):
+    import corpus_pipeline as C
+    rng = random.Random(42)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghijklm", k=5)) for _ in range(n))
+    passage = "\u00e9" + text(60) + "\u00e9"
+    texts = ["a\ufffdb " + text(9) + "\u00e8" + passage + "\u00e8" + text(9) + "\ufffd",
+             text(9) + "\ufffd " + "\u0129" + passage + "\u0128" + text(9)]
+    found = {r["doc_id"]: r["text"] for r in C.stretch_stage(spark, frame(texts), "").collect()}
+    assert found == {k: t.replace(passage, "") for k, t in enumerate(texts)}
+
+
+def test_rows_with_equal_ids_are_judged_by_their_own_text(frame):
+    line, other = "a line that is there in two of the rows", "a first line that nobody else has got"
+    done = line_dedup.dedup_lines(frame([(1, line + "\nx"), (5, line + "\ny"), (5, other + "\nz")]))
+    assert sorted((r["doc_id"], r["text"]) for r in done.collect()) == [(1, line + "\nx"), (5, other + "\nz"), (5, "y")]
+    words = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+    kept = ngram_join.keep_one(frame([(1, words[0]), (5, words[0]), (5, words[1]), (7, words[1])]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, words[0]), (5, words[1])]

@@ -174,8 +174,8 @@ def test_comparisons_skip_known_prefixes(monkeypatch):
 
 
 def test_cut():
-    assert suffix_dedup.cut(b"0123456789", [(2, 4), (4, 6), (8, 9)]) == (b"01679", 2)
-    assert suffix_dedup.cut(b"0123", [(0, 4), (1, 2)]) == (b"", 1)
+    assert suffix_dedup.stays(b"0123456789", [(2, 4), (4, 6), (8, 9)]) == ([b"01", b"67", b"9"], 2)
+    assert suffix_dedup.stays(b"0123", [(0, 4), (1, 2)]) == ([b"", b""], 1)
 
 
 @pytest.mark.parametrize("key", sorted(SQL))
