@@ -41,8 +41,7 @@ def stretch_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Repeated passages of over 50 words (or 400 bytes) go, and documents of which
     nothing else is left.  Half a character at the end of a cut goes with it."""
     done = suffix_dedup.dedup_stretches(docs, length=2 * PASSAGE - 1, words=PASSAGE)
-    kept = F.replace(F.make_valid_utf8(F.col("_s_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
-    done = done.withColumn("text", F.when(F.col("_s_spans") > 0, kept).otherwise(F.col("text")))
+    done = done.withColumn("text", F.col("_s_text"))
     empty = (F.col("_s_spans") > 0) & ~F.col("text").rlike(r"\S")
     return _with_text(done.where(~empty), docs)
 
