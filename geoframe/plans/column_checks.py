@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from geoframe.functions import columns as C
 from geoframe.functions import geometry as G
-from geoframe.operators.ordered import assign_object_ids, lag_in_group, running_sum
+from geoframe.operators.ordered import assign_object_ids, ordered_scan
 from geoframe.operators.segments import segments
 from geoframe.plans.registry import query, table
 from geoframe.session import register, shared_path
@@ -464,14 +464,12 @@ SELECT event_id, user_id, delta,
 FROM d
 """)
 def delta_decode_rows(spark, sf_dir):
-    """Per-user delta coding of a quantised ordinate and its decoding: both
-    are ordered scans per group, run with the skew-safe two-level scan."""
+    """Per-user delta coding of a quantised ordinate and its decoding, from one
+    ordered scan: the deltas' running sums come with the previous values."""
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.floor(F.col("value") * 100.0).cast("bigint").alias("v"))
-    prev = lag_in_group(ev, ["user_id"], ["ts", "event_id"], {"prev": "v"})
-    deltas = prev.select("event_id", "user_id", "ts",
-                         (F.col("v") - F.coalesce("prev", F.lit(0))).alias("delta"))
-    dec = running_sum(deltas, ["user_id"], ["ts", "event_id"], {"cum": "delta"})
+    dec = ordered_scan(ev, ["user_id"], ["ts", "event_id"], lags={"prev": "v"}, difference_sums={"cum": "v"}) \
+        .withColumn("delta", F.col("v") - F.coalesce("prev", F.lit(0)))
     return dec.select("event_id", "user_id", "delta",
                       C.dequantize("cum", F.lit(100.0), F.lit(0.0)).alias("y"))
 

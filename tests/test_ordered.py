@@ -120,3 +120,79 @@ def test_ties_span_ranges(spark):
     from geoframe.operators.ordered import RANGE_COL, ranged
     df = spark.range(20_000).select(F.lit("g").alias("g"), F.lit(1).alias("o"), "id")
     assert ranged(df, ["g"], ["o"], 8).select(RANGE_COL).distinct().count() == 8
+
+
+def _key_rows():
+    import datetime
+    import random
+    from decimal import Decimal
+    rng = random.Random(3)
+    pick = lambda *x: rng.choice(x)
+    return [(pick(None, "", "a", "é", "\U0001f600", "b"), pick(None, NAN, INF, -INF, 0.0, -0.0, 1.5),
+             pick(None, Decimal("1.20"), Decimal("-3.00")), pick(None, datetime.date(2020, 1, 2), datetime.date(1960, 1, 1)),
+             pick(None, datetime.datetime(2020, 1, 2, 3), datetime.datetime(1960, 1, 1)), pick(None, True, False),
+             pick(None, b"", b"\xff", b"a\0"), rng.randrange(5)) for _ in range(400)]
+
+
+@pytest.mark.parametrize("order", [["s"], ["f", "i"], ["d", "s", "f"], ["a", "t", "b"], ["y", "i"], ["i"]])
+def test_ids_follow_sparks_order(spark, order):
+    """Every key type, nulls, ties: consecutive ids in Spark's own order."""
+    df = spark.createDataFrame(_key_rows(), "s string, f double, d decimal(9,2), a date, t timestamp, b boolean, "
+                                            "y binary, i int").repartition(3)
+    got = assign_object_ids(df, order, num_ranges=7).orderBy("OBJECTID").collect()
+    assert [r["OBJECTID"] for r in got] == list(range(1, 401))
+    key = lambda r: str(tuple(x + 0.0 if isinstance(x, float) else x for x in (r[c] for c in order)))
+    assert [key(r) for r in got] == [key(r) for r in df.orderBy(*order).collect()]
+
+
+def test_ids_without_a_copy(spark):
+    """No checkpoint; a hot key spans buckets; later buckets are not shuffled."""
+    from geoframe.operators.ordered import _bucketed
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    out = assign_object_ids(df, ["k"], num_ranges=20)
+    plan = out._jdf.queryExecution().toString()
+    assert "Scan ExistingRDD" not in plan and "LogicalRDD" not in plan
+    assert sorted(r["OBJECTID"] for r in out.collect()) == list(range(1, 6001))
+    assert _bucketed(df, ["k"], 20)[0].where("k = 7").select("_gf_bucket").distinct().count() > 8
+    few = assign_object_ids(df, ["k"], count=50, start_id=9, num_ranges=20).collect()
+    assert sorted(r["OBJECTID"] for r in few) == list(range(10, 60))
+    assert sorted(r["k"] for r in few) == sorted(r["k"] for r in df.collect())[:50]
+    for n in (0, 6000, 9999):
+        assert assign_object_ids(df, ["k"], count=n, num_ranges=20).count() == min(n, 6000)
+    assert assign_object_ids(df.where("id < 0"), ["k"]).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_sums_of_differences(spark, kind):
+    """A null is neither a difference nor a value before one; ranges of a few rows
+    carry the last value and the sum, also where a group spans several."""
+    import random
+    from pyspark.sql import Window
+    rng = random.Random(8)
+    rows = [(rng.choice([1, 1, 1, 2, None]), i, rng.choice([None, *range(-5, 9)])) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, o int, v long").withColumn("v", F.col("v").cast(kind))
+    w = Window.partitionBy("g").orderBy("o")
+    want = df.withColumn("d", F.col("v") - F.coalesce(F.lag("v").over(w), F.lit(0))).select(
+        "o", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.lag("v").over(w).alias("p"))
+    for n in (1, 2, 9, 60):
+        from geoframe.operators.ordered import ordered_scan
+        got = ordered_scan(df, ["g"], ["o"], lags={"p": "v"}, difference_sums={"s": "v"}, num_ranges=n)
+        assert sorted(map(tuple, got.select("o", "s", "p").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_floats_of_many_small_groups():
+    """The same additions as one after the other, whatever the groups' sizes."""
+    import numpy as np
+
+    from geoframe.operators.ordered import LONG, _running
+    rng = np.random.default_rng(4)
+    size = np.concatenate([rng.integers(1, 9, 400), [LONG - 1, LONG, LONG + 1, 300], rng.integers(1, 3, 50)])
+    vals = rng.standard_normal(size.sum()) * 10.0 ** rng.integers(-9, 9, size.sum())
+    starts = np.zeros(len(vals), bool)
+    starts[np.cumsum(size) - size] = True
+    for carry in (None, 0.1):
+        want, acc = [], 0.0
+        for v, s in zip(vals.tolist(), starts.tolist()):
+            acc = v + (carry or 0.0) if s and not want else v if s else acc + v
+            want.append(acc)
+        assert _running(vals, np.ones(len(vals), bool), starts, carry)[0].tolist() == want
