@@ -50,20 +50,22 @@ TABLE = bytes.maketrans(bytes(range(0x41, 0x5B)) + b"\t" + b".,;:!?\n\x0b\x0c\r"
                         bytes(range(0x61, 0x7B)) + b" " + END * 10)
 
 
-def words_of(texts: list[str]) -> list[bytes]:
-    """The words of some texts with END after each piece and text."""
+def numbered(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words in byte order, END first, and the sequence of their numbers
+    with END after each piece and text."""
     data = b"\n".join([t.encode("utf-8", "surrogatepass") for t in texts] + [b""])
-    return data.translate(TABLE).replace(END, b" . ").split()
-
-
-def numbered(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words in byte order (END first) and the sequence of numbers."""
-    held = words_of(texts)
-    found = dict.fromkeys(held)
-    found.pop(END, None)
-    names = [END, *sorted(found)]
-    number = {w: i for i, w in enumerate(names)}
-    return names, np.fromiter(map(number.__getitem__, held), "int32", len(held))
+    data = data.translate(TABLE).replace(END, b" . ")
+    whole = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(data)], "<i8")), pa.py_buffer(data))
+    found = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
+    words, codes = found.dictionary, found.indices.to_numpy()
+    order = pc.array_sort_indices(words).to_numpy()
+    ends, none = (pc.equal(words, x).to_numpy(zero_copy_only=False) for x in (END.decode(), ""))
+    order = order[~(ends | none)[order]]
+    rank = np.full(len(words), -1, "int32")
+    rank[order] = np.arange(1, len(order) + 1, dtype="int32")
+    rank[ends] = 0
+    seq = rank[codes]
+    return pa.concat_arrays([words.filter(pa.array(ends)), words.take(pa.array(order))]), seq[seq >= 0]
 
 
 def _shards(batches):
@@ -84,12 +86,13 @@ def _shards(batches):
     yield from held.items()
 
 
-def word_hashes(lang: str, names: list[bytes]) -> np.ndarray:
+def word_hashes(lang: str, names: pa.Array) -> np.ndarray:
     """64-bit hashes of the words of a language."""
-    data = b"".join([lang.encode("utf-8", "surrogatepass"), *names])
-    ends = np.cumsum([len(data) - sum(map(len, names)), *map(len, names)])
-    found = Rolling(BYTE[np.frombuffer(data, "u1")])(np.concatenate([[0], ends[:-1]]), ends)
-    return mix(found[1:] + found[0])
+    own = np.frombuffer(lang.encode("utf-8", "surrogatepass"), "u1")
+    seed = Rolling(BYTE[own])(np.array([0]), np.array([len(own)]))
+    _, ends, data = names.buffers()
+    ends = np.frombuffer(ends, "<i8")[:len(names) + 1]
+    return mix(Rolling(BYTE[np.frombuffer(data, "u1")])(ends[:-1], ends[1:]) + seed)
 
 
 def pattern_hashes(words: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -133,7 +136,7 @@ def _counted(longest: int, shared):
         for at in range(0, len(p.words), ROWS):
             part = slice(at, at + ROWS)
             columns = [names.take(pa.array(p.words[part, i])) for i in range(k)]
-            phrases = pc.binary_join_element_wise(*columns, b" ") if k > 1 else columns[0]
+            phrases = pc.binary_join_element_wise(*columns, pa.scalar(" ", names.type)) if k > 1 else columns[0]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(phrases), pa.string()), phrases.cast(pa.string()),
                  pa.array(np.full(len(phrases), k, "int32")), pa.array(p.counts[part]),
@@ -151,7 +154,6 @@ def _counted(longest: int, shared):
                  *[pa.array([int((seq != 0).sum())], pa.int64())] * 3],
                 names=["lang", "phrase", "words", "n", "before", "after"])
             of = word_hashes(lang, names)
-            names = pa.array(names, pa.binary())
             index = Bidirectional(seq, longest)
             p = index.single()
             p = p.kept(may(pattern_hashes(p.words, of)))
