@@ -49,6 +49,7 @@ def _median(work) -> float:
 def main() -> None:
     from geoframe.session import get_session
     import geoframe.plans  # noqa: F401
+    from geoframe.plans import catalog_checks
     from geoframe.plans import fixtures as FX
     from geoframe.plans.registry import QUERIES
 
@@ -63,7 +64,8 @@ def main() -> None:
         FX.ensure(spark, SF_DIR, key)
         timings[f"build_{key}"] = round(time.time() - t0, 3)
     t0 = time.time()
-    FX.ensure_v9(spark, SF_DIR)
+    catalog_checks.ensure_parts(spark, SF_DIR)
+    catalog_checks.ensure_classes(spark, SF_DIR)
     timings["build_v9_catalog"] = round(time.time() - t0, 3)
 
     # warm-up (JVM, Python workers, data source planner) on tiny queries

@@ -15,9 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoframe.functions.geometry import poly_from_coords
+from geoframe.functions.geometry import poly, poly_from_coords
 from geoframe.operators.ordered import running_sum
 
+PIECE = 8192              # vertices of the pieces that a whole track is made of
+FAN = 64                  # pieces that are joined at a time
+
 
 def polylines_from_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
                         x: str, y: str, m: str | None = None,
@@ -26,12 +29,12 @@ def polylines_from_rows(df: DataFrame, group_cols: list[str], order_cols: list[s
 
     Output: ``group_cols``, ``piece`` (0-based), ``Shape`` (poly struct, one
     part, bbox from its vertices), ``n_vertices``, ``first_rank``.  Without
-    ``max_vertices`` a group is one polyline, however long (its vertices then
-    meet in one row); with it, tracks are cut and piece *p*
+    ``max_vertices`` a group is one polyline, however long (it then is one row, joined
+    from bounded pieces by a tree of groupings); with it, tracks are cut and piece *p*
     holds ranks ``p*(K-1) .. (p+1)*(K-1)`` with ``K = max_vertices``.
     """
     if max_vertices is None:
-        return _whole(df, group_cols, order_cols, x, y, m)
+        return _whole(df, group_cols, order_cols, x, y, m, num_ranges)
     if max_vertices < 2:
         raise ValueError("max_vertices must be at least 2")
     step = max_vertices - 1
@@ -60,12 +63,27 @@ def polylines_from_rows(df: DataFrame, group_cols: list[str], order_cols: list[s
                           F.get(F.col("_verts"), 0).getField("rk").alias("first_rank"))
 
 
-def _whole(df, group_cols, order_cols, x, y, m) -> DataFrame:
-    """One polyline per group."""
-    ordinates = [F.col(c).cast("double") for c in (x, y, *([m] if m else []))]
-    vert = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                    F.array(*ordinates).alias("_xy"))
-    grouped = df.groupBy(*group_cols).agg(F.sort_array(F.collect_list(vert)).alias("_verts"))
-    return grouped.select(*group_cols, F.lit(0).cast("long").alias("piece"),
-                          poly_from_coords(F.flatten("_verts._xy"), None, 3 if m else 2).alias("Shape"),
-                          F.size("_verts").alias("n_vertices"), F.lit(0).cast("long").alias("first_rank"))
+def _whole(df, group_cols, order_cols, x, y, m, num_ranges) -> DataFrame:
+    """One polyline per group, from pieces of ``PIECE`` vertices that are joined
+    ``FAN`` at a time, with their boxes; only the last join holds a whole track."""
+    names = ["_x", "_y", *(["_m"] if m else [])]
+    needed = list(dict.fromkeys([*group_cols, *order_cols, x, y, *([m] if m else [])]))
+    ranked = running_sum(df.select(*needed), group_cols, order_cols, {"_rk": F.lit(1).cast("long")}, num_ranges)
+    ranked = ranked.select(*group_cols, "_rk", *[F.col(c).cast("double").alias(n)
+                                                 for n, c in zip(names, (x, y, m))])
+    pieces = -(-(ranked.agg(F.max("_rk")).first()[0] or 0) // PIECE)
+    vertices = F.sort_array(F.collect_list(F.struct("_rk", F.array(*names).alias("xy"))))
+    box = [F.min("_x").alias("_x0"), F.min("_y").alias("_y0"), F.max("_x").alias("_x1"), F.max("_y").alias("_y1")]
+    parts = ranked.groupBy(*group_cols, F.floor((F.col("_rk") - 1) / PIECE).alias("_at")).agg(
+        F.flatten(vertices["xy"]).alias("_xy"), *box, F.count(F.lit(1)).alias("_n"))
+    while pieces > 1:
+        joined = F.sort_array(F.collect_list(F.struct("_at", "_xy")))
+        parts = parts.groupBy(*group_cols, F.floor(F.col("_at") / FAN).alias("_up")).agg(
+            F.flatten(joined["_xy"]).alias("_xy"), F.min("_x0").alias("_x0"), F.min("_y0").alias("_y0"),
+            F.max("_x1").alias("_x1"), F.max("_y1").alias("_y1"), F.sum("_n").alias("_n")) \
+            .withColumnRenamed("_up", "_at")
+        pieces = -(-pieces // FAN)
+    n = F.col("_n").cast("int")
+    return parts.select(*group_cols, F.lit(0).cast("long").alias("piece"),
+                        poly("_x0", "_y0", "_x1", "_y1", F.array(n), F.col("_xy")).alias("Shape"),
+                        n.alias("n_vertices"), F.lit(0).cast("long").alias("first_rank"))

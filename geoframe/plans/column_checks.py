@@ -258,6 +258,25 @@ def trajectory_polylines(spark, sf_dir):
                      "first_rank")
 
 
+@query("trajectory_whole", """
+WITH r AS (
+  SELECT user_id, list(CAST(event_id AS DOUBLE) ORDER BY ts, event_id) AS x, list(value ORDER BY ts, event_id) AS y
+  FROM events GROUP BY user_id
+)
+SELECT user_id, CAST(len(x) AS INTEGER) AS n_vertices, list_min(x) AS xmin, list_min(y) AS ymin, list_max(x) AS xmax,
+       list_max(y) AS ymax, x[1] AS x_first, y[len(y) // 2 + 1] AS y_mid, x[len(x)] AS x_last
+FROM r
+""")
+def trajectory_whole(spark, sf_dir):
+    """Each user's track as one polyline, however long."""
+    from geoframe.operators.trajectories import polylines_from_rows
+    pl = polylines_from_rows(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_id", "value")
+    arr, n = F.col("Shape.xyArr"), F.col("n_vertices")
+    return pl.select("user_id", "n_vertices", *_flat_poly("Shape"), F.get(arr, 0).alias("x_first"),
+                     F.get(arr, 2 * F.floor(n / 2).cast("int") + 1).alias("y_mid"),
+                     F.get(arr, F.size(arr) - 2).alias("x_last"))
+
+
 # ------------------------------------------------------ equality / grouping
 
 @query("point_equality_group", """

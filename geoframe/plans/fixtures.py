@@ -174,31 +174,15 @@ def _specs():
     }
 
 
-# Catalog and 10.x item definitions (names of system tables are fixed values)
+# Names of the system tables.
 SYSTEM_TABLES = [(1, "GDB_SystemCatalog"), (2, "GDB_DBTune"), (3, "GDB_SpatialRefs"),
                  (4, "GDB_Items"), (5, "GDB_ItemTypes"), (6, "GDB_ItemRelationships"),
                  (7, "GDB_ItemRelationshipTypes"), (8, "GDB_ReplicaLog")]
-EXTRA_ITEMS = [(23, "ND_50_DirtyAreas", "<DETableInfo></DETableInfo>"),
-               (24, "Workspace", "<DEWorkspace></DEWorkspace>"),
-               (25, "NoDefinition", None)]
 
 
 def catalog_entries() -> list[tuple[int, str]]:
-    rows = list(SYSTEM_TABLES)
-    for _, (hexname, name, *_rest) in _specs().items():
-        rows.append((int(hexname[1:], 16), name))
-    rows += [(i, n) for i, n, _ in EXTRA_ITEMS]
-    return sorted(rows)
-
-
-def item_rows() -> list[tuple]:
-    rows = []
-    for key, (hexname, name, *_r) in _specs().items():
-        kind = "DEFeatureClassInfo" if key not in ("orders_types", "orders_sparse", "nation_w5",
-                                                   "nation_w6") else "DETableInfo"
-        rows.append((int(hexname[1:], 16), name, f"<{kind} xsi:type='typens:{kind}'/>"))
-    rows += [(i, n, d) for i, n, d in EXTRA_ITEMS]
-    return rows
+    """The catalog by which the fixture tables are found."""
+    return sorted([*SYSTEM_TABLES, *((int(h[1:], 16), name) for h, name, *_ in _specs().values())])
 
 
 def gdb_path(spark: SparkSession, sf_dir: str, flavour: str = "v10") -> str:
@@ -228,14 +212,6 @@ def _write_catalog(spark, path):
     write_table(spark, path, "a00000001", df, spec, ["slot"], num_partitions=2)
 
 
-def _write_items(spark, path):
-    df = spark.createDataFrame(item_rows(), "id long, Name string, Definition string") \
-        .withColumn("slot", F.col("id") - 1)
-    spec = TableSpec([FieldSpec("Name", "string", max_length=160),
-                      FieldSpec("Definition", "xml")], slot_col="slot")
-    write_table(spark, path, "a00000004", df, spec, ["slot"], num_partitions=2)
-
-
 def ensure(spark: SparkSession, sf_dir: str, key: str) -> str:
     """Path of the v10 fixture geodatabase with table ``key`` written."""
     from geoframe.session import register
@@ -244,85 +220,20 @@ def ensure(spark: SparkSession, sf_dir: str, key: str) -> str:
     with _LOCK:
         os.makedirs(local_path(path), exist_ok=True)
         _write_once(spark, path, "catalog", lambda: _write_catalog(spark, path))
-        _write_once(spark, path, "items", lambda: _write_items(spark, path))
         hexname, _, build, spec, order = _specs()[key]
         _write_once(spark, path, key, lambda: write_table(
             spark, path, hexname, build(spark, sf_dir), spec, order))
     return path
 
 
-# source table of every fixture table (the oracle SQL counts these)
-SOURCE_TABLE = {"customer": "customer", "orders_types": "orders", "customer_deleted": "customer",
-                "orders_sparse": "orders", "nation_w5": "nation", "nation_w6": "nation",
-                "customer_malformed": "customer", "points_m": "lineitem",
-                "points_z": "lineitem", "points_zm": "lineitem", "lines": "embeddings",
-                "lines_m": "embeddings", "polygons": "embeddings"}
-
-
-def ensure_all(spark: SparkSession, sf_dir: str) -> str:
-    """The v10 fixture geodatabase with every table written."""
-    path = gdb_path(spark, sf_dir)
-    for key in _specs():
-        path = ensure(spark, sf_dir, key)
-    return path
-
-
-def ensure_v9(spark: SparkSession, sf_dir: str) -> str:
-    """A 9.x-style geodatabase: catalog + GDB_ObjectClasses +
-    GDB_FeatureClasses (no GDB_Items), describing the v10 fixture tables."""
+def ensure_written(spark: SparkSession, path: str, makers: dict) -> str:
+    """``path`` with what each of ``makers`` writes, once per session and scale."""
     from geoframe.session import register
     register(spark)
-    path = gdb_path(spark, sf_dir, "v9")
-    specs = _specs()
     with _LOCK:
         os.makedirs(local_path(path), exist_ok=True)
-
-        def catalog():
-            rows = [(0, "GDB_SystemCatalog"), (1, "GDB_DBTune"), (2, "GDB_ObjectClasses"),
-                    (3, "GDB_FeatureClasses")]
-            rows += [(int(h[1:], 16) - 1, n) for h, n, *_ in specs.values()]
-            df = spark.createDataFrame(rows, "slot long, Name string")
-            write_table(spark, path, "a00000001", df,
-                        TableSpec([FieldSpec("Name", "string")], oid_name="ID",
-                                  slot_col="slot"), ["slot"], num_partitions=1)
-
-        def object_classes():
-            rows = [(j, n, "{" + hashlib.md5(n.encode()).hexdigest() + "}")
-                    for j, (h, n, *_r) in enumerate(specs.values())]
-            rows.append((len(rows), "ND_50_DirtyObjects", "{0}"))
-            rows.append((len(rows), "NoClassId", None))
-            df = spark.createDataFrame(rows, "slot long, Name string, CLSID string")
-            write_table(spark, path, "a00000003", df,
-                        TableSpec([FieldSpec("Name", "string"), FieldSpec("CLSID", "string")],
-                                  slot_col="slot"), ["slot"], num_partitions=1)
-
-        def feature_classes():
-            names = list(specs)
-            rows = []
-            for j, key in enumerate(names):
-                if key in ("orders_types", "orders_sparse", "nation_w5", "nation_w6"):
-                    continue            # plain tables are not feature classes
-                rows.append((len(rows), j + 1, 1, "Shape"))
-            rows.append((len(rows), len(names) + 1, 1, "Shape"))    # the dirty-objects class
-            rows.append((len(rows), 2, None, "Shape"))              # incomplete entry
-            df = spark.createDataFrame(
-                rows, "slot long, ObjectClassID int, GeometryType int, ShapeField string")
-            write_table(spark, path, "a00000004", df,
-                        TableSpec([FieldSpec("ObjectClassID", "int32"),
-                                   FieldSpec("GeometryType", "int32"),
-                                   FieldSpec("ShapeField", "string")], slot_col="slot"),
-                        ["slot"], num_partitions=1)
-
-        _write_once(spark, path, "catalog", catalog)
-        _write_once(spark, path, "objclasses", object_classes)
-        _write_once(spark, path, "featclasses", feature_classes)
-    # the same user tables as the 10.x fixture: hard links to its files
-    v10 = local_path(ensure_all(spark, sf_dir))
-    for h, *_r in specs.values():
-        for ext in (".gdbtable", ".gdbtablx"):
-            src, dst = os.path.join(v10, h + ext), os.path.join(local_path(path), h + ext)
-            if not os.path.exists(dst):
-                os.link(src, dst)
+        for name, make in makers.items():
+            _write_once(spark, path, name, make)
     return path
 
 

@@ -13,7 +13,6 @@ from geoframe.operators.tables import tolerance_check
 from geoframe.plans import fixtures as FX
 from geoframe.plans.column_checks import XYM_SQL
 from geoframe.plans.registry import query
-from geoframe.sources.catalog import find_table, list_tables, table_row_counts, user_tables
 from geoframe.sources.filegdb import read_table
 
 
@@ -150,15 +149,6 @@ def count_rows(spark, sf_dir):
     return FX.read(spark, sf_dir, "customer", columns="OBJECTID").groupBy().agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("first_rows", f"""
-SELECT OBJECTID, c_name FROM {_RANKED} ORDER BY OBJECTID LIMIT 20
-""", kind="R")
-def first_rows(spark, sf_dir):
-    """The first 20 rows by OBJECTID (the head / show(20) report)."""
-    return FX.read(spark, sf_dir, "customer").orderBy("OBJECTID").limit(20) \
-        .select("OBJECTID", "c_name")
-
-
 @query("oid_synthesis", f"SELECT {_RN_C} AS OBJECTID, CAST(c_custkey AS INTEGER) AS c_custkey "
        "FROM customer", kind="R")
 def oid_synthesis(spark, sf_dir):
@@ -185,16 +175,19 @@ def scan_row_range(spark, sf_dir):
 
 
 @query("tolerance_check", f"""
-WITH c AS (SELECT {_RN_C} AS id, {_X} AS x, {_Y} AS y, c_acctbal AS ax,
-                  CAST(c_nationkey AS DOUBLE) AS ay FROM customer)
-SELECT id, 'x' AS "check", x AS shape_value, ax AS attribute_value FROM c
-WHERE abs(x - ax) > 0.0005
+WITH c AS (SELECT {_RN_C} AS id, {_RN_C} + CASE WHEN c_custkey % 97 = 5 THEN 1 ELSE 0 END AS rid, {_X} AS x, {_Y} AS y,
+                  c_acctbal AS ax, CAST(c_nationkey AS DOUBLE) AS ay FROM customer)
+SELECT id, 'x' AS "check", x AS shape_value, ax AS attribute_value FROM c WHERE abs(x - ax) > 0.001
 UNION ALL
-SELECT id, 'y', y, ay FROM c WHERE abs(y - ay) > 0.0005
+SELECT id, 'y', y, ay FROM c WHERE abs(y - ay) > 0.001
+UNION ALL
+SELECT id, 'RID', CAST(id AS DOUBLE), CAST(rid AS DOUBLE) FROM c WHERE rid <> id
 """, kind="R")
 def tolerance_check_q(spark, sf_dir):
-    df = FX.read(spark, sf_dir, "customer", columns="OBJECTID,RID,X,Y,Shape")
-    return tolerance_check(df, "Shape", "point", {"x": "X", "y": "Y"}, 0.0005)
+    """The layer's own tolerance, and row ids that differ from the object ids."""
+    df = FX.read(spark, sf_dir, "customer", columns="OBJECTID,c_custkey,RID,X,Y,Shape")
+    df = df.withColumn("RID", F.col("RID") + F.when(F.col("c_custkey") % 97 == 5, 1).otherwise(0))
+    return tolerance_check(df, "Shape", "point", {"x": "X", "y": "Y"})
 
 
 # ----------------------------------------------------------- deleted / sparse
@@ -475,87 +468,3 @@ def decode_shapes_q(spark, sf_dir):
     raw = FX.read(spark, sf_dir, "lines_m", rawShapes="true")
     params = shape_params(raw, "Shape")
     return _poly_rows(decode_shapes(raw.select("vec_id", "Shape"), "Shape", params))
-
-
-# ---------------------------------------------------------------- catalog
-
-def _values(rows) -> str:
-    def lit(v):
-        return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
-    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-
-
-_CAT = FX.catalog_entries()
-
-
-def _counts_sql() -> str:
-    """Live rows per catalog name: the source table's count for fixture
-    tables, the number of entries for the two system tables written."""
-    rows = []
-    for key, (h, name, *_r) in FX._specs().items():
-        rows.append(f"SELECT '{name}' AS Name, count(*) AS live_rows FROM {FX.SOURCE_TABLE[key]}")
-    rows.append(f"SELECT 'GDB_SystemCatalog', CAST({len(_CAT)} AS BIGINT)")
-    rows.append(f"SELECT 'GDB_Items', CAST({len(FX.item_rows())} AS BIGINT)")
-    return " UNION ALL ".join(rows)
-
-
-@query("list_tables", f"""
-WITH cat(ID, Name) AS (VALUES {_values(_CAT)}), counts AS ({_counts_sql()})
-SELECT CAST(ID AS INTEGER) AS ID, Name, printf('a%08x', ID) AS hex_name, live_rows
-FROM cat LEFT JOIN counts USING (Name)
-""", kind="R")
-def list_tables_q(spark, sf_dir):
-    """The catalog with the live row count of every table it holds."""
-    return list_tables(spark, FX.ensure_all(spark, sf_dir), with_counts=True)
-
-
-@query("find_table", f"""
-SELECT 9 AS ID, 'Customers' AS Name, 'a00000009' AS hex_name, count(*) AS live_rows
-FROM customer
-""", kind="R")
-def find_table_q(spark, sf_dir):
-    path = FX.ensure(spark, sf_dir, "customer")
-    df = find_table(spark, path, "Customers")
-    counts = table_row_counts(spark, path, ["a00000009"])
-    return df.join(counts, "hex_name").select(F.col("ID").cast("int").alias("ID"), "Name",
-                                              "hex_name", "live_rows")
-
-
-_V10 = [(i, n) for i, n, d in FX.item_rows()
-        if d and ("DEFeatureClassInfo" in d or "DETableInfo" in d) and n != "ND_50_DirtyAreas"]
-
-
-@query("user_tables_v10", f"""
-WITH u(id, Name) AS (VALUES {_values(_V10)}), counts AS ({_counts_sql()})
-SELECT CAST(id AS INTEGER) AS OBJECTID, Name, live_rows FROM u LEFT JOIN counts USING (Name)
-""", kind="R")
-def user_tables_v10(spark, sf_dir):
-    """User tables of a 10.x geodatabase, with their live row counts."""
-    path = FX.ensure_all(spark, sf_dir)
-    counts = list_tables(spark, path, with_counts=True).select("Name", "live_rows")
-    return user_tables(spark, path).join(counts, "Name", "left") \
-        .select("OBJECTID", "Name", "live_rows")
-
-
-def _v9_expected():
-    specs = FX._specs()
-    out, slot = [], 0
-    for key, (h, n, *_r) in specs.items():
-        if key in ("orders_types", "orders_sparse", "nation_w5", "nation_w6"):
-            continue
-        out.append((slot + 1, n))
-        slot += 1
-    return out
-
-
-@query("user_tables_v9", f"""
-WITH u(id, Name) AS (VALUES {_values(_v9_expected())}), counts AS ({_counts_sql()})
-SELECT CAST(id AS INTEGER) AS OBJECTID, Name, live_rows FROM u LEFT JOIN counts USING (Name)
-""", kind="R")
-def user_tables_v9(spark, sf_dir):
-    """Feature classes of a 9.x geodatabase (class tables joined), with the
-    live row counts of those tables."""
-    path = FX.ensure_v9(spark, sf_dir)
-    counts = list_tables(spark, path, with_counts=True).select("Name", "live_rows")
-    return user_tables(spark, path).join(counts, "Name", "left") \
-        .select("OBJECTID", "Name", "live_rows")

@@ -6,11 +6,12 @@ is ordinary DataFrame work (filters, joins) rather than driver loops.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoframe.sources import layout as L
-from geoframe.sources.filegdb import FileGDBDataSource
+from geoframe.sources.filegdb import FileGDBDataSource, resolve_table
 
 # Names of the system tables and markers the listing uses.
 ITEMS_TABLE = "GDB_Items"
@@ -31,40 +32,60 @@ def _read(spark: SparkSession, path: str, **opts) -> DataFrame:
 
 def list_tables(spark: SparkSession, path: str, with_counts: bool = False) -> DataFrame:
     """Every catalog entry (system tables included): ID, Name, hex_name;
-    ``with_counts`` adds ``live_rows`` of every table whose files exist."""
+    ``with_counts`` adds ``live_rows``, from the headers, of tables whose files exist."""
     cat = _read(spark, path, table=L.CATALOG_TABLE)
     out = cat.select(F.col("ID").alias("ID"), F.col("Name").alias("Name"),
                      F.format_string("a%08x", F.col("ID")).alias("hex_name"))
     if not with_counts:
         return out
-    return out.join(table_row_counts(spark, path), "hex_name", "left") \
+    return out.join(table_row_counts(spark, path, out), "hex_name", "left") \
         .select("ID", "Name", "hex_name", "live_rows")
 
 
-def table_row_counts(spark: SparkSession, path: str,
-                     tables: list[str] | None = None) -> DataFrame:
-    """``(hex_name, live_rows)`` for the given table files (default: every
-    catalog entry whose files exist), all counted in one Spark job; only the
-    object-id column is decoded."""
-    from geoframe.sources.filegdb import catalog_rows
+def table_row_counts(spark: SparkSession, path: str, tables: DataFrame | list[str] | None = None) -> DataFrame:
+    """``(hex_name, live_rows)`` of the given table files (names, or a frame with
+    ``hex_name``; default: every catalog entry), as their headers give it.  Tasks read
+    some bytes of each file; tables without files are left out."""
+    from geoframe.session import register
+    register(spark)
     if tables is None:
-        tables = [L.hex_name(i) for i, _ in catalog_rows(path) if i is not None]
-    frames = []
-    for t in tables:                    # bounded by the number of tables
-        if not L.exists(path, t):
-            continue
-        hdr = FileGDBDataSource({"path": path, "table": t}).header()
-        first = hdr.object_id_name if any(f.name == hdr.object_id_name for f in hdr.fields) \
-            else hdr.fields[0].name
-        df = _read(spark, path, table=t, columns=first)
-        frames.append(df.groupBy().agg(F.count(F.lit(1)).alias("live_rows"))
-                      .select(F.lit(t).alias("hex_name"), "live_rows"))
-    if not frames:
-        return spark.createDataFrame([], "hex_name string, live_rows bigint")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        tables = list_tables(spark, path)
+    elif not isinstance(tables, DataFrame):
+        tables = spark.createDataFrame([(t,) for t in tables], "hex_name string")
+
+    def run(batches):
+        for batch in batches:
+            names = [t for t in batch.column(0).to_pylist() if t is not None and L.exists(path, t)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([L.read_live_rows(path, t) for t in names], pa.int64())],
+                names=["hex_name", "live_rows"])
+
+    return tables.select("hex_name").distinct().mapInArrow(run, "hex_name string, live_rows bigint")
+
+
+def first_rows(spark: SparkSession, path: str, name: str, n: int = 20, **options) -> DataFrame:
+    """The first ``n`` live rows in slot order (all, if fewer): the driver reads index
+    entries, more at a time, until ``n`` slots hold a row, and one task reads the rows
+    of these slots.  ``options`` are the reader's."""
+    table = resolve_table(path, name)
+    stop = L.slots_of_rows(path, table, n) if table else 0
+    return _read(spark, path, name=name, startRow=0, numRows=stop, numPartitions=1, **options).limit(max(n, 0))
+
+
+def item_definitions(spark: SparkSession, path: str, more: dict[str, str] | None = None) -> DataFrame:
+    """The definitions of a 10.x geodatabase's items as typed rows: ``OBJECTID``,
+    ``Name``, ``kind`` (the definition's root element), ``dataset_type``, ``shape_type``,
+    ``has_z``, and elements given in ``more`` as name -> type.  Items without a
+    definition are left out; elements that a definition lacks, or one that is not
+    well formed, give nulls."""
+    fields = {"DatasetType": "string", "ShapeType": "string", "HasZ": "boolean", **(more or {})}
+    schema = ", ".join(f"`{k}` {t}" for k, t in fields.items())
+    items = _read(spark, path, name=ITEMS_TABLE, columns="OBJECTID,Name,Definition").where("Definition IS NOT NULL")
+    parsed = items.withColumn("d", F.from_xml("Definition", schema)).withColumn(
+        "kind", F.regexp_extract("Definition", r"<([A-Za-z_][\w.:-]*)", 1))
+    return parsed.select("OBJECTID", "Name", "kind", F.col("d.DatasetType").alias("dataset_type"),
+                         F.col("d.ShapeType").alias("shape_type"), F.col("d.HasZ").alias("has_z"),
+                         *[F.col(f"d.`{k}`").alias(k) for k in (more or {})])
 
 
 def find_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -76,7 +97,6 @@ def find_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def has_table(path: str, name: str) -> bool:
-    from geoframe.sources.filegdb import resolve_table
     t = resolve_table(path, name)
     return t is not None and L.exists(path, t)
 

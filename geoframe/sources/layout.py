@@ -322,6 +322,16 @@ def read_table_header(path: str, table: str) -> TableHeader:
     return TableHeader(table, live, version, geom_type, prop, fields, size)
 
 
+def read_live_rows(path: str, table: str) -> int:
+    """Number of live rows by the table's header."""
+    fs, p = filesystem(path)
+    with fs.open_input_file(table_paths(p, table)[0]) as fh:
+        head = read_at(fh, 8, 0)
+    if len(head) < 8:
+        raise GDBFormatError(f"{table}: header truncated")
+    return struct.unpack_from("<I", head, 4)[0]
+
+
 # ---------------------------------------------------------------- index
 
 @dataclass
@@ -401,3 +411,19 @@ def read_offsets(fh, header: IndexHeader, slots: np.ndarray) -> np.ndarray:
     tmp[ok] = vals
     out[present] = tmp
     return out
+
+
+def slots_of_rows(path: str, table: str, n: int) -> int:
+    """How many slots from the first on hold the first ``n`` rows.  Index entries are
+    read 1,024 at first and up to 2**20 at a time."""
+    header = read_index_header(path, table)
+    fs, p = filesystem(path)
+    at, step, seen = 0, 1024, 0
+    with fs.open_input_file(table_paths(p, table)[1]) as fh:
+        while at < header.num_slots and seen < n:
+            slots = np.arange(at, min(at + step, header.num_slots), dtype=np.int64)
+            live = np.flatnonzero(read_offsets(fh, header, slots))
+            if seen + len(live) >= n:
+                return int(slots[live[n - seen - 1]]) + 1
+            seen, at, step = seen + len(live), at + step, min(4 * step, 1 << 20)
+    return header.num_slots if n > 0 else 0
