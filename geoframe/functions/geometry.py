@@ -254,8 +254,37 @@ SQL_FUNCTIONS = {
 }
 
 
+_POLY_SQL = ("STRUCT<xmin: DOUBLE, ymin: DOUBLE, xmax: DOUBLE, ymax: DOUBLE, xyNum: ARRAY<INT>, "
+             "xyArr: ARRAY<DOUBLE>>")
+
+
+def _segments_sql(name: str, ordinates: str) -> str:
+    """A SQL table function: one row per pair of consecutive vertices of a part, as
+    ``operators.segments`` gives them.  A list of (part, index) per vertex is made once
+    per geometry, so the work is linear in its vertices."""
+    stride = len(ordinates)
+    ends = [(e + o, f"get(shape.xyArr, {stride} * j + {k + step})") for e, step in (("a", 0), ("b", stride))
+            for k, o in enumerate(ordinates)]
+    fields = ", ".join(f"'{n}', {x}" for n, x in ends)
+    none = "CAST(array() AS ARRAY<INT>)"
+    return f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(shape {_POLY_SQL})
+RETURNS TABLE (part INT, seg INT, {", ".join(n + " DOUBLE" for n, _ in ends)})
+RETURN SELECT s.part, s.seg, {", ".join("s." + n for n, _ in ends)} FROM (
+  SELECT explode(flatten(transform(
+    array(flatten(transform(shape.xyNum, (n, p) -> transform(
+      IF(n > 0, sequence(0, n - 1), {none}), k -> named_struct('p', p, 'k', k))))),
+    v -> filter(transform(IF(size(v) > 1, sequence(0, size(v) - 2), {none}), j -> named_struct(
+      'part', v[j].p, 'seg', v[j].k, 'to', v[j + 1].p, {fields})), s -> s.part = s.to)))) AS s)"""
+
+
+#: Table functions for LATERAL: ``segments`` of polylines and polygons, ``segmentsM`` of polylineM.
+SQL_TABLE_FUNCTIONS = {"segments": _segments_sql("segments", "xy"), "segmentsM": _segments_sql("segmentsM", "xym")}
+
+
 def register_sql_functions(spark: SparkSession) -> None:
-    """SQL functions ``getX``, ``getY``, ``plus2`` and ``line`` (SQL UDFs, so
-    they inline into Catalyst expressions: no Python at run time)."""
-    for stmt in SQL_FUNCTIONS.values():
+    """SQL functions ``getX``, ``getY``, ``plus2`` and ``line``, and table functions
+    ``segments`` and ``segmentsM`` (SQL UDFs, so they inline into Catalyst
+    expressions: no Python at run time)."""
+    for stmt in (*SQL_FUNCTIONS.values(), *SQL_TABLE_FUNCTIONS.values()):
         spark.sql(stmt)

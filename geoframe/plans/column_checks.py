@@ -85,6 +85,15 @@ def segments_multipart(spark, sf_dir):
     return segments(poly, "Shape", keep=["vec_id"], stride=3)
 
 
+@query("segments_sql", _SEG_SQL.format(xym=XYM_SQL, num=_MULTI_NUM_SQL))
+def segments_sql(spark, sf_dir):
+    """The segments of the same geometries by the SQL table function."""
+    emb = table(spark, sf_dir, "embeddings")
+    emb.select("vec_id", G.poly_from_coords(xym(), _multi_num(), 3).alias("Shape")) \
+        .createOrReplaceTempView("gf_segment_polys")
+    return spark.sql("SELECT vec_id, s.* FROM gf_segment_polys, LATERAL segmentsM(Shape) s")
+
+
 # ----------------------------------------------------------- constructors E1
 
 @query("make_point", """

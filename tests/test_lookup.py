@@ -133,3 +133,22 @@ def test_whole_track_of_a_hot_group(spark, monkeypatch, m):
         assert s["xyArr"] == [o for p in v for o in p] and s["xyNum"] == [len(v)] and found[k]["n_vertices"] == len(v)
         assert (s["xmin"], s["ymin"], s["xmax"], s["ymax"]) == (
             min(p[0] for p in v), min(p[1] for p in v), max(p[0] for p in v), max(p[1] for p in v))
+
+
+def test_spatial_metadata_from_files(spark, tmp_path):
+    """crs, extent, Z and M flags and all tolerances as a file's descriptor has them."""
+    from geoframe.sources.filegdb import FileGDBDataSource
+    from geoframe.testing.encoder import ShapeSpec
+    df = spark.range(4).select("id", *[(F.col("id") * k).cast("double").alias(c) for k, c in enumerate("xyzm", 1)])
+    for i, (kind, z, m) in enumerate([("point", False, False), ("pointM", False, True), ("pointZ", True, False),
+                                      ("pointZM", True, True)]):
+        crs = f'PROJCS["Proj_{i}é"]'
+        shape = ShapeSpec("Shape", kind, x="x", y="y", z="z" if z else None, m="m" if m else None, crs=crs,
+                          xy_tol=0.25, z_tol=0.5, m_tol=0.125)
+        name = f"a{16 + i:08x}"
+        write_table(spark, str(tmp_path), name, df, TableSpec([FieldSpec("id", "int32"), shape]), ["id"], num_partitions=1)
+        md = FileGDBDataSource({"path": str(tmp_path), "table": name}).schema()["Shape"].metadata
+        z = z or m                          # a descriptor with M has Z as well
+        assert (md["crs"], md["geometryType"], md["hasZ"], md["hasM"], md["xyTolerance"]) == (crs, kind, z, m, 0.25)
+        assert (md["xmin"], md["ymin"], md["xmax"], md["ymax"]) == (0.0, 0.0, 3.0, 6.0)
+        assert md.get("zTolerance") == (0.5 if z else None) and md.get("mTolerance") == (0.125 if m else None)
