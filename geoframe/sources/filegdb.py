@@ -206,6 +206,9 @@ def _scan(path: str, hdr: L.TableHeader, wanted: list[int], ranges, mode: str,
                                              with_oid)
 
 
+OFFSET_SAMPLES = 256      # index entries that the driver reads to balance tasks by bytes
+
+
 def _byte_bounded(slots, offs, file_size):
     """Split a slot batch so that no chunk spans more than BATCH_BYTES of
     row data (row sizes estimated from the gaps between sorted offsets)."""
@@ -268,6 +271,24 @@ def _decode_chunk(fh, size, slots, offs, hdr, wanted, names, mode, with_oid):
         yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
 
+def _byte_ranges(path: str, hdr: L.TableHeader, idx: L.IndexHeader, lo: int, hi: int, nparts: int):
+    """Slot ranges of about equal bytes: the offsets of ``OFFSET_SAMPLES`` live slots
+    give the bytes before each, and cuts are placed between them.  None where offsets
+    do not follow the slots (rows were rewritten): slots are then all there is."""
+    fs, p = L.filesystem(path)
+    slots = np.unique(np.linspace(lo, hi - 1, OFFSET_SAMPLES).astype(np.int64))
+    with fs.open_input_file(L.table_paths(p, hdr.table)[1]) as xh:
+        offs = np.array([int(L.read_offsets(xh, idx, slots[i:i + 1])[0]) for i in range(len(slots))])
+    slots, offs = slots[offs > 0], offs[offs > 0]
+    if len(slots) < 2 or (np.diff(offs) <= 0).any():
+        return None
+    end = hdr.file_size if hi >= idx.num_slots else offs[-1] + (offs[-1] - offs[-2]) // max(slots[-1] - slots[-2], 1)
+    at = np.interp(np.linspace(offs[0], max(end, offs[-1] + 1), nparts + 1),
+                   np.append(offs, max(end, offs[-1] + 1)), np.append(slots, hi)).astype(np.int64)
+    at[0], at[-1] = lo, hi
+    return [(int(a), int(b)) for a, b in zip(at[:-1], at[1:]) if b > a]
+
+
 # ---------------------------------------------------------------- source
 
 class FileGDBDataSource(DataSource):
@@ -348,6 +369,9 @@ class FileGDBReader(DataSourceReader):
         self.start_row = int(_opt(options, "startRow", 0))
         n = int(_opt(options, "numRows", -1))
         self.num_rows = None if n < 0 else n
+        self.balance = str(_opt(options, "balance", "slots")).lower()
+        if self.balance not in ("slots", "bytes"):
+            raise ValueError("filegdb: balance must be slots or bytes")
         self.wanted = self._columns(schema)
         self.names = [f.name for f in schema.fields]     # as the caller spells them
         self.oid_intervals = None     # set by pushFilters
@@ -385,7 +409,8 @@ class FileGDBReader(DataSourceReader):
         ivs = _merge(self.oid_intervals) if self.oid_intervals is not None else None
         starts = [s for s, _ in ivs] if ivs else []
         parts = []
-        for a, b in _slot_ranges(idx, lo, hi, nparts):
+        cuts = _byte_ranges(self.path, self.hdr, idx, lo, hi, nparts) if self.balance == "bytes" else None
+        for a, b in cuts or _slot_ranges(idx, lo, hi, nparts):
             ranges = [(a, b)]
             if ivs is not None:
                 j = max(bisect.bisect_right(starts, a) - 1, 0)

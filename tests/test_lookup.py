@@ -152,3 +152,29 @@ def test_spatial_metadata_from_files(spark, tmp_path):
         assert (md["crs"], md["geometryType"], md["hasZ"], md["hasM"], md["xyTolerance"]) == (crs, kind, z, m, 0.25)
         assert (md["xmin"], md["ymin"], md["xmax"], md["ymax"]) == (0.0, 0.0, 3.0, 6.0)
         assert md.get("zTolerance") == (0.5 if z else None) and md.get("mTolerance") == (0.125 if m else None)
+
+
+def test_ranges_of_equal_bytes(spark, tmp_path):
+    """Rows that grow from 1 to 1,000 bytes: tasks within a factor of two, every row once."""
+    from geoframe.sources.filegdb import FileGDBDataSource
+    df = spark.range(4000).select(F.col("id").cast("int").alias("v"), F.expr("repeat('x', 1 + int(id / 4))").alias("t"))
+    write_table(spark, str(tmp_path), "a00000009", df, TableSpec(
+        [FieldSpec("v", "int32"), FieldSpec("t", "string", max_length=2000)]), ["v"], num_partitions=2)
+    options = {"path": str(tmp_path), "table": "a00000009", "numPartitions": "8", "balance": "bytes"}
+    source = FileGDBDataSource(options)
+    parts = [r for p in source.reader(source.schema()).partitions() for r in p.ranges]
+    assert [a for a, _ in parts[1:]] == [b for _, b in parts[:-1]] and parts[0][0] == 0 and parts[-1][1] == 4000
+    size = [sum(12 + i // 4 for i in range(a, b)) for a, b in parts]
+    assert len(parts) == 8 and max(size) < 2 * min(size)
+    got = spark.read.format("filegdb").options(**options).load()
+    assert sorted(r["v"] for r in got.collect()) == list(range(4000))
+    with pytest.raises(Exception, match="balance"):
+        spark.read.format("filegdb").options(**{**options, "balance": "rows"}).load().count()
+
+
+def test_bytes_of_deleted_and_sparse_tables(spark):
+    """Deleted slots and absent blocks: the same rows whatever the balance."""
+    for key in ("customer_deleted", "orders_sparse"):
+        n = FX.read(spark, SF, key).count()
+        got = FX.read(spark, SF, key, balance="bytes", numPartitions=5)
+        assert got.count() == n and got.select("OBJECTID").distinct().count() == n
