@@ -17,6 +17,9 @@ import pyarrow as pa
 from geoframe.sources.layout import (BINARY, DATETIME, FLOAT32, FLOAT64, GUID, INT16, INT32,
                                      OID, RASTER, SHAPE, STRING, UUID, XML, FieldDesc)
 
+MAX_VARINT = 10   # bytes of a 64-bit number
+#: why a row is malformed, by the number that ``decode_rows`` gives
+REASONS = [None, "row length", "raster value", "field value", "geometry"]
 PAD = 64   # zero bytes appended to every buffer so fixed-size gathers stay in bounds
 _HEX = np.frombuffer(b"0123456789ABCDEF", np.uint8)
 # Fixed values of the format: GUID text byte order (see
@@ -216,9 +219,10 @@ def decode_points(buf, bstart, blen, valid, f: FieldDesc):
         return _point_struct(f, cols, valid & ~bad), bad
 
 
-def _varint_stream(buf, bstart, blen):
+def _varint_stream(buf, bstart, blen, broken: list | None = None):
     """All varints of the given blobs: (unsigned values, signed values,
-    first varint index per blob, count per blob).
+    first varint index per blob, count per blob).  ``broken`` takes the indices of
+    those that are no number: above ``MAX_VARINT`` bytes, or cut off by the blob's end.
 
     A varint ends at a byte without the continuation bit or at the end of
     its blob.  Boundaries come from one pass over the blob bytes; each varint
@@ -231,7 +235,9 @@ def _varint_stream(buf, bstart, blen):
     offs = _offsets(blen)
     nonempty = blen > 0
     term = b < 0x80
-    term[(offs[1:] - 1)[nonempty]] = True
+    last = (offs[1:] - 1)[nonempty]
+    cut = last[~term[last]]
+    term[last] = True
     ends = np.flatnonzero(term)
     count = np.zeros(nblob, np.int64)
     if len(ends) == 0:
@@ -266,6 +272,8 @@ def _varint_stream(buf, bstart, blen):
         uval[i] = np.uint64(u & 0xFFFFFFFFFFFFFFFF)
         m &= 0x7FFFFFFFFFFFFFFF
         sval[i] = -m if raw[0] & 0x40 else m
+    if broken is not None:
+        broken.extend(np.union1d(np.flatnonzero(length > MAX_VARINT), np.searchsorted(ends, cut)).tolist())
     return uval, sval, first, count
 
 
@@ -281,7 +289,8 @@ def decode_polys(buf, bstart, blen, valid, f: FieldDesc):
     stride = 3 if f.kind == "polylineM" else 2
     use = valid & (blen > 0)
     rows = np.flatnonzero(use)
-    uval, sval, first, count = _varint_stream(buf, bstart[rows], blen[rows])
+    broken: list[int] = []
+    uval, sval, first, count = _varint_stream(buf, bstart[rows], blen[rows], broken)
     m = len(rows)
     nv = len(uval)
 
@@ -313,6 +322,11 @@ def decode_polys(buf, bstart, blen, valid, f: FieldDesc):
     # varints this blob must hold: header, bbox, part sizes, x/y (and m) deltas
     need = d_start + npts * stride - first
     bad |= body & (need > count)
+    # (what follows the varints a blob must hold may be no varints at all)
+    if broken:
+        owner = np.searchsorted(first, broken, side="right") - 1
+        bad[owner[np.array(broken) - first[owner] < np.where(empty, 2, need)[owner]]] = True
+    empty &= ~bad
     npts = np.where(bad, 0, npts)
     nparts = np.where(bad, 0, nparts)
 
@@ -409,18 +423,25 @@ def decode_shape(buf, bstart, blen, valid, f: FieldDesc):
 # ------------------------------------------------------------------- rows
 
 def decode_rows(buf: np.ndarray, buf_len: int, row_pos: np.ndarray, oids: np.ndarray,
-                fields: list[FieldDesc], wanted: list[int]):
+                fields: list[FieldDesc], wanted: list[int], room: np.ndarray | None = None,
+                why: np.ndarray | None = None):
     """Decode rows starting (at their length field) at ``row_pos`` of ``buf``.
 
     Returns ``(arrays for the wanted field indices, malformed mask)``.
     Malformed rows (bad length, overrun, undecodable value) come back with
-    every column null; the caller applies the read mode.
+    every column null; the caller applies the read mode.  ``room``: the most
+    bytes that each row can have.  ``why``: takes the place in ``REASONS`` of each
+    row's first fault (geometries are looked at only where they are wanted).
     """
     n = len(row_pos)
     rl = fixed_at(buf, row_pos, "<i4").astype(np.int64) if n else \
         np.zeros(0, np.int64)
     p0 = row_pos + 4
     bad = (rl <= 0) | (p0 + rl > buf_len)
+    if room is not None:
+        bad |= rl > room
+    why = np.zeros(n, np.int8) if why is None else why
+    why[bad] = 1
     row_end = p0 + np.maximum(rl, 0)
     n_nullable = sum(1 for f in fields if f.nullable)
     cur = p0 + (n_nullable + 7) // 8
@@ -466,6 +487,8 @@ def decode_rows(buf: np.ndarray, buf_len: int, row_pos: np.ndarray, oids: np.nda
         bad |= over
     bad |= ~bad & (cur > row_end)
 
+    why[bad & (why == 0)] = 3
+    why[poisoned] = 2
     out = []
     shape_bad = np.zeros(n, bool)
     for i in wanted:
@@ -505,6 +528,7 @@ def decode_rows(buf: np.ndarray, buf_len: int, row_pos: np.ndarray, oids: np.nda
             out.append(arr)
         else:
             out.append(binary_array(buf, start, ln, v, string=f.type_code in (STRING, XML)))
+    why[shape_bad & (why == 0)] = 4
     return out, bad | shape_bad
 
 
@@ -530,4 +554,10 @@ def null_rows(arrays: list[pa.Array], bad: np.ndarray) -> list[pa.Array]:
     if not bad.any():
         return arrays
     mask = pa.array(bad)
-    return [pa.compute.if_else(mask, pa.nulls(len(a), a.type), a) for a in arrays]
+
+    def nulled(a):
+        if pa.types.is_struct(a.type):      # its children, never null, stay as they are
+            return pa.StructArray.from_arrays([a.field(k) for k in range(a.type.num_fields)], fields=list(a.type),
+                                              mask=pa.compute.or_(mask, a.is_null()))
+        return pa.compute.if_else(mask, pa.nulls(len(a), a.type), a)
+    return [nulled(a) for a in arrays]

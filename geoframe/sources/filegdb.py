@@ -18,6 +18,12 @@ Options (case-insensitive):
                     of the table file
 ``mode``            PERMISSIVE (malformed rows -> all nulls), DROPMALFORMED,
                     FAILFAST
+``corruptColumn``   name of a string column, the last one, that says why a row is
+                    malformed: ``row length`` (not positive, or beyond the next
+                    row or the file), ``field value``, ``raster value``,
+                    ``geometry``; null in sound rows.  With ``columns`` it comes
+                    where it is named, and what is wrong with a geometry shows
+                    only where that geometry is read
 ``startRow``        first slot (0-based) and
 ``numRows``         number of slots to read (slots, not live rows)
 ``batchRows``       slots decoded per Arrow batch (default 65536)
@@ -41,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, LessThan,
                                     LessThanOrEqual)
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from geoframe.sources import decode as D
 from geoframe.sources import layout as L
@@ -145,9 +151,18 @@ def resolve_table(path: str, name: str) -> str | None:
 
 # ------------------------------------------------------------------ scan
 
-def _read_rows(fh, offsets: np.ndarray, file_size: int):
-    """Fetch the rows at ``offsets`` (any order) with coalesced reads.
-    Returns (buffer, length of real data, row positions in the buffer)."""
+def _room(offsets: np.ndarray, known: np.ndarray, file_size: int) -> np.ndarray:
+    """The most bytes that each row can have behind its length field: up to the next
+    row among ``known`` (sorted offsets), else up to the end of the file."""
+    at = np.searchsorted(known, offsets, side="right")
+    stop = np.append(known, file_size)[at].astype(np.int64)
+    return np.maximum(np.minimum(stop, file_size) - offsets.astype(np.int64) - 4, 0)
+
+
+def _read_rows(fh, offsets: np.ndarray, file_size: int, room: np.ndarray):
+    """Fetch the rows at ``offsets`` (any order) with coalesced reads; of a row
+    that claims more than its ``room`` nothing but the length is fetched for its
+    sake.  Returns (buffer, length of real data, row positions in the buffer)."""
     n = len(offsets)
     if n == 0:
         return np.zeros(D.PAD, np.uint8), 0, np.zeros(0, np.int64)
@@ -162,7 +177,7 @@ def _read_rows(fh, offsets: np.ndarray, file_size: int):
         tail = 0
         if len(chunk) >= last - lo + 4:
             tail = max(int.from_bytes(chunk[last - lo:last - lo + 4], "little", signed=True), 0)
-            tail = min(tail, max(file_size - (last + 4), 0))
+            tail = tail if tail <= room[order[b - 1]] else 0
         pieces.append(chunk)
         if tail:
             pieces.append(read_at(fh, tail, last + 4))
@@ -179,15 +194,10 @@ def _read_rows(fh, offsets: np.ndarray, file_size: int):
     return buf, at, pos
 
 
-def _row_ends_ok(buf, real_len, pos, offsets, file_size):
-    rl = D.fixed_at(buf, pos, "<i4").astype(np.int64)
-    return (pos + 4 + np.maximum(rl, 0) <= real_len) | (rl <= 0) | \
-        (offsets.astype(np.int64) + 4 + rl > file_size)
-
-
 def _scan(path: str, hdr: L.TableHeader, wanted: list[int], ranges, mode: str,
           batch_rows: int, with_oid: bool = False, names: list[str] | None = None):
-    """Yield Arrow record batches of the wanted fields for the slot ranges."""
+    """Yield Arrow record batches of the wanted fields (-1: why a row is malformed)
+    for the slot ranges."""
     fs, p = L.filesystem(path)
     tpath, xpath = L.table_paths(p, hdr.table)
     idx = L.read_index_header(path, hdr.table)
@@ -197,15 +207,19 @@ def _scan(path: str, hdr: L.TableHeader, wanted: list[int], ranges, mode: str,
         for start, stop in ranges:
             stop = idx.num_slots if stop is None else min(stop, idx.num_slots)
             for s0 in range(max(start, 0), stop, batch_rows):
-                slots = np.arange(s0, min(s0 + batch_rows, stop), dtype=np.int64)
+                end = min(s0 + batch_rows, stop)
+                slots = np.arange(s0, min(end + NEXT_SLOTS, idx.num_slots), dtype=np.int64)
                 offs = L.read_offsets(xh, idx, slots)
                 live = offs != 0
                 slots, offs = slots[live], offs[live]
+                known = np.sort(offs)
+                slots, offs = slots[slots < end], offs[slots < end]
                 for sl, of in _byte_bounded(slots, offs, size):
                     yield from _decode_chunk(fh, size, sl, of, hdr, wanted, names, mode,
-                                             with_oid)
+                                             with_oid, known)
 
 
+NEXT_SLOTS = 64           # index entries read beyond a batch: where its last rows must end
 OFFSET_SAMPLES = 256      # index entries that the driver reads to balance tasks by bytes
 
 
@@ -231,42 +245,28 @@ def _byte_bounded(slots, offs, file_size):
         yield slots[a:b], offs[a:b]
 
 
-def _decode_chunk(fh, size, slots, offs, hdr, wanted, names, mode, with_oid):
-    """Read and decode the rows of one chunk; apply the read mode."""
-    buf, real, pos = _read_rows(fh, offs, size)
-    ok = _row_ends_ok(buf, real, pos, offs, size)
-    if not ok.all():
-        # a row longer than its coalesced piece: fetch those alone
-        extra = []
-        for j in np.flatnonzero(~ok):
-            rl = int.from_bytes(read_at(fh, 4, int(offs[j])), "little",
-                                signed=True)
-            extra.append((j, read_at(fh, 4 + max(rl, 0), int(offs[j]))))
-        data = buf[:real].tobytes()
-        for j, chunk in extra:
-            pos[j] = len(data)
-            data += chunk
-        real = len(data)
-        buf = np.frombuffer(data + b"\0" * D.PAD, np.uint8)
+def _decode_chunk(fh, size, slots, offs, hdr, wanted, names, mode, with_oid, known=None):
+    """Read and decode the rows of one chunk; apply the read mode.  ``known``: sorted
+    offsets of rows, by which the rows' lengths are checked (default: the chunk's)."""
+    room = _room(offs, np.sort(offs) if known is None else known, size)
+    buf, real, pos = _read_rows(fh, offs, size, room)
     oids = slots + 1
-    arrays, bad = D.decode_rows(buf, real, pos, oids, hdr.fields, wanted)
+    why = np.zeros(len(slots), np.int8)
+    arrays, bad = D.decode_rows(buf, real, pos, oids, hdr.fields, [i for i in wanted if i >= 0], room, why)
+    cols, out_names = D.null_rows(arrays, bad), list(names)
+    if -1 in wanted:
+        cols.insert(wanted.index(-1), pa.array([D.REASONS[k] for k in why], pa.string()))
+    if with_oid:
+        cols.append(pa.array(oids.astype(np.int32)))
+        out_names.append("__oid")
     if bad.any():
         if mode == "FAILFAST":
-            raise MalformedRowError(
-                f"{hdr.table}: malformed row at OBJECTID {int(oids[bad][0])}")
+            first = int(np.flatnonzero(bad)[0])
+            raise MalformedRowError(f"{hdr.table}: malformed row at OBJECTID {int(oids[first])} "
+                                    f"({D.REASONS[why[first]]})")
         if mode == "DROPMALFORMED":
             keep = pa.array(~bad)
-            arrays = [a.filter(keep) for a in arrays]
-        else:
-            arrays = D.null_rows(arrays, bad)
-    cols = list(arrays)
-    out_names = list(names)
-    if with_oid:
-        o = pa.array(oids.astype(np.int32))
-        if mode == "DROPMALFORMED" and bad.any():
-            o = o.filter(pa.array(~bad))
-        cols.append(o)
-        out_names.append("__oid")
+            cols = [a.filter(keep) for a in cols]
     if cols and len(cols[0]):
         yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
@@ -338,6 +338,11 @@ class FileGDBDataSource(DataSource):
             return StructType([])
         full = hdr.schema()
         cols = _opt(self.options, "columns")
+        corrupt = _opt(self.options, "corruptColumn")
+        if corrupt:
+            if corrupt.lower() in (f.name.lower() for f in full.fields):
+                raise ValueError(f"filegdb: corruptColumn {corrupt} is a column of table {hdr.table}")
+            full = StructType([*full.fields, StructField(corrupt, StringType())])
         if not cols:
             return full
         # explicit column pruning: only these fields are decoded
@@ -372,6 +377,7 @@ class FileGDBReader(DataSourceReader):
         self.balance = str(_opt(options, "balance", "slots")).lower()
         if self.balance not in ("slots", "bytes"):
             raise ValueError("filegdb: balance must be slots or bytes")
+        self.corrupt = _opt(options, "corruptColumn")
         self.wanted = self._columns(schema)
         self.names = [f.name for f in schema.fields]     # as the caller spells them
         self.oid_intervals = None     # set by pushFilters
@@ -382,12 +388,14 @@ class FileGDBReader(DataSourceReader):
         if self.hdr is None:
             return []
         by_name = {f.name.lower(): i for i, f in enumerate(self.hdr.fields)}
+        if self.corrupt:
+            by_name[self.corrupt.lower()] = -1
         out = []
         for sf in schema.fields:
             i = by_name.get(sf.name.lower())
             if i is None:
                 raise ValueError(f"filegdb: column {sf.name} is not in table {self.hdr.table}")
-            have = self.hdr.fields[i].spark_type()
+            have = self.hdr.fields[i].spark_type() if i >= 0 else StringType()
             if have.simpleString() != sf.dataType.simpleString():
                 raise ValueError(f"filegdb: column {sf.name} is {have.simpleString()}, "
                                  f"not {sf.dataType.simpleString()}")

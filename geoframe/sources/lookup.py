@@ -53,10 +53,16 @@ def lookup_rows(spark: SparkSession, path: str, name: str, ids: DataFrame, id_co
             for batch in batches:
                 slots = np.asarray(batch.column(0)) - 1
                 cuts = np.flatnonzero(np.diff(slots) > INDEX_GAP) + 1
-                offsets = np.concatenate([L.read_offsets(xh, index, part) for part in np.split(slots, cuts)])
+                # (each id with the slot behind it, whose row bounds its own)
+                near = [np.unique(np.append(part, part + 1)) for part in np.split(slots, cuts) if len(part)]
+                near = [part[part < index.num_slots] for part in near]
+                found = np.concatenate([L.read_offsets(xh, index, part) for part in near]) if near else slots
+                known = np.sort(found[found != 0])
+                asked = np.isin(np.concatenate(near), slots) if near else slots > 0
+                offsets = found[asked]
                 live = offsets != 0
                 for s, o in _byte_bounded(slots[live], offsets[live], size):
-                    for rows in _decode_chunk(fh, size, s, o, hdr, wanted, names, mode, True):
+                    for rows in _decode_chunk(fh, size, s, o, hdr, wanted, names, mode, True, known):
                         cols = [rows.column(rows.num_columns - 1), *rows.columns[:-1]]
                         yield pa.RecordBatch.from_arrays(
                             [c.cast(f.type) for c, f in zip(cols, target)], schema=target)
