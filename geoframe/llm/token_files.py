@@ -1,16 +1,18 @@
 """Token ids in binary files, compressed by Re-Pair.
 
-Every shard holds consecutive documents and a grammar of its own.  Rounds of
-Re-Pair count all adjacent pairs of the shard (a sort), give the most frequent
-ones a nonterminal each and replace them from left to right; pairs never cross
-a document's end.  A round replaces many pairs at once, so few passes do.
-
-A shard file: the magic, the header's length (4 bytes), a JSON header (counts
-and dtypes), then little-endian arrays - document ids and which are null, ends
-of the documents in symbols and in ids, the rules (two symbols each), the
-length every rule expands to, and the symbols.  Symbols below ``n_terminals``
-are ids; ``n_terminals + k`` is rule k, which only names earlier symbols.  The
-stored lengths let ``Shard.ids(doc, a, b)`` skip symbols without expanding them.
+Every shard holds consecutive documents and a grammar of its own.  All adjacent
+pairs of the shard are counted once, by a sort.  A round of Re-Pair gives the most
+frequent ones a nonterminal each, replaces them from left to right and counts anew
+only the pairs at the replaced places; rounds go on until no pair is met
+``MIN_COUNT`` times.  Pairs never cross a document's end.
+
+A shard file: the magic, the header's length (4 bytes), a JSON header (names,
+dtypes and sizes), then little-endian arrays - document ids and which are null, ends
+of the documents in symbols and in ids, the terminals (the shard's different ids),
+the rules (two symbols each), the length every rule expands to, and the symbols.
+Symbol i below the number of terminals is the i-th of them; the ones above are the
+rules, which only name earlier symbols.  The stored lengths let
+``Shard.ids(doc, a, b)`` skip symbols without expanding them.
 
 Cases: null text is empty (its end id alone); repeated rows are documents of
 their own; null ids come first; an empty table writes no shard and reads back
@@ -36,54 +38,89 @@ from geoframe.sources.layout import filesystem
 
 MAGIC = b"RPTK"
 SHARD_IDS = 3_000_000
-ROUNDS = 5
-RULES_PER_ROUND = 2_048
-MIN_COUNT = 8             # a pair that is met less often is not worth a rule
+RULES_PER_ROUND = 2_048   # pairs replaced at once
+MIN_COUNT = 8             # a rule takes 12 bytes and saves 2 a place: below, it is not worth it
+_SHIFT, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
-def repair(ids: np.ndarray, doc_ends: np.ndarray, n_terminals: int, rounds: int = ROUNDS):
-    """``(rules, symbols, doc_ends in symbols)`` for uint32 ids."""
+def _keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A pair as one number."""
+    return (left.astype("uint64") << _SHIFT) | right
+
+
+def _count(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, ascending, and how often each is met (``keys`` get sorted)."""
+    keys.sort()
+    starts = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0][:len(keys)]
+    return keys[starts], np.diff(np.append(starts, len(keys)))
+
+
+def _places(seq: np.ndarray, last: np.ndarray, chosen: np.ndarray, top: int):
+    """Where the chosen pairs (ascending) are replaced, and which is at each place;
+    of matches that overlap, in every run of neighbours each second one stays."""
+    is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
+    is_left[chosen >> _SHIFT], is_right[chosen & _LOW] = True, True
+    at = np.nonzero(is_left[seq[:-1]] & is_right[seq[1:]] & ~last[:-1])[0]
+    own = _keys(seq[at], seq[at + 1])
+    which = np.minimum(np.searchsorted(chosen, own), len(chosen) - 1)
+    hit = chosen[which] == own
+    at, which = at[hit], which[hit]
+    run_start = np.concatenate([[True], np.diff(at) != 1])[:len(at)]
+    first = np.maximum.accumulate(np.where(run_start, np.arange(len(at)), 0))
+    keep = (np.arange(len(at)) - first) % 2 == 0
+    return at[keep], which[keep]
+
+
+def repair(ids: np.ndarray, doc_ends: np.ndarray, n_terminals: int):
+    """``(rules, symbols, doc_ends in symbols)`` for uint32 ids below ``n_terminals``."""
     seq, last = ids, np.zeros(len(ids), bool)
     last[doc_ends - 1] = True
     rules: list[np.ndarray] = []
     top = n_terminals
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        # a pair as one number; 32 bits where symbols take 16
-        shift, kind = (16, "uint32") if top <= 1 << 16 else (32, "uint64")
-        low = (1 << shift) - 1
-        keys = (seq[:-1].astype(kind) << np.array(shift, kind)) | seq[1:].astype(kind)
-        counted = keys[~last[:-1]]
-        counted.sort()
-        starts = np.nonzero(np.concatenate([[True], counted[1:] != counted[:-1]]))[0][:len(counted)]
-        counts = np.diff(np.concatenate([starts, [len(counted)]]))
-        often = np.nonzero(counts >= MIN_COUNT)[0]
-        if not len(often):
-            break
-        found, counts = counted[starts[often]], counts[often]
+    inside = ~last[:-1]
+    if top <= 1 << 16:                  # 32 bits sort faster
+        pairs, counts = _count((seq[:-1][inside] << np.uint32(16)) | seq[1:][inside])
+        pairs = _keys(pairs >> np.uint32(16), pairs & np.uint32(0xFFFF))
+    else:
+        pairs, counts = _count(_keys(seq[:-1][inside], seq[1:][inside]))
+    often = counts >= MIN_COUNT
+    pairs, counts = pairs[often], counts[often]
+    while len(pairs):
         # the most frequent; ties by the pair itself
-        chosen = np.sort(found[np.lexsort((found, -counts))[:RULES_PER_ROUND]])
-        left, right = (chosen >> np.array(shift, kind)).astype("int64"), (chosen & np.array(low, kind)).astype("int64")
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[left], is_right[right] = True, True
-        at = np.nonzero(is_left[seq[:-1]] & is_right[seq[1:]] & ~last[:-1])[0]
-        own = keys[at]
-        which = np.searchsorted(chosen, own)
-        hit = chosen[np.minimum(which, len(chosen) - 1)] == own
-        at, which = at[hit], which[hit]
-        # matches that overlap: in every run of neighbours each second one stays
-        run_start = np.concatenate([[True], np.diff(at) != 1])
-        first = np.maximum.accumulate(np.where(run_start, np.arange(len(at)), 0))
-        keep = (np.arange(len(at)) - first) % 2 == 0
-        at, which = at[keep], which[keep]
+        for most in (RULES_PER_ROUND, len(pairs)):
+            chosen = np.sort(pairs[np.lexsort((pairs, -counts))[:most]])
+            at, which = _places(seq, last, chosen, top)
+            # pairs that overlap with others so often wait for the next round
+            good = np.bincount(which, minlength=len(chosen)) >= MIN_COUNT
+            if good.any():
+                break
+        else:
+            break                       # pairs that only overlap with themselves
+        at, which = at[good[which]], (np.cumsum(good) - 1)[which[good[which]]]
+        chosen = chosen[good]
+        # pairs that go with the replaced ones, then those that come
+        touched = np.zeros(len(seq), bool)
+        touched[at], touched[at + 1], touched[np.maximum(at - 1, 0)] = True, True, True
+        t = np.nonzero(touched[:-1] & ~last[:-1])[0]
+        gone, n = _count(_keys(seq[t], seq[t + 1]))
+        where = np.minimum(np.searchsorted(pairs, gone), len(pairs) - 1)
+        hit = pairs[where] == gone
+        counts[where[hit]] -= n[hit]
         seq = seq.copy()
         seq[at] = (which + top).astype("uint32")
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, last = seq[stay], last[stay]
-        rules.append(np.stack([left, right], axis=1))
+        new = seq >= top
+        t = np.nonzero((new[:-1] | new[1:]) & ~last[:-1])[0]
+        come, n = _count(_keys(seq[t], seq[t + 1]))
+        often = counts >= MIN_COUNT
+        pairs = np.concatenate([pairs[often], come[n >= MIN_COUNT]])
+        counts = np.concatenate([counts[often], n[n >= MIN_COUNT]])
+        order = np.argsort(pairs)
+        pairs, counts = pairs[order], counts[order]
+        rules.append(np.stack([chosen >> _SHIFT, chosen & _LOW], axis=1))
         top += len(chosen)
     table_ = np.concatenate(rules) if rules else np.zeros((0, 2), "int64")
     return table_.astype("<u4"), seq, np.nonzero(last)[0] + 1
@@ -98,16 +135,18 @@ def rule_lengths(rules: np.ndarray, n_terminals: int) -> np.ndarray:
 
 def shard_bytes(doc_ids: list, ids: np.ndarray, doc_ends: np.ndarray) -> bytes:
     """A shard file's content."""
-    n_terminals = int(ids.max()) + 1
-    rules, symbols, symbol_ends = repair(ids, doc_ends, n_terminals)
+    used = np.zeros(int(ids.max()) + 1, bool)
+    used[ids] = True
+    terminals, n_terminals = np.nonzero(used)[0], int(used.sum())
+    rules, symbols, symbol_ends = repair((np.cumsum(used) - 1).astype("uint32")[ids], doc_ends, n_terminals)
     width = "<u2" if n_terminals + len(rules) <= 1 << 16 else "<u4"
     arrays = {"doc_ids": np.array([0 if d is None else d for d in doc_ids], "<i8"),
               "doc_null": np.array([d is None for d in doc_ids], "<u1"),
               "symbol_ends": symbol_ends.astype("<u8"), "id_ends": doc_ends.astype("<u8"),
-              "rules": rules.ravel(), "lengths": rule_lengths(rules, n_terminals),
+              "terminals": terminals.astype("<u4"), "rules": rules.ravel(),
+              "lengths": rule_lengths(rules, n_terminals),
               "symbols": symbols.astype(width)}
-    head = json.dumps({"n_terminals": n_terminals, "arrays": [
-        [k, v.dtype.str, len(v)] for k, v in arrays.items()]}).encode()
+    head = json.dumps({"arrays": [[k, v.dtype.str, len(v)] for k, v in arrays.items()]}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *(v.tobytes() for v in arrays.values())])
 
 
@@ -119,38 +158,29 @@ class Shard:
             raise ValueError("not a token shard")
         at = 8 + int.from_bytes(data[4:8], "little")
         head = json.loads(data[8:at])
-        self.n_terminals = head["n_terminals"]
         for name, dtype, n in head["arrays"]:
             value = np.frombuffer(data, dtype, n, at)
             setattr(self, name, value)
             at += value.nbytes
         if at != len(data):
             raise ValueError("token shard is cut short")
+        self.n_terminals = len(self.terminals)
         self.rules = self.rules.reshape(-1, 2)
         self.spans = np.concatenate([np.ones(self.n_terminals, "int64"), self.lengths.astype("int64")])
-        self._flat = None
 
     def doc_id(self, i: int):
         return None if self.doc_null[i] else int(self.doc_ids[i])
 
-    def _expansions(self):
-        """Every symbol's ids, end to end, and where each begins."""
-        if self._flat is None:
-            parts: list[bytes] = [np.arange(self.n_terminals, dtype="<u4").tobytes()]
-            of = [None] * len(self.rules)
-            get = lambda s: (s.to_bytes(4, "little") if s < self.n_terminals
-                             else of[s - self.n_terminals])
-            for k, (a, b) in enumerate(self.rules.tolist()):
-                of[k] = get(a) + get(b)
-            self._flat = np.frombuffer(b"".join(parts + of), "<u4")
-            self._begin = np.concatenate([[0], np.cumsum(self.spans)[:-1]])
-        return self._flat, self._begin
-
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        flat, begin = self._expansions()
-        spans = self.spans[symbols]
-        ends = np.cumsum(spans)
-        return flat[np.repeat(begin[symbols] - (ends - spans), spans) + np.arange(ends[-1] if len(ends) else 0)]
+        """The ids of some symbols: rules are opened, all at once, until none is left."""
+        while (rule := symbols >= self.n_terminals).any():
+            at = np.cumsum(1 + rule) - 1 - rule
+            opened = np.empty(len(symbols) + int(rule.sum()), "int64")
+            opened[at] = symbols
+            pair = self.rules[symbols[rule] - self.n_terminals]
+            opened[at[rule]], opened[at[rule] + 1] = pair[:, 0], pair[:, 1]
+            symbols = opened
+        return self.terminals[symbols]
 
     def ids(self, doc: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids ``start`` to ``stop`` of a document; only the symbols that hold
@@ -166,7 +196,11 @@ class Shard:
         return self._expand(symbols[i:j + 1])[start - before:stop - before]
 
     def all_ids(self) -> np.ndarray:
-        return self._expand(self.symbols.astype("int64"))
+        """All documents end to end.  Every rule is opened once, whatever its length."""
+        of = [self.terminals[k:k + 1].tobytes() for k in range(self.n_terminals)]
+        for a, b in self.rules.tolist():
+            of.append(of[a] + of[b])
+        return np.frombuffer(b"".join(map(of.__getitem__, self.symbols.tolist())), "<u4")
 
 
 def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text: str = "text",
