@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import struct
 
 MAX_BYTES = 32 << 20          # of chunks (or pieces) and their ids that a worker keeps
 ENTRY_BYTES = 200             # that an entry takes besides
@@ -31,7 +30,7 @@ def load(path: str):
 
 def ids_to_bytes(ids) -> bytes:
     """Little-endian unsigned 32-bit integers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 TAIL = ".,;:!?"
@@ -56,16 +55,21 @@ def word_and_tail(chunk: str) -> tuple[str, str] | None:
 
 
 class ChunkCache(dict):
-    """chunk -> what ``make(chunk)`` gives, made when first asked for."""
+    """chunk -> what ``make(chunk)`` gives, made when first asked for.  What has not
+    been asked for since the half before last was filled is forgotten."""
 
     def __init__(self, make):
         super().__init__()
-        self.make, self.size = make, 0
+        self.make, self.size, self.older = make, 0, {}
 
     def __missing__(self, chunk):
-        value = self.make(chunk)
+        if chunk in self.older:
+            value = self.older.pop(chunk)
+        else:
+            value = self.make(chunk)
         if len(chunk) <= MAX_CHUNK_CHARS:
-            if self.size >= MAX_BYTES:
+            if self.size >= MAX_BYTES // 2:
+                self.older = dict(self)
                 self.clear()
                 self.size = 0
             self.size += ENTRY_BYTES + len(chunk) + len(value or b"")
