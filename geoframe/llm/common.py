@@ -32,6 +32,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *prefixes: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns whose names begin like an operator's own (whatever
+    their case) under names that no column has, and these names by the given ones."""
+    taken = {c.lower() for c in docs.columns}
+    names: dict[str, str] = {}
+    for c in docs.columns:
+        new = c
+        if c.lower().startswith(prefixes):
+            new = f"given_{c}"
+            while new.lower() in taken:
+                new = f"given_{new}"
+            taken.add(new.lower())
+        names[c] = new
+    return docs.toDF(*names.values()) if any(k != v for k, v in names.items()) else docs, names
+
+
+def put_back(df: DataFrame, names: dict[str, str], *added: str) -> DataFrame:
+    """The given columns under their own names, then the added ones.  A given column
+    of an added one's name gives way to it."""
+    new = {c.lower() for c in added}
+    own = [F.col(f"`{v}`").alias(k) for k, v in names.items() if k.lower() not in new]
+    return df.select(*own, *added)
+
+
 def _local_union(batches):
     """mapInPandas: union-find over one partition's edges; every node but the
     roots comes out once, linked to the smallest node of its local tree."""

@@ -14,9 +14,11 @@ Lines without a letter or digit (blank lines, rules) are never compared or
 removed, nor are lines below ``MIN_CHARS`` characters: short headings and list
 marks repeat by right.
 
-Cases: null text is empty and comes back null; rows with equal ids are taken
-for one document and lose the same lines; rows without an id are left alone;
-an empty table gives an empty result; other columns are kept as they are.
+Cases: null text is empty and comes back null; rows with equal id and text are
+taken for one document and lose the same lines; rows without an id are left alone;
+an empty table gives an empty result; texts of any length are cut line by line;
+other columns are kept as they are, whatever their names, but for one that is
+called ``_l_places``, as the added column is: it gives way.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import materialise, query, table
+from geoframe.llm.common import materialise, put_back, query, set_aside, table
 from geoframe.llm.hashing import Rolling, mix
 from geoframe.llm.linking import intersections, similar_components
 
@@ -175,13 +177,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated lines cut out of ``text``; all columns are kept
     and ``_l_places`` (array<int>, null if nothing went) is added."""
+    docs, names = set_aside(docs, "_l_")
+    id_col, text = names.get(id_col, id_col), names.get(text, text)
     gone = repeated_lines(docs, id_col, text).select(F.col("id").alias("_l_id"), F.col("of").alias("_l_of"),
                                                      F.col("places").alias("_l_places"))
     joined = docs.join(gone, (F.col(id_col).cast("long") == F.col("_l_id")) & (F.xxhash64(text) == F.col("_l_of")),
                        "left").drop("_l_id", "_l_of")
     lines = F.filter(F.split(text, "\\n"), lambda x, i: ~F.array_contains("_l_places", i))
-    return joined.withColumn(text, F.when(F.col("_l_places").isNull(), F.col(text))
+    done = joined.withColumn(text, F.when(F.col("_l_places").isNull(), F.col(text))
                              .otherwise(F.array_join(lines, "\n")))
+    return put_back(done, names, "_l_places")
 
 
 @query("op9_line_minhash")

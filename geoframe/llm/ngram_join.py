@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import materialise, query, table
+from geoframe.llm.common import materialise, put_back, query, set_aside, table
 from geoframe.llm.hashing import batches_of, mix, word_hashes
 from geoframe.llm.linking import intersections, similar_components
 
@@ -245,12 +245,14 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
              text: str = "text") -> DataFrame:
     """The document with the smallest id of each component, all columns; rows
     without an id stay, and of rows with equal ids each is judged by its own text
-    (equal rows stay together)."""
+    (equal rows stay together).  Other columns may have any names."""
+    docs, names = set_aside(docs, "_n_")
+    id_col, text = names.get(id_col, id_col), names.get(text, text)
     found = _components(docs, n, percent, id_col, text, None)
     gone = found.where(F.col("first").isNotNull() & (F.struct("id", "of") != F.col("first"))) \
         .select(F.col("id").alias("_n_id"), F.col("of").alias("_n_of")).distinct()
-    return docs.join(gone, (F.col(id_col).cast("long") == F.col("_n_id")) & (F.xxhash64(text) == F.col("_n_of")),
-                     "left_anti")
+    return put_back(docs.join(gone, (F.col(id_col).cast("long") == F.col("_n_id"))
+                              & (F.xxhash64(text) == F.col("_n_of")), "left_anti"), names)
 
 
 @query("op8_ngram_multi_order")

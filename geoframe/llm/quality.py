@@ -7,8 +7,9 @@ language's reference by Jensen-Shannon divergence (base 2, 0 to 1).  Documents
 or references that are too short for a stable histogram are not judged by it.
 
 Cases: null text counts as empty (``base_failed``: fewer than 10 words); null
-``lang`` is a language of its own; repeated rows are judged row by row; an
-empty table gives an empty result; other columns are ignored.
+``lang`` is a language of its own, and so is an empty one; repeated rows are judged
+row by row; an empty table gives an empty result; texts may have any length; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import materialise, query, table
+from geoframe.llm.common import materialise, put_back, query, set_aside, table
 
 SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = 32         # per language
@@ -65,7 +66,7 @@ def _with_words(df: DataFrame, text: str) -> DataFrame:
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per language: ``lang``, ``words`` (its most common words),
     ``word_share`` (theirs of all words), ``class_share``, ``ref_words``."""
-    base = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"),
+    base = docs.select(F.col(lang).alias("lang"),
                        F.coalesce(F.col(text), F.lit("")).alias("_q_text"))
     base = _with_words(base, "_q_text")
     short = F.filter("_q_words", lambda w: F.length(w) <= COMMON_CHARS)
@@ -81,7 +82,8 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
                .groupBy("lang").agg(F.sum("n").alias("ref_words"),
                                     *[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]))
     chars = sum((F.col(f"c{i}") for i in range(1, k)), F.col("c0"))
-    return (classes.join(top, "lang", "left")
+    top = top.withColumnRenamed("lang", "top_lang")
+    return (classes.join(top, F.col("lang").eqNullSafe(F.col("top_lang")), "left")
             .select("lang", F.col("top.w").alias("words"),
                     F.transform("top", lambda t: t["n"] / F.col("ref_words")).alias("word_share"),
                     F.array(*[F.when(chars > 0, F.col(f"c{i}") / chars).otherwise(0.0)
@@ -103,7 +105,7 @@ def _divergence(p: Column, q: Column) -> Column:
 def measure(docs: DataFrame, refs: DataFrame | None = None, text: str = "text",
             lang: str = "lang") -> DataFrame:
     """``docs`` with the measured columns added, all prefixed ``q_``
-    (columns of these names are replaced): n_words, word_chars, n_symbols,
+    (given columns of these names give way): n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, class_divergence,
     word_divergence (null where a guard holds) and kept."""
     # one row per language: written first, so that Spark knows its size and
@@ -113,9 +115,11 @@ def measure(docs: DataFrame, refs: DataFrame | None = None, text: str = "text",
     refs = refs.select(F.col("lang").alias("_q_lang"), F.col("words").alias("_q_top"),
                        F.col("word_share").alias("_q_wshare"),
                        F.col("class_share").alias("_q_cshare"), F.col("ref_words").alias("_q_refwords"))
-    own = docs.columns
+    docs, names = set_aside(docs, "_q_", "q_")
+    text, lang = names.get(text, text), names.get(lang, lang)
+    own = [f"`{c}`" for c in docs.columns]
     df = docs.withColumn("_q_text", F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumn("_q_lang", F.coalesce(F.col(lang), F.lit(""))).join(refs, "_q_lang", "left")
+    df = df.join(refs, F.col(lang).eqNullSafe(F.col("_q_lang")), "left")
     df = _with_words(df, "_q_text").withColumn("q_n_words", F.size("_q_words").cast("long"))
     lines = F.filter(F.split("_q_text", "\\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("_q_lines", lines)
@@ -179,9 +183,8 @@ def measure(docs: DataFrame, refs: DataFrame | None = None, text: str = "text",
     # the measures come out of a generator of one row: a filter on them would
     # otherwise be pushed below every step above, and each column replaced by
     # its expression over and over
-    own = [c for c in own if c not in MEASURES]
     one = F.explode(F.array(F.struct(*MEASURES))).alias("_q_one")
-    return df.select(*own, one).select(*own, *[F.col(f"_q_one.{c}") for c in MEASURES])
+    return put_back(df.select(*own, one).select(*own, *[F.col(f"_q_one.{c}") for c in MEASURES]), names, *MEASURES)
 
 
 MEASURES = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words",
@@ -190,7 +193,9 @@ MEASURES = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_re
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass, with their own columns only."""
-    return measure(docs, None, text, lang).where("q_kept").select(*docs.columns)
+    docs, names = set_aside(docs, "_q_", "q_")
+    kept = measure(docs, None, names.get(text, text), names.get(lang, lang)).where("q_kept")
+    return put_back(kept, names)
 
 
 @query("op10_quality_divergence")

@@ -21,7 +21,8 @@ copies of a context are one item.
 
 Cases: a ``length`` below ``SHORTEST`` raises; null text is empty; texts shorter than ``LENGTH`` lose nothing; rows with
 equal id and text are occurrences of their own and come out each; an empty table
-gives an empty result; other columns are kept.
+gives an empty result; other columns are kept, whatever their names, but for one that
+is called like an added column, which gives way.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import materialise, query, table
+from geoframe.llm.common import materialise, put_back, query, set_aside, table
 from geoframe.llm.hashing import BYTE, Rolling, batches_of, mix
 from geoframe.llm.linking import multiple
 from geoframe.llm.merge_sort import front_code, front_decode, merge
@@ -356,6 +357,8 @@ def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     stretch, ``SHORTEST`` at least.  ``words``: runs of fewer whole words stay if
     they are below ``LENGTH`` bytes; with a ``length`` of ``2 * words - 1``, the
     least that so many words take, no passage of ``words`` words is missed."""
+    docs, names = set_aside(docs, "_s_")
+    id_col, text = names.get(id_col, id_col), names.get(text, text)
     named = docs.withColumn("_s_row", F.xxhash64(F.col(id_col), F.col(text)))
     spans = repeated_spans(named, "_s_row", text, length).withColumnRenamed("row", "_s_row") \
         .withColumnRenamed("spans", "_s_found")
@@ -380,7 +383,8 @@ def dedup_stretches(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                  pa.array(kept, pa.binary()), pa.array(texts, pa.string())],
                 names=[*batch.schema.names[:-1], "_s_bytes", "_s_spans", "_s_kept", "_s_text"])
 
-    return joined.mapInArrow(run, schema + ", _s_bytes long, _s_spans long, _s_kept binary, _s_text string")
+    done = joined.mapInArrow(run, schema + ", _s_bytes long, _s_spans long, _s_kept binary, _s_text string")
+    return put_back(done, names, "_s_bytes", "_s_spans", "_s_kept", "_s_text")
 
 
 @query("op2_suffix_merge")
