@@ -142,6 +142,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
                 if held >= BLOCK_TOKENS:
                     yield cut(keys, parts, key_type)
                     keys, parts, held = [], [], 0
+        enc.rest()
         if keys:
             yield cut(keys, parts, key_type)
 

@@ -9,7 +9,8 @@ only the pairs at the replaced places; rounds go on until no pair is met
 A shard file: the magic, the header's length (4 bytes), a JSON header (names,
 dtypes and sizes), then little-endian arrays - document ids and which are null, ends
 of the documents in symbols and in ids, the terminals (the shard's different ids),
-the rules (two symbols each), the length every rule expands to, and the symbols.
+the rules (two symbols each), the length every rule expands to, the symbols' low 16 bits, and their higher bits, as
+many as the shard needs, plane by plane.
 Symbol i below the number of terminals is the i-th of them; the ones above are the
 rules, which only name earlier symbols.  The stored lengths let
 ``Shard.ids(doc, a, b)`` skip symbols without expanding them.
@@ -139,13 +140,15 @@ def shard_bytes(doc_ids: list, ids: np.ndarray, doc_ends: np.ndarray) -> bytes:
     used[ids] = True
     terminals, n_terminals = np.nonzero(used)[0], int(used.sum())
     rules, symbols, symbol_ends = repair((np.cumsum(used) - 1).astype("uint32")[ids], doc_ends, n_terminals)
-    width = "<u2" if n_terminals + len(rules) <= 1 << 16 else "<u4"
+    planes = max(0, (n_terminals + len(rules) - 1).bit_length() - 16)
+    high = [np.packbits(((symbols >> np.uint32(16 + k)) & np.uint32(1)).astype("u1")) for k in range(planes)]
     arrays = {"doc_ids": np.array([0 if d is None else d for d in doc_ids], "<i8"),
               "doc_null": np.array([d is None for d in doc_ids], "<u1"),
               "symbol_ends": symbol_ends.astype("<u8"), "id_ends": doc_ends.astype("<u8"),
               "terminals": terminals.astype("<u4"), "rules": rules.ravel(),
               "lengths": rule_lengths(rules, n_terminals),
-              "symbols": symbols.astype(width)}
+              "symbols": (symbols & np.uint32(0xFFFF)).astype("<u2"),
+              "high": np.concatenate(high) if high else np.zeros(0, "<u1")}
     head = json.dumps({"arrays": [[k, v.dtype.str, len(v)] for k, v in arrays.items()]}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *(v.tobytes() for v in arrays.values())])
 
@@ -164,6 +167,9 @@ class Shard:
             at += value.nbytes
         if at != len(data):
             raise ValueError("token shard is cut short")
+        n = len(self.symbols)
+        for k, plane in enumerate(self.high.reshape(-1, -(-n // 8)) if len(self.high) else ()):
+            self.symbols = self.symbols.astype("<u4") | (np.unpackbits(plane)[:n].astype("<u4") << np.uint32(16 + k))
         self.n_terminals = len(self.terminals)
         self.rules = self.rules.reshape(-1, 2)
         self.spans = np.concatenate([np.ones(self.n_terminals, "int64"), self.lengths.astype("int64")])
@@ -239,6 +245,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
                 if held >= shard_ids:
                     yield flush(keys, parts)
                     keys, parts, held = [], [], 0
+        enc.rest()
         if keys:
             yield flush(keys, parts)
 

@@ -13,7 +13,7 @@ import os
 import re
 import struct
 
-MAX_BYTES = 32 << 20          # of chunks (or pieces) and their ids that a worker keeps
+MAX_BYTES = 64 << 20          # of chunks (or pieces) and their ids in a task; half of it stays after
 ENTRY_BYTES = 200             # that an entry takes besides
 MAX_CHUNK_CHARS = 64          # longer ones are encoded every time
 
@@ -77,7 +77,15 @@ class ChunkCache(dict):
         return value
 
 
-class ByteLevelEncoder:
+class Encoder:
+    """An encoder's caches, the whole of them while a task runs."""
+
+    def rest(self):
+        """Called at a task's end: an idle worker keeps the newer halves."""
+        self.chunks.older, self.pieces.older = {}, {}
+
+
+class ByteLevelEncoder(Encoder):
     """``byte_bpe``: a chunk is a blank and what follows up to the next blank
     that is followed by something else than white space; the pattern always
     starts a new word at such a blank."""
@@ -117,7 +125,7 @@ class ByteLevelEncoder:
         return self._whole(first) + body
 
 
-class WordEncoder:
+class WordEncoder(Encoder):
     """``word_bpe``: white space is dropped, so chunks are what lies between
     blanks and line ends."""
 

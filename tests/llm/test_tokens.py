@@ -140,6 +140,29 @@ def test_repair_round_trip(terminals):
         token_files.Shard(token_files.shard_bytes([1], ids[:10], np.array([10]))[:-1])
 
 
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(3)
+    words = [rng.integers(0, 300, 40).astype("uint32") for _ in range(60)]
+    ids = np.concatenate([words[k] for k in rng.integers(0, 60, 3_000)])
+    ends = np.arange(400, len(ids) + 1, 400)
+    rules, symbols, symbol_ends = token_files.repair(ids, ends, 300)
+    inside = np.ones(len(symbols), bool)
+    inside[symbol_ends - 1] = False
+    pairs = (symbols[:-1].astype("uint64") << np.uint64(32) | symbols[1:])[inside[:-1]]
+    assert np.unique(pairs, return_counts=True)[1].max() < 2 * token_files.MIN_COUNT
+    data = token_files.shard_bytes(list(range(len(ends))), ids, ends)
+    shard = token_files.Shard(data)
+    assert (shard.all_ids() == ids).all() and shard.lengths.max() >= 40 and len(data) < len(ids)
+
+
+def test_symbols_of_more_than_16_bits():
+    ids = np.concatenate([np.arange(140_000), np.tile(np.arange(139_000, 140_000), 20)]).astype("uint32")
+    ends = np.array([1, 70_001, len(ids)])
+    shard = token_files.Shard(token_files.shard_bytes([3, 4, 5], ids, ends))
+    assert len(shard.high) and shard.n_terminals == 140_000 and len(shard.rules)
+    assert (shard.all_ids() == ids).all() and (shard.ids(2, 68_000, 75_000) == ids[138_001:145_001]).all()
+
+
 def test_token_files(spark, frame, word_path, documents):
     from geoframe.llm.common import scratch
     given = documents[:70] + [(900, None), (901, "")]
