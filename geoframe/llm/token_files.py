@@ -39,7 +39,7 @@ from geoframe.sources.layout import filesystem
 
 MAGIC = b"RPTK"
 SHARD_IDS = 3_000_000
-RULES_PER_ROUND = 2_048   # pairs replaced at once
+RULES_PER_ROUND = 4_096   # pairs replaced at once
 MIN_COUNT = 8             # a rule takes 12 bytes and saves 2 a place: below, it is not worth it
 _SHIFT, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
