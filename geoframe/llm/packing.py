@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from geoframe.llm.common import query, table
-from geoframe.llm.tokens import ByteLevelEncoder, encoder
+from geoframe.llm.tokens import ByteLevelEncoder, encoded_blocks, encoder
 
 MAX_LEN = 2048
 BLOCK_TOKENS = 1_000_000
@@ -96,21 +97,17 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
     """Pieces: id, start, length, ids (binary, little-endian unsigned 32 bit),
     doc_tokens, sequence_id, offset, sequence_tokens."""
     kind = docs.schema[id_col].dataType.simpleString()
+    key_type = to_arrow_type(docs.schema[id_col].dataType)
 
     def run(batches):
         enc = encoder(ByteLevelEncoder, path)
         if path not in _FLAGS:
             _FLAGS[path] = _sentence_flags(enc.tokenizer)
         ends, blank = _FLAGS[path]
-        end = np.array([end_id], dtype="<u4").tobytes()
         base = TaskContext.get().partitionId() << 32
         made = 0
-
-        def cut(keys, parts, key_type):
-            nonlocal made
-            data = b"".join(parts)
-            ids = np.frombuffer(data, dtype="<u4")
-            doc_ends = np.cumsum([len(p) // 4 for p in parts])
+        for keys, ids, doc_ends in encoded_blocks(batches, enc, end_id, BLOCK_TOKENS):
+            data = ids.astype("<u4").tobytes()
             doc_starts = np.concatenate([[0], doc_ends[:-1]])
             stops = np.nonzero(ends[ids[:-1]] & blank[ids[1:]])[0] + 1
             pos, penalty = boundaries(doc_ends, stops, max_len)
@@ -120,7 +117,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
             first = np.concatenate([[0], at[:-1]])
             doc = np.searchsorted(doc_ends, first, side="right")
             seq = np.searchsorted(cuts, first, side="right")
-            out = pa.RecordBatch.from_arrays([
+            yield pa.RecordBatch.from_arrays([
                 pa.array([keys[d] for d in doc.tolist()], key_type),
                 pa.array(first - doc_starts[doc]), pa.array(at - first),
                 pa.array([data[4 * a:4 * b] for a, b in zip(first.tolist(), at.tolist())], pa.binary()),
@@ -129,22 +126,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
                 names=[id_col, "start", "length", "ids", "doc_tokens", "sequence_id", "offset",
                        "sequence_tokens"])
             made += len(cuts)
-            return out
-
-        keys, parts, held, key_type = [], [], 0, None
-        for batch in batches:
-            key_type = batch.schema.field(0).type
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = enc(value.as_py() or "") + end
-                keys.append(key)
-                parts.append(got)
-                held += len(got) // 4
-                if held >= BLOCK_TOKENS:
-                    yield cut(keys, parts, key_type)
-                    keys, parts, held = [], [], 0
-        enc.rest()
-        if keys:
-            yield cut(keys, parts, key_type)
 
     ordered = (docs.select(id_col, text).repartitionByRange(F.col(id_col))
                .sortWithinPartitions(id_col, text))

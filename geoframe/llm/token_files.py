@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import materialise, query, scratch, table
-from geoframe.llm.tokens import WordEncoder, encoder
+from geoframe.llm.tokens import WordEncoder, encoded_blocks, encoder
 from geoframe.sources.layout import filesystem
 
 MAGIC = b"RPTK"
@@ -215,40 +215,23 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
     file, n_docs, n_ids, bytes, first_id (ids of all shards before it)."""
     def run(batches):
         enc = encoder(WordEncoder, path)
-        end = np.array([end_id], dtype="<u4").tobytes()
         part, made = TaskContext.get().partitionId(), 0
         files, base = filesystem(folder)
         files.create_dir(base, recursive=True)
 
-        def flush(keys, parts):
-            nonlocal made
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            data = shard_bytes(keys, ids, np.cumsum([len(p) // 4 for p in parts]))
+        for keys, ids, doc_ends in encoded_blocks(batches, enc, end_id, shard_ids):
+            data = shard_bytes(keys, ids, doc_ends)
             name = f"shard-{part:06d}-{made:05d}.rptk"
             made += 1
             temp = f"{base}/_{name}.{uuid.uuid4().hex}"
             with files.open_output_stream(temp) as out:
                 out.write(data)
             files.move(temp, f"{base}/{name}")
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([part], pa.int32()), pa.array([made - 1], pa.int32()),
                  pa.array([len(keys)]), pa.array([len(ids)]), pa.array([len(data)])],
                 names=["file", "part", "k", "n_docs", "n_ids", "bytes"])
 
-        keys, parts, held = [], [], 0
-        for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = enc(value.as_py() or "") + end
-                keys.append(key)
-                parts.append(got)
-                held += len(got) // 4
-                if held >= shard_ids:
-                    yield flush(keys, parts)
-                    keys, parts, held = [], [], 0
-        enc.rest()
-        if keys:
-            yield flush(keys, parts)
-
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), text).repartitionByRange("id")
                .sortWithinPartitions("id", text))
     done = materialise(ordered.mapInArrow(

@@ -1,10 +1,13 @@
 """Encoding whole texts with a tokenizers file, fast.
 
 Both vocabularies' pre-tokenizers cut texts at white space, so the ids of a
-text are those of its blank-separated chunks, one after the other, and chunks
-repeat.  A worker therefore keeps the ids of the chunks that it has met (a
-dictionary of bounded size) and asks the tokenizers library for new ones only.
-Texts that hold a special token's string go to the library whole.
+text are those of its blank-separated chunks, one after the other, and most
+chunks are one word of plain letters with punctuation behind it.  Texts go
+through Arrow in slices of some megabytes: chunks are cut and made distinct
+there, words and punctuation (the pieces) are looked up in what the worker has
+met before, and the tokenizers library is asked for new pieces and for chunks
+of any other form only.  Texts that hold a special token's string go to the
+library whole.
 """
 
 from __future__ import annotations
@@ -13,9 +16,15 @@ import os
 import re
 import struct
 
-MAX_BYTES = 64 << 20          # of chunks (or pieces) and their ids in a task; half of it stays after
-ENTRY_BYTES = 200             # that an entry takes besides
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MAX_BYTES = 64 << 20          # of a dictionary of chunks; half of it stays
+ENTRY_BYTES = 200             # that an entry of it takes besides
+PIECE_BYTES = 32 << 20        # of pieces and their ids that a worker keeps, as arrays
 MAX_CHUNK_CHARS = 64          # longer ones are encoded every time
+SLICE_BYTES = 4 << 20         # of text that are encoded at once
 
 
 def load(path: str):
@@ -38,6 +47,7 @@ TAIL = ".,;:!?"
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _HIDDEN = [b for b in range(256) if b not in set(_SHOWN)]
 BYTE_LEVEL = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(_HIDDEN)}
+LETTERS = "".join(filter(str.isalpha, map(chr, range(256))))
 
 
 def byte_level(text: str) -> str:
@@ -54,6 +64,13 @@ def word_and_tail(chunk: str) -> tuple[str, str] | None:
     return None
 
 
+def words_and_tails(chunks: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """``word_and_tail`` of an array: which chunks have that form, and both parts of all."""
+    words = pc.utf8_rtrim(chunks, TAIL)
+    return (pc.match_substring_regex(words, f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False),
+            words, pc.utf8_ltrim(chunks, LETTERS))
+
+
 class ChunkCache(dict):
     """chunk -> what ``make(chunk)`` gives, made when first asked for.  What has not
     been asked for since the half before last was filled is forgotten."""
@@ -77,79 +94,208 @@ class ChunkCache(dict):
         return value
 
 
-class Encoder:
-    """An encoder's caches, the whole of them while a task runs."""
+def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``values[s:s + n]`` for all pairs of a start and a length, end to end."""
+    shift = starts - (np.cumsum(lengths) - lengths)
+    return values[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
 
-    def rest(self):
-        """Called at a task's end: an idle worker keeps the newer halves."""
-        self.chunks.older, self.pieces.older = {}, {}
 
+class Ids:
+    """Lists of ids, end to end."""
+
+    def __init__(self, values: np.ndarray, lengths: np.ndarray):
+        self.values, self.lengths = values, lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+    @classmethod
+    def of(cls, lists: list):
+        lengths = np.fromiter(map(len, lists), "int64", len(lists))
+        return cls(np.fromiter((i for x in lists for i in x), "uint32", int(lengths.sum())), lengths)
+
+    def take(self, which: np.ndarray) -> Ids:
+        return Ids(gather(self.values, self.starts[which], self.lengths[which]), self.lengths[which])
+
+    @classmethod
+    def joined(cls, parts: list) -> Ids:
+        return cls(np.concatenate([p.values for p in parts]), np.concatenate([p.lengths for p in parts]))
+
+    def __add__(self, other: Ids) -> Ids:
+        return Ids.joined([self, other])
+
+    def grouped(self, group: np.ndarray, n: int) -> Ids:
+        """Neighbours of the same group (ascending, below ``n``) become one list."""
+        return Ids(self.values, np.bincount(group, self.lengths, n).astype("int64"))
+
+
+class Pieces:
+    """What a worker keeps: pieces met and their ids, the oldest forgotten first."""
+
+    def __init__(self, make):
+        self.make, self.texts, self.ids = make, pa.array([], pa.string()), Ids.of([])
+
+    def __call__(self, texts: pa.Array) -> Ids:
+        at = pc.index_in(texts, value_set=self.texts)
+        new = texts.filter(pc.is_null(at)).unique()
+        known = len(self.texts)
+        ids = self.ids + Ids.of([self.make(t) for t in new.to_pylist()])
+        which = pc.coalesce(at, pc.add(pc.index_in(texts, value_set=new), known)).to_numpy(zero_copy_only=False)
+        found = ids.take(which.astype("int64"))
+        short = pc.less_equal(pc.utf8_length(new), MAX_CHUNK_CHARS).to_numpy(zero_copy_only=False)
+        self.texts = pa.concat_arrays([self.texts, new.filter(pa.array(short))])
+        self.ids = ids.take(np.nonzero(np.concatenate([np.ones(known, bool), short]))[0])
+        while len(self.texts) and self.texts.nbytes + self.ids.values.nbytes + 16 * len(self.texts) > PIECE_BYTES:
+            n = (len(self.texts) + 1) // 2
+            self.ids = self.ids.take(np.arange(n, len(self.texts)))
+            self.texts = pa.concat_arrays([self.texts[n:]])
+        return found
 
-class ByteLevelEncoder(Encoder):
-    """``byte_bpe``: a chunk is a blank and what follows up to the next blank
-    that is followed by something else than white space; the pattern always
-    starts a new word at such a blank."""
 
-    CUT = re.compile(r" (?=\S)")
+class Encoder:
+    """Texts to ids as the library has them (add_special_tokens=False)."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.chunks, self.pieces = ChunkCache(self._chunk), ChunkCache(self._piece)
+        self.pieces = Pieces(self._piece)
 
-    def _whole(self, text: str) -> bytes:
-        return ids_to_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def _whole(self, text: str) -> list:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of what the pre-tokenizer leaves in one piece."""
-        return ids_to_bytes([t.id for t in self.tokenizer.model.tokenize(byte_level(piece))])
+    def _wholes(self, texts: list) -> list:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunk(self, chunk: str):
-        # None (the join then fails): no cut before this one, see CUT
-        if not chunk or chunk[0].isspace():
-            return None
-        if plain := word_and_tail(chunk):
-            return self.pieces[" " + plain[0]] + (self.pieces[plain[1]] if plain[1] else b"")
-        return self._whole(" " + chunk)
+    def _piece(self, piece: str) -> list:
+        """Ids of what the pre-tokenizer leaves in one piece."""
+        return [t.id for t in self.tokenizer.model.tokenize(byte_level(piece))]
 
     def __call__(self, text: str) -> bytes:
         """The ids of a whole text as bytes."""
-        if any(s in text for s in self.special):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        try:
-            body = b"".join(map(self.chunks.__getitem__, rest))
-        except TypeError:
-            first, *rest = self.CUT.split(text)
-            body = b"".join(map(self.chunks.__getitem__, rest))
-        return self._whole(first) + body
+        return self.encode(pa.array([text], pa.string())).values.astype("<u4").tobytes()
+
+    def encode(self, texts: pa.Array, end: list | tuple = ()) -> Ids:
+        """The ids of every text (null: empty) with ``end`` behind them.  Texts above
+        a slice are cut where a chunk starts."""
+        texts = texts.cast(pa.string()).fill_null("")
+        whole = np.zeros(len(texts), bool)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        large = pc.binary_length(texts).to_numpy(zero_copy_only=False) > SLICE_BYTES
+        if not (whole | large).any():
+            return self._slice(texts, end)
+        out, start = [], 0
+        for i in [*np.nonzero(whole | large)[0].tolist(), len(texts)]:
+            out.append(self._slice(texts[start:i], end))
+            if i < len(texts):
+                text = texts[i].as_py()
+                parts = Ids.joined([Ids.of([self._whole(text)])] if whole[i] else
+                                   [self._slice(pa.array([p], pa.string()), ()) for p in self._parts(text)])
+                values = np.concatenate([parts.values, np.array(end, "uint32")])
+                out.append(Ids(values, np.array([len(values)])))
+            start = i + 1
+        return Ids.joined(out)
+
+    def _parts(self, text: str):
+        at, step = 0, max(1, SLICE_BYTES // 4)
+        while at < len(text):
+            cut = self.CUT.search(text, at + step) if at + step < len(text) else None
+            stop = cut.start() if cut else len(text)
+            yield text[at:stop]
+            at = stop
+
+    def _slice(self, texts: pa.Array, end) -> Ids:
+        n = len(texts)
+        if not n:
+            return Ids.of([])
+        chunks, counts, heads = self._chunks(texts)
+        coded = chunks.dictionary_encode()
+        # the lists: distinct chunks, heads of the texts, the end
+        lists = self._ids_of_chunks(coded.dictionary) + Ids.of([*self._wholes(heads), list(end)])
+        m = len(coded.dictionary)
+        owner = np.repeat(np.arange(n), counts)
+        at = np.arange(len(chunks)) + 2 * owner + 1
+        code = np.full(len(chunks) + 2 * n, m + len(heads), "int64")
+        code[at] = coded.indices.to_numpy(zero_copy_only=False)
+        first = np.cumsum(counts + 2) - counts - 2
+        code[first] = m + np.arange(n)
+        group = np.repeat(np.arange(n), counts + 2)
+        return lists.take(code).grouped(group, n)
+
+    def _ids_of_chunks(self, chunks: pa.Array) -> Ids:
+        """The ids of distinct chunks.  Each is cut at line ends; if all its parts have
+        the plain form, it is made of pieces, else the library has it."""
+        lines = pc.split_pattern(chunks, "\n")
+        parts, counts = lines.flatten(), np.diff(lines.offsets.to_numpy())
+        n, owner = len(chunks), np.repeat(np.arange(len(chunks)), counts)
+        plain, words, tails = words_and_tails(parts)
+        good = np.bincount(owner, ~plain, n) == 0
+        keep = good[owner]
+        last = np.cumsum(counts) - 1
+        is_first, is_last = np.zeros(len(parts), bool), np.zeros(len(parts), bool)
+        is_first[last - counts + 1], is_last[last] = True, True
+        mask = pa.array(keep)
+        words = self._keys(words.filter(mask), is_first[keep])
+        breaks = pa.array(is_last[keep])
+        breaks = pc.if_else(breaks, "", self.BREAK)
+        k = len(words)
+        found = self.pieces(pa.concat_arrays([words, tails.filter(mask), breaks]))
+        order = np.arange(3 * k).reshape(3, k).T.ravel()
+        made = found.take(order).grouped(np.repeat(owner[keep], 3), n)
+        odd = np.nonzero(~good)[0]
+        other = Ids.of(self._wholes([self.LEAD + c for c in chunks.take(pa.array(odd)).to_pylist()]))
+        which = np.arange(n)
+        which[odd] = n + np.arange(len(odd))
+        return (made + other).take(which)
 
 
-class WordEncoder(Encoder):
-    """``word_bpe``: white space is dropped, so chunks are what lies between
-    blanks and line ends."""
+class ByteLevelEncoder(Encoder):
+    """``byte_bpe``: a chunk is a blank and what follows up to the next blank
+    that is followed by something else than white space; the pattern always
+    starts a new word at such a blank.  A text's head has no blank before it."""
+
+    CUT, LEAD, BREAK = re.compile(r" (?=\S)"), " ", "\n"
+
+    def _keys(self, words, is_first):
+        return pc.binary_join_element_wise(pc.if_else(pa.array(is_first), " ", ""), words, "")
+
+    def _chunks(self, texts):
+        cut = pc.split_pattern(texts, " ")
+        flat, counts = cut.flatten(), np.diff(cut.offsets.to_numpy())
+        # a chunk that starts with white space, or none: its text is cut by the pattern
+        start = pc.utf8_slice_codeunits(flat, 0, 1).dictionary_encode()
+        bad = np.array([not c or c.isspace() for c in start.dictionary.to_pylist()], bool)
+        first = np.cumsum(counts) - counts
+        odd = bad[start.indices.to_numpy(zero_copy_only=False)]
+        odd[first] = False
+        owner = np.repeat(np.arange(len(texts)), counts)
+        odd = np.bincount(owner[odd], minlength=len(texts)) > 0
+        heads = flat.take(pa.array(first)).to_pylist()
+        inner = np.ones(len(flat), bool)
+        inner[first] = False
+        if not odd.any():
+            return flat.filter(pa.array(inner)), counts - 1, heads
+        rest = {i: self.CUT.split(texts[i].as_py()) for i in np.nonzero(odd)[0].tolist()}
+        kept, done, counts = [], 0, counts - 1
+        for i, (head, *own) in rest.items():
+            stop = int(first[i])
+            kept += [flat[done:stop].filter(pa.array(inner[done:stop])), pa.array(own, pa.string())]
+            done = int(first[i] + counts[i]) + 1
+            heads[i], counts[i] = head, len(own)
+        kept.append(flat[done:].filter(pa.array(inner[done:])))
+        return pa.concat_arrays(kept), counts, heads
 
-    def __init__(self, path: str):
-        self.tokenizer = load(path)
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.chunks, self.pieces = ChunkCache(self._chunk), ChunkCache(self._piece)
 
-    def _whole(self, text: str) -> bytes:
-        return ids_to_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+class WordEncoder(Encoder):
+    """``word_bpe``: white space is dropped, so chunks are what lies between
+    blanks, and line ends leave nothing."""
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of what the pre-tokenizer leaves in one piece."""
-        return ids_to_bytes([t.id for t in self.tokenizer.model.tokenize(byte_level(piece))])
+    CUT, LEAD, BREAK = re.compile(r" (?=\S)"), "", ""
 
-    def _chunk(self, chunk: str) -> bytes:
-        if plain := word_and_tail(chunk):
-            return self.pieces[plain[0].lower()] + (self.pieces[plain[1]] if plain[1] else b"")
-        return self._whole(chunk)
+    def _keys(self, words, is_first):
+        return pc.utf8_lower(words)
 
-    def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._whole(text)
-        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+    def _chunks(self, texts):
+        cut = pc.split_pattern(texts, " ")
+        return cut.flatten(), np.diff(cut.offsets.to_numpy()), [""] * len(texts)
 
 
 _ENCODERS: dict = {}
@@ -161,3 +307,33 @@ def encoder(kind, path: str):
     if key not in _ENCODERS:
         _ENCODERS[key] = kind(path)
     return _ENCODERS[key]
+
+
+def encoded_blocks(batches, enc: Encoder, end_id: int, most: int):
+    """``(keys, ids, ends of the documents in ids)`` of runs of whole documents, each
+    closed by the document with which it holds ``most`` ids; batches are of a key and
+    a text, and every document ends with ``end_id``."""
+    keys, parts, counts, held = [], [], [], 0
+    for batch in batches:
+        names, texts = batch.column(0).to_pylist(), batch.column(1)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype("int64"))
+        a = 0
+        while a < len(names):
+            before = int(sizes[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, side="right")))
+            ids = enc.encode(texts[a:b], [end_id])
+            done, at = 0, 0
+            while done < b - a:
+                ends = np.cumsum(ids.lengths[done:])
+                stop = int(np.searchsorted(ends, most - held))
+                take = min(stop + 1, len(ends))
+                keys += names[a + done:a + done + take]
+                parts.append(ids.values[at:at + int(ends[take - 1])])
+                counts.append(ids.lengths[done:done + take])
+                held, at, done = held + int(ends[take - 1]), at + int(ends[take - 1]), done + take
+                if held >= most:
+                    yield keys, np.concatenate(parts), np.cumsum(np.concatenate(counts))
+                    keys, parts, counts, held = [], [], [], 0
+            a = b
+    if keys:
+        yield keys, np.concatenate(parts), np.cumsum(np.concatenate(counts))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,27 @@ def test_chunk_cache_is_bounded(monkeypatch):
     assert "x" * 1000 not in cache
 
 
+@pytest.mark.parametrize("slice_bytes, piece_bytes", [(1 << 22, 1 << 22), (200, 2000), (1, 1)])
+def test_arrays_of_texts_equal_the_library(byte_path, word_path, documents, monkeypatch, slice_bytes, piece_bytes):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(tokens, "PIECE_BYTES", piece_bytes)
+    texts = [t for _, t in documents[:40 if slice_bytes > 1000 else 2]] + [None] + ODD + fuzz(300) + [None, "a b." * 500]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    for kind, path in ((tokens.ByteLevelEncoder, byte_path), (tokens.WordEncoder, word_path)):
+        slow = library(path)
+        want = [[*slow.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
+        enc, got, keys = kind(path), [], []
+        for names, ids, ends in tokens.encoded_blocks([batch.slice(0, 10), batch.slice(10)], enc, 7, 900):
+            assert ends[-1] == len(ids) and (len(ends) == 1 or ends[-2] < 900)
+            keys += names
+            got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert keys == list(range(len(texts))) and got == want
+        # a worker keeps what it has room for
+        assert enc.pieces.texts.nbytes + enc.pieces.ids.values.nbytes <= max(piece_bytes, 4)
+        assert len(enc.pieces.texts) == len(enc.pieces.ids.lengths)
+    assert len(kind(path).encode(pa.array([], pa.string())).lengths) == 0
+
+
 def test_encode_decode_frame(frame, word_path):
     df = frame(["a b", None, "", "a b"]).withColumn("ids", F.lit(1))      # a clashing column
     got = {r["doc_id"]: (r["ids"], r["decoded"]) for r in bpe.encode_decode(df, word_path).collect()}
