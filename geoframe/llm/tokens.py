@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,7 @@ TAIL = ".,;:!?"
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _HIDDEN = [b for b in range(256) if b not in set(_SHOWN)]
 BYTE_LEVEL = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(_HIDDEN)}
+BLANK = chr(BYTE_LEVEL[0x20])
 LETTERS = "".join(filter(str.isalpha, map(chr, range(256))))
 
 
@@ -110,7 +112,7 @@ class Ids:
     @classmethod
     def of(cls, lists: list):
         lengths = np.fromiter(map(len, lists), "int64", len(lists))
-        return cls(np.fromiter((i for x in lists for i in x), "uint32", int(lengths.sum())), lengths)
+        return cls(np.fromiter(chain.from_iterable(lists), "uint32", int(lengths.sum())), lengths)
 
     def take(self, which: np.ndarray) -> Ids:
         return Ids(gather(self.values, self.starts[which], self.lengths[which]), self.lengths[which])
@@ -138,8 +140,10 @@ class Pieces:
         new = texts.filter(pc.is_null(at)).unique()
         known = len(self.texts)
         ids = self.ids + Ids.of([self.make(t) for t in new.to_pylist()])
-        which = pc.coalesce(at, pc.add(pc.index_in(texts, value_set=new), known)).to_numpy(zero_copy_only=False)
-        found = ids.take(which.astype("int64"))
+        which = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype("int64")
+        missed = np.nonzero(which < 0)[0]
+        which[missed] = known + pc.index_in(texts.take(pa.array(missed)), value_set=new).to_numpy()
+        found = ids.take(which)
         short = pc.less_equal(pc.utf8_length(new), MAX_CHUNK_CHARS).to_numpy(zero_copy_only=False)
         self.texts = pa.concat_arrays([self.texts, new.filter(pa.array(short))])
         self.ids = ids.take(np.nonzero(np.concatenate([np.ones(known, bool), short]))[0])
@@ -165,8 +169,13 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _piece(self, piece: str) -> list:
-        """Ids of what the pre-tokenizer leaves in one piece."""
-        return [t.id for t in self.tokenizer.model.tokenize(byte_level(piece))]
+        """Ids of a word of plain letters, with or without a blank before it, of
+        punctuation (``TAIL``) or of a line end."""
+        if not piece.isascii() or piece == "\n":
+            piece = byte_level(piece)
+        elif piece[0] == " ":
+            piece = BLANK + piece[1:]
+        return [t.id for t in self.tokenizer.model.tokenize(piece)]
 
     def __call__(self, text: str) -> bytes:
         """The ids of a whole text as bytes."""
@@ -233,13 +242,16 @@ class Encoder:
         is_first, is_last = np.zeros(len(parts), bool), np.zeros(len(parts), bool)
         is_first[last - counts + 1], is_last[last] = True, True
         mask = pa.array(keep)
-        words = self._keys(words.filter(mask), is_first[keep])
-        breaks = pa.array(is_last[keep])
-        breaks = pc.if_else(breaks, "", self.BREAK)
+        # word, punctuation, line end; what is empty is not looked up
+        words, tails = self._keys(words.filter(mask), is_first[keep]), tails.filter(mask)
         k = len(words)
-        found = self.pieces(pa.concat_arrays([words, tails.filter(mask), breaks]))
-        order = np.arange(3 * k).reshape(3, k).T.ravel()
-        made = found.take(order).grouped(np.repeat(owner[keep], 3), n)
+        tailed = np.nonzero(pc.binary_length(tails).to_numpy(zero_copy_only=False))[0]
+        broken = np.nonzero(~is_last[keep])[0] if self.BREAK else np.zeros(0, "int64")
+        found = self.pieces(pa.concat_arrays([words, tails.take(pa.array(tailed)),
+                                              pa.array([self.BREAK] * len(broken), pa.string())]))
+        order = np.argsort(np.concatenate([3 * np.arange(k), 3 * tailed + 1, 3 * broken + 2]))
+        part = np.concatenate([np.arange(k), tailed, broken])[order]
+        made = found.take(order).grouped(owner[keep][part], n)
         odd = np.nonzero(~good)[0]
         other = Ids.of(self._wholes([self.LEAD + c for c in chunks.take(pa.array(odd)).to_pylist()]))
         which = np.arange(n)
