@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import materialise, query, scratch, table
-from geoframe.llm.tokens import WordEncoder, encoded_blocks, encoder
+from geoframe.llm.tokens import WordEncoder, encoded_blocks, encoder, gather
 from geoframe.sources.layout import filesystem
 
 MAGIC = b"RPTK"
 SHARD_IDS = 3_000_000
 RULES_PER_ROUND = 4_096   # pairs replaced at once
 MIN_COUNT = 8             # a rule takes 12 bytes and saves 2 a place: below, it is not worth it
-_SHIFT, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+_SHIFT, _LOW, _SPREAD = np.uint64(32), np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B97F4A7C15)
 
 
 def _keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -56,14 +56,34 @@ def _count(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.diff(np.append(starts, len(keys)))
 
 
+def _which(keys: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places in ``chosen`` (ascending, different) of those keys that are there; any
+    place for the others.  A table by hash has nearly all, a search the rest."""
+    free = np.uint64(64 - len(chosen).bit_length() - 5)
+    place = chosen * _SPREAD >> free
+    slots = np.zeros(1 << (64 - int(free)), "int32")
+    slots[place] = np.arange(len(chosen))
+    at = keys * _SPREAD >> free
+    which = slots[at]
+    lost = place[slots[place] != np.arange(len(chosen))]
+    if len(lost):
+        shared = np.zeros(len(slots), bool)
+        shared[lost] = True
+        again = np.nonzero(shared[at])[0]
+        which[again] = np.minimum(np.searchsorted(chosen, keys[again]), len(chosen) - 1)
+    return which
+
+
 def _places(seq: np.ndarray, last: np.ndarray, chosen: np.ndarray, top: int):
     """Where the chosen pairs (ascending) are replaced, and which is at each place;
     of matches that overlap, in every run of neighbours each second one stays."""
-    is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-    is_left[chosen >> _SHIFT], is_right[chosen & _LOW] = True, True
-    at = np.nonzero(is_left[seq[:-1]] & is_right[seq[1:]] & ~last[:-1])[0]
-    own = _keys(seq[at], seq[at + 1])
-    which = np.minimum(np.searchsorted(chosen, own), len(chosen) - 1)
+    role = np.zeros(top, "u1")                      # 1: left of a pair, 2: right
+    role[chosen >> _SHIFT] = 1
+    role[chosen & _LOW] |= 2
+    role = role[seq]
+    at = np.nonzero((role[:-1] & (role[1:] >> 1)).view(bool) > last[:-1])[0]
+    own = _keys(seq[at], seq[1:][at])
+    which = _which(own, chosen)
     hit = chosen[which] == own
     at, which = at[hit], which[hit]
     run_start = np.concatenate([[True], np.diff(at) != 1])[:len(at)]
@@ -72,9 +92,16 @@ def _places(seq: np.ndarray, last: np.ndarray, chosen: np.ndarray, top: int):
     return at[keep], which[keep]
 
 
+def _pairs_at(seq: np.ndarray, last: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_count`` of the pairs that start at some places."""
+    at = at[(at >= 0) & (at < len(seq) - 1)]
+    at = at[~last[at]]
+    return _count(_keys(seq[at], seq[1:][at]))
+
+
 def repair(ids: np.ndarray, doc_ends: np.ndarray, n_terminals: int):
     """``(rules, symbols, doc_ends in symbols)`` for uint32 ids below ``n_terminals``."""
-    seq, last = ids, np.zeros(len(ids), bool)
+    seq, last = ids.copy(), np.zeros(len(ids), bool)
     last[doc_ends - 1] = True
     rules: list[np.ndarray] = []
     top = n_terminals
@@ -100,22 +127,18 @@ def repair(ids: np.ndarray, doc_ends: np.ndarray, n_terminals: int):
         at, which = at[good[which]], (np.cumsum(good) - 1)[which[good[which]]]
         chosen = chosen[good]
         # pairs that go with the replaced ones, then those that come
-        touched = np.zeros(len(seq), bool)
-        touched[at], touched[at + 1], touched[np.maximum(at - 1, 0)] = True, True, True
-        t = np.nonzero(touched[:-1] & ~last[:-1])[0]
-        gone, n = _count(_keys(seq[t], seq[t + 1]))
+        apart = np.diff(at, prepend=-3) > 2             # from the place before
+        gone, n = _pairs_at(seq, last, np.concatenate([at, at + 1, at[apart] - 1]))
         where = np.minimum(np.searchsorted(pairs, gone), len(pairs) - 1)
         hit = pairs[where] == gone
         counts[where[hit]] -= n[hit]
-        seq = seq.copy()
         seq[at] = (which + top).astype("uint32")
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, last = seq[stay], last[stay]
-        new = seq >= top
-        t = np.nonzero((new[:-1] | new[1:]) & ~last[:-1])[0]
-        come, n = _count(_keys(seq[t], seq[t + 1]))
+        at = at - np.arange(len(at))
+        come, n = _pairs_at(seq, last, np.concatenate([at, at[np.diff(at, prepend=-3) > 1] - 1]))
         often = counts >= MIN_COUNT
         pairs = np.concatenate([pairs[often], come[n >= MIN_COUNT]])
         counts = np.concatenate([counts[often], n[n >= MIN_COUNT]])
@@ -128,10 +151,10 @@ def repair(ids: np.ndarray, doc_ends: np.ndarray, n_terminals: int):
 
 
 def rule_lengths(rules: np.ndarray, n_terminals: int) -> np.ndarray:
-    out = np.ones(n_terminals + len(rules), dtype="int64")
-    for k, (a, b) in enumerate(rules.tolist()):
-        out[n_terminals + k] = out[a] + out[b]
-    return out[n_terminals:].astype("<u4")
+    out = [1] * n_terminals
+    for a, b in rules.tolist():
+        out.append(out[a] + out[b])
+    return np.array(out[n_terminals:], "<u4")
 
 
 def shard_bytes(doc_ids: list, ids: np.ndarray, doc_ends: np.ndarray) -> bytes:
@@ -206,7 +229,8 @@ class Shard:
         of = [self.terminals[k:k + 1].tobytes() for k in range(self.n_terminals)]
         for a, b in self.rules.tolist():
             of.append(of[a] + of[b])
-        return np.frombuffer(b"".join(map(of.__getitem__, self.symbols.tolist())), "<u4")
+        values = np.frombuffer(b"".join(of), "<u4")
+        return gather(values, (np.cumsum(self.spans) - self.spans)[self.symbols], self.spans[self.symbols])
 
 
 def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text: str = "text",

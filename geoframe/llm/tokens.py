@@ -26,6 +26,7 @@ ENTRY_BYTES = 200             # that an entry of it takes besides
 PIECE_BYTES = 32 << 20        # of pieces and their ids that a worker keeps, as arrays
 MAX_CHUNK_CHARS = 64          # longer ones are encoded every time
 SLICE_BYTES = 4 << 20         # of text that are encoded at once
+_FNV = np.uint64(0x100000001B3)
 
 
 def load(path: str):
@@ -43,7 +44,8 @@ def ids_to_bytes(ids) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-TAIL = ".,;:!?"
+#: ASCII that is neither letter, digit nor white space, but the apostrophe: "'s" is a piece
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The byte-level form of a byte: itself if printable, else a letter from 256 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _HIDDEN = [b for b in range(256) if b not in set(_SHOWN)]
@@ -129,28 +131,65 @@ class Ids:
         return Ids(self.values, np.bincount(group, self.lengths, n).astype("int64"))
 
 
+def text_keys(texts: pa.Array) -> np.ndarray:
+    """A number per text (FNV-1a of the length and the first ``MAX_CHUNK_CHARS`` bytes)."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, "int32")[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", "u1")
+    left = np.diff(at).astype("int64")
+    keys, live = left.astype("uint64"), np.arange(len(texts))
+    at = at[:-1].astype("int64")
+    for j in range(MAX_CHUNK_CHARS):
+        more = left > j
+        live, at, left = live[more], at[more], left[more]
+        if not len(live):
+            break
+        keys[live] = (keys[live] ^ data[at + j]) * _FNV
+    return keys
+
+
 class Pieces:
-    """What a worker keeps: pieces met and their ids, the oldest forgotten first."""
+    """What a worker keeps: pieces met and their ids, the oldest forgotten first.  They
+    are found by their keys, in ascending order with the place of each, and compared."""
 
     def __init__(self, make):
         self.make, self.texts, self.ids = make, pa.array([], pa.string()), Ids.of([])
-
-    def __call__(self, texts: pa.Array) -> Ids:
-        at = pc.index_in(texts, value_set=self.texts)
-        new = texts.filter(pc.is_null(at)).unique()
-        known = len(self.texts)
-        ids = self.ids + Ids.of([self.make(t) for t in new.to_pylist()])
-        which = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype("int64")
-        missed = np.nonzero(which < 0)[0]
-        which[missed] = known + pc.index_in(texts.take(pa.array(missed)), value_set=new).to_numpy()
-        found = ids.take(which)
-        short = pc.less_equal(pc.utf8_length(new), MAX_CHUNK_CHARS).to_numpy(zero_copy_only=False)
-        self.texts = pa.concat_arrays([self.texts, new.filter(pa.array(short))])
-        self.ids = ids.take(np.nonzero(np.concatenate([np.ones(known, bool), short]))[0])
-        while len(self.texts) and self.texts.nbytes + self.ids.values.nbytes + 16 * len(self.texts) > PIECE_BYTES:
+        self.keys, self.places = np.zeros(0, "uint64"), np.zeros(0, "int64")
+
+    def _find(self, texts: pa.Array, keys: np.ndarray) -> np.ndarray:
+        """The place of every text, -1 where it is not known."""
+        if not len(self.texts):
+            return np.full(len(texts), -1)
+        at = self.places[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)]
+        same = pc.equal(texts, self.texts.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        return np.where(same, at, -1)
+
+    def _add(self, texts: pa.Array, ids: Ids) -> None:
+        keys = text_keys(texts)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.places = np.insert(self.places, at, order + len(self.texts))
+        self.texts, self.ids = pa.concat_arrays([self.texts, texts]), self.ids + ids
+        while len(self.texts) and self.texts.nbytes + self.ids.values.nbytes + 32 * len(self.texts) > PIECE_BYTES:
             n = (len(self.texts) + 1) // 2
             self.ids = self.ids.take(np.arange(n, len(self.texts)))
             self.texts = pa.concat_arrays([self.texts[n:]])
+            stay = self.places >= n
+            self.keys, self.places = self.keys[stay], self.places[stay] - n
+
+    def __call__(self, texts: pa.Array) -> Ids:
+        which = self._find(texts, text_keys(texts))
+        missed = np.nonzero(which < 0)[0]
+        if not len(missed):
+            return self.ids.take(which)
+        unknown = texts.take(pa.array(missed)).dictionary_encode()
+        new, known = unknown.dictionary, len(self.texts)
+        made = Ids.of([self.make(t) for t in new.to_pylist()])
+        which[missed] = known + unknown.indices.to_numpy()
+        found = (self.ids + made).take(which)
+        short = np.nonzero(pc.less_equal(pc.utf8_length(new), MAX_CHUNK_CHARS).to_numpy(zero_copy_only=False))[0]
+        self._add(new.take(pa.array(short)), made.take(short))
         return found
 
 

@@ -79,6 +79,38 @@ def test_arrays_of_texts_equal_the_library(byte_path, word_path, documents, monk
     assert len(kind(path).encode(pa.array([], pa.string())).lengths) == 0
 
 
+def test_words_with_any_punctuation_are_made_of_pieces(byte_path, word_path):
+    text = "one*** two$$$ three,### four.%%% (five) [six] se_ven# eight*\nnine~ ten`^+=| don't x's 7-7"
+    for kind, path in ((tokens.ByteLevelEncoder, byte_path), (tokens.WordEncoder, word_path)):
+        enc, asked = kind(path), []
+        wholes = enc._wholes
+        enc._wholes = lambda texts, wholes=wholes, asked=asked: (asked.extend(t.strip() for t in texts), wholes(texts))[1]
+        assert enc(text) == tokens.ids_to_bytes(library(path).encode(text, add_special_tokens=False).ids)
+        plain = {"two$$$", "three,###", "four.%%%", "eight*\nnine~", "ten`^+=|"}
+        assert not plain & set(asked) and {"(five)", "don't", "x's", "7-7"} <= set(asked)
+
+
+def test_pieces_of_equal_keys(monkeypatch):
+    made = []
+    pieces = tokens.Pieces(lambda t: made.append(t) or [len(t), ord(t[0])])
+    monkeypatch.setattr(tokens, "text_keys", lambda texts: np.zeros(len(texts), "uint64"))
+    for _ in range(3):
+        found = pieces(pa.array(["ab", "cde", "ab", "f"]))
+        assert found.lengths.tolist() == [2] * 4 and found.values.tolist() == [2, 97, 3, 99, 2, 97, 1, 102]
+    monkeypatch.undo()
+    keys = tokens.text_keys(pa.array(["", "a", "b", "ab", "x" * 70, "a", ""])[1:])
+    assert keys[0] == keys[4] and len(set(keys.tolist())) == 5
+
+
+def test_places_of_pairs_in_full_tables():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 1000, 20_000):
+        chosen = np.unique(rng.integers(0, 1 << 40, n).astype("uint64"))
+        keys = np.concatenate([chosen, rng.integers(0, 1 << 40, 500).astype("uint64")])
+        which = token_files._which(keys, chosen)
+        assert (which[:len(chosen)] == np.arange(len(chosen))).all() and which.min() >= 0 and which.max() < len(chosen)
+
+
 def test_encode_decode_frame(frame, word_path):
     df = frame(["a b", None, "", "a b"]).withColumn("ids", F.lit(1))      # a clashing column
     got = {r["doc_id"]: (r["ids"], r["decoded"]) for r in bpe.encode_decode(df, word_path).collect()}
