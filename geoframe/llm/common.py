@@ -57,10 +57,10 @@ def put_back(df: DataFrame, names: dict[str, str], *added: str) -> DataFrame:
 
 
 def _local_union(batches):
-    """mapInPandas: union-find over one partition's edges; every node but the
+    """mapInArrow: union-find over one partition's edges; every node but the
     roots comes out once, linked to the smallest node of its local tree."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -72,8 +72,8 @@ def _local_union(batches):
             x = p
         return root
 
-    for pdf in batches:
-        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             ra, rb = find(a), find(b)
             if ra != rb:
                 lo, hi = (ra, rb) if ra < rb else (rb, ra)
@@ -81,7 +81,7 @@ def _local_union(batches):
     out = [(x, find(x)) for x in list(parent)]
     for i in range(0, len(out), 65536):
         part = np.array(out[i:i + 65536], dtype="int64").reshape(-1, 2)
-        yield pd.DataFrame({"a": part[:, 0], "b": part[:, 1]})
+        yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], names=["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -99,9 +99,11 @@ def components(edges: DataFrame) -> DataFrame:
     a hub nor a long chain meets in one task.  The driver sees two numbers a
     round.
     """
-    cur = (edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-           .select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-           .mapInPandas(_local_union, "a long, b long"))
+    # edges that Python makes are written first: a stage with two Python steps takes two
+    # workers for each core, and Spark keeps them, so that later steps run in all of them
+    edges = materialise(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+                        .select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), "cc-edges")
+    cur = edges.mapInArrow(_local_union, "a long, b long")
     cur = materialise(cur.select(F.col("a").alias("v"), F.col("b").alias("u")).distinct(), "cc")
     seen = None
     while True:

@@ -61,8 +61,7 @@ def test_intersections(monkeypatch):
 
 
 def test_multiple_across_batches():
-    import pyarrow as pa
-    rng = random.Random(4)
+        rng = random.Random(4)
     rows = sorted((rng.randint(0, 40), rng.randint(0, 3)) for _ in range(150))
     for size in (1, 2, 7, 150):
         batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[i:i + size]], pa.int64()),
@@ -158,6 +157,25 @@ def test_lines(frame, documents):
     assert line_dedup.dedup_lines(frame([])).count() == 0
 
 
+def test_one_python_step_in_a_stage(spark, monkeypatch):
+    """A worker for each core is enough: Python steps are parted by a shuffle or by files."""
+    from geoframe.llm import common
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    write = common.materialise
+    monkeypatch.setattr(common, "materialise", lambda df, name: write(noted(df, name), name))
+    edges = spark.range(50).mapInArrow(lambda batches: (b.rename_columns(["a"]).append_column("b", b.column(0))
+                                                        for b in batches), "a long, b long")
+    common.components(edges.selectExpr("a", "b + 1 AS b"))
+    assert any("MapInArrow" in p for p in plans)
+    for plan in plans:
+        steps = re.findall(r"MapInArrow|MapInPandas|Exchange", plan)
+        assert not any(x.startswith("Map") and y.startswith("Map") for x, y in zip(steps, steps[1:])), plan
+
+
 def test_line_recall():
     rng = random.Random(3)
     words = [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.randint(0, 99)}" for _ in range(500)]
@@ -210,8 +228,7 @@ def test_ngram_edges(frame):
 
 
 def test_held_by_across_batches(monkeypatch):
-    import pyarrow as pa
-    monkeypatch.setattr(ngram_join, "BIG", 5)
+        monkeypatch.setattr(ngram_join, "BIG", 5)
     rng = random.Random(4)
     rows = sorted([(rng.randint(0, 30), rng.randint(0, 4)) for _ in range(90)] + [(12, r) for r in range(40)])
     rids = collections.defaultdict(set)
@@ -332,8 +349,7 @@ def test_long_text_in_segments(frame, monkeypatch):
 
     class Batch:
         def column(self, i):
-            import pyarrow as pa
-            return pa.array([7]) if i == 0 else [Value()]
+                        return pa.array([7]) if i == 0 else [Value()]
 
     starts = set()
     for rows, lo, hi, *_ in suffix_dedup._found([Batch()], 400):
@@ -343,8 +359,7 @@ def test_long_text_in_segments(frame, monkeypatch):
 
 
 def value_batch(texts):
-    import pyarrow as pa
-    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())],
+        return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())],
                                       names=["row", "text"])
 
 
