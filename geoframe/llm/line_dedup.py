@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import materialise, put_back, query, set_aside, table
-from geoframe.llm.hashing import Rolling, mix
+from geoframe.llm.hashing import BASE, mix
 from geoframe.llm.linking import intersections, similar_components
 
 SHINGLE = 8
@@ -39,9 +39,12 @@ MIN_CHARS = 20
 PASSES, BINS = 3, 16
 BANDS, ROWS = 12, 4
 PERCENT = 80
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 17     # so that the arrays stay in the processor's cache
 SEEN = 500_000            # lines that a task remembers, not to send them twice
-_SEEDS = mix(np.arange(1, PASSES + 1, dtype="uint64") * np.uint64(0x9E3779B97F4A7C15))
+FEW = 6                   # lines that are compared as sets of strings
+_SPREAD_OUT = [*(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"), "  ", " \n", "\n "]
+LETTERS = 1 << 12         # characters whose numbers are looked up
+_LETTERS = mix(np.arange(1, LETTERS + 1, dtype="uint64"))
 _MARK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -59,24 +62,34 @@ def line_id(line: str) -> int:
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all lines, one after the other, and each one's line."""
-    text = "".join(lines)
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("uint64")
+    lines = [x.ljust(SHINGLE, "\0") for x in lines]
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     lengths = np.array([len(x) for x in lines], dtype="int64")
-    count = np.maximum(1, lengths - SHINGLE + 1)
-    starts = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(lines)), count)
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + starts[owner]
-    return Rolling(mix(codes + np.uint64(1)))(at, np.minimum(at + SHINGLE, (starts + lengths)[owner])), owner
+    if not len(lines):
+        return np.zeros(0, "uint64"), np.zeros(0, "int64")
+    # a polynomial of the characters' numbers, of 1, 2, 4 ... characters
+    hashes = _LETTERS[codes] if codes.max() < LETTERS else np.where(
+        codes < LETTERS, _LETTERS[np.minimum(codes, LETTERS - 1)], mix(codes + np.uint64(1)))
+    span, factor = 1, int(BASE)
+    while span < SHINGLE:
+        hashes = hashes[:-span] + hashes[span:] * np.uint64(factor)
+        span, factor = 2 * span, factor * factor % (1 << 64)
+    inside = np.ones(len(hashes), bool)              # not across two lines
+    inside[(np.cumsum(lengths)[:-1, None] - np.arange(1, SHINGLE)).ravel()] = False
+    return mix(hashes[inside]), np.repeat(np.arange(len(lines)), lengths - SHINGLE + 1)
 
 
 def signatures(lines: list[str]) -> np.ndarray:
     """Band hashes (lines x BANDS, int64)."""
     hashes, owner = shingles(lines)
     bins = np.full((len(lines), PASSES * BINS), _MARK)
+    owner *= PASSES * BINS
     for p in range(PASSES):
-        h = mix(hashes ^ _SEEDS[p])
-        cell = owner * (PASSES * BINS) + p * BINS + ((h >> np.uint64(32)) % np.uint64(BINS)).astype("int64")
-        np.minimum.at(bins.reshape(-1), cell, h)
+        # a pass takes the bin and the order in it from bits of its own, which come first
+        own = np.uint64(64 // PASSES * p)
+        h = hashes << own | hashes >> (np.uint64(64) - own) if p else hashes
+        cell = (h >> np.uint64(65 - BINS.bit_length())).view("int64") + owner
+        np.minimum.at(bins.reshape(-1), cell + p * BINS, h)
         part = bins[:, p * BINS:(p + 1) * BINS]
         empty = part == _MARK
         source = part.copy()
@@ -96,7 +109,15 @@ def signatures(lines: list[str]) -> np.ndarray:
 
 def similar_lines(items):
     """Pairs of lines (UTF-8) whose Jaccard similarity is at least PERCENT / 100."""
-    hashes, owner = shingles([x.decode("utf-8", "surrogatepass") for x in items])
+    lines = [x.decode("utf-8", "surrogatepass") for x in items]
+    if len(lines) <= FEW:
+        sets = [{x[i:i + SHINGLE] for i in range(max(1, len(x) - SHINGLE + 1))} for x in lines]
+        found = [(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j])
+                 if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b))
+                 and (100 + PERCENT) * len(a & b) >= PERCENT * (len(a) + len(b))]
+        found = np.array(sorted(found), dtype="int64").reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+    hashes, owner = shingles(lines)
     cuts = np.searchsorted(owner, np.arange(1, len(items)))
     sets = [np.unique(s) for s in np.split(hashes, cuts)]
     size = np.array([len(s) for s in sets], dtype="int64")
@@ -105,10 +126,22 @@ def similar_lines(items):
     return np.nonzero(np.triu(100 * both >= PERCENT * union, 1))
 
 
+def single_blanks(text: str) -> bool:
+    """Whether all white space is single blanks inside lines and line ends, so that
+    lines need no collapsing."""
+    return not (text[:1] == " " or text[-1:] == " " or any(s in text for s in _SPREAD_OUT))
+
+
 def _lines(texts):
     """(row, place, normal form) of the lines that are compared."""
     for i, text in enumerate(texts):
-        for k, line in enumerate((text.as_py() or "").split("\n")):
+        text = text.as_py() or ""
+        if single_blanks(text):
+            for k, line in enumerate(text.lower().split("\n")):
+                if len(line) >= MIN_CHARS and any(map(str.isalnum, line)):
+                    yield i, k, line
+            continue
+        for k, line in enumerate(text.split("\n")):
             if (form := normal(line)) is not None:
                 yield i, k, form
 

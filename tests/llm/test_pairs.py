@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,7 +62,8 @@ def test_intersections(monkeypatch):
 
 
 def test_multiple_across_batches():
-        rng = random.Random(4)
+    import pyarrow as pa
+    rng = random.Random(4)
     rows = sorted((rng.randint(0, 40), rng.randint(0, 3)) for _ in range(150))
     for size in (1, 2, 7, 150):
         batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[i:i + size]], pa.int64()),
@@ -157,6 +159,42 @@ def test_lines(frame, documents):
     assert line_dedup.dedup_lines(frame([])).count() == 0
 
 
+def test_lines_of_single_blanks():
+    assert not [c for c in map(chr, range(0x3001, 0x110000)) if c.isspace()]      # none is left out
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["a", "B", "ß", "ΑΣ", "İ", "long word", "1", " ", " ", "\n", *extra])
+                     for _ in range(rng.randint(0, 60))) for extra in ([], ["\t"], ["\u3000"], ["\x85", "  "])
+             for _ in range(300)] + ["", " ", "\n", "x" * 30 + " ", " " + "y" * 30, "Σ" * 30 + "\n" + "ΑΣ" * 15]
+    want = [(i, k, form) for i, t in enumerate(texts) for k, line in enumerate(t.split("\n"))
+            if (form := line_dedup.normal(line)) is not None]
+    assert list(line_dedup._lines(pa.array(texts))) == want
+    assert 100 < sum(map(line_dedup.single_blanks, texts)) < len(texts) - 100
+
+
+def test_few_lines_are_compared_as_many(monkeypatch):
+    rng, found = random.Random(9), []
+    groups_ = []
+    for _ in range(80):
+        base = "".join(rng.choice("abc 你é") for _ in range(rng.randint(5, 120)))
+        groups_.append([(base[:k] + rng.choice("xyz") + base[k + 1:]).encode()
+                        for k in (rng.randrange(len(base)) for _ in range(rng.randint(1, 6)))])
+    for few in (0, line_dedup.FEW):
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        found.append([[x.tolist() for x in line_dedup.similar_lines(g)] for g in groups_])
+    assert found[0] == found[1] and any(a for a, _ in found[0])
+
+
+def test_shingles_do_not_depend_on_the_batch():
+    lines = ["ab", "abcdefgh你", "x" * 9, "abcdefgh你\U0001f600", "abcdefgh"]
+    hashes, owner = line_dedup.shingles(lines)
+    for i, line in enumerate(lines):
+        own = hashes[owner == i]
+        assert (line_dedup.shingles([line])[0] == own).all()
+        assert len(own) == max(1, len(line) - line_dedup.SHINGLE + 1)
+    assert len(line_dedup.shingles([])[0]) == 0
+    assert len(np.unique(hashes)) == len({x[i:i + 8] for x in lines for i in range(max(1, len(x) - 7))})
+
+
 def test_one_python_step_in_a_stage(spark, monkeypatch):
     """A worker for each core is enough: Python steps are parted by a shuffle or by files."""
     from geoframe.llm import common
@@ -228,7 +266,8 @@ def test_ngram_edges(frame):
 
 
 def test_held_by_across_batches(monkeypatch):
-        monkeypatch.setattr(ngram_join, "BIG", 5)
+    import pyarrow as pa
+    monkeypatch.setattr(ngram_join, "BIG", 5)
     rng = random.Random(4)
     rows = sorted([(rng.randint(0, 30), rng.randint(0, 4)) for _ in range(90)] + [(12, r) for r in range(40)])
     rids = collections.defaultdict(set)
@@ -349,7 +388,8 @@ def test_long_text_in_segments(frame, monkeypatch):
 
     class Batch:
         def column(self, i):
-                        return pa.array([7]) if i == 0 else [Value()]
+            import pyarrow as pa
+            return pa.array([7]) if i == 0 else [Value()]
 
     starts = set()
     for rows, lo, hi, *_ in suffix_dedup._found([Batch()], 400):
@@ -359,7 +399,8 @@ def test_long_text_in_segments(frame, monkeypatch):
 
 
 def value_batch(texts):
-        return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())],
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())],
                                       names=["row", "text"])
 
 
