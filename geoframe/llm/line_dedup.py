@@ -72,7 +72,9 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         codes < LETTERS, _LETTERS[np.minimum(codes, LETTERS - 1)], mix(codes + np.uint64(1)))
     span, factor = 1, int(BASE)
     while span < SHINGLE:
-        hashes = hashes[:-span] + hashes[span:] * np.uint64(factor)
+        more = hashes[span:] * np.uint64(factor)
+        more += hashes[:-span]
+        hashes = more
         span, factor = 2 * span, factor * factor % (1 << 64)
     inside = np.ones(len(hashes), bool)              # not across two lines
     inside[(np.cumsum(lengths)[:-1, None] - np.arange(1, SHINGLE)).ravel()] = False
@@ -107,14 +109,33 @@ def signatures(lines: list[str]) -> np.ndarray:
     return (out + np.arange(BANDS, dtype="uint64") * np.uint64(0x632BE59BD9B4E019)).view("int64")
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])]
+
+
+def _shared(lines: list[str]):
+    """``(size of two sets' intersection, sets)`` of the shingles of a few lines: if all
+    characters are bytes (Latin-1), a shingle is eight of them, read as one number."""
+    try:
+        data = [x.encode("latin-1") for x in lines]
+    except UnicodeEncodeError:
+        data = []
+    if data and min(map(len, data)) >= SHINGLE == 8:
+        sets = [_distinct(np.ndarray(len(x) - SHINGLE + 1, "<u8", x, strides=(1,))) for x in data]
+        return lambda a, b: len(a) + len(b) - len(_distinct(np.concatenate([a, b]))), sets
+    return (lambda a, b: len(a & b)), [
+        {x[i:i + SHINGLE] for i in range(max(1, len(x) - SHINGLE + 1))} for x in lines]
+
+
 def similar_lines(items):
     """Pairs of lines (UTF-8) whose Jaccard similarity is at least PERCENT / 100."""
     lines = [x.decode("utf-8", "surrogatepass") for x in items]
     if len(lines) <= FEW:
-        sets = [{x[i:i + SHINGLE] for i in range(max(1, len(x) - SHINGLE + 1))} for x in lines]
+        shared, sets = _shared(lines)
         found = [(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j])
                  if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b))
-                 and (100 + PERCENT) * len(a & b) >= PERCENT * (len(a) + len(b))]
+                 and (100 + PERCENT) * shared(a, b) >= PERCENT * (len(a) + len(b))]
         found = np.array(sorted(found), dtype="int64").reshape(-1, 2)
         return found[:, 0], found[:, 1]
     hashes, owner = shingles(lines)
