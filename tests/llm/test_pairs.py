@@ -435,6 +435,90 @@ def test_texts_of_several_segments(frame):
         assert (r["_s_spans"], bytes(r["_s_kept"]) == want[r["doc_id"]][1].encode()) == (want[r["doc_id"]][0], True)
 
 
+def brute_covered(texts, words):
+    """Per text: maximal runs and bytes of the passages of so many words that start anywhere else."""
+    seen, found = {}, []
+    for t in texts:
+        data = (t or "").encode()
+        at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+        found.append([(at[i][0], at[i + words - 1][1]) for i in range(len(at) - words + 1)])
+        for a, b in found[-1]:
+            seen[data[a:b]] = seen.get(data[a:b], 0) + 1
+    out = []
+    for t, spans in zip(texts, found):
+        data = (t or "").encode()
+        covered, last, runs = set(), -1, 0
+        for a, b in spans:
+            if seen[data[a:b]] > 1:
+                runs += a > last
+                last = b
+                covered.update(range(a, b))
+        out.append((runs, len(covered)))
+    return out
+
+
+def passage_texts(words):
+    rng = random.Random(words)
+    word = lambda: "".join(rng.choices("abcdefghijé", k=rng.randint(1, 9)))
+    text = lambda n: "".join(word() + rng.choice([" ", " ", " ", "\n", "  "]) for _ in range(n))
+    passage, tail = text(words + 30).split(" "), text(words)
+    texts = [None, "", "   ", "a " * (words - 1), "b " * words, "c " * (words + 1), "d" * 500, "d" * 500]
+    for n in range(words - 2, words + 12):
+        texts += [text(40) + " ".join(passage[:n]) + " " + text(20) for _ in (0, 1)]
+    # the last word goes on, the first word began before, another blank in between
+    exact = [word() for _ in range(words)]
+    texts += [text(9) + " ".join(exact) + end + text(9) for end in ("x ", "y ")]
+    texts += [text(9) + start + " ".join(exact) + " " + text(9) for start in ("x", "y")]
+    texts += [" ".join(exact[:9]) + "\t" + " ".join(exact[9:])]
+    whole = text(200)
+    return texts + [tail, text(5) + tail, tail + text(30), whole, whole, whole[:700] + "#" + whole[700:]]
+
+
+@pytest.mark.parametrize("words", [4, 5, 20, 51])
+def test_passages_of_words(frame, words):
+    texts = passage_texts(words)
+    texts.append(" ".join(["w"] * 300))
+    want, cut = brute_covered(texts, words), brute_cut(texts, 400)
+    assert sum(n > 0 for n, _ in want) > 20
+    for r in suffix_dedup.dedup_stretches(frame(texts), passage=words).collect():
+        assert (r["_s_passages"], r["_s_covered"]) == want[r["doc_id"]], r["doc_id"]
+        assert (r["_s_bytes"], r["_s_spans"], bytes(r["_s_kept"])) == cut[r["doc_id"]], r["doc_id"]
+
+
+def test_passages_below_four_words(frame):
+    with pytest.raises(ValueError, match="4 words"):
+        suffix_dedup.dedup_stretches(frame(["text"]), passage=3)
+
+
+@pytest.mark.parametrize("letters", ["abcd ", "abcdefgh" * 40 + " "])
+def test_segments_give_the_passages_of_the_whole(monkeypatch, letters):
+    """Words of any length, cut between them."""
+    rng = random.Random(23)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (20_000, 7_531, 1_545, 1_544, 90_000)]
+    texts += [" " * 3_000 + texts[0][1_900:9_100] + " " * 5_000 + texts[1] + " " * 2_500, "ab " * 2_500, " " * 9_000]
+
+    def chunks():
+        return sorted(x for found in suffix_dedup._found([value_batch(texts)], 400, 51)
+                      for x in zip(*(c.tolist() for c in found)))
+    whole = chunks()
+    assert {k & 1 for *_, k, _ in whole} == {0, 1}
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 1000)
+    assert chunks() == whole
+
+
+def test_op2_tells_passages_below_400_bytes(spark, tmp_path):
+    """Passages of 51 words that are no stretch of 400 bytes stay and are counted."""
+    rng = random.Random(24)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passage = text(51)
+    texts = [text(80), f"{text(30)} {passage} {text(30)}", f"{text(10)} {passage} {text(40)}", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in suffix_dedup.op2(spark, str(tmp_path)).collect()}
+    assert [(rows[i]["n_removed"], rows[i]["n_passages"], rows[i]["n_passage_bytes"]) for i in range(4)] \
+        == [(0, 0, 0), (0, 1, 305), (0, 1, 305), (0, 0, 0)]
+
+
 def test_repeated_rows_are_occurrences(frame):
     text = "".join(random.Random(1).choice("abcdef ") for _ in range(900))
     rows = suffix_dedup.dedup_stretches(frame([(4, text), (4, text)])).collect()
