@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoframe.llm.bit_filter import bit_filter
 from geoframe.llm.common import materialise, put_back, query, set_aside, table
 from geoframe.llm.hashing import BASE, mix
 from geoframe.llm.linking import intersections, similar_components
@@ -202,11 +203,16 @@ def _bands(batches):
             [pa.array(keys.ravel()), pa.array(np.repeat([r for r, _ in held], BANDS))], names=["key", "rid"])
 
 
-def _items(batches):
-    for held in _new_lines(batches):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r for r, _ in held], pa.int64()),
-             pa.array([x.encode("utf-8", "surrogatepass") for _, x in held], pa.binary())], names=["rid", "item"])
+def _items(shared):
+    """The lines that may be in a bucket with others."""
+    def run(batches):
+        for held in _new_lines(batches):
+            keep = shared.value(np.array([r for r, _ in held], dtype="int64").view("uint64")).tolist()
+            held = [h for h, k in zip(held, keep) if k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r for r, _ in held], pa.int64()),
+                 pa.array([x.encode("utf-8", "surrogatepass") for _, x in held], pa.binary())], names=["rid", "item"])
+    return run
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -215,8 +221,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     base = docs.where(F.col(id_col).isNotNull() & F.col(text).isNotNull()) \
         .select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("of"), text)
     seen = materialise(base.mapInArrow(_occurrences, "id long, of long, place int, rid long"), "line-places")
-    linked = similar_components(base.select(text).mapInArrow(_bands, "key long, rid long"),
-                                base.select(text).mapInArrow(_items, "rid long, item binary"),
+
+    def items(needed):
+        members = docs.sparkSession.sparkContext.broadcast(bit_filter(needed, "rid"))
+        return base.select(text).mapInArrow(_items(members), "rid long, item binary")
+    linked = similar_components(base.select(text).mapInArrow(_bands, "key long, rid long"), items,
                                 similar_lines, "line")
     first = seen.groupBy("rid").agg(F.min(F.struct("id", "of", "place")).alias("lo"),
                                     F.max(F.struct("id", "of", "place")).alias("hi"))

@@ -129,9 +129,10 @@ def _compare(similar: Callable):
     return run
 
 
-def similar_components(buckets: DataFrame, items: DataFrame, similar: Callable, name: str) -> DataFrame:
+def similar_components(buckets: DataFrame, items: DataFrame | Callable, similar: Callable, name: str) -> DataFrame:
     """``buckets``: (key long, rid long), repeats allowed.  ``items``: (rid long,
-    item binary); equal rids have equal items.  ``similar(list of items)`` gives
+    item binary), or what makes them from the rids that are needed, (rid long); others
+    may be among them; equal rids have equal items.  ``similar(list of items)`` gives
     two arrays with the places of the pairs that link (first below second).
     Result: (node, component) for every linked rid."""
     rows = materialise(buckets.select("key", "rid").repartition("key").sortWithinPartitions("key", "rid")
@@ -144,6 +145,9 @@ def similar_components(buckets: DataFrame, items: DataFrame, similar: Callable,
     sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(sizes, "key")
     needed = rows.select("rid").distinct()
+    if not isinstance(items, DataFrame):
+        needed = materialise(needed, f"{name}-needed")
+        items = items(needed)
     held = materialise(items.join(needed, "rid", "left_semi").groupBy("rid").agg(F.first("item").alias("item")),
                        f"{name}-items")
     rows = (rows.withColumn("own", F.pmod(F.xxhash64("rid", "key"), F.col("blocks")).cast("int"))

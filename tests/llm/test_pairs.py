@@ -630,3 +630,23 @@ def test_rows_with_equal_ids_are_judged_by_their_own_text(frame):
     words = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
     kept = ngram_join.keep_one(frame([(1, words[0]), (5, words[0]), (5, words[1]), (7, words[1])]))
     assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, words[0]), (5, words[1])]
+
+
+def test_only_lines_in_buckets_are_sent(spark, frame):
+    """Lines that share no band with another are not shuffled."""
+    rng = random.Random(31)
+    lines = ["".join(rng.choices("abcdefghijklmnop ", k=60)) + "z" for _ in range(400)]
+    texts = ["\n".join(lines), lines[0] + "y", lines[1] + "y"]
+    seen = []
+    plain = line_dedup._items
+
+    def noted(shared):
+        hits = sum(bool(shared.value(np.array([line_dedup.line_id(line_dedup.normal(x))]).view("uint64"))[0])
+                   for x in lines)
+        seen.append(hits)
+        return plain(shared)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(line_dedup, "_items", noted)
+        rows = line_dedup.dedup_lines(frame(texts)).collect()
+    assert 2 <= seen[0] < 40
+    assert {r["doc_id"]: r["_l_places"] for r in rows} == {0: None, 1: [0], 2: [0]}
